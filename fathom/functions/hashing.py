@@ -62,4 +62,4 @@ def sql_bucket(text_expr: str, salt: str, modulus: int = 100) -> str:
 
 
 def sql_unit_uniform(text_expr: str, salt: str) -> str:
-    return f"({sql_salted_h32(text_expr, salt)} / 4294967296.0)"
+    return f"({sql_salted_h32(text_expr, salt)} / 4294967296.0e0)"

@@ -7,6 +7,8 @@ one group holds a third of the data.  ``running_totals`` instead:
 1. range-partitions on (group keys, order keys), which splits hot groups
    across tasks (the range bounds are sampled from the data);
 2. computes running sums inside each (partition, group) slice;
+   The partitioned rows are checkpointed once so both uses below see
+   the same partitioning;
 3. aggregates per-slice totals (<= partitions + groups rows) and turns them
    into offsets for the groups that began in an earlier partition.  Only the
    first group of a partition can continue from the previous one, so the
@@ -25,6 +27,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathom.session import cut_lineage
+
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -45,6 +49,11 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], sums: Mapping[str,
     base = df.select("*", *[sums[k].alias(f"__v_{k}") for k in names])
     part = base.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in group_cols + order_cols]) \
         .withColumn("__pid", F.spark_partition_id())
+    # The range bounds are sampled per shuffle, so two branches reading
+    # ``part`` would each draw their own bounds.  A reliable checkpoint fixes
+    # one partitioning for both branches and cuts the lineage (it survives
+    # executor loss; localCheckpoint would not).
+    part = cut_lineage(part)
     frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy("__pid", *group_cols).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, frame_end)
@@ -59,10 +68,15 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], sums: Mapping[str,
         F.count(F.lit(1)).over(wo).alias("__earlier"),
         *[F.coalesce(F.sum(f"__t_{k}").over(wo), F.lit(0)).alias(f"__o_{k}") for k in names],
     ).where(F.col("__earlier") > 0).drop("__earlier")
-    joined = local.join(F.broadcast(offsets), ["__pid", *group_cols], "left") if group_cols \
-        else local.join(F.broadcast(offsets), ["__pid"], "left")
+    offsets = offsets.select(*[F.col(c).alias(f"__g_{c}") for c in ["__pid", *group_cols]],
+                             *[f"__o_{k}" for k in names])
+    cond = None
+    for c in ["__pid", *group_cols]:
+        e = local[c].eqNullSafe(offsets[f"__g_{c}"])  # NULL group keys keep their offsets
+        cond = e if cond is None else cond & e
+    joined = local.join(F.broadcast(offsets), cond, "left")
     out = joined.select(
-        *[c for c in df.columns],
+        *[local[c] for c in df.columns],
         *[(F.col(f"__l_{k}") + F.coalesce(F.col(f"__o_{k}"), F.lit(0))).alias(k) for k in names],
     )
     return out
