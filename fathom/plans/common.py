@@ -46,3 +46,36 @@ def events_halves(spark, sf_dir, missing: bool = False):
 
 
 SQL_HALF = f"CASE WHEN ts < TIMESTAMP '{SPLIT_TS}' THEN 'reference' ELSE 'current' END"
+
+
+def events_features(spark, sf_dir):
+    """events halves with two numeric features: ``value`` (15% injected
+    NULLs) and ``k`` parsed from the JSON text ``props`` (P1/P3 coercion)."""
+    e = Tables(spark, sf_dir).events
+    e = with_injected_missing(e, ["event_id"], ["value"])
+    k = F.regexp_extract(F.col("props"), r'"k": (\d+)', 1)
+    e = e.withColumn("k", F.when(k.isin("", "nan", "NA"), None).otherwise(k).try_cast("double"))
+    half = F.when(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"), F.lit("reference")).otherwise(F.lit("current"))
+    return e.select("event_id", "ts", "user_id", "event_type", "value", "k", half.alias("half"))
+
+
+SQL_EVENTS_FEATURES = (
+    "e AS (SELECT event_id, ts, user_id, event_type, "
+    f"{sql_injected_missing('value', ['event_id'])} AS value, "
+    "TRY_CAST(CASE WHEN regexp_extract(props, '\"k\": (\\d+)', 1) IN ('', 'nan', 'NA') THEN NULL "
+    "ELSE regexp_extract(props, '\"k\": (\\d+)', 1) END AS DOUBLE) AS k, "
+    f"CASE WHEN ts < TIMESTAMP '{SPLIT_TS}' THEN 'reference' ELSE 'current' END AS half FROM events),\n"
+    "lv AS (SELECT event_id, ts, half, 'value' AS feature, value AS x FROM e "
+    "UNION ALL SELECT event_id, ts, half, 'k', k FROM e)")
+
+
+
+def coords(key: str):
+    """Points on a map by a fixed formula of an integer key."""
+    lat = F.lit(-60.0) + ((F.col(key) * 7919) % 12001) / F.lit(100.0)
+    lon = F.lit(-180.0) + ((F.col(key) * 104729) % 36001) / F.lit(100.0)
+    return lat, lon
+
+
+def sql_coords(key: str) -> tuple[str, str]:
+    return (f"(-60.0e0 + (({key} * 7919) % 12001) / 100.0e0)", f"(-180.0e0 + (({key} * 104729) % 36001) / 100.0e0)")
