@@ -44,8 +44,9 @@ def profile_stats(long: DataFrame) -> DataFrame:
 def reference_points(ref_long: DataFrame, n_quantiles: int = 100) -> DataFrame:
     """The Q6 compact reference: ``n_quantiles`` exact quantiles at
     linspace(0, 1, n) per feature, as (feature, x) points."""
+    from fathom.operators.ordered import quantiles
     probs = [i / (n_quantiles - 1) for i in range(n_quantiles)]
-    q = ref_long.where(F.col("x").isNotNull()).groupBy("feature").agg(F.percentile("x", probs).alias("qs"))
+    q = quantiles(ref_long, "x", probs, ["feature"], out="qs")
     return q.select("feature", F.explode("qs").alias("x"))
 
 

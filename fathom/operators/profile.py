@@ -100,14 +100,20 @@ def linspace(n: int) -> list[float]:
 
 def training_profile(df: DataFrame, cols: Sequence[str], n_quantiles: int = 100) -> DataFrame:
     """Q6: mean, population std, min, max and ``n_quantiles`` exact quantiles
-    at linspace(0, 1, n) per numeric column: the compact drift reference."""
+    at linspace(0, 1, n) per numeric column: the compact drift reference.
+    Moments come from one aggregate; quantiles from the distributed exact
+    path (``ordered.exact_quantiles``) on the unpivoted values."""
+    from fathom.operators.ordered import quantiles
     probs = linspace(n_quantiles)
 
     def make(c):
         return [F.count(c).alias("n"), F.avg(c).cast("double").alias("mean"), F.stddev_pop(c).alias("std"),
-                F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-                F.percentile(F.col(c), probs).alias("quantiles")]
-    return _per_column(df, cols, make)
+                F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")]
+    moments = _per_column(df, cols, make)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
+                                         for c in cols])).alias("p")).select("p.*")
+    q = quantiles(long, "x", probs, ["column_name"]).drop("n_values")
+    return moments.join(q, "column_name", "left")
 
 
 def skew_kurtosis(df: DataFrame, cols: Sequence[str]) -> DataFrame:

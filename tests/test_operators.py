@@ -157,3 +157,14 @@ def test_shuffled_input_same_result(spark):
     b = df(spark, list(reversed(rows)), "k int, s double, y int").repartition(5)
     assert evalcls.roc_auc(a, "y", "s").first().roc_auc == pytest.approx(evalcls.roc_auc(b, "y", "s").first().roc_auc)
     assert math.isfinite(evalcls.roc_auc(a, "y", "s").first().roc_auc)
+
+
+def test_distributed_exact_quantiles_match_percentile(spark):
+    from fathom.operators.ordered import exact_quantiles
+    rows = [("a", float((i * 37) % 101)) for i in range(200)] + [("b", float(v)) for v in (5, 1, 3)]
+    d = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r.quantiles for r in exact_quantiles(d, "x", probs, ["g"]).collect()}
+    want = {r.g: r.q for r in d.groupBy("g").agg(F.percentile("x", probs).alias("q")).collect()}
+    for g in want:
+        assert got[g] == pytest.approx(want[g])
