@@ -65,6 +65,37 @@ def gram(df: DataFrame, features: Sequence[str], targets: Sequence[str], weight:
     return {"n": row["sw"] or 0.0, "xx": xx, "xy": xy, "yy": yy, "names": cols}
 
 
+def gram_by(df: DataFrame, features: Sequence[str], targets: Sequence[str], group: str,
+            weight: Column | None = None) -> dict:
+    """``gram`` for every value of ``group`` in one grouped aggregate (the
+    group count must be small: replicates, folds)."""
+    cols = ["__one"] + list(features)
+    w = weight if weight is not None else F.lit(1.0)
+    d = df.select(F.col(group).alias("__g"), F.lit(1.0).alias("__one"), *[F.col(c).cast("double") for c in features],
+                  *[F.col(t).cast("double").alias(f"__t{k}") for k, t in enumerate(targets)], w.alias("__w")).dropna()
+    exprs = [F.sum(F.col("__w")).alias("sw")]
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols[i:], start=i):
+            exprs.append(F.sum(F.col("__w") * F.col(a) * F.col(b)).alias(f"xx_{i}_{j}"))
+        for k in range(len(targets)):
+            exprs.append(F.sum(F.col("__w") * F.col(a) * F.col(f"__t{k}")).alias(f"xy_{i}_{k}"))
+    for k in range(len(targets)):
+        exprs.append(F.sum(F.col("__w") * F.col(f"__t{k}") * F.col(f"__t{k}")).alias(f"yy_{k}"))
+    out = {}
+    p = len(cols)
+    for row in d.groupBy("__g").agg(*exprs).collect():  # one row per group value
+        xx = np.zeros((p, p))
+        xy = np.zeros((p, len(targets)))
+        for i in range(p):
+            for j in range(i, p):
+                xx[i, j] = xx[j, i] = row[f"xx_{i}_{j}"] or 0.0
+            for k in range(len(targets)):
+                xy[i, k] = row[f"xy_{i}_{k}"] or 0.0
+        out[row["__g"]] = {"n": row["sw"], "xx": xx, "xy": xy,
+                           "yy": np.array([row[f"yy_{k}"] or 0.0 for k in range(len(targets))]), "names": cols}
+    return out
+
+
 def ridge_solve(g: dict, alpha: float = 0.0, k: int = 0) -> np.ndarray:
     """Coefficients (intercept first) of ridge on target k; the intercept is
     not penalised."""
