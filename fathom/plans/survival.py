@@ -112,3 +112,37 @@ def c_index(spark, sf_dir):
     c = V.c_index(subjects(spark, sf_dir), "duration", "event", "risk")
     return c.select(F.col("concordant").cast("long").alias("concordant"), F.col("tied").cast("long").alias("tied"),
                     F.col("comparable").cast("long").alias("comparable"), rnd("c_index", 8).alias("c_index"), "exact")
+
+
+@query("cox_ph", ["V6"])
+def cox_ph(spark, sf_dir):
+    """Cox PH (Breslow ties, L2 0.1) on the error count and the user group,
+    with hazard ratios, Wald p-values and the baseline survival at the
+    median event time."""
+    import numpy as np
+    from fathom.operators import survival_models as SM
+    s = subjects(spark, sf_dir).withColumn("is_even", (F.col("grp") == "even").cast("double")) \
+        .withColumn("risk_d", F.col("risk").cast("double"))
+    fit = SM.cox_ph(s, "duration", "event", ["risk_d", "is_even"], penalizer=0.1)
+    base = SM.cox_baseline(s, "duration", "event", ["risk_d", "is_even"], fit["coef"])
+    s0 = base.agg(F.percentile("S0", 0.5).alias("s0_median")).first()["s0_median"]
+    rows = [(c, float(b), float(np.exp(b)), float(se), float(p), float(s0))
+            for c, b, se, p in zip(fit["covariates"], fit["coef"], fit["se"], fit["p"])]
+    return spark.createDataFrame(rows, "covariate string, coef double, hazard_ratio double, se double, p_value double, "
+                                       "baseline_survival_mid double")
+
+
+@query("tobit", ["V10"])
+def tobit(spark, sf_dir):
+    """Right-censored normal model of log1p(days) on the error count,
+    with RMSE on events for the Tobit and the least-squares start."""
+    from fathom.operators import survival_models as SM
+    s = subjects(spark, sf_dir).select(F.log1p("duration").alias("y"), (1 - F.col("event")).alias("censored"),
+                                       F.col("risk").cast("double").alias("risk_d"), "event")
+    fit = SM.tobit(s, "y", "censored", ["risk_d"])
+    ev = s.where(F.col("event") == 1)
+    def rmse(a, b):
+        return ev.agg(F.sqrt(F.avg((F.col("y") - (F.lit(a) + F.lit(b) * F.col("risk_d"))) ** 2))).first()[0]
+    rows = [("tobit", fit["intercept"], float(fit["coef"][0]), fit["sigma"], float(rmse(fit["intercept"], float(fit["coef"][0])))),
+            ("ols", float(fit["ols"][0]), float(fit["ols"][1]), fit["ols_sigma"], float(rmse(float(fit["ols"][0]), float(fit["ols"][1]))))]
+    return spark.createDataFrame(rows, "model string, intercept double, slope double, sigma double, rmse_events double")

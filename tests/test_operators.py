@@ -168,3 +168,44 @@ def test_distributed_exact_quantiles_match_percentile(spark):
     want = {r.g: r.q for r in d.groupBy("g").agg(F.percentile("x", probs).alias("q")).collect()}
     for g in want:
         assert got[g] == pytest.approx(want[g])
+
+
+def _cox_numpy(t, e, x, pen):
+    """Brute-force Breslow partial likelihood Newton solve for the test."""
+    import numpy as np
+    t, e, x = np.asarray(t, float), np.asarray(e, float), np.asarray(x, float).reshape(len(t), -1)
+    b = np.zeros(x.shape[1])
+    for _ in range(50):
+        w = np.exp(x @ b)
+        g = -pen * b
+        h = pen * np.eye(len(b))
+        for tt in np.unique(t[e == 1]):
+            dset = (t == tt) & (e == 1)
+            rs = t >= tt
+            r0 = w[rs].sum()
+            r1 = (w[rs, None] * x[rs]).sum(0)
+            r2 = (w[rs, None, None] * x[rs][:, :, None] * x[rs][:, None, :]).sum(0)
+            d = dset.sum()
+            g += x[dset].sum(0) - d * r1 / r0
+            h += d * (r2 / r0 - np.outer(r1 / r0, r1 / r0))
+        b = b + np.linalg.solve(h, g)
+    return b
+
+
+def test_cox_matches_brute_force(spark):
+    from fathom.operators.survival_models import cox_ph
+    t = [1.0, 2.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]
+    e = [1, 1, 0, 1, 1, 0, 1, 1]
+    x = [1.0, 0.0, 1.0, 1.0, 0.0, 0.0, 1.0, 0.0]
+    d = spark.createDataFrame(list(zip(t, e, x)), "t double, e int, x double")
+    fit = cox_ph(d, "t", "e", ["x"], penalizer=0.1)
+    assert fit["coef"][0] == pytest.approx(_cox_numpy(t, e, x, 0.1)[0], abs=1e-6)
+
+
+def test_tobit_without_censoring_is_least_squares(spark):
+    from fathom.operators.survival_models import tobit
+    rows = [(float(2 + 0.5 * i + ((i * 7) % 5 - 2) * 0.3), 0, float(i)) for i in range(30)]
+    d = spark.createDataFrame(rows, "y double, c int, x double")
+    fit = tobit(d, "y", "c", ["x"])
+    assert fit["coef"][0] == pytest.approx(fit["ols"][1], rel=1e-5)
+    assert fit["sigma"] == pytest.approx(fit["ols_sigma"], rel=1e-4)
