@@ -8,6 +8,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -260,3 +261,68 @@ def isolation_forest(spark, sf_dir):
     j = scored.crossJoin(F.broadcast(cut))  # one row
     return j.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("anomaly_score") > F.col("cut")).cast("int")).alias("n_outliers"),
                  F.first("cut").alias("score_cut"), F.avg("anomaly_score").alias("mean_score"))
+
+
+def _std_lineitem(spark, sf_dir):
+    li = li_table(spark, sf_dir).drop("features")
+    stats = li.where("split = 'train'").agg(*[F.avg(c).alias(f"m_{c}") for c in REG_FEATURES],
+                                            *[F.stddev_pop(c).alias(f"s_{c}") for c in REG_FEATURES]).first()
+    return li.withColumns({c: (F.col(c) - stats[f"m_{c}"]) / (stats[f"s_{c}"] or 1.0) for c in REG_FEATURES})
+
+
+def _ridge_rmse(train, test, feats, alpha=1e-3):
+    if len(feats) > 10:
+        # wide designs: assemble once, Spark's normal-equation solver builds the Gram in one pass
+        asm = VectorAssembler(inputCols=list(feats), outputCol="__f")
+        lr = LinearRegression(featuresCol="__f", solver="normal", regParam=alpha, standardization=False)
+        m = lr.fit(asm.transform(train.select(*feats, "label")))
+        return RegressionEvaluator(metricName="rmse").evaluate(m.transform(asm.transform(test.select(*feats, "label"))))
+    g = ml.gram(train, feats, ["label"])
+    beta = ml.ridge_solve(g, alpha)
+    pred = F.lit(float(beta[0]))
+    for c, b in zip(feats, beta[1:]):
+        pred = pred + F.lit(float(b)) * F.col(c)
+    return test.agg(F.sqrt(F.avg((F.col("label") - pred) ** 2))).first()[0]
+
+
+@query("kernel_maps", ["L15", "L16"])
+def kernel_maps(spark, sf_dir):
+    """Ridge on raw features, on 50 random Fourier features and on a
+    Nyström map with 50 hash-chosen landmarks: test RMSE of each."""
+    import numpy as np
+    from fathom.functions.hashing import salted_h32
+    from fathom.operators import kernels
+    li = _std_lineitem(spark, sf_dir)
+    rff = kernels.rff_columns(REG_FEATURES, 50, gamma=0.5)
+    z = li.withColumns(rff)
+    rows = [("raw", float(_ridge_rmse(li.where("split = 'train'"), li.where("split = 'test'"), REG_FEATURES))),
+            ("rff_50", float(_ridge_rmse(z.where("split = 'train'"), z.where("split = 'test'"), list(rff))))]
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    n = li.count()
+    cand = li.where("split = 'train'").withColumn("__h", salted_h32(key, "landmark")) \
+        .where(F.col("__h") < F.lit(int(min(1.0, 400.0 / n) * 4294967296)))
+    lm = cand.orderBy("__h").limit(50).select(*REG_FEATURES).collect()  # 50 landmark rows
+    y, nys = kernels.nystroem_map(li, np.array([[r[c] for c in REG_FEATURES] for r in lm], dtype=float), REG_FEATURES, 0.5)
+    rows.append(("nystroem_50", float(_ridge_rmse(y.where("split = 'train'"), y.where("split = 'test'"), nys))))
+    return spark.createDataFrame(rows, "features string, test_rmse double")
+
+
+@query("mice_impute", ["L5", "L2", "X24"])
+def mice_impute(spark, sf_dir):
+    """Mask 15% of cells by hash (X24), impute by median (L2) and by chained
+    equations (L5), and score both against the true values."""
+    from fathom.operators import kernels
+    from fathom.sources.tables import with_injected_missing
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    li = Tables(spark, sf_dir).lineitem.select(*key, *cols)
+    truth = li.select(*key, *[F.col(c).alias(f"true_{c}") for c in cols])
+    masked = with_injected_missing(li, key, cols)
+    med = masked.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
+    imp = kernels.mice(masked, cols, rounds=3)
+    j = imp.join(truth, key).join(masked.select(*key, *[F.col(c).isNull().alias(f"m_{c}") for c in cols]), key)
+    rows = j.agg(*[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.col(c) - F.col(f"true_{c}")) ** 2))).alias(f"mice_{c}") for c in cols],
+                 *[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.lit(float(med[c])) - F.col(f"true_{c}")) ** 2))).alias(f"median_{c}")
+                   for c in cols]).first()
+    out = [(c, float(rows[f"median_{c}"]), float(rows[f"mice_{c}"])) for c in cols]
+    return spark.createDataFrame(out, "column_name string, median_rmse double, mice_rmse double")
