@@ -138,3 +138,47 @@ def kde_log_density(spark, sf_dir):
     s = supplier_points(spark, sf_dir).select("lat", "lon")
     k = G.kde_log_density(c, s, BW, 4.0)
     return k.select("id", rnd("log_density", 6).alias("log_density"))
+
+
+@query("kde_bandwidth_cv", ["L19", "L18"])
+def kde_bandwidth_cv(spark, sf_dir):
+    """Mean held-out log density of customer points under a KDE built from
+    the other folds, for six bandwidths (3 hash folds); best bandwidth first."""
+    from fathom.operators import folds
+    lat, lon = coords("c_custkey")
+    c = Tables(spark, sf_dir).customer.select(F.col("c_custkey").alias("id"), lat.alias("lat"), lon.alias("lon"))
+    c = folds.kfold(c, ["id"], 3, "kde")
+    rows = []
+    for bw in (1.0, 2.0, 5.0, 10.0, 20.0, 40.0):
+        parts = []
+        for i in range(3):
+            k = G.kde_log_density(c.where(F.col("fold") == i), c.where(F.col("fold") != i), bw, 4.0)
+            parts.append(k.agg(F.avg("log_density").alias("ll"), F.count("log_density").alias("n_finite")).first())
+        rows.append((bw, float(sum(p["ll"] for p in parts if p["ll"] is not None) / 3), int(sum(p["n_finite"] for p in parts))))
+    return spark.createDataFrame(rows, "bandwidth double, mean_log_likelihood double, n_scored long") \
+        .orderBy(F.desc("mean_log_likelihood"))
+
+
+@query("gwr_local_coefficients", ["G4"])
+def gwr_local_coefficients(spark, sf_dir):
+    """Geographically weighted regression of account balance on latitude
+    and longitude at a grid of anchors, Gaussian kernel (bandwidth in km,
+    truncated at 3 bandwidths) chosen among candidates by a weighted
+    leave-in residual sum; one grouped Gram aggregate per bandwidth."""
+    import numpy as np
+    from fathom.operators import gwr
+    lat, lon = coords("c_custkey")
+    c = Tables(spark, sf_dir).customer.select("c_acctbal", lat.alias("lat"), lon.alias("lon"))
+    anchors = [(i * 6 + j, -50.0 + i * 20.0, -160.0 + j * 64.0) for i in range(6) for j in range(6)]
+    best = None
+    for bw in (500.0, 1000.0, 2000.0, 4000.0):
+        fits = gwr.local_fits(c, "c_acctbal", ["lat", "lon"], anchors, bw)
+        score = sum(f["wrss"] / max(f["wsum"], 1e-12) for f in fits.values())
+        if best is None or score < best[0]:
+            best = (score, bw, fits)
+    _, bw, fits = best
+    rows = [(a, float(la), float(lo), bw, float(f["beta"][0]), float(f["beta"][1]), float(f["beta"][2]), float(f["wsum"]))
+            for (a, la, lo) in anchors if (f := fits.get(a)) is not None]
+
+    return spark.createDataFrame(rows, "anchor int, anchor_lat double, anchor_lon double, bandwidth_km double, "
+                                       "intercept double, coef_lat double, coef_lon double, weight_sum double")

@@ -112,3 +112,19 @@ def snapshot_report(spark, sf_dir):
     drift = drift_report(spark, sf_dir).agg(F.max(F.col("psi_alert").cast("int")).alias("any_psi_alert"),
                                             F.max(F.col("retrain").cast("int")).alias("retrain"))
     return tot.crossJoin(lat).crossJoin(drift)
+
+
+@query("incremental_fit_stream", ["T6"])
+def incremental_fit_stream(spark, sf_dir):
+    """Running least-squares line of value on k, updated per micro-batch of
+    the events stream (20 batches via maxFilesPerTrigger is not available
+    for one file, so batches are the stream's own), with the RMSE of the
+    line on each new batch before it is absorbed."""
+    import os
+    import uuid
+    from fathom.session import ensure_checkpoint_dir
+    s = _events_stream(spark, sf_dir).withColumn(
+        "k", F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("double")).where(F.col("k").isNotNull())
+    root = os.path.join(ensure_checkpoint_dir(spark), "streams", f"incfit-{uuid.uuid4().hex[:8]}")
+    S.incremental_fit(s, "k", "value", root).awaitTermination()
+    return spark.read.parquet(f"{root}/stats")
