@@ -146,3 +146,86 @@ def tobit(spark, sf_dir):
     rows = [("tobit", fit["intercept"], float(fit["coef"][0]), fit["sigma"], float(rmse(fit["intercept"], float(fit["coef"][0])))),
             ("ols", float(fit["ols"][0]), float(fit["ols"][1]), fit["ols_sigma"], float(rmse(float(fit["ols"][0]), float(fit["ols"][1]))))]
     return spark.createDataFrame(rows, "model string, intercept double, slope double, sigma double, rmse_events double")
+
+
+def _cox_split(spark, sf_dir):
+    """Subjects with a hash split and Cox risk scores fitted on training rows."""
+    from fathom.operators import folds
+    from fathom.operators import survival_models as SM
+    s = subjects(spark, sf_dir).withColumn("is_even", (F.col("grp") == "even").cast("double")) \
+        .withColumn("risk_d", F.col("risk").cast("double"))
+    s = folds.holdout(s, ["user_id"], 70, "survsplit")
+    cov = ["risk_d", "is_even"]
+    train = s.where(F.col("split") == "train")
+    fit = SM.cox_ph(train, "duration", "event", cov, penalizer=0.1)
+    lin = F.lit(0.0)
+    for c, b in zip(cov, fit["coef"]):
+        lin = lin + F.lit(float(b)) * F.col(c)
+    base = SM.cox_baseline(train, "duration", "event", cov, fit["coef"])  # (t, H0, S0) at event times
+    return s.withColumn("hr", F.exp(lin)), base
+
+
+def _h0_at(base, times):
+    """Breslow H0 at given times (step function): for a fixed small list of
+    times, the last baseline value at or before each."""
+    g = base.sparkSession.createDataFrame([(i, float(t)) for i, t in enumerate(times)], "gi int, g double")
+    return g.join(base, F.col("t") <= F.col("g"), "left").groupBy("gi", "g") \
+        .agg(F.coalesce(F.max("H0"), F.lit(0.0)).alias("H0"))  # H0 is non-decreasing in t
+
+
+@query("survival_calibration", ["V11", "F11"])
+def survival_calibration(spark, sf_dir):
+    """Predicted survival at the median event time by decile of the
+    prediction (test rows only), against the Kaplan-Meier survival of each
+    decile at that time; deciles with fewer than 5 rows are left out."""
+    from fathom.operators import folds
+    from fathom.operators import survival as V
+    s, base = _cox_split(spark, sf_dir)
+    test = s.where(F.col("split") == "test")
+    t_med = s.where(F.col("event") == 1).agg(F.percentile("duration", 0.5)).first()[0]
+    h0 = _h0_at(base, [t_med]).first()["H0"]
+    p = test.withColumn("pred_surv", F.exp(-F.lit(float(h0)) * F.col("hr")))
+    b = folds.qcut_assign(p, "pred_surv", folds.qcut_edges(p, "pred_surv", 10), "decile")
+    km = V.kaplan_meier(b, "duration", "event", ["decile"])
+    obs = km.where(F.col("time") <= t_med).groupBy("decile").agg(F.min("survival").alias("observed"))
+    pred = b.groupBy("decile").agg(F.count(F.lit(1)).alias("n"), F.avg("pred_surv").alias("predicted"))
+    return pred.where(F.col("n") >= 5).join(obs, "decile", "left") \
+        .withColumn("observed", F.coalesce("observed", F.lit(1.0))).withColumn("time", F.lit(float(t_med)))
+
+
+@query("integrated_brier", ["V9"])
+def integrated_brier(spark, sf_dir):
+    """Integrated Brier score of the Cox model on test rows over a 20-point
+    time grid, with inverse-probability-of-censoring weights from the
+    censoring Kaplan-Meier (G), trapezoid rule over the grid."""
+    import numpy as np
+    from fathom.operators.ordered import running_totals
+    s, base = _cox_split(spark, sf_dir)
+    test = s.where(F.col("split") == "test")
+    lo, hi = s.where(F.col("event") == 1).agg(F.percentile("duration", [0.05, 0.95])).first()[0]
+    grid = [float(x) for x in np.linspace(lo, hi, 20)]
+    h0 = {r["gi"]: r["H0"] for r in _h0_at(base, grid).collect()}  # 20 numbers
+    # censoring KM on all subjects: log G accumulated over distinct times
+    tc = s.groupBy(F.col("duration").alias("t")).agg(F.sum((1 - F.col("event")).cast("long")).alias("dc"),
+                                                     F.count(F.lit(1)).alias("r"))
+    n_all = s.count()
+    gone = running_totals(tc, ["t"], {"rem": F.col("r")}, inclusive=False)
+    inc = gone.withColumn("n", F.lit(n_all) - F.col("rem")).withColumn(
+        "lg", F.when(F.col("dc") < F.col("n"), F.log(1 - F.col("dc") / F.col("n"))).otherwise(F.lit(-1e9)))
+    # G just before each subject's time (exclusive sum) and G at each grid time (inclusive, step)
+    gb = running_totals(inc.select("t", "lg"), ["t"], {"lg_before": F.col("lg")}, inclusive=False)
+    gpt = spark.createDataFrame([(i, g) for i, g in enumerate(grid)], "gi int, g double")
+    g_grid = gpt.join(inc, F.col("t") <= F.col("g"), "left").groupBy("gi") \
+        .agg(F.exp(F.coalesce(F.sum("lg"), F.lit(0.0))).alias("G_t"))   # 20 rows
+    subj = test.join(gb.select(F.col("t").alias("duration"), F.exp("lg_before").alias("G_Ti")), "duration")
+    h0df = spark.createDataFrame([(i, grid[i], float(h0[i])) for i in range(len(grid))], "gi int, g double, H0 double")
+    pairs = subj.crossJoin(F.broadcast(h0df.join(g_grid, "gi")))   # test rows x 20 grid points (fixed)
+    sp = F.exp(-F.col("H0") * F.col("hr"))
+    term = F.when((F.col("duration") <= F.col("g")) & (F.col("event") == 1), sp * sp / F.col("G_Ti")) \
+        .when(F.col("duration") > F.col("g"), (1 - sp) * (1 - sp) / F.col("G_t")).otherwise(F.lit(0.0))
+    bs = pairs.groupBy("gi", "g").agg(F.avg(term).alias("brier")).orderBy("gi").collect()  # 20 rows
+    xs = [r["g"] for r in bs]
+    ys = [r["brier"] for r in bs]
+    ibs = float(np.trapezoid(ys, xs) / (xs[-1] - xs[0])) if len(xs) > 1 else float("nan")
+    rows = [(int(r["gi"]), float(r["g"]), float(r["brier"])) for r in bs] + [(-1, float("nan"), ibs)]
+    return spark.createDataFrame(rows, "grid_index int, time double, brier double")
