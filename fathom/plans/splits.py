@@ -181,3 +181,49 @@ def bootstrap_weight_sums(spark, sf_dir):
     return w.groupBy("replicate").agg(F.sum("weight").alias("weight_sum"),
                                       F.count(F.when(F.col("weight") == 0, 1)).alias("n_out_of_bag"),
                                       F.max("weight").alias("max_weight"))
+
+
+@query("latest_year_holdout", ["F5"], sql=f"""
+WITH lines AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey),
+o AS (SELECT year(o_orderdate) AS yr, o_totalprice AS y, CAST(coalesce(n_lines, 0) AS DOUBLE) AS x
+      FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey WHERE o_orderdate IS NOT NULL),
+h AS (SELECT max(yr) AS hy, count(DISTINCT yr) AS n_years FROM o),
+tr AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, count(*) AS train_rows,
+              string_agg(DISTINCT CAST(yr AS VARCHAR), ',' ORDER BY CAST(yr AS VARCHAR)) AS train_years
+       FROM o, h WHERE yr < hy),
+va AS (SELECT count(*) AS holdout_rows,
+              avg(abs(y - (intercept + slope * x))) AS mae,
+              sqrt(avg((y - (intercept + slope * x)) * (y - (intercept + slope * x)))) AS rmse,
+              1 - sum((y - (intercept + slope * x)) * (y - (intercept + slope * x))) / (var_pop(y) * count(*)) AS r2
+       FROM o, h, tr WHERE yr = hy)
+SELECT CAST(hy AS INTEGER) AS holdout_year, train_years, train_rows, holdout_rows,
+       {sql_rnd('slope', 4)} AS slope, {sql_rnd('intercept', 4)} AS intercept,
+       {sql_rnd('mae', 4)} AS mae, {sql_rnd('rmse', 4)} AS rmse, {sql_rnd('r2', 6)} AS r2
+FROM h, tr, va WHERE n_years >= 2 AND train_rows >= 100 AND holdout_rows >= 20
+""")
+def latest_year_holdout(spark, sf_dir):
+    """fit order value on its line count over every year but the
+    latest, score on the latest year; no row when a size guard fails."""
+    t = Tables(spark, sf_dir)
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    o = t.orders.where(F.col("o_orderdate").isNotNull()) \
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left") \
+        .select(F.year("o_orderdate").alias("yr"), F.col("o_totalprice").alias("y"),
+                F.coalesce(F.col("n_lines"), F.lit(0)).cast("double").alias("x"))
+    cut = folds.latest_period_holdout(o, "yr", min_train=100, min_valid=20)
+    schema = ("holdout_year int, train_years string, train_rows long, holdout_rows long, slope double, "
+              "intercept double, mae double, rmse double, r2 double")
+    if cut is None:
+        return spark.createDataFrame([], schema)
+    s, last, train_years = cut
+    fit = s.where(F.col("split") == "train").agg(
+        F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
+        F.count(F.lit(1)).alias("train_rows")).first()
+    p = F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("x")
+    r = F.col("y") - p
+    return s.where(F.col("split") == "valid").agg(
+        F.lit(int(last)).alias("holdout_year"), F.lit(",".join(str(v) for v in train_years)).alias("train_years"),
+        F.lit(fit["train_rows"]).cast("long").alias("train_rows"), F.count(F.lit(1)).alias("holdout_rows"),
+        rnd(F.lit(fit["slope"]), 4).alias("slope"), rnd(F.lit(fit["intercept"]), 4).alias("intercept"),
+        rnd(F.avg(F.abs(r)), 4).alias("mae"), rnd(F.sqrt(F.avg(r * r)), 4).alias("rmse"),
+        rnd(F.lit(1.0) - F.sum(r * r) / (F.var_pop("y") * F.count(F.lit(1))), 6).alias("r2"))
