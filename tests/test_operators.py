@@ -231,3 +231,51 @@ def test_gwr_cell_join_equals_all_pairs(spark):
                 v = np.array([1.0, lat, lon]); xx += w * np.outer(v, v); xy += w * y * v
         beta = np.linalg.solve(xx + 1e-9 * np.eye(3), xy)
         assert fits[a]["beta"] == pytest.approx(beta, rel=1e-6, abs=1e-6)
+
+
+def _knn_brute(q, r, k):
+    import numpy as np
+    out = {}
+    for qid, qx in q:
+        ds = sorted((float(np.sqrt(((np.array(qx) - np.array(rx)) ** 2).sum())), rid) for rid, rx in r)
+        out[qid] = [(rid, d) for d, rid in ds[:k]]
+    return out
+
+
+@pytest.mark.parametrize("n_ref,n_q,d,k", [(300, 80, 2, 5), (50, 30, 1, 7), (4, 10, 2, 5), (400, 60, 3, 3)])
+def test_grid_knn_equals_brute_force(spark, n_ref, n_q, d, k):
+    """Clustered and duplicate-heavy points, a far outlier, fewer refs than k:
+    the level-climbing grid search must return the exact k nearest."""
+    import numpy as np
+    from fathom.operators.neighbors import knn
+    rng = np.random.default_rng(n_ref + d)
+    r = [(i, [float(v) for v in np.round(rng.normal(size=d) * (1 if i % 3 else 0.01), 2)]) for i in range(n_ref)]
+    r += [(n_ref + j, [0.5] * d) for j in range(40)]  # one hot point
+    q = [(1000 + i, [float(v) for v in np.round(rng.normal(size=d), 2)]) for i in range(n_q)]
+    q += [(5000, [50.0] * d), (5001, [0.5] * d), (5002, [0.5] * d)]
+    cols = [f"f{i}" for i in range(d)]
+    rdf = spark.createDataFrame([(a, *b) for a, b in r], ["rid", *cols])
+    qdf = spark.createDataFrame([(a, *b) for a, b in q], ["qid", *cols])
+    got = {}
+    for row in sorted(knn(qdf, rdf, cols, k, cap=8).collect(), key=lambda x: (x.qid, x["rank"])):
+        got.setdefault(row.qid, []).append((row.rid, row.distance))
+    want = _knn_brute(q, r, k)
+    assert set(got) == set(want)
+    for qid, nb in want.items():
+        assert [x[0] for x in got[qid]] == [x[0] for x in nb], qid
+        assert np.allclose([x[1] for x in got[qid]], [x[1] for x in nb])
+
+
+def test_knn_distance_weights_and_vote(spark):
+    from fathom.operators.neighbors import class_vote, weighted_mean
+    nb = spark.createDataFrame([(1, 1, 10.0, 1.0, "a"), (1, 2, 20.0, 2.0, "b"), (1, 3, 40.0, 2.0, "b"),
+                                (2, 1, 5.0, 0.0, "a"), (2, 2, 7.0, 0.0, "b"), (2, 3, 99.0, 1.0, "b")],
+                               "q int, rank int, v double, distance double, y string")
+    m = {r.q: r.v for r in weighted_mean(nb, "q", "v", "distance").collect()}
+    assert m[1] == pytest.approx((10 / 1 + 20 / 2 + 40 / 2) / (1 + 0.5 + 0.5))
+    assert m[2] == pytest.approx(6.0)  # zero-distance neighbours take all the weight
+    u = {r.q: r.v for r in weighted_mean(nb, "q", "v", "uniform").collect()}
+    assert u[2] == pytest.approx(37.0)
+    v = {(r.q, r.y): (r.share, r.prediction) for r in class_vote(nb, "q", "y").collect()}
+    assert v[(1, "b")] == (pytest.approx(0.5), "a")  # 1.0 vs 0.5 + 0.5: tie goes to the smaller class
+    assert v[(2, "a")][0] == pytest.approx(0.5)
