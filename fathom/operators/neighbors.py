@@ -153,12 +153,22 @@ def class_vote(nb: DataFrame, qid: str, label: str, weights: str = "distance") -
     return per.join(tot, qid).select(qid, label, (F.col("__w") / F.col("__t")).alias("share"), "prediction")
 
 
+def impute_neighbours(df: DataFrame, key: str, target: str, features: Sequence[str], k: int) -> DataFrame:
+    """Donors for L4: the k nearest rows with ``target`` present for every
+    row where it is NULL, carrying the donor's value."""
+    miss = F.col(target).isNull()
+    donors = df.where(~miss).withColumnRenamed(key, "__donor")
+    return knn(df.where(miss), donors, features, k, qid=key, rid="__donor", ref_cols=[target])
+
+
 def knn_impute(df: DataFrame, key: str, target: str, features: Sequence[str], k: int = 5,
-               weights: str = "uniform", indicator: bool = True) -> DataFrame:
+               weights: str = "uniform", indicator: bool = True, nb: DataFrame | None = None) -> DataFrame:
     """L4: fill ``target`` where it is NULL from the k nearest rows (in the
-    feature space) where it is present; adds ``missing_<target>``."""
+    feature space) where it is present; adds ``missing_<target>``.  ``nb``
+    may be a donor table from ``impute_neighbours`` with k' >= k: its first
+    k ranks are the exact k nearest (same distance/id order)."""
     miss = F.col(target).isNull()
-    nb = knn(df.where(miss), df.where(~miss), features, k, qid=key, rid="__donor", ref_cols=[target])
+    nb = impute_neighbours(df, key, target, features, k) if nb is None else nb.where(F.col("rank") <= k)
     fill = weighted_mean(nb, key, target, weights).withColumnRenamed(target, "__fill")
     base = df.withColumn(f"missing_{target}", miss) if indicator else df
     return base.join(fill, key, "left").withColumn(target, F.coalesce(F.col(target), F.col("__fill"))).drop("__fill")

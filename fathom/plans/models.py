@@ -326,3 +326,74 @@ def mice_impute(spark, sf_dir):
                    for c in cols]).first()
     out = [(c, float(rows[f"median_{c}"]), float(rows[f"mice_{c}"])) for c in cols]
     return spark.createDataFrame(out, "column_name string, median_rmse double, mice_rmse double")
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("knn_impute", ["L4", "X24"])
+def knn_impute(spark, sf_dir):
+    """Mask 15% of ``l_extendedprice`` by hash (X24) and fill it from the
+    nearest lines in raw (l_quantity, p_retailprice): k=5 uniform and k=7
+    by inverse distance, both from one exact k=7 donor search.  Filled
+    count, RMSE and MAE against the true values over the masked cells."""
+    from fathom.operators import neighbors
+    from fathom.sources.tables import with_injected_missing
+    t = Tables(spark, sf_dir)
+    feats = ["l_quantity", "p_retailprice"]
+    li = t.lineitem.select(*LINE_KEY, "l_quantity", "l_extendedprice") \
+        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey") \
+        .withColumn("line_key", F.concat_ws("-", *LINE_KEY))
+    truth = li.select("line_key", F.col("l_extendedprice").alias("true_price"))
+    masked = with_injected_missing(li, LINE_KEY, ["l_extendedprice"]).select("line_key", *feats, "l_extendedprice")
+    nb = neighbors.impute_neighbours(masked, "line_key", "l_extendedprice", feats, 7)
+    outs = []
+    for k, w in [(5, "uniform"), (7, "distance")]:
+        imp = neighbors.knn_impute(masked, "line_key", "l_extendedprice", feats, k, w, nb=nb)
+        err = F.col("l_extendedprice") - F.col("true_price")
+        outs.append(imp.where("missing_l_extendedprice").join(truth, "line_key").agg(
+            F.lit(f"knn_k{k}_{w}").alias("method"), F.count(F.lit(1)).alias("n_masked"),
+            F.count("l_extendedprice").alias("n_filled"),
+            F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae")))
+    return outs[0].unionByName(outs[1])
+
+
+def _standardise(train, test, feats):
+    st = train.agg(*[F.avg(c).alias(f"m_{c}") for c in feats], *[F.stddev_pop(c).alias(f"s_{c}") for c in feats]).first()
+    f = {c: (F.col(c) - F.lit(float(st[f"m_{c}"]))) / F.lit(float(st[f"s_{c}"] or 1.0)) for c in feats}
+    return train.withColumns(f), test.withColumns(f)
+
+
+@query("knn_models", ["M10"])
+def knn_models(spark, sf_dir):
+    """KNN classifier (k=7, inverse-distance vote) on the standardised
+    document features and KNN regressors (k=7 inverse distance, k=5
+    uniform) on the standardised lineitem features, all from the exact grid
+    neighbour join: test AUC/F1 and RMSE/R2 as (model, metric, value)."""
+    from fathom.operators import neighbors
+    d = doc_table(spark, sf_dir).drop("features")
+    tr, te = _standardise(d.where("split = 'train'"), d.where("split = 'test'"), CLS_FEATURES)
+    nb = neighbors.knn(te, tr.withColumnRenamed("doc_id", "ref_id"), CLS_FEATURES, 7, qid="doc_id", rid="ref_id",
+                       ref_cols=["label"])
+    vote = neighbors.class_vote(nb, "doc_id", "label", "distance")
+    p = vote.groupBy("doc_id").agg(F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("share"))), F.lit(0.0)).alias("p1")) \
+        .join(te.select("doc_id", F.col("label").cast("int").alias("y")), "doc_id")
+    cls = C.roc_auc(p, "y", "p1").select(F.lit("knn_classifier_k7_distance").alias("model"), F.lit("roc_auc").alias("metric"),
+                                         F.col("roc_auc").alias("value")) \
+        .unionByName(C.binary_metrics(p, "y", "p1", 0.5).select(
+            F.lit("knn_classifier_k7_distance").alias("model"), F.lit("f1").alias("metric"), F.col("f1").alias("value")))
+    li = _std_lineitem(spark, sf_dir).withColumn("line_key", F.concat_ws("-", *LINE_KEY))
+    ref = li.where("split = 'train'").select(F.col("line_key").alias("ref_key"), *REG_FEATURES, "label")
+    q = li.where("split = 'test'").select("line_key", *REG_FEATURES, "label")
+    nb = neighbors.knn(q, ref, REG_FEATURES, 7, qid="line_key", rid="ref_key", ref_cols=["label"])
+    out = cls
+    for k, w in [(7, "distance"), (5, "uniform")]:
+        pred = neighbors.weighted_mean(nb.where(F.col("rank") <= k), "line_key", "label", w).withColumnRenamed("label", "pred")
+        e = F.col("label") - F.col("pred")
+        m = pred.join(q.select("line_key", "label"), "line_key").agg(
+            F.sqrt(F.avg(e * e)).alias("rmse"),
+            (1 - F.sum(e * e) / (F.sum(F.col("label") ** 2) - F.sum("label") ** 2 / F.count(F.lit(1)))).alias("r2"))
+        name = f"knn_regressor_k{k}_{w}"
+        out = out.unionByName(m.select(F.lit(name).alias("model"), F.lit("rmse").alias("metric"), F.col("rmse").alias("value"))) \
+            .unionByName(m.select(F.lit(name).alias("model"), F.lit("r2").alias("metric"), F.col("r2").alias("value")))
+    return out

@@ -279,3 +279,38 @@ def test_knn_distance_weights_and_vote(spark):
     v = {(r.q, r.y): (r.share, r.prediction) for r in class_vote(nb, "q", "y").collect()}
     assert v[(1, "b")] == (pytest.approx(0.5), "a")  # 1.0 vs 0.5 + 0.5: tie goes to the smaller class
     assert v[(2, "a")][0] == pytest.approx(0.5)
+
+
+def test_knn_impute_equals_brute_force(spark):
+    """L4 on a fixture with NULL targets and duplicate coordinates: the
+    filled values equal a brute-force k-NN (ties by donor key), directly
+    and from a reused k=7 donor table."""
+    import numpy as np
+    from fathom.operators.neighbors import impute_neighbours, knn_impute
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(200):
+        x = [float(v) for v in np.round(rng.normal(size=2), 1)]
+        y = None if i % 4 == 0 else float(round(rng.normal() * 10, 3))
+        rows.append((i, *x, y))
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    donors = [(r[0], r[1:3]) for r in rows if r[3] is not None]
+    yv = {r[0]: r[3] for r in rows}
+    nb7 = impute_neighbours(df, "id", "y", ["a", "b"], 7)
+    for k, w in [(5, "uniform"), (7, "distance")]:
+        for reuse in (None, nb7):
+            got = {r.id: (r.y, r.missing_y) for r in knn_impute(df, "id", "y", ["a", "b"], k, w, nb=reuse).collect()}
+            for i, a, b, y in rows:
+                if y is not None:
+                    assert got[i] == (y, False)
+                    continue
+                nb = _knn_brute([(i, [a, b])], donors, k)[i]
+                ds = np.array([d for _, d in nb])
+                vs = np.array([yv[j] for j, _ in nb])
+                if w == "uniform":
+                    want = vs.mean()
+                elif (ds == 0).any():
+                    want = vs[ds == 0].mean()
+                else:
+                    want = (vs / ds).sum() / (1 / ds).sum()
+                assert got[i][1] is True and got[i][0] == pytest.approx(want), (i, k, w)
