@@ -26,6 +26,27 @@ def sql_rnd(expr: str, digits: int = 6) -> str:
     return f"(round(({expr}) * 1e{digits}) / 1e{digits})"
 
 
+EXACT_SCALE = 10
+
+
+def exact_mean(col) -> Column:
+    """Mean from an exact decimal sum (values with at most 10 decimals),
+    turned into a double once and divided by the count.  A double sum
+    depends on the order rows arrive in, so a mean on a rounding halfway
+    point could round either way under another partitioning; this one is
+    the same under any partitioning and in DuckDB (``sql_exact_mean``).
+    Falls back to the double mean when a value or the sum does not fit."""
+    c = _c(col)
+    d = c.try_cast(f"decimal(38,{EXACT_SCALE})")
+    s = F.try_sum(d)
+    return F.when((F.count(d) == F.count(c)) & s.isNotNull(), s.cast("double") / F.count(c)).otherwise(F.avg(c))
+
+
+def sql_exact_mean(expr: str) -> str:
+    d = f"TRY_CAST({expr} AS DECIMAL(38,{EXACT_SCALE}))"
+    return f"(CASE WHEN count({d}) = count({expr}) THEN CAST(sum({d}) AS DOUBLE) / count({expr}) ELSE avg({expr}) END)"
+
+
 def clean_double(col) -> Column:
     """NaN and +-inf to NULL (P5 and the NaN rule of the data model)."""
     c = _c(col).cast("double")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathom.functions.numeric import bias_adjusted_kurt, bias_adjusted_skew, flag
+from fathom.functions.numeric import bias_adjusted_kurt, bias_adjusted_skew, exact_mean, flag
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -59,11 +59,14 @@ def missingness_report(df: DataFrame, cols: Sequence[str] | None = None, distinc
     return _per_column(df, cols, make)
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Q4: count, mean, sample std, min, quartiles (exact), max."""
+def numeric_summary(df: DataFrame, cols: Sequence[str], exact_means: bool = False) -> DataFrame:
+    """Q4: count, mean, sample std, min, quartiles (exact), max.  With
+    ``exact_means`` the mean comes from an exact decimal sum, so it does not
+    depend on the order rows are summed in (``numeric.exact_mean``)."""
     def make(c):
         q = F.percentile(F.col(c), [0.25, 0.5, 0.75])
-        return [F.count(c).alias("count"), F.avg(c).cast("double").alias("mean"),
+        mean = exact_mean(c) if exact_means else F.avg(c).cast("double")
+        return [F.count(c).alias("count"), mean.alias("mean"),
                 F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
                 q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max")]
     return _per_column(df, cols, make)

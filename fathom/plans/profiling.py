@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fathom.functions.hashing import sql_h32
-from fathom.functions.numeric import rnd, sql_rnd
+from fathom.functions.numeric import rnd, sql_exact_mean, sql_rnd
 from fathom.operators import profile
 from fathom.plans.common import LI_MISSING, LI_NUM, SQL_LI_MISSING, lineitem_missing
 from fathom.plans.registry import query
@@ -46,7 +46,7 @@ _fix_missing_sql()
 
 @query("numeric_summary", ["Q4"], sql=f"""
 WITH {SQL_LI_MISSING}
-""" + _union_sql(f"""SELECT '{{c}}' AS column_name, count({{c}}) AS count, {sql_rnd('avg({c})', 6)} AS mean,
+""" + _union_sql(f"""SELECT '{{c}}' AS column_name, count({{c}}) AS count, {sql_rnd(sql_exact_mean('{c}'), 6)} AS mean,
   {sql_rnd('stddev_samp({c})', 6)} AS std, {sql_rnd('min({c})', 6)} AS min,
   {sql_rnd('quantile_cont({c}, 0.25)', 6)} AS q25, {sql_rnd('quantile_cont({c}, 0.5)', 6)} AS q50,
   {sql_rnd('quantile_cont({c}, 0.75)', 6)} AS q75, {sql_rnd('max({c})', 6)} AS max FROM li""", LI_NUM))
@@ -228,12 +228,12 @@ def dataset_fingerprint(spark, sf_dir):
 
 
 @query("feature_registry", ["Q23"], sql="""
-""" + _union_sql(f"""SELECT '{{c}}' AS feature, 'double' AS dtype, {sql_rnd('avg({c})', 6)} AS mean,
+""" + _union_sql(f"""SELECT '{{c}}' AS feature, 'double' AS dtype, {sql_rnd(sql_exact_mean('{c}'), 6)} AS mean,
   {sql_rnd('stddev_samp({c})', 6)} AS std, {sql_rnd('min({c})', 6)} AS min, {sql_rnd('max({c})', 6)} AS max,
   'v1' AS version FROM lineitem""", LI_NUM))
 def feature_registry(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
-    s = profile.numeric_summary(li, LI_NUM)
+    s = profile.numeric_summary(li, LI_NUM, exact_means=True)
     return s.select(F.col("column_name").alias("feature"), F.lit("double").alias("dtype"),
                     *[rnd(c, 6).alias(c) for c in ["mean", "std", "min", "max"]], F.lit("v1").alias("version"))
 
