@@ -14,71 +14,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.numeric import rnd
-from fathom.operators.features import EARTH_RADIUS_KM, haversine_km
+from fathom.operators.features import haversine_km
 
 
-def _cells(df: DataFrame, size: float) -> DataFrame:
-    return df.withColumn("__ci", F.floor((F.col("lat") + 90.0) / size).cast("int")) \
-        .withColumn("__cj", F.floor((F.col("lon") + 180.0) / size).cast("int"))
-
-
-def _covered_km(size: float, ring: int) -> F.Column:
-    """Lower bound of the distance from a point to any point outside its
-    (2 ring + 1)^2 block of cells."""
-    lat = F.col("lat")
-    lo_lat = (F.col("__ci") - ring) * size - 90.0
-    hi_lat = (F.col("__ci") + ring + 1) * size - 90.0
-    lo_lon = (F.col("__cj") - ring) * size - 180.0
-    hi_lon = (F.col("__cj") + ring + 1) * size - 180.0
-    dlat = F.least(lat - lo_lat, hi_lat - lat)
-    dlon = F.least(F.col("lon") - lo_lon, hi_lon - F.col("lon"))
-    phi_max = F.least(F.greatest(F.abs(lo_lat), F.abs(hi_lat)), F.lit(90.0))
-    by_lat = F.radians(dlat) * EARTH_RADIUS_KM
-    by_lon = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.cos(F.radians(phi_max)) * F.sin(F.radians(dlon) / 2)))
-    return F.greatest(F.lit(0.0), F.least(by_lat, by_lon))
-
-
-def knn(points: DataFrame, k: int = 8, cell_deg: float | None = None, max_rounds: int = 12) -> DataFrame:
+def knn(points: DataFrame, k: int = 8, tie_margin: int = 4) -> DataFrame:
     """Exact k nearest neighbours by haversine distance for points
     (id, lat, lon); ties broken by neighbour id.  Returns (id, rank,
-    neighbour, distance_km)."""
-    pts = points.select("id", "lat", "lon")
-    if cell_deg is None:
-        # aim for about 2k points per cell on average: a cell count from the row count
-        n = pts.count()
-        cells = max(1.0, n / (2.0 * k))
-        cell_deg = max(0.5, min(60.0, math.sqrt(64800.0 / cells)))
-    n_lat = int(math.ceil(180.0 / cell_deg))
-    n_lon = int(math.ceil(360.0 / cell_deg))
-    ref = _cells(pts, cell_deg).select(F.col("id").alias("nid"), F.col("lat").alias("nlat"), F.col("lon").alias("nlon"),
-                                       F.col("__ci").alias("ci"), F.col("__cj").alias("cj"))
-    todo = _cells(pts, cell_deg)
-    done = None
-    for ring in range(1, max_rounds + 1):
-        full = (2 * ring + 1) >= max(n_lat, n_lon)
-        offs = [(a, b) for a in range(-ring, ring + 1) for b in range(-ring, ring + 1)]
-        cand = todo.select("id", "lat", "lon", "__ci", "__cj", F.explode(F.array(*[
-            F.struct(F.lit(a).alias("da"), F.lit(b).alias("db")) for a, b in offs])).alias("o"))
-        cand = cand.withColumn("ci", F.col("__ci") + F.col("o.da")) \
-            .withColumn("cj", F.pmod(F.col("__cj") + F.col("o.db"), F.lit(n_lon))) \
-            .where((F.col("ci") >= 0) & (F.col("ci") < n_lat)).drop("o").dropDuplicates(["id", "ci", "cj"])
-        pairs = cand.join(ref, ["ci", "cj"]).where(F.col("nid") != F.col("id"))
-        # distances are kept to the millimetre so ties rank the same everywhere
-        pairs = pairs.withColumn("distance_km", rnd(haversine_km("lat", "lon", "nlat", "nlon"), 6))
-        w = Window.partitionBy("id").orderBy("distance_km", "nid")
-        top = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        cover = todo.select("id", _covered_km(cell_deg, ring).alias("cover"))
-        stat = top.groupBy("id").agg(F.max("distance_km").alias("kth"), F.count(F.lit(1)).alias("m"))
-        judged = todo.select("id").join(stat, "id", "left").join(cover, "id")
-        ok = judged.where(F.lit(full) | ((F.col("m") >= k) & (F.col("kth") <= F.col("cover")))).select("id")
-        res = top.join(ok, "id", "left_semi").select("id", "rank", F.col("nid").alias("neighbour"), "distance_km")
-        from fathom.session import cut_lineage
-        res = cut_lineage(res)
-        done = res if done is None else done.unionByName(res)
-        todo = cut_lineage(todo.join(ok, "id", "left_anti"))
-        if full or todo.isEmpty():
-            break
-    return done
+    neighbour, distance_km).
+
+    Great-circle distance grows with the chord between unit vectors, so the
+    search is the exact grid KNN of ``neighbors.knn`` on (x, y, z): no ring
+    or round cap, identical points cut to the smallest ids, busy cells split
+    by finer grid levels.  ``tie_margin`` extra neighbours are fetched and
+    the final order is (distance rounded to the millimetre, id), so up to
+    ``tie_margin + 1`` equal distances at the k-th place resolve by id."""
+    from fathom.operators.neighbors import knn as grid_knn
+    la, lo = F.radians("lat"), F.radians("lon")
+    unit = [(F.cos(la) * F.cos(lo)).alias("__ux"), (F.cos(la) * F.sin(lo)).alias("__uy"), F.sin(la).alias("__uz")]
+    pts = points.select("id", "lat", "lon", *unit)
+    ref = pts.select(F.col("id").alias("nid"), F.col("lat").alias("nlat"), F.col("lon").alias("nlon"),
+                     "__ux", "__uy", "__uz")
+    nb = grid_knn(pts, ref, ["__ux", "__uy", "__uz"], k + 1 + tie_margin, qid="id", rid="nid", ref_cols=["nlat", "nlon"])
+    nb = nb.where(F.col("nid") != F.col("id")).join(pts.select("id", "lat", "lon"), "id")
+    # distances are kept to the millimetre so ties rank the same everywhere
+    nb = nb.withColumn("distance_km", rnd(haversine_km("lat", "lon", "nlat", "nlon"), 6))
+    w = Window.partitionBy("id").orderBy("distance_km", "nid")
+    return nb.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+        .select("id", "rank", F.col("nid").alias("neighbour"), "distance_km")
 
 
 def spatial_lag(values: DataFrame, neighbours: DataFrame, value_col: str = "z") -> DataFrame:
@@ -94,7 +56,8 @@ def morans_i(values: DataFrame, neighbours: DataFrame, x: str) -> DataFrame:
     m = values.agg(F.avg(x).alias("__m"))
     z = values.crossJoin(F.broadcast(m)).withColumn("z", F.col(x) - F.col("__m"))
     lz = spatial_lag(z, neighbours, "z")
-    return lz.agg((F.sum(F.col("z") * F.col("lag")) / F.sum(F.col("z") * F.col("z"))).alias("morans_i"),
+    # I is undefined (NULL) when every z is 0
+    return lz.agg(F.try_divide(F.sum(F.col("z") * F.col("lag")), F.sum(F.col("z") * F.col("z"))).alias("morans_i"),
                   F.count(F.lit(1)).alias("n"))
 
 
@@ -124,7 +87,7 @@ def moran_permutations(values: DataFrame, neighbours: DataFrame, x: str, n_perm:
     lagged = nb.join(shuffled.select("p", F.col("pid").alias("neighbour"), F.col("z").alias("nz")), "neighbour") \
         .groupBy("p", "id").agg(F.avg("nz").alias("lag"))
     own = shuffled.select("p", F.col("pid").alias("id"), "z")
-    ip = own.join(lagged, ["p", "id"]).groupBy("p").agg((F.sum(F.col("z") * F.col("lag")) / F.sum(F.col("z") * F.col("z"))).alias("i_perm"))
+    ip = own.join(lagged, ["p", "id"]).groupBy("p").agg(F.try_divide(F.sum(F.col("z") * F.col("lag")), F.sum(F.col("z") * F.col("z"))).alias("i_perm"))
     obs = morans_i(values, neighbours, x)
     return ip.crossJoin(obs).agg(F.first("morans_i").alias("morans_i"),
                                  ((F.sum((F.col("i_perm") >= F.col("morans_i")).cast("int")) + 1) / (n_perm + 1.0)).alias("p_sim"),

@@ -314,3 +314,25 @@ def test_knn_impute_equals_brute_force(spark):
                 else:
                     want = (vs / ds).sum() / (1 / ds).sum()
                 assert got[i][1] is True and got[i][0] == pytest.approx(want), (i, k, w)
+
+
+def test_spatial_knn_hot_point_and_isolated_point(spark):
+    """Haversine KNN equals brute force (rounded km, then id) with 60
+    suppliers on one spot and a point alone on the far side of the globe."""
+    import math
+    from fathom.operators.spatial import knn
+    pts = [(i, -60.0 + (i * 7919 % 12001) / 100.0, -180.0 + (i * 104729 % 36001) / 100.0) for i in range(1, 121)]
+    pts += [(1000 + j, 10.0, 20.0) for j in range(60)] + [(5000, -89.5, 179.9)]
+
+    def hav(a, b):
+        p1, p2 = math.radians(a[1]), math.radians(b[1])
+        h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+        return round(2 * 6371.0 * math.asin(math.sqrt(h)) * 1e6) / 1e6
+    k = 5
+    df = spark.createDataFrame(pts, "id long, lat double, lon double")
+    got = {}
+    for r in sorted(knn(df, k).collect(), key=lambda r: (r.id, r["rank"])):
+        got.setdefault(r.id, []).append(r.neighbour)
+    for p in pts:
+        want = [q[0] for q in sorted((q for q in pts if q[0] != p[0]), key=lambda q: (hav(p, q), q[0]))[:k]]
+        assert got[p[0]] == want, p
