@@ -19,9 +19,14 @@ def grouped_report(df: DataFrame, target: str, group_cols: Sequence[str], median
     the scan and the partial aggregation happen once (grouping sets)."""
     long = explode_groups(df, group_cols).where(F.col("group_value").isNotNull())
     aggs = [F.count(F.lit(1)).alias("n"), F.avg(target).alias("mean"), F.stddev_samp(target).alias("std")]
-    if median:
-        aggs.insert(2, F.percentile(F.col(target), 0.5).alias("median"))
-    return long.groupBy("group_column", "group_value").agg(*aggs)
+    rep = long.groupBy("group_column", "group_value").agg(*aggs)
+    if not median:
+        return rep
+    from fathom.operators.ordered import quantiles
+    med = quantiles(long, target, [0.5], ["group_column", "group_value"]) \
+        .select("group_column", "group_value", F.col("quantiles")[0].cast("double").alias("median"))
+    return rep.join(med, ["group_column", "group_value"], "left").select("group_column", "group_value", "n", "mean",
+                                                                        "median", "std")
 
 
 def with_domain(report: DataFrame, domain: DataFrame, key: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.hashing import h32
 from fathom.functions.numeric import flag
+from fathom.operators.ordered import column_quantiles
 from fathom.operators.profile import numeric_columns
 
 CONTRACT_QUANTILES = [0.01, 0.05, 0.5, 0.95, 0.99]
@@ -43,17 +44,25 @@ def build_contract(train: DataFrame, cols: Sequence[str] | None = None,
     for c in cols:
         is_num = c in nums
         x = F.col(c).cast("double") if is_num else F.lit(None).cast("double")
-        q = F.percentile(x, CONTRACT_QUANTILES) if is_num else F.lit(None).cast("array<double>")
         structs.append(F.struct(
             F.lit(c).alias("column_name"), F.lit(types[c]).alias("dtype"),
             F.lit("numeric" if is_num else "categorical").alias("kind"),
             (F.lit(1.0) - F.count(F.col(c)) / F.count(F.lit(1))).alias("missing_rate"),
             F.countDistinct(c).alias("unique_values"),
             F.min(x).alias("min"), F.max(x).alias("max"),
-            q[0].alias("q01"), q[1].alias("q05"), q[2].alias("q50"), q[3].alias("q95"), q[4].alias("q99"),
         ).alias(f"__s{len(structs)}"))
     table = train.agg(*structs).select(F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s")) \
         .select("s.*")
+    # exact quantiles of the numeric columns from the checked quantile path (one row per column)
+    qn = ["q01", "q05", "q50", "q95", "q99"]
+    num_cols = [c for c in cols if c in nums]
+    if num_cols:
+        q = column_quantiles(train, num_cols, CONTRACT_QUANTILES) \
+            .select("column_name", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(qn)])
+        table = table.join(q, "column_name", "left")
+    else:
+        table = table.select("*", *[F.lit(None).cast("double").alias(n) for n in qn])
+    table = table.select("column_name", "dtype", "kind", "missing_rate", "unique_values", "min", "max", *qn)
     texts = [c for c in cols if c not in nums]
     if texts:
         pairs = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),

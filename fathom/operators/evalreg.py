@@ -24,7 +24,6 @@ def regression_aggs(y: Column, p: Column, mape_floor: float = 1.0) -> list[Colum
         F.sqrt(F.avg(r * r)).alias("rmse"),
         (F.lit(1.0) - F.sum(r * r) / (F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
         F.avg(F.abs(r) / F.greatest(F.abs(y), F.lit(float(mape_floor)))).alias("mape"),
-        F.percentile(F.abs(r), 0.5).alias("median_ae"),
         F.avg(r).alias("resid_mean"),
         F.stddev_pop(r).alias("resid_std"),
         F.max(F.abs(r)).alias("max_abs_error"),
@@ -32,10 +31,19 @@ def regression_aggs(y: Column, p: Column, mape_floor: float = 1.0) -> list[Colum
     ]
 
 
+def median_abs_error(df: DataFrame, y, p) -> DataFrame:
+    """One row: the exact median absolute error, from the checked quantile
+    path (residuals are continuous, so their distinct values are never
+    merged in one task)."""
+    from fathom.operators.ordered import quantile_row
+    ae = df.select(F.abs(_c(y) - _c(p)).alias("__ae"))
+    return quantile_row(ae, ["__ae"], [0.5], "__q").select(F.col("__q__ae")[0].alias("median_ae"))
+
+
 def regression_metrics(df: DataFrame, y: str, p: str, mape_floor: float = 1.0) -> DataFrame:
     """MAE, RMSE, R^2, MAPE (denominator floored), median AE,
     residual mean and population std, max abs error, explained variance."""
-    return df.agg(*regression_aggs(_c(y), _c(p), mape_floor))
+    return df.agg(*regression_aggs(_c(y), _c(p), mape_floor)).crossJoin(median_abs_error(df, y, p))
 
 
 def rmsle(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -126,10 +126,13 @@ def group_kfold(df: DataFrame, group_col: str, k: int = 5, name: str = "fold") -
 
 def qcut_edges(df: DataFrame, col: str, q: int, group_cols: Sequence[str] = ()) -> DataFrame:
     """exact quantile edges (linear interpolation), duplicates dropped."""
+    from fathom.operators.ordered import column_quantiles
     probs = [i / q for i in range(q + 1)]
-    agg = df.groupBy(*group_cols) if group_cols else df
-    return agg.agg(F.array_distinct(F.percentile(F.col(col), probs))
-                   .alias("edges"))
+    e = column_quantiles(df, [col], probs, group_cols)
+    if group_cols:
+        return e.select(*group_cols, F.array_distinct("quantiles").alias("edges"))
+    # one row even when the column has no values (edges NULL)
+    return e.agg(F.first(F.array_distinct("quantiles"), ignorenulls=True).alias("edges"))
 
 
 def qcut_assign(df: DataFrame, col: str, edges: DataFrame, name: str = "qbin",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathom.functions.numeric import safe_div
+from fathom.operators.ordered import column_quantiles, quantile_row
 
 RARE_LABEL = "Rare"
 
@@ -43,7 +44,7 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "median") ->
     exprs = []
     for c in cols:
         if strategy == "median":
-            exprs.append(F.percentile(F.col(c), 0.5).alias(f"fill_{c}"))
+            pass  # exact medians come from the checked quantile path below
         elif strategy == "mean":
             exprs.append(F.avg(c).alias(f"fill_{c}"))
         elif strategy == "mode":
@@ -51,7 +52,12 @@ def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "median") ->
         else:
             raise ValueError(strategy)
         exprs.append((F.count(F.lit(1)) > F.count(c)).alias(f"hasnull_{c}"))
-    return df.agg(*exprs)
+    state = df.agg(*exprs)
+    if strategy == "median":
+        med = quantile_row(df, cols, [0.5], "__q_")
+        state = state.crossJoin(med).select(*[x for c in cols for x in (F.col(f"__q_{c}")[0].alias(f"fill_{c}"),
+                                                                          F.col(f"hasnull_{c}"))])
+    return state
 
 
 def apply_imputer(df: DataFrame, state: DataFrame, cols: Sequence[str], indicator: bool = True) -> DataFrame:
@@ -66,8 +72,8 @@ def apply_imputer(df: DataFrame, state: DataFrame, cols: Sequence[str], indicato
 
 # ---------------------------------------------------------------- L3
 def fit_group_median(df: DataFrame, col: str, group_col: str) -> tuple[DataFrame, DataFrame]:
-    per_group = df.groupBy(group_col).agg(F.percentile(F.col(col), 0.5).alias("__gmed"))
-    overall = df.agg(F.percentile(F.col(col), 0.5).alias("__med"))
+    per_group = column_quantiles(df, [col], [0.5], [group_col]).select(group_col, F.col("quantiles")[0].alias("__gmed"))
+    overall = quantile_row(df, [col], [0.5], "__q_").select(F.col(f"__q_{col}")[0].alias("__med"))
     return per_group, overall
 
 
@@ -81,7 +87,7 @@ def apply_group_median(df: DataFrame, state: tuple[DataFrame, DataFrame], col: s
 
 # ---------------------------------------------------------------- L6
 def fit_winsor(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
-    return df.agg(*[F.percentile(F.col(c), [lo, hi]).alias(f"q_{c}") for c in cols])
+    return quantile_row(df, cols, [lo, hi], "q_")
 
 
 def apply_winsor(df: DataFrame, state: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -94,12 +100,13 @@ def apply_winsor(df: DataFrame, state: DataFrame, cols: Sequence[str]) -> DataFr
 def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "standard") -> DataFrame:
     """standard: mean / population std; robust: median / IQR; minmax: min / range."""
     exprs = []
+    if kind == "robust":
+        q = quantile_row(df, cols, [0.25, 0.5, 0.75], "__q_")
+        return q.select(*[x for c in cols for x in (F.col(f"__q_{c}")[1].alias(f"c_{c}"),
+                                                     (F.col(f"__q_{c}")[2] - F.col(f"__q_{c}")[0]).alias(f"s_{c}"))])
     for c in cols:
         if kind == "standard":
             exprs += [F.avg(c).alias(f"c_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
-        elif kind == "robust":
-            q = F.percentile(F.col(c), [0.25, 0.5, 0.75])
-            exprs += [q[1].alias(f"c_{c}"), (q[2] - q[0]).alias(f"s_{c}")]
         elif kind == "minmax":
             exprs += [F.min(c).alias(f"c_{c}"), (F.max(c) - F.min(c)).alias(f"s_{c}")]
         else:

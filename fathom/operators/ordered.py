@@ -150,3 +150,25 @@ def quantiles(long: DataFrame, value: str, probs: Sequence[float], group_cols: S
         g = long.where(F.col(value).isNotNull()).groupBy(*group_cols)
         return g.agg(F.count(F.lit(1)).alias("n_values"), F.percentile(F.col(value), [float(p) for p in probs]).alias(out))
     return exact_quantiles(long, value, probs, group_cols, out)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),
+                     out: str = "quantiles", limit: int = PERCENTILE_MAP_LIMIT) -> DataFrame:
+    """Exact quantiles of several columns (per group) in one plan: the
+    columns are unpivoted to (column_name, value) and summarised by
+    ``quantiles``, so a continuous column never has its distinct values
+    merged in one task.  Returns (*group_cols, column_name, n_values, out);
+    a column or group without values has no row."""
+    group_cols = list(group_cols)
+    long = df.select(*group_cols, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("__v")) for c in cols])).alias("__p")) \
+        .select(*group_cols, "__p.column_name", "__p.__v")
+    return quantiles(long, "__v", probs, [*group_cols, "column_name"], out, limit)
+
+
+def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], prefix: str = "q_") -> DataFrame:
+    """One-row state ``{prefix}{col}`` = array of exact quantiles per column
+    (NULL for a column without values), from ``column_quantiles``."""
+    q = column_quantiles(df, cols, probs)
+    return q.agg(*[F.first(F.when(F.col("column_name") == c, F.col("quantiles")), ignorenulls=True).alias(f"{prefix}{c}")
+                   for c in cols])

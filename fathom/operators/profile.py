@@ -63,13 +63,16 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact_means: bool = Fals
     """Q4: count, mean, sample std, min, quartiles (exact), max.  With
     ``exact_means`` the mean comes from an exact decimal sum, so it does not
     depend on the order rows are summed in (``numeric.exact_mean``)."""
+    from fathom.operators.ordered import column_quantiles
+
     def make(c):
-        q = F.percentile(F.col(c), [0.25, 0.5, 0.75])
         mean = exact_mean(c) if exact_means else F.avg(c).cast("double")
         return [F.count(c).alias("count"), mean.alias("mean"),
-                F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(c).cast("double").alias("max")]
-    return _per_column(df, cols, make)
+                F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")]
+    q = column_quantiles(df, cols, [0.25, 0.5, 0.75]).select(
+        "column_name", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])])
+    return _per_column(df, cols, make).join(q, "column_name", "left") \
+        .select("column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def unpivot_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -130,8 +133,9 @@ def skew_kurtosis(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """IQR fences (exact quartiles) and the count outside per column."""
-    fences = _per_column(df, cols, lambda c: [F.percentile(F.col(c), [0.25, 0.75]).alias("q")]) \
-        .select("column_name", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    from fathom.operators.ordered import column_quantiles
+    fences = column_quantiles(df, cols, [0.25, 0.75]) \
+        .select("column_name", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("q3"))
     fences = fences.withColumn("lower", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
         .withColumn("upper", F.col("q3") + k * (F.col("q3") - F.col("q1")))
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))

@@ -45,13 +45,17 @@ FROM t CROSS JOIN b
 def regression_metrics(spark, sf_dir):
     so = scored_orders(spark, sf_dir)
     test = so.where(F.col("split") == "test")
-    base = so.where(F.col("split") == "train").agg(F.avg(Y).alias("bmean"), F.median(Y).alias("bmed"))
+    from fathom.operators.ordered import quantile_row
+    train = so.where(F.col("split") == "train")
+    base = train.agg(F.avg(Y).alias("bmean")).crossJoin(
+        quantile_row(train, [Y], [0.5], "__q_").select(F.col(f"__q_{Y}")[0].alias("bmed")))
     t = test.crossJoin(F.broadcast(base))  # one row of training state
     y, p = F.col(Y), F.col(P)
     d = F.log1p(F.greatest(p, F.lit(0.0))) - F.log1p(y)
     m = t.agg(*R.regression_aggs(y, p, 1.0), F.sqrt(F.avg(d * d)).alias("rmsle"),
               F.sqrt(F.avg((y - F.col("bmean")) ** 2)).alias("mean_baseline_rmse"),
-              F.sqrt(F.avg((y - F.col("bmed")) ** 2)).alias("median_baseline_rmse"))
+              F.sqrt(F.avg((y - F.col("bmed")) ** 2)).alias("median_baseline_rmse")) \
+        .crossJoin(R.median_abs_error(t, y, p))
     digits = {"r2": 8, "mape": 8, "explained_variance": 8, "rmsle": 8}
     return m.select("n", *[rnd(c, digits.get(c, 4)).alias(c) for c in REG + ["rmsle", "mean_baseline_rmse",
                                                                               "median_baseline_rmse"]])
@@ -327,13 +331,21 @@ SELECT 'group', grp, count(*), {sql_rnd('avg(ae)', 4)}, {sql_rnd('median(ae)', 4
 def band_group_report(spark, sf_dir):
     from fathom.operators.features import equal_width_bins
     t = _test(spark, sf_dir)
-    r = t.agg(F.min(Y).alias("lo"), F.max(Y).alias("hi"), F.median(Y).alias("med"))
+    from fathom.operators.ordered import quantile_row, quantiles
+    r = t.agg(F.min(Y).alias("lo"), F.max(Y).alias("hi")).crossJoin(
+        quantile_row(t, [Y], [0.5], "__q_").select(F.col(f"__q_{Y}")[0].alias("med")))
     j = t.crossJoin(F.broadcast(r)).withColumns({
         "band": equal_width_bins(Y, F.col("lo"), F.col("hi"), 5).cast("string"),
         "grp": F.concat(F.when(F.col(Y) > F.col("med"), "high").otherwise("low"), F.lit("/"), F.col("o_orderstatus")),
         "ae": F.abs(F.col(Y) - F.col(P))})
-    aggs = [F.count(F.lit(1)).alias("n"), rnd(F.avg("ae"), 4).alias("mean_error"), rnd(F.median("ae"), 4).alias("median_error"),
-            rnd(F.avg(Y), 4).alias("mean_target"), rnd(F.avg(P), 4).alias("mean_pred")]
-    a = j.groupBy(F.col("band").alias("grp")).agg(*aggs).select(F.lit("band").alias("report"), "*")
-    b = j.groupBy("grp").agg(*aggs).select(F.lit("group").alias("report"), "*")
-    return a.unionByName(b)
+    # both reports in one pass: each row once per report; medians from the checked quantile path
+    long = j.select(F.explode(F.array(F.struct(F.lit("band").alias("report"), F.col("band").alias("grp")),
+                                      F.struct(F.lit("group").alias("report"), F.col("grp").alias("grp")))).alias("g"),
+                    "ae", Y, P).select("g.*", "ae", Y, P)
+    rep = long.groupBy("report", "grp").agg(
+        F.count(F.lit(1)).alias("n"), rnd(F.avg("ae"), 4).alias("mean_error"),
+        rnd(F.avg(Y), 4).alias("mean_target"), rnd(F.avg(P), 4).alias("mean_pred"))
+    med = quantiles(long, "ae", [0.5], ["report", "grp"]).select(
+        "report", "grp", rnd(F.col("quantiles")[0], 4).alias("median_error"))
+    return rep.join(med, ["report", "grp"], "left").select("report", "grp", "n", "mean_error", "median_error",
+                                                           "mean_target", "mean_pred")

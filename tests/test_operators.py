@@ -336,3 +336,21 @@ def test_spatial_knn_hot_point_and_isolated_point(spark):
     for p in pts:
         want = [q[0] for q in sorted((q for q in pts if q[0] != p[0]), key=lambda q: (hav(p, q), q[0]))[:k]]
         assert got[p[0]] == want, p
+
+
+def test_column_quantiles_distributed_equals_builtin(spark):
+    """The distributed exact path (forced with limit=0) equals the built-in
+    map-based percentile per (group, column); an all-NULL column has no row
+    and ``quantile_row`` gives NULL for it."""
+    from pyspark.sql import functions as F
+    from fathom.operators.ordered import column_quantiles, quantile_row
+    rows = [(i % 3, float(i % 17) if i % 5 else None, float((i * 7) % 11) / 3, None) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, z double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.column_name): r.quantiles for r in column_quantiles(df, ["a", "b", "z"], probs, ["g"], limit=0).collect()}
+    assert all(k[1] != "z" for k in got)
+    for c in ["a", "b"]:
+        for r in df.groupBy("g").agg(F.percentile(c, probs).alias("q")).collect():
+            assert got[(r.g, c)] == pytest.approx(r.q), (r.g, c)
+    one = quantile_row(df, ["a", "z"], [0.5]).first()
+    assert one.q_a[0] == pytest.approx(df.agg(F.percentile("a", 0.5)).first()[0]) and one.q_z is None
