@@ -83,40 +83,56 @@ def censoring_summary(df: DataFrame, duration: str, event: str) -> DataFrame:
                   F.avg(duration).alias("naive_all_as_events_mean"))
 
 
-def c_index(df: DataFrame, duration: str, event: str, risk: str, levels: int = 64) -> DataFrame:
-    """V8: Harrell's C.  A pair (i, j) is comparable when T_i < T_j and i
-    had the event; it is concordant when risk_i > risk_j and counts 1/2 on
-    a risk tie.  Risk is mapped to its dense rank; the result is exact when
-    the risk has at most ``levels`` distinct values (reported in ``exact``).
-    The count uses, per distinct time and risk level, the number of subjects
-    later in time (running sums over time per level, then over levels), so
-    no pair is ever materialised: O(subjects x levels) rows."""
+def c_index(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
+    """V8: Harrell's C, exact for any number of distinct risks.  A pair
+    (i, j) is comparable when T_i < T_j and i had the event; it is
+    concordant when risk_i > risk_j and counts 1/2 on a risk tie.
+
+    Risks become dense ranks r.  r_j < r_i exactly when, at the highest bit
+    b where they differ, r_i has 1 and r_j has 0, i.e. when
+    r_j >> b = (r_i >> b) - 1 for a b with bit b of r_i set.  So with
+    later(b, node, t) = #{j: T_j > t, r_j >> b = node} the concordant count
+    of an event at (t, r) is a sum over at most log2(#ranks) levels; the
+    comparable count (level -1, one node) and the tied count (level -2,
+    node r) are the same kind of lookup.  All lookups come from one running
+    count over time per (level, node) (``running_totals``, which splits a
+    big node across tasks); no pair is ever formed: O(n log #ranks) rows."""
     from fathom.operators.ordered import row_numbers
-    lv = df.select(risk).distinct()
-    n_lv = lv.agg(F.count(F.lit(1)).alias("n_levels"))
-    ranked = row_numbers(lv, [risk], name="__rk").crossJoin(F.broadcast(n_lv))
-    ranked = ranked.withColumn("lvl", F.when(F.col("n_levels") <= levels, F.col("__rk") - 1)
-                               .otherwise(F.floor((F.col("__rk") - 1) * levels / F.col("n_levels"))).cast("int"))
-    s = df.join(ranked.select(risk, "lvl"), risk)
-    lvls = df.sparkSession.range(levels).select(F.col("id").cast("int").alias("lvl"))  # `levels` rows
-    per = s.groupBy(F.col(duration).alias("time"), "lvl").agg(F.count(F.lit(1)).alias("cnt"))
-    times = s.where(F.col(event) == 1).select(F.col(duration).alias("time")).distinct()
-    grid = times.crossJoin(F.broadcast(lvls))  # times x levels, levels bounded
-    # later(t, l) = #{j: T_j > t, lvl_j = l}
-    tot_l = per.groupBy("lvl").agg(F.sum("cnt").alias("tot"))
-    upto = running_totals(per.unionByName(grid.withColumn("cnt", F.lit(0).cast("long"))), ["time"],
-                          {"cum": F.col("cnt")}, ["lvl"])
-    upto = upto.groupBy("time", "lvl").agg(F.max("cum").alias("cum"))
-    later = upto.join(F.broadcast(tot_l), "lvl").withColumn("later", F.col("tot") - F.col("cum")) \
-        .join(grid, ["time", "lvl"], "left_semi")
-    wl = Window.partitionBy("time").orderBy("lvl").rowsBetween(Window.unboundedPreceding, -1)  # <= levels rows
-    lower = later.withColumn("later_below", F.coalesce(F.sum("later").over(wl), F.lit(0)))
-    total_later = later.groupBy("time").agg(F.sum("later").alias("comparable_each"))
-    ev = s.where(F.col(event) == 1).select(F.col(duration).alias("time"), "lvl")
-    j = ev.join(lower, ["time", "lvl"]).join(total_later, "time")
-    agg = j.agg(F.sum("later_below").alias("concordant"), F.sum("later").alias("tied"),
-                F.sum("comparable_each").alias("comparable"))
-    return agg.crossJoin(n_lv).select(
-        "concordant", "tied", "comparable",
-        ((F.col("concordant") + 0.5 * F.col("tied")) / F.col("comparable")).alias("c_index"),
-        (F.col("n_levels") <= levels).alias("exact"))
+    s = df.where(F.col(duration).isNotNull())
+    lv = s.select(risk).distinct()
+    ranked = row_numbers(lv, [risk], name="__rk").select(risk, (F.col("__rk") - 1).alias("__r"))
+    n_ranks = ranked.count()
+    n_bits = max(1, (max(n_ranks, 1) - 1).bit_length())
+    s = s.join(ranked, risk).select(F.col(duration).alias("time"), "__r", F.col(event).alias("__e"))
+    per = s.groupBy("time", "__r").agg(F.count(F.lit(1)).alias("cnt"), F.sum((F.col("__e") == 1).cast("long")).alias("m"))
+    bits = F.sequence(F.lit(0), F.lit(n_bits - 1))
+    r = F.col("__r").cast("long")
+
+    def by_level(frame, *keep):
+        """One row per (level, rank) for levels -1, -2 and the bits."""
+        lv = F.concat(F.array(F.struct(F.lit(-1).alias("b"), F.lit(0).cast("long").alias("node")),
+                              F.struct(F.lit(-2).alias("b"), r.alias("node"))),
+                      F.transform(bits, lambda x: F.struct(x.alias("b"), r.alias("node"))))
+        return frame.select(*keep, F.explode(lv).alias("k")).select(*keep, "k.b", "k.node")
+    shifted = F.expr("shiftright(node, b)")
+    # count rows: every (time, rank) count once per level, keyed by its node there
+    counts = by_level(per, "time", "cnt").withColumn("node", F.when(F.col("b") >= 0, shifted).otherwise(F.col("node"))) \
+        .groupBy("b", "node", "time").agg(F.sum("cnt").alias("cnt"))
+    # lookups: an event (time, rank) with m events asks later() at the node just
+    # below its own on every level where its bit is set
+    asks = by_level(per.where(F.col("m") > 0), "time", "m") \
+        .where((F.col("b") < 0) | ((shifted % 2) == 1)) \
+        .withColumn("node", F.when(F.col("b") >= 0, shifted - 1).otherwise(F.col("node")))
+    u = counts.unionByName(asks.select("b", "node", "time", F.lit(0).cast("long").alias("cnt")))
+    cum = running_totals(u, ["time"], {"cum": F.col("cnt")}, ["b", "node"]) \
+        .groupBy("b", "node", "time").agg(F.max("cum").alias("cum"))
+    tot = counts.groupBy("b", "node").agg(F.sum("cnt").alias("tot"))
+    later = cum.join(tot, ["b", "node"]).select("b", "node", "time", (F.col("tot") - F.col("cum")).alias("later"))
+    j = asks.join(later, ["b", "node", "time"])
+    w = F.col("m") * F.col("later")
+    agg = j.agg(F.coalesce(F.sum(F.when(F.col("b") >= 0, w)), F.lit(0)).alias("concordant"),
+                F.coalesce(F.sum(F.when(F.col("b") == -2, w)), F.lit(0)).alias("tied"),
+                F.coalesce(F.sum(F.when(F.col("b") == -1, w)), F.lit(0)).alias("comparable"))
+    return agg.select("concordant", "tied", "comparable",
+                      F.try_divide(F.col("concordant") + 0.5 * F.col("tied"), F.col("comparable")).alias("c_index"),
+                      F.lit(True).alias("exact"))
