@@ -113,3 +113,43 @@ def bounds_check(train: DataFrame, incoming: DataFrame, lat: str, lon: str) -> D
     inside = F.col(lat).between(F.col("__lat0"), F.col("__lat1")) & F.col(lon).between(F.col("__lon0"), F.col("__lon1"))
     return j.agg(F.bool_and(inside).alias("all_inside"), F.count(F.when(~inside, 1)).alias("n_outside"),
                  F.count(F.lit(1)).alias("n_points"))
+
+
+def half_report(long: DataFrame, half: str = "half", ref: str = "reference", cur: str = "current",
+                bins: int = 10, eps: float = 1e-8, missing_limit: float = 0.05) -> DataFrame:
+    """D1 + D3 + D4 over (feature, ``half``, x) rows of both halves in two
+    passes instead of one per statistic and half: one grouped aggregate with
+    per-half conditional counts, moments and the reference range, then one
+    binning pass over both halves for the PSI (same rules as ``psi``).
+    Features without a value in either half are left out, as the joins of
+    ``missing_drift``, ``profile_stats`` and ``psi`` would."""
+    is_ref, is_cur = F.col(half) == ref, F.col(half) == cur
+    x = F.col("x")
+    st = long.where(is_ref | is_cur).groupBy("feature").agg(
+        F.count(F.when(is_ref, 1)).alias("__rows_ref"), F.count(F.when(is_cur, 1)).alias("__rows_cur"),
+        F.count(F.when(is_ref, x)).alias("n_ref"), F.count(F.when(is_cur, x)).alias("n_current"),
+        F.avg(F.when(is_ref, x)).alias("train_mean"), F.stddev_pop(F.when(is_ref, x)).alias("train_std"),
+        F.avg(F.when(is_cur, x)).alias("current_mean"), F.stddev_pop(F.when(is_cur, x)).alias("current_std"),
+        F.min(F.when(is_ref, x)).alias("lo"), F.max(F.when(is_ref, x)).alias("hi"))
+    st = st.where((F.col("n_ref") > 0) & (F.col("n_current") > 0)).withColumns({
+        "train_missing_rate": F.lit(1.0) - F.col("n_ref") / F.col("__rows_ref"),
+        "current_missing_rate": F.lit(1.0) - F.col("n_current") / F.col("__rows_cur")})
+    ch = F.abs(F.col("current_missing_rate") - F.col("train_missing_rate"))
+    st = st.withColumn("absolute_change", ch).withColumn("missing_alert", ch >= missing_limit)
+    width = F.col("hi") - F.col("lo")
+    raw = F.floor((x - F.col("lo")) * (F.lit(float(bins)) / width)).cast("int")
+    bin_of = F.when((x < F.col("lo")) | (x > F.col("hi")), None).when(width == 0, F.lit(0)) \
+        .when(x == F.col("hi"), F.lit(bins - 1)).otherwise(F.least(raw, F.lit(bins - 1)))
+    rng = st.select("feature", "lo", "hi")  # one row per feature
+    binned = long.where((is_ref | is_cur) & x.isNotNull()).join(F.broadcast(rng), "feature") \
+        .select("feature", bin_of.alias("bin"), is_ref.alias("__r")).where(F.col("bin").isNotNull())
+    per_bin = binned.groupBy("feature", "bin").agg(F.count(F.when(F.col("__r"), 1)).alias("e"),
+                                                   F.count(F.when(~F.col("__r"), 1)).alias("a"))
+    grid = st.select("feature", "n_ref", "n_current", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    g = grid.join(per_bin, ["feature", "bin"], "left")
+    e = F.coalesce(F.col("e"), F.lit(0)) / F.col("n_ref") + eps
+    a = F.coalesce(F.col("a"), F.lit(0)) / F.col("n_current") + eps
+    p = g.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
+    return st.join(p, "feature").select(
+        "feature", "train_missing_rate", "current_missing_rate", "absolute_change", "missing_alert",
+        "train_mean", "train_std", "current_mean", "current_std", "n_current", "psi")

@@ -145,14 +145,12 @@ SELECT md.feature, {sql_rnd('tm', 6)} AS train_missing_rate, {sql_rnd('cm', 6)}
 FROM md JOIN pd USING (feature) LEFT JOIN ks USING (feature) JOIN ps USING (feature)
 """)
 def drift_report(spark, sf_dir):
-    ref, cur = _halves(spark, sf_dir)
-    md = drift.missing_drift(ref, cur, 0.05)
-    r = drift.profile_stats(ref).select("feature", F.col("mean").alias("train_mean"), F.col("std").alias("train_std"))
-    c = drift.profile_stats(cur).select("feature", F.col("mean").alias("current_mean"),
-                                        F.col("std").alias("current_std"), F.col("n").alias("n_current"))
+    e = events_features(spark, sf_dir)
+    lv = drift.long_values(e, FEATURES, extra=["half"])
+    # missingness, moments and PSI of both halves from one aggregate and one binning pass
+    hr = drift.half_report(lv, "half", "reference", "current", bins=10, missing_limit=0.05)
     ks = _ks(spark, sf_dir).select("feature", "ks_statistic", "ks_pvalue", "ks_alert")
-    ps = drift.psi(ref, cur).select("feature", "psi")
-    j = md.join(r, "feature").join(c, "feature").join(ks, "feature", "left").join(ps, "feature")
+    j = hr.join(ks, "feature", "left")
     retrain = (F.col("psi") > 0.2) | F.coalesce(F.col("ks_alert"), F.lit(False)) | F.col("missing_alert")
     return j.select(
         "feature", rnd("train_missing_rate", 6).alias("train_missing_rate"),

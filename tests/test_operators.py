@@ -381,3 +381,26 @@ def test_c_index_exact_for_continuous_risk(spark):
     got = c_index(df, "duration", "event", "risk").first()
     assert (got.concordant, got.tied, got.comparable) == (conc, tied, comp)
     assert got.c_index == pytest.approx((conc + 0.5 * tied) / comp)
+
+
+def test_half_report_equals_separate_drift_operators(spark):
+    from fathom.operators import drift
+    rows = []
+    for i in range(200):
+        h = "reference" if i % 2 else "current"
+        rows.append((h, "a", None if i % 7 == 0 else float(i % 13) + (5.0 if h == "current" else 0.0)))
+        rows.append((h, "b", 3.0))                                   # constant: zero-width range
+        rows.append((h, "c", float(i) if h == "reference" else None))  # no current values
+    lv = spark.createDataFrame(rows, "half string, feature string, x double")
+    got = {r.feature: r.asDict() for r in drift.half_report(lv).collect()}
+    ref, cur = lv.where("half = 'reference'"), lv.where("half = 'current'")
+    md = {r.feature: r for r in drift.missing_drift(ref, cur).collect()}
+    ps = {r.feature: r for r in drift.psi(ref, cur).collect()}
+    pr, pc = ({r.feature: r for r in drift.profile_stats(x).collect()} for x in (ref, cur))
+    assert set(got) == set(ps) == {"a", "b"}
+    for f, g in got.items():
+        assert g["train_missing_rate"] == pytest.approx(md[f].train_missing_rate)
+        assert g["current_missing_rate"] == pytest.approx(md[f].current_missing_rate)
+        assert g["missing_alert"] == md[f].missing_alert
+        assert g["psi"] == pytest.approx(ps[f].psi) and g["n_current"] == ps[f].n_current
+        assert g["train_mean"] == pytest.approx(pr[f].mean) and g["current_std"] == pytest.approx(pc[f].std)
