@@ -113,7 +113,8 @@ def exact_quantiles(long: DataFrame, value: str, probs: Sequence[float], group_c
     v = long.where(F.col(value).isNotNull()).groupBy(*group_cols, F.col(value).alias("__x")) \
         .agg(F.count(F.lit(1)).alias("__c"))
     cum = running_totals(v, ["__x"], {"__cum": F.col("__c")}, group_cols)
-    n = v.groupBy(*group_cols).agg(F.sum("__c").alias("__n"))
+    # the inclusive running count peaks at the group size: no second pass over the values
+    n = cum.groupBy(*group_cols).agg(F.max("__cum").alias("__n"))
     parr = F.array(*[F.lit(p) for p in probs])
     # the ranks needed per group: one small row per group
     ranks = n.select(*group_cols, "__n", F.array_distinct(F.flatten(F.transform(
