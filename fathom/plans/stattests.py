@@ -11,6 +11,7 @@ from fathom.functions.special import sql_chi2_sf, sql_norm_cdf
 from fathom.operators import folds
 from fathom.operators import stattests as H
 from fathom.plans.registry import query
+from fathom.session import cut_lineage
 from fathom.sources.tables import Tables
 
 K = 5
@@ -95,17 +96,17 @@ SELECT 'wilcoxon_vs_champion', model, {sql_rnd('w_plus', 6)},
        {sql_rnd(f"least(1.0e0, coalesce(1.0e0 - {sql_norm_cdf('z')}, 1.0e0) * {len(MODELS) - 1})", 6)} FROM wz
 """)
 def friedman_wilcoxon(spark, sf_dir):
-    sc = score_table(spark, sf_dir).where(F.col("split") == "test").select("model", "fold", "score")
+    # models x folds rows from a whole-table aggregate, read four times below: computed once
+    sc = cut_lineage(score_table(spark, sf_dir).where(F.col("split") == "test").select("model", "fold", "score"))
     fr = H.friedman_pvalue(H.friedman(sc), len(MODELS)).select(
         F.lit("friedman").alias("test"), F.lit("all").alias("model"), rnd("statistic", 6).alias("statistic"),
         rnd("p_value", 6).alias("p_value"), F.lit(None).cast("double").alias("p_bonferroni"))
     means = sc.groupBy("model").agg(F.avg("score").alias("m"))
     champ = means.agg(F.min_by("model", F.struct("m", "model")).alias("champion"))
-    a = sc.alias("a")
-    c = sc.alias("c")
-    d = a.join(c, "fold").crossJoin(F.broadcast(champ)) \
-        .where((F.col("c.model") == F.col("champion")) & (F.col("a.model") != F.col("champion"))) \
-        .select(F.col("a.model").alias("model"), "fold", (F.col("a.score") - F.col("c.score")).alias("d"))
+    # the champion's score per fold, then one pair per (other model, fold)
+    c = sc.join(F.broadcast(champ), F.col("model") == F.col("champion")).select("fold", F.col("score").alias("c_score"))
+    d = sc.join(F.broadcast(champ), F.col("model") != F.col("champion")).join(c, "fold") \
+        .select("model", "fold", (F.col("score") - F.col("c_score")).alias("d"))
     w = H.wilcoxon_signed(d, ["model"]).withColumn("p", H.one_sided_p("z"))
     wil = w.select(F.lit("wilcoxon_vs_champion").alias("test"), "model", rnd("w_plus", 6).alias("statistic"),
                    rnd("p", 6).alias("p_value"),
