@@ -404,3 +404,20 @@ def test_half_report_equals_separate_drift_operators(spark):
         assert g["missing_alert"] == md[f].missing_alert
         assert g["psi"] == pytest.approx(ps[f].psi) and g["n_current"] == ps[f].n_current
         assert g["train_mean"] == pytest.approx(pr[f].mean) and g["current_std"] == pytest.approx(pc[f].std)
+
+
+def test_exact_mean_order_independent_and_fallback(spark):
+    """A mean on a 6-decimal halfway point is the same double under any
+    partitioning; a value too large for the decimal falls back to avg."""
+    from pyspark.sql import functions as F
+    from fathom.functions.numeric import exact_mean
+    vals = [0.01 * (i % 11) for i in range(6000)]
+    vals[0] += 0.03
+    from decimal import Decimal
+    want = float(sum(Decimal(repr(v)).quantize(Decimal("1e-10")) for v in vals)) / len(vals)
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = {df.repartition(n).agg(exact_mean("x").alias("m")).first().m for n in (1, 3, 7)}
+    assert len(got) == 1 and got.pop() == want
+    big = spark.createDataFrame([(1e30,), (1.0,), (None,)], "x double")
+    r = big.agg(exact_mean("x").alias("m"), F.avg("x").alias("a")).first()
+    assert r.m == r.a
