@@ -43,7 +43,9 @@ SELECT count(*) AS n, {sql_rnd('avg(abs(o_totalprice - pred))', 4)} AS mae,
 FROM t CROSS JOIN b
 """)
 def regression_metrics(spark, sf_dir):
-    so = scored_orders(spark, sf_dir)
+    from fathom.session import cut_lineage
+    # scoring runs once: the moments, both quantile passes and the baseline read this
+    so = cut_lineage(scored_orders(spark, sf_dir).select(Y, P, "split"))
     test = so.where(F.col("split") == "test")
     from fathom.operators.ordered import quantile_row
     train = so.where(F.col("split") == "train")
