@@ -82,7 +82,9 @@ FROM lg GROUP BY ALL HAVING count(*) >= 5
 """)
 def segment_metrics(spark, sf_dir):
     from fathom.functions.hashing import bucket, key_text
-    t = _test(spark, sf_dir)
+    from fathom.session import cut_lineage
+    # scored once for the quintile edges, the bin join and the subgroup metrics
+    t = cut_lineage(_test(spark, sf_dir).select("o_orderkey", "o_orderpriority", Y, P))
     # the priority as seen at scoring time, with 15% injected NULL keys (kept as a segment)
     t = t.withColumn("prio_seen", F.when(bucket(key_text("o_orderkey"), "o_orderpriority") < 15, None)
                      .otherwise(F.col("o_orderpriority")))
@@ -332,8 +334,10 @@ SELECT 'group', grp, count(*), {sql_rnd('avg(ae)', 4)}, {sql_rnd('median(ae)', 4
 """)
 def band_group_report(spark, sf_dir):
     from fathom.operators.features import equal_width_bins
-    t = _test(spark, sf_dir)
     from fathom.operators.ordered import quantile_row, quantiles
+    from fathom.session import cut_lineage
+    # scored once for the range, the median and both reports
+    t = cut_lineage(_test(spark, sf_dir).select("o_orderstatus", Y, P))
     r = t.agg(F.min(Y).alias("lo"), F.max(Y).alias("hi")).crossJoin(
         quantile_row(t, [Y], [0.5], "__q_").select(F.col(f"__q_{Y}")[0].alias("med")))
     j = t.crossJoin(F.broadcast(r)).withColumns({
