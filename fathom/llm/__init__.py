@@ -2,4 +2,4 @@
 the query ``opN_<name>`` that applies it to its whole table."""
 
 from fathom.llm.registry import ORACLES, QUERIES
-from fathom.llm import (exact_dedup, )  # noqa: F401
+from fathom.llm import (byte_bpe, chat_format, exact_dedup)  # noqa: F401
