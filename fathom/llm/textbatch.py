@@ -21,6 +21,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# words of letters and digits only: ASCII alphanumerics and all bytes of other characters
+_PLAIN = np.ones(256, dtype=bool)
+_PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _POWERS = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
@@ -82,13 +85,17 @@ def byte_slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tup
         i = j
 
 
-def words(texts: pa.Array, lower: bool = True, slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased if asked) of each text."""
+def words(texts: pa.Array, lower: bool = True, slice_bytes: int = SLICE_BYTES, plain: bool = False) -> Iterator[Words]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased if asked) of each text.
+
+    ``plain``: runs of ASCII letters, digits and characters beyond ASCII instead.
+    """
+    between = _PLAIN if plain else _SPACE
     for first, data, bounds in byte_slices(texts, slice_bytes):
         if lower:
             data = _LOWER[data]
         n_texts = len(bounds) - 1
-        inside = ~_SPACE[data]
+        inside = ~between[data]
         before = np.empty_like(inside)
         after = np.empty_like(inside)
         if len(data):
@@ -108,6 +115,14 @@ def words(texts: pa.Array, lower: bool = True, slice_bytes: int = SLICE_BYTES) -
                     np.bincount(text, minlength=n_texts).astype(np.int64), bounds)
 
 
+def spans_hash(w: Words, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of other byte ranges of the slice, as ``words`` hashes words."""
+    up, down = _powers(len(w.data) + 1)
+    run = np.zeros(len(w.data) + 1, dtype=np.uint64)
+    np.cumsum((w.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=run[1:])
+    return mix((run[end] - run[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k consecutive word hashes (len(h) - k + 1 of them)."""
     n = len(h) - k + 1
