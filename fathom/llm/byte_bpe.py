@@ -34,6 +34,7 @@ from fathom.llm.registry import query, table
 RANKS = "byte_bpe_50k.tiktoken"
 CACHED_PIECES = 200_000
 CACHED_PAIRS = 1_000_000
+_NONE: dict = {}
 
 
 class Vocabulary:
@@ -43,11 +44,15 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        ends: dict[bytes, set[int]] = {}
-        for t in ranks:
-            ends.setdefault(t[-2:], set()).add(len(t))
-        self._lengths = {k: sorted(v) for k, v in ends.items()}   # token lengths by last two bytes
-        self._fits: dict[tuple[int, int], bool] = {}
+        self.backwards: dict = {}      # tokens read from their last byte on: byte -> [token or -1, next bytes]
+        for t, i in ranks.items():
+            below = self.backwards
+            for b in reversed(t):
+                node = below.setdefault(b, [-1, {}])
+                below = node[1]
+            node[0] = i
+        self._fits: dict[int, dict[int, bool]] = {}
+        self._pairs = 0
 
     def merged(self, piece: bytes) -> list[int]:
         """The merges themselves, lowest rank and leftmost first; for short byte strings."""
@@ -61,22 +66,17 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the merges of left's and right's bytes give these two tokens; left -1: the start."""
-        key = (left, right)
-        known = self._fits.get(key)
+        known = self._fits.get(left, _NONE).get(right)
         if known is None:
-            if len(self._fits) >= CACHED_PAIRS:
+            if self._pairs >= CACHED_PAIRS:
                 self._fits.clear()
+                self._pairs = 0
             before = self.tokens[left] if left >= 0 else b""
             known = self.merged(before + self.tokens[right]) == ([left, right] if left >= 0 else [right])
-            self._fits[key] = known
+            self._fits.setdefault(left, {})[right] = known
+            self._pairs += 1
         return known
 
-    def lengths(self, piece: bytes, end: int) -> list[int]:
-        """Lengths of the tokens that may end at ``end``."""
-        one = self._lengths.get(piece[end - 1:end], ())
-        two = self._lengths.get(piece[end - 2:end], ()) if end > 1 else ()
-        return [*one, *two]
-
     def encode_piece(self, piece: bytes) -> list[int]:
         known = self.ranks.get(piece)
         return [known] if known is not None else PrefixTable(self, piece).ids()
@@ -90,18 +90,29 @@ class PrefixTable:
         self.append(data)
 
     def _last_token(self, end: int) -> int:
-        v, data, last = self.vocabulary, self.data, self.last
-        for n in v.lengths(data, end):
-            if n <= end:
-                token = v.ranks.get(data[end - n:end])
-                if token is not None and (end == n or last[end - n] >= 0) and v.fits(last[end - n], token):
+        data, last, below, at = self.data, self.last, self.vocabulary.backwards, end
+        known = self.vocabulary._fits
+        while at:
+            at -= 1
+            node = below.get(data[at])
+            if node is None:
+                break
+            token, below = node
+            if token >= 0:
+                left = last[at]
+                try:
+                    ok = known[left][token]
+                except KeyError:
+                    ok = self.vocabulary.fits(left, token)
+                if ok:
                     return token
         raise ValueError("the vocabulary lacks a byte of the text")
 
     def append(self, more: bytes) -> None:
         self.data += more
+        put = self.last.append
         for end in range(len(self.last), len(self.data) + 1):
-            self.last.append(self._last_token(end))
+            put(self._last_token(end))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Replace data[start:stop]; returns how many prefixes were worked out anew."""
@@ -127,17 +138,25 @@ class PrefixTable:
 
 
 class _Pieces(dict):
-    """Ids of pieces, as the bytes of 32-bit integers; emptied when it is full."""
+    """Ids of pieces, as the bytes of 32-bit integers.
+
+    When it is full it becomes the older half of the cache; pieces that are
+    still in use come back from there, the others go with the next turn.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        ids = np.array(self.vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass")), dtype=np.int32).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.vocabulary.encode_piece(piece.encode("utf-8", "surrogatepass")),
+                           dtype=np.int32).tobytes()
         if len(piece) <= 64:
+            if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
@@ -148,6 +167,12 @@ def load(path: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
 
 
+@lru_cache(maxsize=4)
+def pieces(path: str) -> _Pieces:
+    """The cache of a worker process; later tasks go on with it."""
+    return _Pieces(load(path))
+
+
 def _lists(parts: list[bytes]) -> pa.Array:
     counts = np.fromiter((len(p) // 4 for p in parts), dtype=np.int64, count=len(parts))
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
@@ -181,7 +206,7 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", path: st
 
     def made(texts: pa.Array) -> pa.Array:
         if not state:
-            state.update(pieces=_Pieces(load(path)), split=regex.compile(pattern).findall)
+            state.update(pieces=pieces(path), split=regex.compile(pattern).findall)
         get, split = state["pieces"].__getitem__, state["split"]
         return _lists([b"".join(map(get, split(t))) if t else b"" for t in texts.to_pylist()])
 
