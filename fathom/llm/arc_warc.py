@@ -46,6 +46,7 @@ SEGMENT_BYTES = 4 << 20
 SEGMENTS_PER_FILE = 4
 MIN_REVISIT = 100
 SALTS = 16
+GZIP_LEVEL = "BEST_SPEED"
 CAPTURED = "20240101000000"   # pages carry no date of their own
 
 # Field lists of the two versions (fixed values of the format).
@@ -221,7 +222,8 @@ def _segments(records: Iterator[bytes], opening, name: str, sep: bytes, limit: i
 
 def _save(segments: DataFrame, path: str, sep: str) -> str:
     (segments.select(F.col("segment").cast("string").alias("value")).write
-     .option("lineSep", sep).option("compression", "gzip").option("maxRecordsPerFile", SEGMENTS_PER_FILE).text(path))
+     .option("lineSep", sep).option("compression", "gzip").option("zlib.compress.level", GZIP_LEVEL)
+     .option("maxRecordsPerFile", SEGMENTS_PER_FILE).text(path))
     return path
 
 
