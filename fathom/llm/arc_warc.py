@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathom.llm.registry import query, table
-from fathom.session import ensure_checkpoint_dir
+from fathom.llm.stored import scratch
 
 SEGMENT_BYTES = 4 << 20
 SEGMENTS_PER_FILE = 4
@@ -58,11 +58,6 @@ FIELDS = {
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new folder for one run under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
 # ---- ARC ---------------------------------------------------------------
 
 def arc_version_block(name: str, version: int, date: str) -> bytes:
