@@ -239,10 +239,15 @@ def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", path
     return _mapped(df, bytes_col, T.BinaryType(), ids_col, made)
 
 
-@query("op8_byte_bpe")
-def op8_byte_bpe(spark, sf_dir):
-    coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, digest of the ids and of the bytes that they decode to, of texts encoded and decoded."""
+    coded = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(F.encode(F.concat_ws(" ", F.col("ids").cast("array<string>")), "UTF-8"), 256)
-                        .alias("ids_sha256"),
+                        F.sha2(F.encode(ids, "UTF-8"), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query("op8_byte_bpe")
+def op8_byte_bpe(spark, sf_dir):
+    return digests(table(spark, sf_dir, "documents"))
