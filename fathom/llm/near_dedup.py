@@ -6,8 +6,10 @@
    compared, so copies cost nothing.
 3. Classes that share a band key meet in a bucket.  Every member is verified
    against one centre of its bucket on the full sets (no pairs within a bucket),
-   and components of the links found are labelled.
-4. Buckets that still hold several components are finished exactly: over their
+   and components of the links found are labelled; first the centre is the
+   member that meets the most others, then, where a bucket still holds several
+   components, the one with the least share of rare shingles.
+4. Buckets that hold several components even then are finished exactly: over their
    members, shingles are ordered from rare to frequent, and two classes of
    different components can reach the similarity only if they share one of
    their first ones (prefix filter) at places that leave enough to share
@@ -135,23 +137,43 @@ def _with_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.join(named, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, cls, n, label of the members of buckets that hold several labels."""
+    labelled = _with_labels(members.select("key", "cls", "n"), labels)
+    keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    return labelled.join(keys.select("key"), "key").select("key", "cls", "n", "label")
+
+
 def _size_class(n: Column) -> Column:
     """Classes of sizes about two percent wide."""
     return F.floor(F.log(n.cast("double")) * 50).cast("int")
 
 
-def prefix_pairs(open_sets: DataFrame, percent: int) -> DataFrame:
+def star_pairs(members: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the heaviest member of each bucket with every member of another label whose size fits."""
+    centre = F.max(F.struct("weight", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a")))
+    best = stored(members.join(weights, "cls").groupBy("key").agg(centre.alias("c")).select("key", "c.*"), "centres")
+    return (members.join(best, "key").filter((F.col("label") != F.col("label_a"))
+                                             & _enough(F.least("n", "n_a"), F.col("n"), F.col("n_a"), percent))
+            .select("a", F.col("cls").alias("b")).distinct())
+
+
+def by_rarity(sets: DataFrame) -> DataFrame:
+    """cls, n, s: each set as (df, shingle) from rare to frequent, df counted over these sets."""
+    each = sets.select("cls", "n", F.explode("shingles").alias("shingle"))
+    freq = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    return each.join(freq, "shingle").groupBy("cls", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+
+
+def prefix_pairs(ranked: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes with different labels that the prefix and positional filters leave.
 
-    ``open_sets``: cls, n, shingles, label.  Of two classes of different labels
-    at least one is outside the label that is most frequent on a shingle; only
-    those look for partners.
+    ``ranked``: cls, n, label, s as ``by_rarity`` gives it.  Of two classes of
+    different labels at least one is outside the label that is most frequent on
+    a shingle; only those look for partners.
     """
-    each = open_sets.select("cls", "n", "label", F.explode("shingles").alias("shingle"))
-    freq = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
     n = F.col("n")
-    ranked = each.join(freq, "shingle").groupBy("cls", "n", "label").agg(
-        F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
     keep = (n - F.ceil(percent * n / 100) + 1).cast("int")
     places = stored(ranked.select("cls", "n", "label", F.posexplode(F.slice("s", 1, keep)).alias("at", "x"))
                     .select("cls", "n", "label", "at", F.col("x.shingle").alias("shingle"),
@@ -186,23 +208,25 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 21,
         .select(F.col("d1").alias("cls"), "rep", "n", "bands", "rows"), "classes")
 
     slots = classes.select("cls", "n", F.explode("bands").alias("key"))
-    shared = stored(slots.groupBy("key").agg(F.min("cls").alias("centre"), F.max("cls").alias("other"))
-                    .filter("centre <> other").select("key", "centre"), "buckets")
-    members = stored(slots.join(shared, "key"), "members")
-    inside = members.select("cls").distinct()
+    shared = stored(slots.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
+    members = stored(slots.join(shared, "key").withColumn("label", F.col("cls")), "members")
+    inside = members.groupBy("cls").agg(F.sum("size").alias("weight"))
     sets = stored(full_sets(named, classes.join(inside, "cls").select("cls", "rep"), k), "sets")
 
-    sizes = classes.select(F.col("cls").alias("centre"), F.col("n").alias("n_c"))
-    stars = (members.filter("cls <> centre").select("centre", "cls", "n").distinct().join(sizes, "centre")
-             .filter(_enough(F.least("n", "n_c"), F.col("n"), F.col("n_c"), percent)))
-    links = stored(verified(stars.select(F.col("centre").alias("a"), F.col("cls").alias("b")), sets, percent), "links")
+    # first against the member that meets the most others
+    links = stored(verified(star_pairs(members, inside, percent), sets, percent), "links")
     labels = components(links)
-
-    labelled = _with_labels(members.select("cls", "key"), labels)
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    opened = stored(labelled.join(open_keys.select("key"), "key").select("cls", "label").distinct(), "open")
-    more = verified(stored(prefix_pairs(sets.join(opened, "cls"), percent), "pairs"), sets, percent)
-    labels = components(links.unionByName(more))
+    # buckets with several components: against the member with the least share of rare shingles
+    opened = stored(_open(members, labels), "open")
+    ranked = stored(by_rarity(sets.join(opened.select("cls").distinct(), "cls")), "ranked")
+    rare = F.aggregate("s", F.lit(0.0), lambda acc, x: acc + 1 / x["df"])
+    weights = ranked.select("cls", (-rare / F.col("n")).alias("weight"))
+    links = links.unionByName(stored(verified(star_pairs(opened, weights, percent), sets, percent), "links"))
+    labels = components(links)
+    # what still lies in different components of one bucket: the exact finish
+    opened = _open(opened.select("key", "cls", "n"), labels).select("cls", "label").distinct()
+    pairs = stored(prefix_pairs(ranked.join(opened, "cls"), percent), "pairs")
+    labels = components(links.unionByName(verified(pairs, sets, percent)))
 
     grouped = _with_labels(classes.select("cls", "rep", "rows"), labels)
     smallest = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
