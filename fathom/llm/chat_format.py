@@ -112,6 +112,10 @@ def _turn(role: Column, text: Column) -> Column:
     return F.struct(_canonical_role(role).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
 
+def _message_turn(layout: Layout):
+    return lambda m: _turn(m[layout.role], m[layout.text])
+
+
 def canonical_records(records: DataFrame, id_col: str, record_col: str, layouts=LAYOUTS) -> DataFrame:
     """id, fingerprint, layout, turns for JSON records of any registered layout."""
     value = F.try_parse_json(F.col(record_col))
@@ -123,8 +127,7 @@ def canonical_records(records: DataFrame, id_col: str, record_col: str, layouts=
             continue
         if x.messages:
             kind = f"array<struct<`{x.role}`:string,`{x.text}`:string>>"
-            got = F.transform(F.try_variant_get("v", f"$.{x.messages}", kind),
-                              lambda m, x=x: _turn(m[x.role], m[x.text]))
+            got = F.transform(F.try_variant_get("v", f"$.{x.messages}", kind), _message_turn(x))
         else:
             def joined(keys):
                 parts = [F.coalesce(F.try_variant_get("v", f"$.{k}", "string"), F.lit("")) for k in keys]
