@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from fathom.llm.registry import query, table
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 200_000
-CACHED_PAIRS = 1_000_000
+CACHED_PIECES = 120_000
+CACHED_PAIRS = 300_000
 _NONE: dict = {}
 
 
