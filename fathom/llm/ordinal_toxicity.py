@@ -60,12 +60,19 @@ def features():
     return make
 
 
+def _presence(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """How many of the chosen rows have each feature."""
+    f = np.zeros(_SIZE)
+    for i in np.flatnonzero(chosen):
+        f[rows[i]] += 1
+    return f
+
+
 def severity_grades(rows: list[np.ndarray], toxic: np.ndarray, strong: float = 2.5) -> np.ndarray:
     """0 for rows that are not toxic, 1 or 2 for toxic rows with few or many marking features."""
     n1 = max(int(toxic.sum()), 1)
     n0 = max(len(toxic) - n1, 1)
-    f1, f0 = (np.bincount(np.concatenate([r for r, t in zip(rows, toxic) if t == k] or [np.zeros(0, int)]),
-                          minlength=_SIZE) for k in (1, 0))
+    f1, f0 = _presence(rows, toxic > 0), _presence(rows, toxic <= 0)
     marks = (np.log((f1 + 0.5) / (n1 + 1)) - np.log((f0 + 0.5) / (n0 + 1)) > strong) & (f1 >= MIN_ROWS)
     hits = np.array([int(marks[r].sum()) for r in rows])
     middle = np.median(hits[toxic > 0]) if (toxic > 0).any() else 0
@@ -127,8 +134,7 @@ class Ordinal:
 def evidence(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """G statistic of each feature's presence against the class; 0 below MIN_ROWS rows."""
     n1, n0 = int(y.sum()), int((~y).sum())
-    f1, f0 = (np.bincount(np.concatenate([r for r, t in zip(rows, y) if t == k] or [np.zeros(0, int)]),
-                          minlength=_SIZE).astype(np.float64) for k in (True, False))
+    f1, f0 = _presence(rows, y), _presence(rows, ~y)
     g = np.zeros(_SIZE)
     for a, b, n in ((f1, f0, f1 + f0), (n1 - f1, n0 - f0, n1 + n0 - f1 - f0)):
         for part, whole in ((a, n1), (b, n0)):

@@ -67,16 +67,12 @@ def features(orders: int = 3):
     return make
 
 
-def _csr(rows: list[np.ndarray]):
-    ptr = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
-    return (np.concatenate(rows) if rows else np.zeros(0, np.int32)).astype(np.int64), ptr
-
-
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0, size: int = _SIZE) -> np.ndarray:
     out = []
     for c in (1, 0):
-        ids, _ = _csr([r for r, v in zip(rows, y) if v == c])
-        f = alpha + np.bincount(ids, minlength=size)
+        f = np.full(size, alpha)
+        for r in (r for r, v in zip(rows, y) if v == c):
+            f[r] += 1
         out.append(np.log(f / f.sum()))
     return out[0] - out[1]
 
@@ -86,16 +82,14 @@ def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.nda
     """Weights of the hinge-loss model over the scaled rows; the constant feature stays unscaled."""
     scale = ratio.copy()
     scale[0] = 1.0
-    xs = []
-    for r in rows:
-        v = scale[r]
-        xs.append((r.astype(np.int64), v / max(float(np.sqrt(v @ v)), 1e-12)))
+    norm = np.array([max(float(np.sqrt((scale[r] ** 2).sum())), 1e-12) for r in rows])
     w, dual, sign = np.zeros(len(ratio)), np.zeros(len(rows)), np.where(y > 0, 1.0, -1.0)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(len(rows)):
-            idx, v = xs[i]
+            idx = rows[i]
+            v = scale[idx] / norm[i]
             g = sign[i] * float(w[idx] @ v) - 1.0
             a = dual[i]
             step = min(max(a - g, 0.0), cost) - a
