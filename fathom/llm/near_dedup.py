@@ -115,29 +115,39 @@ def _enough(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity.
+    """The pairs (a, b, ...) whose full sets reach the similarity.
 
     ``a`` may be the centre of very many pairs: its set is handed out once for
     every PAIRS_PER_SALT of them.
     """
+    pairs = stored(pairs, "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_SALT).cast("int").alias("parts"))
-    parts = stored(parts, "centres")
-    salted = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    salted = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     left = (sets.join(parts, F.col("cls") == F.col("a"))
-            .select("a", F.col("n").alias("n_a"), F.col("shingles").alias("s_a"),
+            .select("a", F.col("n").alias("n_1"), F.col("shingles").alias("s_1"),
                     F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
-    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
+    right = sets.select(F.col("cls").alias("b"), F.col("n").alias("n_2"), F.col("shingles").alias("s_2"))
     return (salted.join(left, ["a", "part"]).join(right, "b")
-            .filter(_enough(F.size(F.array_intersect("s_a", "s_b")), F.col("n_a"), F.col("n_b"), percent))
-            .select("a", "b").distinct())
+            .filter(_enough(F.size(F.array_intersect("s_1", "s_2")), F.col("n_1"), F.col("n_2"), percent))
+            .select(*pairs.columns))
 
 
-def _with_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
-    named = labels.select(F.col("node").alias("cls"), "label")
-    return df.join(named, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+def _with_labels(df: DataFrame, labels: list[DataFrame]) -> DataFrame:
+    """df (with cls) plus label: its component, found through one table after the other."""
+    df = df.withColumn("label", F.col("cls"))
+    for step in labels:
+        named = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        df = df.join(named, "label", "left").withColumn("label", F.coalesce("next", "label")).drop("next")
+    return df
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _joined(links: DataFrame) -> list[DataFrame]:
+    """Components of links (label_a, label_b) between labels, none if there are no links."""
+    links = stored(links.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), "links")
+    return [components(links)] if links.limit(1).count() else []
+
+
+def _open(members: DataFrame, labels: list[DataFrame]) -> DataFrame:
     """key, cls, n, label of the members of buckets that hold several labels."""
     labelled = _with_labels(members.select("key", "cls", "n"), labels)
     keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
@@ -150,12 +160,12 @@ def _size_class(n: Column) -> Column:
 
 
 def star_pairs(members: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the heaviest member of each bucket with every member of another label whose size fits."""
+    """(a, b) and their labels: the heaviest member of each bucket with each member of another label whose size fits."""
     centre = F.max(F.struct("weight", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a")))
-    best = stored(members.join(weights, "cls").groupBy("key").agg(centre.alias("c")).select("key", "c.*"), "centres")
+    best = members.join(weights, "cls").groupBy("key").agg(centre.alias("c")).select("key", "c.*")
     return (members.join(best, "key").filter((F.col("label") != F.col("label_a"))
                                              & _enough(F.least("n", "n_a"), F.col("n"), F.col("n_a"), percent))
-            .select("a", F.col("cls").alias("b")).distinct())
+            .select("a", F.col("cls").alias("b"), "label_a", F.col("label").alias("label_b")).distinct())
 
 
 def by_rarity(sets: DataFrame) -> DataFrame:
@@ -167,7 +177,7 @@ def by_rarity(sets: DataFrame) -> DataFrame:
 
 
 def prefix_pairs(ranked: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes with different labels that the prefix and positional filters leave.
+    """Pairs (a, b, label_a, label_b) of different labels that the prefix and positional filters leave.
 
     ``ranked``: cls, n, label, s as ``by_rarity`` gives it.  Of two classes of
     different labels at least one is outside the label that is most frequent on
@@ -194,7 +204,7 @@ def prefix_pairs(ranked: DataFrame, percent: int) -> DataFrame:
     left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     found = x.join(y, ["shingle", "size"]).filter(
         (F.col("label_a") != F.col("label_b")) & _enough(left, F.col("n_a"), F.col("n_b"), percent))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return found.select("a", "b", "label_a", "label_b").distinct()
 
 
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 21, rows: int = 3,
@@ -214,19 +224,16 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 21,
     sets = stored(full_sets(named, classes.join(inside, "cls").select("cls", "rep"), k), "sets")
 
     # first against the member that meets the most others
-    links = stored(verified(star_pairs(members, inside, percent), sets, percent), "links")
-    labels = components(links)
+    labels = _joined(verified(star_pairs(members, inside, percent), sets, percent))
     # buckets with several components: against the member with the least share of rare shingles
     opened = stored(_open(members, labels), "open")
     ranked = stored(by_rarity(sets.join(opened.select("cls").distinct(), "cls")), "ranked")
     rare = F.aggregate("s", F.lit(0.0), lambda acc, x: acc + 1 / x["df"])
     weights = ranked.select("cls", (-rare / F.col("n")).alias("weight"))
-    links = links.unionByName(stored(verified(star_pairs(opened, weights, percent), sets, percent), "links"))
-    labels = components(links)
+    labels += _joined(verified(star_pairs(opened, weights, percent), sets, percent))
     # what still lies in different components of one bucket: the exact finish
     opened = _open(opened.select("key", "cls", "n"), labels).select("cls", "label").distinct()
-    pairs = stored(prefix_pairs(ranked.join(opened, "cls"), percent), "pairs")
-    labels = components(links.unionByName(verified(pairs, sets, percent)))
+    labels += _joined(verified(prefix_pairs(ranked.join(opened, "cls"), percent), sets, percent))
 
     grouped = _with_labels(classes.select("cls", "rep", "rows"), labels)
     smallest = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
