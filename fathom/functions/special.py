@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# ---------------------------------------------------------------- scalars
+# scalars
 
 def norm_cdf(z: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2.0))
@@ -164,7 +164,7 @@ def ks_sf(lam: float, terms: int = 100) -> float:
     return min(1.0, max(0.0, s))
 
 
-# ----------------------------------------------------- shared SQL snippets
+# shared SQL snippets
 
 def sql_norm_cdf(z: str) -> str:
     """Standard normal CDF of a SQL expression ``z`` (Zelen-Severo)."""

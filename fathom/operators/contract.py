@@ -88,7 +88,8 @@ def validate_against_contract(incoming: DataFrame, contract: tuple[DataFrame, Da
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
                  F.col(c).try_cast("double").alias("x")) for c in incoming.columns])).alias("p")).select("p.*")
     al = allowed.select("column_name", "value", F.lit(True).alias("__allowed"))
-    j = pairs.join(F.broadcast(meta), "column_name").join(al, ["column_name", "value"], "left")
+    # at most top_n allowed values per column
+    j = pairs.join(F.broadcast(meta), "column_name").join(F.broadcast(al), ["column_name", "value"], "left")
     outside = (F.col("x") < F.col("q01")) | (F.col("x") > F.col("q99"))
     known = F.col("value").isNull() | F.col("__allowed").isNotNull()
     agg = j.groupBy("column_name", "kind", F.col("missing_rate").alias("training_missing_rate")).agg(
@@ -103,16 +104,19 @@ def validate_against_contract(incoming: DataFrame, contract: tuple[DataFrame, Da
         F.when(F.col("kind") == "categorical", F.col("__new")).alias("new_category_share"))
 
 
-def column_set_report(incoming: DataFrame, required: Sequence[str]) -> dict[str, list[str]]:
-    """Missing required and extra columns (schema metadata only)."""
-    inc = set(incoming.columns)
-    req = set(required)
-    return {"missing_required_columns": sorted(req - inc), "extra_columns": sorted(inc - req)}
+def column_status(incoming: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(column_name, status) for every column that is required or
+    present: 'ok', 'missing' or 'extra' (schema metadata only)."""
+    wanted = incoming.sparkSession.createDataFrame([(c,) for c in required], "column_name string").distinct()
+    here = incoming.sparkSession.createDataFrame([(c,) for c in incoming.columns], "column_name string")
+    both = wanted.withColumn("w", F.lit(True)).join(here.withColumn("h", F.lit(True)), "column_name", "full")
+    return both.select("column_name", F.when(F.col("h").isNull(), "missing").when(F.col("w").isNull(), "extra")
+                       .otherwise("ok").alias("status"))
 
 
 def require_columns(incoming: DataFrame, required: Sequence[str]) -> None:
     """Q18: a missing required column is fatal."""
-    missing = column_set_report(incoming, required)["missing_required_columns"]
+    missing = sorted(set(required) - set(incoming.columns))
     if missing:
         raise ValueError(f"missing required columns: {missing}")
 

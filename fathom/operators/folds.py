@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.hashing import bucket, key_text, salted_h32, unit_uniform
 from fathom.operators.ordered import ntile_of, row_numbers
+from fathom.session import small_side
 
 
 def _kt(key_cols: Sequence[str]) -> Column:
@@ -46,8 +47,7 @@ def _rank_in_strata(df: DataFrame, key_cols: Sequence[str], strata: Sequence[str
     with_h = df.withColumn("__h", salted_h32(_kt(key_cols), salt)).withColumn("__kt", _kt(key_cols))
     ranked = row_numbers(with_h, ["__h", "__kt"], strata, name="__rn", num_partitions=num_partitions)
     sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
-    # sizes has one row per stratum; AQE broadcasts it when its runtime size is small.
-    return ranked.join(sizes, list(strata), "left") if strata else ranked.crossJoin(F.broadcast(sizes))
+    return ranked.join(small_side(sizes), list(strata), "left") if strata else ranked.crossJoin(F.broadcast(sizes))
 
 
 def stratified_holdout(df: DataFrame, key_cols: Sequence[str], strata: Sequence[str],
@@ -79,7 +79,7 @@ def ordered_tiles(df: DataFrame, order_cols: Sequence[str], k: int, name: str =
     window drift D5) without a single-task window."""
     r = row_numbers(df, order_cols, group_cols, name="__rn")
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
-    r = r.join(sizes, list(group_cols), "left") if group_cols else r.crossJoin(F.broadcast(sizes))
+    r = r.join(small_side(sizes), list(group_cols), "left") if group_cols else r.crossJoin(F.broadcast(sizes))
     return r.withColumn(name, ntile_of(F.col("__rn"), F.col("__n"), k)).drop("__rn", "__n")
 
 

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from fathom.functions.numeric import safe_div
 from fathom.operators.ordered import column_quantiles, quantile_row
+from fathom.session import small_side
 
 RARE_LABEL = "Rare"
 
 
-# ---------------------------------------------------------------- L1
+# L1
 def fit_rare_levels(df: DataFrame, col: str, min_count: int = 10) -> DataFrame:
     """Levels of ``col`` with at least ``min_count`` training rows."""
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")) \
@@ -31,13 +32,14 @@ def apply_rare_levels(df: DataFrame, kept: DataFrame, col: str, out: str | None
     """Levels not kept at fit time (rare or unseen) become 'Rare'."""
     out = out or col
     k = kept.select(F.col(col).alias("__lvl"), F.lit(True).alias("__kept"))
-    j = df.join(k, df[col] == k["__lvl"], "left")
+    k = small_side(k)
+    j = df.join(k, df[col] == F.col("__lvl"), "left")
     return j.withColumn(out, F.when(F.col(col).isNull(), F.lit(None).cast("string"))
                         .when(F.col("__kept"), F.col(col)).otherwise(F.lit(RARE_LABEL))) \
         .drop("__lvl", "__kept")
 
 
-# ---------------------------------------------------------------- L2
+# L2
 def fit_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "median") -> DataFrame:
     """One-row state: fill value per column (median exact, mean, or mode)
     and whether the column had missing values in training (indicator)."""
@@ -70,7 +72,7 @@ def apply_imputer(df: DataFrame, state: DataFrame, cols: Sequence[str], indicato
     return j.drop(*[f"fill_{c}" for c in cols], *[f"hasnull_{c}" for c in cols])
 
 
-# ---------------------------------------------------------------- L3
+# L3
 def fit_group_median(df: DataFrame, col: str, group_col: str) -> tuple[DataFrame, DataFrame]:
     per_group = column_quantiles(df, [col], [0.5], [group_col]).select(group_col, F.col("quantiles")[0].alias("__gmed"))
     overall = quantile_row(df, [col], [0.5], "__q_").select(F.col(f"__q_{col}")[0].alias("__med"))
@@ -81,11 +83,11 @@ def apply_group_median(df: DataFrame, state: tuple[DataFrame, DataFrame], col: s
                        out: str | None = None) -> DataFrame:
     per_group, overall = state
     out = out or col
-    j = df.join(per_group, group_col, "left").crossJoin(F.broadcast(overall))
+    j = df.join(small_side(per_group), group_col, "left").crossJoin(F.broadcast(overall))
     return j.withColumn(out, F.coalesce(F.col(col), F.col("__gmed"), F.col("__med"))).drop("__gmed", "__med")
 
 
-# ---------------------------------------------------------------- L6
+# L6
 def fit_winsor(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     return quantile_row(df, cols, [lo, hi], "q_")
 
@@ -96,7 +98,7 @@ def apply_winsor(df: DataFrame, state: DataFrame, cols: Sequence[str]) -> DataFr
     return j.drop(*[f"q_{c}" for c in cols])
 
 
-# ---------------------------------------------------------------- L7
+# L7
 def fit_scaler(df: DataFrame, cols: Sequence[str], kind: str = "standard") -> DataFrame:
     """standard: mean / population std; robust: median / IQR; minmax: min / range."""
     exprs = []
@@ -122,7 +124,7 @@ def apply_scaler(df: DataFrame, state: DataFrame, cols: Sequence[str], suffix: s
     return j.drop(*[f"c_{c}" for c in cols], *[f"s_{c}" for c in cols])
 
 
-# ---------------------------------------------------------------- L8-L10
+# L8-L10
 def fit_levels(df: DataFrame, col: str, min_frequency: int = 1) -> DataFrame:
     """Level table with alphabetical code (L10) for levels seen at least
     ``min_frequency`` times; the rest are pooled (L8)."""
@@ -135,24 +137,37 @@ def fit_levels(df: DataFrame, col: str, min_frequency: int = 1) -> DataFrame:
 def apply_ordinal(df: DataFrame, levels: DataFrame, col: str, out: str) -> DataFrame:
     """Ordinal code, unknown = -1."""
     lv = levels.select(F.col(col).alias("__lvl"), F.col("code").alias("__code"))
-    j = df.join(lv, df[col] == lv["__lvl"], "left")
+    j = df.join(small_side(lv), df[col] == F.col("__lvl"), "left")
     return j.withColumn(out, F.coalesce(F.col("__code"), F.lit(-1)).cast("int")).drop("__lvl", "__code")
 
 
-def one_hot_columns(col: str, levels: Sequence[str], drop: str | None = None,
-                    prefix: str | None = None) -> dict[str, Column]:
-    """One-hot indicator expressions for a bounded, already-collected level
-    list (the list is the fitted state; unknown levels give all zeros).
-    ``drop='first'`` drops the first level, ``drop='if_binary'`` drops the
-    first level only when there are two."""
-    prefix = prefix or col
-    lv = list(levels)
-    if drop == "first" or (drop == "if_binary" and len(lv) == 2):
-        lv = lv[1:]
-    return {f"{prefix}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in lv}
-
-
-# ---------------------------------------------------------------- L11-L12
+def fit_one_hot(df: DataFrame, col: str, min_frequency: int = 1, drop: str | None = None,
+                max_levels: int = 1000) -> tuple[DataFrame, list]:
+    """L8/L9 state: the level counts, and the levels that get an indicator in
+    alphabetical order.  Indicators are columns, so more than ``max_levels``
+    of them is an error.  ``drop='first'`` leaves out the first level,
+    ``drop='if_binary'`` the first of exactly two."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+    kept = [r[0] for r in counts.where(F.col("__n") >= min_frequency).orderBy(col).limit(max_levels + 1).collect()]
+    if len(kept) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels")
+    if drop == "first" or (drop == "if_binary" and len(kept) == 2):
+        kept = kept[1:]
+    return counts.withColumn("__rare", F.col("__n") < min_frequency), kept
+
+
+def apply_one_hot(df: DataFrame, state: tuple[DataFrame, list], col: str) -> DataFrame:
+    """Indicator columns ``<col>_<level>``, and ``<col>_infrequent`` for the
+    pooled levels below the minimum frequency; levels not seen in the fit and
+    NULL give all zeros."""
+    counts, kept = state
+    rare = small_side(counts.where("__rare").select(F.col(col).alias("__lvl"), F.lit(1).alias("__r")))
+    j = df.join(rare, df[col] == F.col("__lvl"), "left")
+    new = {f"{col}_{v}": F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)) for v in kept}
+    return j.withColumns(new | {f"{col}_infrequent": F.coalesce("__r", F.lit(0))}).drop("__lvl", "__r")
+
+
+# L11-L12
 def fit_target_encoding(df: DataFrame, col: str, target: str, smoothing: float = 10.0) -> tuple[DataFrame, DataFrame]:
     """Per level: (n * mean + s * global) / (n + s).  Returns (levels, global)."""
     glob = df.where(F.col(target).isNotNull()).agg(F.avg(target).alias("__global"))
@@ -167,7 +182,7 @@ def fit_target_encoding(df: DataFrame, col: str, target: str, smoothing: float =
 def apply_target_encoding(df: DataFrame, state: tuple[DataFrame, DataFrame], col: str, out: str) -> DataFrame:
     """Unknown or NULL level -> global mean."""
     lv, glob = state
-    j = df.join(lv, col, "left").crossJoin(F.broadcast(glob))
+    j = df.join(small_side(lv), col, "left").crossJoin(F.broadcast(glob))
     return j.withColumn(out, F.coalesce(F.col("__enc"), F.col("__global"))).drop("__enc", "__global")
 
 
@@ -181,7 +196,7 @@ def oof_target_encoding(df: DataFrame, col: str, target: str, fold_col: str, out
     fold_tot = base.groupBy(fold_col).agg(F.count(F.lit(1)).alias("__tn"), F.sum(target).alias("__ts"))
     all_tot = base.agg(F.count(F.lit(1)).alias("__an"), F.sum(target).alias("__as"))
     s = F.lit(float(smoothing))
-    j = (df.join(per_fold, [col, fold_col], "left").join(per_level, col, "left")
+    j = (df.join(small_side(per_fold), [col, fold_col], "left").join(small_side(per_level), col, "left")
          .join(F.broadcast(fold_tot), fold_col, "left").crossJoin(F.broadcast(all_tot)))
     n_out = F.coalesce(F.col("__ln"), F.lit(0)) - F.coalesce(F.col("__fn"), F.lit(0))
     s_out = F.coalesce(F.col("__ls"), F.lit(0.0)) - F.coalesce(F.col("__fs"), F.lit(0.0))
@@ -192,7 +207,7 @@ def oof_target_encoding(df: DataFrame, col: str, target: str, fold_col: str, out
         .drop("__fn", "__fs", "__ln", "__ls", "__tn", "__ts", "__an", "__as")
 
 
-# ---------------------------------------------------------------- L13
+# L13
 def polynomial_columns(cols: Sequence[str], degree: int = 2, interaction_only: bool = False) -> dict[str, Column]:
     """All monomials of degree 1..degree (no bias), as column products."""
     from itertools import combinations, combinations_with_replacement
@@ -207,7 +222,7 @@ def polynomial_columns(cols: Sequence[str], degree: int = 2, interaction_only: b
     return out
 
 
-# ---------------------------------------------------------------- L14
+# L14
 def bspline_columns(x: Column, knots: Sequence[float], degree: int = 3, prefix: str = "bs") -> dict[str, Column]:
     """B-spline basis of ``x`` by the Cox-de Boor recursion written as
     column expressions.  ``knots`` are the interior+boundary knots; the
@@ -236,7 +251,7 @@ def bspline_columns(x: Column, knots: Sequence[float], degree: int = 3, prefix:
     return {f"{prefix}_{i}": b for i, b in enumerate(basis)}
 
 
-# ---------------------------------------------------------------- L23-L24
+# L23-L24
 def f_scores(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Univariate F statistic of each feature against the target:
     F = r^2 / (1 - r^2) * (n - 2), in one aggregate."""
@@ -258,8 +273,3 @@ def binned_mutual_information(df: DataFrame, x_bin: Column, y_bin: Column) -> Da
     return t.agg(F.sum(F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny"))))
                  .alias("mutual_info"))
 
-
-def log1p_clip(c: Column) -> Column:
-    """log1p of the filled, clipped-at-zero value."""
-    return F.log1p(F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0)))
-

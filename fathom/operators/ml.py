@@ -10,7 +10,6 @@ import time
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -222,10 +221,3 @@ def coefficient_table(model, features: Sequence[str], name: str, spark) -> DataF
         return spark.createDataFrame([], "model string, feature string, kind string, value double")
     return spark.createDataFrame([(name, f, kind, float(v)) for f, v in zip(features, vals)],
                                  "model string, feature string, kind string, value double")
-
-
-def pipeline(stages: Sequence) -> Pipeline:
-    return Pipeline(stages=list(stages))
-
-
-

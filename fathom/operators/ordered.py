@@ -99,15 +99,22 @@ def ntile_of(rn: Column, n: Column, k: int) -> Column:
         .otherwise(r + ((rn - big - 1) / F.greatest(q, F.lit(1))).cast("long") + 1).cast("int")
 
 
+# A group's ranks are cut into this many buckets, the join key between needed
+# ranks and running counts.
+RANK_BUCKETS = 512
+
+
 def exact_quantiles(long: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
                     out: str = "quantiles") -> DataFrame:
     """Exact quantiles with linear interpolation (``percentile`` /
     ``quantile_cont`` semantics) that never gather a column's distinct
     values in one task: counts per distinct value, running counts from
-    ``running_totals``, then each distinct value checks which of the needed
-    ranks floor/ceil(p (n - 1)) fall in its count interval (at most
-    2 x len(probs) ranks per group, so the hits are tiny).  Returns one row
-    per group with the array column ``out``."""
+    ``running_totals``, then the needed ranks floor/ceil(p (n - 1)) meet the
+    count interval that holds them.  Ranks and intervals are joined on
+    (group, rank bucket): an interval lies in one bucket unless the value is
+    very frequent, and there are at most 2 x len(probs) ranks per group, so
+    the work per distinct value is one hash lookup.  Returns one row per
+    group with the array column ``out``."""
     group_cols = list(group_cols)
     probs = [float(p) for p in probs]
     v = long.where(F.col(value).isNotNull()).groupBy(*group_cols, F.col(value).alias("__x")) \
@@ -115,56 +122,55 @@ def exact_quantiles(long: DataFrame, value: str, probs: Sequence[float], group_c
     cum = running_totals(v, ["__x"], {"__cum": F.col("__c")}, group_cols)
     # the inclusive running count peaks at the group size: no second pass over the values
     n = cum.groupBy(*group_cols).agg(F.max("__cum").alias("__n"))
+    width = F.greatest(F.floor(F.col("__n") / RANK_BUCKETS), F.lit(1))
+    sized = n.select(*[F.col(c).alias(f"__k_{c}") for c in group_cols], "__n", width.alias("__w"))
     parr = F.array(*[F.lit(p) for p in probs])
-    # the ranks needed per group: one small row per group
-    ranks = n.select(*group_cols, "__n", F.array_distinct(F.flatten(F.transform(
-        parr, lambda p: F.array(F.floor(p * (F.col("__n") - 1)), F.ceil(p * (F.col("__n") - 1)))))).alias("__r"))
-    j = cum.join(ranks, group_cols) if group_cols else cum.crossJoin(F.broadcast(ranks))
-    lo_rank = F.col("__cum") - F.col("__c")
-    hits = j.select(*group_cols, "__x", F.explode(F.filter("__r", lambda r: (r >= lo_rank) & (r < F.col("__cum"))))
-                    .alias("__rank"))
+    needed = F.array_distinct(F.flatten(F.transform(
+        parr, lambda p: F.array(F.floor(p * (F.col("__n") - 1)), F.ceil(p * (F.col("__n") - 1))))))
+    ranks = sized.select(*[f"__k_{c}" for c in group_cols], "__w", F.explode(needed).alias("__rank")) \
+        .select(*[F.col(f"__k_{c}").alias(f"__r_{c}") for c in group_cols], "__rank",
+                F.floor(F.col("__rank") / F.col("__w")).alias("__b"))
+
+    def same(prefix):
+        cond = F.lit(True)
+        for c in group_cols:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+        return cond
+
+    first = F.col("__cum") - F.col("__c")
+    spans = (cum.join(sized, same("__k_")) if group_cols else cum.crossJoin(F.broadcast(sized))) \
+        .select(*group_cols, "__x", "__c", "__cum", F.explode(F.sequence(
+            F.floor(first / F.col("__w")), F.floor((F.col("__cum") - 1) / F.col("__w")))).alias("__s"))
+    hits = spans.join(ranks, (F.col("__s") == F.col("__b")) & same("__r_")) \
+        .where((F.col("__rank") >= F.col("__cum") - F.col("__c")) & (F.col("__rank") < F.col("__cum"))) \
+        .select(*group_cols, "__rank", "__x")
     per_group = hits.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__x"))).alias("__m"))
-    k = per_group.join(n, group_cols) if group_cols else per_group.crossJoin(n)
+    k = (per_group.join(sized, same("__k_")) if group_cols else per_group.crossJoin(sized)) \
+        .select(*group_cols, "__m", "__n")
 
     def interp(p):
         pos = p * (F.col("__n") - 1)
         lo = F.element_at("__m", F.floor(pos)).cast("double")
         hi = F.element_at("__m", F.ceil(pos)).cast("double")
         return lo + (pos - F.floor(pos)) * (hi - lo)
-    return k.select(*group_cols, F.col("__n").alias("n_values"), F.transform(parr, interp).alias(out))
-
+    return k.where("__m IS NOT NULL AND __n IS NOT NULL") \
+        .select(*group_cols, F.col("__n").alias("n_values"), F.transform(parr, interp).alias(out))
 
-# A column with up to this many distinct values per group is summarised by
-# the built-in exact ``percentile`` (a value -> count map per group in one
-# task); above it the distributed path is used.
-PERCENTILE_MAP_LIMIT = 2_000_000
 
-
-def quantiles(long: DataFrame, value: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-              out: str = "quantiles", limit: int = PERCENTILE_MAP_LIMIT) -> DataFrame:
-    """Exact quantiles, choosing the plan by a checked bound: the distinct
-    count (``approx_count_distinct``, one cheap aggregate) decides between
-    the built-in map-based ``percentile`` and ``exact_quantiles``."""
-    group_cols = list(group_cols)
-    nd = long.agg(F.approx_count_distinct(value).alias("d")).first()["d"] or 0
-    if nd <= limit:
-        g = long.where(F.col(value).isNotNull()).groupBy(*group_cols)
-        return g.agg(F.count(F.lit(1)).alias("n_values"), F.percentile(F.col(value), [float(p) for p in probs]).alias(out))
-    return exact_quantiles(long, value, probs, group_cols, out)
+quantiles = exact_quantiles
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group_cols: Sequence[str] = (),
-                     out: str = "quantiles", limit: int = PERCENTILE_MAP_LIMIT) -> DataFrame:
+                     out: str = "quantiles") -> DataFrame:
     """Exact quantiles of several columns (per group) in one plan: the
     columns are unpivoted to (column_name, value) and summarised by
-    ``quantiles``, so a continuous column never has its distinct values
-    merged in one task.  Returns (*group_cols, column_name, n_values, out);
+    ``exact_quantiles``.  Returns (*group_cols, column_name, n_values, out);
     a column or group without values has no row."""
     group_cols = list(group_cols)
     long = df.select(*group_cols, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("__v")) for c in cols])).alias("__p")) \
         .select(*group_cols, "__p.column_name", "__p.__v")
-    return quantiles(long, "__v", probs, [*group_cols, "column_name"], out, limit)
+    return exact_quantiles(long, "__v", probs, [*group_cols, "column_name"], out)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], prefix: str = "q_") -> DataFrame:

@@ -35,13 +35,6 @@ def _per_column(df: DataFrame, cols: Sequence[str], make: callable) -> DataFrame
     return agg.select(F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """Q3: (column, dtype) as a table."""
-    spark = df.sparkSession
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                                 "column string, dtype string")
-
-
 def missingness_report(df: DataFrame, cols: Sequence[str] | None = None, distinct: bool = True,
                        approx_distinct: bool = False) -> DataFrame:
     """Q1/Q2: per column dtype, missing count and rate, distinct count."""
@@ -155,11 +148,7 @@ def zscore_flags(df: DataFrame, cols: Sequence[str], limit: float = 3.0) -> Data
     return j.drop(*[f"__m_{c}" for c in cols], *[f"__s_{c}" for c in cols])
 
 
-SUSPICIOUS_TERMS = ["price", "saleprice", "sold", "sale", "target", "prediction", "label", "outcome"]
-
-
-def leakage_audit(df: DataFrame, target: str, terms: Sequence[str] = SUSPICIOUS_TERMS,
-                  corr_limit: float = 0.9) -> DataFrame:
+def leakage_audit(df: DataFrame, target: str, terms: Sequence[str], corr_limit: float = 0.9) -> DataFrame:
     """Q19: per column, a name flag (suspicious term) and a correlation flag
     (|corr with target| > limit), from one aggregate of ``corr``."""
     cols = [c for c in df.columns if c != target]
@@ -204,7 +193,8 @@ def fingerprint(df: DataFrame, row_text: Column) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("hash_xor"), F.sum(h).alias("hash_sum"))
 
 
-def sum_constraint_share(df: DataFrame, parts: Sequence[str], lo: float = 95.0, hi: float = 100.0 + 5.0) -> DataFrame:
-    """Q25: share of rows whose parts (NULL as 0) add up to within [lo, hi]."""
+def sum_constraint_share(df: DataFrame, parts: Sequence[str], lo: float = 95.0, hi: float = 105.0) -> DataFrame:
+    """Q25: share of rows whose parts (NULL as 0) add up to within [lo, hi].
+    The default limits are fixed values of the check (percentages)."""
     total = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in parts), F.lit(0.0))
     return df.agg(F.count(F.lit(1)).alias("n"), F.avg(flag(total.between(lo, hi)).cast("double")).alias("share_in_range"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathom.functions.special import sql_chi2_sf, sql_norm_cdf
+from fathom.session import cut_lineage
 
 
 def avg_rank(order: Column, partition: list[str], tie_key: Column) -> Column:
@@ -28,31 +29,35 @@ def oof_group_mean_scores(df: DataFrame, y: str, fold_col: str, k: int, models:
     """(model, fold, split, rmse) for group-mean models: every row is
     predicted, for each held-out fold i, by the mean over rows outside fold
     i with the same key (overall mean outside i when the key is unseen).
-    Test rows are fold i, training rows the rest.  All models share one
-    pass: rows are exploded to (model, key) pairs, so the per-(model, key,
-    fold) sums are one aggregate and no model is refitted k times."""
+    Test rows are fold i, training rows the rest.  A fold's squared error
+    about a prediction p is sum y^2 - 2 p sum y + n p^2, so everything comes
+    from one aggregate per (model, key, fold); y is centred first, which keeps
+    the squares small."""
+    at = df.agg(F.count(F.lit(1)).alias("an"), F.avg(y).alias("am"))  # one row
     pairs = F.array(*[F.struct(F.lit(name).alias("model"),
                                (key if key is not None else F.lit("")).cast("string").alias("k"))
                       for name, key in models.items()])
-    d = df.select(F.col(y).alias("__y"), F.col(fold_col).alias("__f"), F.explode(pairs).alias("__p")) \
+    d = df.crossJoin(F.broadcast(at)).select((F.col(y) - F.col("am")).alias("__y"), F.col(fold_col).alias("__f"),
+                                             F.explode(pairs).alias("__p")) \
         .select("__y", "__f", F.col("__p.model").alias("model"), F.col("__p.k").alias("__k"))
-    kf = d.groupBy("model", "__k", "__f").agg(F.count(F.lit(1)).alias("kn"), F.sum("__y").alias("ks"))
+    kf = cut_lineage(d.groupBy("model", "__k", "__f").agg(
+        F.count(F.lit(1)).alias("kn"), F.sum("__y").alias("ks"), F.sum(F.col("__y") * F.col("__y")).alias("kq")))
     kt = kf.groupBy("model", "__k").agg(F.sum("kn").alias("tn"), F.sum("ks").alias("ts"))
-    base = df.select(F.col(y).alias("__y"), F.col(fold_col).alias("__f"))
-    ft = base.groupBy("__f").agg(F.count(F.lit(1)).alias("fn"), F.sum("__y").alias("fs"))  # k rows
-    at = base.agg(F.count(F.lit(1)).alias("an"), F.sum("__y").alias("as"))  # one row
-    ex = d.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    kfi = kf.select("model", "__k", F.col("__f").alias("__i"), "kn", "ks")
-    fti = ft.select(F.col("__f").alias("__i"), "fn", "fs")
-    j = ex.join(kfi, ["model", "__k", "__i"], "left").join(kt, ["model", "__k"]) \
-        .join(F.broadcast(fti), "__i").crossJoin(F.broadcast(at))
-    n_out = F.col("tn") - F.coalesce("kn", F.lit(0))
-    pred = F.when(n_out > 0, (F.col("ts") - F.coalesce("ks", F.lit(0.0))) / n_out) \
+    ft = kf.groupBy("model", "__f").agg(F.sum("kn").alias("fn"), F.sum("ks").alias("fs"))
+    ft = ft.groupBy(F.col("__f").alias("__i")).agg(F.max("fn").alias("fn"), F.max("fs").alias("fs"))  # k rows
+    held = kf.select("model", "__k", F.col("__f").alias("__i"), F.col("kn").alias("on"), F.col("ks").alias("os"))
+    tot = ft.agg(F.sum("fn").alias("an"), F.sum("fs").alias("as"))
+    j = kf.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))) \
+        .join(held, ["model", "__k", "__i"], "left").join(kt, ["model", "__k"]) \
+        .join(F.broadcast(ft), "__i").crossJoin(F.broadcast(tot))
+    n_out = F.col("tn") - F.coalesce("on", F.lit(0))
+    pred = F.when(n_out > 0, (F.col("ts") - F.coalesce("os", F.lit(0.0))) / n_out) \
         .otherwise((F.col("as") - F.col("fs")) / (F.col("an") - F.col("fn")))
-    return j.withColumn("__e", F.col("__y") - pred) \
+    sse = F.col("kq") - 2 * F.col("__pred") * F.col("ks") + F.col("kn") * F.col("__pred") * F.col("__pred")
+    return j.withColumn("__pred", pred) \
         .groupBy("model", F.col("__i").cast("int").alias("fold"),
                  F.when(F.col("__f") == F.col("__i"), "test").otherwise("train").alias("split")) \
-        .agg(F.sqrt(F.avg(F.col("__e") * F.col("__e"))).alias("rmse"))
+        .agg(F.sqrt(F.sum(sse) / F.sum("kn")).alias("rmse"))
 
 
 def screening_table(scores: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from fathom.functions.special import norm_ppf
 from fathom.operators import folds, ml
 from fathom.plans.models import REG_FEATURES, li_table
 from fathom.plans.registry import query
+from fathom.session import cut_lineage
 from fathom.plans.slice import SQL_SCORED_ORDERS, scored_orders
 
 QQ_N = 20
@@ -38,6 +39,13 @@ def qq_points(spark, sf_dir):
                     rnd((F.element_at("qs", F.col("i") + 1) - F.col("m")) / F.col("sd"), 8).alias("sample"))
 
 
+# sizes of the diagnostics
+ALPHAS = [10.0 ** (e / 2) for e in range(-6, 7)]   # 13 ridge penalties
+DEPTHS = range(1, 20)
+PERMUTATIONS = 30
+REPLICATES = 100
+
+
 def _split(spark, sf_dir):
     d = li_table(spark, sf_dir)
     return d.where("split = 'train'"), d.where("split = 'test'")
@@ -66,7 +74,7 @@ def validation_curve(spark, sf_dir):
     gt = ml.gram(train, REG_FEATURES, ["label"])
     ge = ml.gram(test, REG_FEATURES, ["label"])
     rows = []
-    for alpha in [10.0 ** e for e in range(-3, 6)]:
+    for alpha in ALPHAS:
         beta = ml.ridge_solve(gt, alpha)
         for name, g in (("train", gt), ("test", ge)):
             sse = g["yy"][0] - 2 * beta @ g["xy"][:, 0] + beta @ g["xx"] @ beta
@@ -80,7 +88,7 @@ def depth_sweep(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     ev = RegressionEvaluator(metricName="rmse")
     rows = []
-    for depth in (1, 2, 4, 6, 8):
+    for depth in DEPTHS:
         m = DecisionTreeRegressor(maxDepth=depth, seed=42).fit(train)
         rows.append((depth, ev.evaluate(m.transform(train)), ev.evaluate(m.transform(test))))
     return spark.createDataFrame(rows, "max_depth int, train_rmse double, test_rmse double")
@@ -101,27 +109,28 @@ def partial_dependence(spark, sf_dir):
 @query("permutation_importance", ["E50"])
 def permutation_importance(spark, sf_dir):
     """Increase in test RMSE when one feature's values are permuted across
-    rows: values are re-assigned by joining hash-order ranks (repeats by salt)."""
+    rows.  Rows are ranked once in hash order; repeat r gives each row the
+    value of the row a hashed number of ranks further on, so all repeats and
+    features come from one join on the rank and one aggregate."""
     from fathom.operators.ordered import row_numbers
     train, test = _split(spark, sf_dir)
     m = LinearRegression().fit(train)
-    ev = RegressionEvaluator(metricName="rmse")
-    base = ev.evaluate(m.transform(test))
-    t = test.drop("features").withColumn("__k", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    own = row_numbers(t, ["__k"], name="__slot")
-    rows = []
-    for rep in range(3):
-        # one hash-order permutation per repeat, shared by all features
-        donor = row_numbers(t.select("__k", *[F.col(f).alias(f"__v_{f}") for f in REG_FEATURES])
-                            .withColumn("__h", salted_h32("__k", f"perm{rep}")), ["__h", "__k"], name="__slot")
-        donor = donor.drop("__k", "__h")
-        for feat in REG_FEATURES:
-            shuffled = own.drop(feat).join(donor.select("__slot", F.col(f"__v_{feat}").alias(feat)), "__slot")
-            sc = m.transform(VectorAssembler(inputCols=REG_FEATURES, outputCol="features").transform(shuffled))
-            rows.append((feat, rep, ev.evaluate(sc) - base))
-    res = spark.createDataFrame(rows, "feature string, repeat int, rmse_increase double")
-    return res.groupBy("feature").agg(F.avg("rmse_increase").alias("importance_mean"),
-                                      F.stddev("rmse_increase").alias("importance_std"))
+    coef = {c: float(v) for c, v in zip(REG_FEATURES, m.coefficients.toArray())}
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    t = m.transform(test).select(*REG_FEATURES, "label", "prediction", key.alias("__k")) \
+        .withColumn("__h", salted_h32("__k", "perm"))
+    own = cut_lineage(row_numbers(t, ["__h", "__k"], name="__slot"))
+    n = own.count()
+    rep = F.explode(F.sequence(F.lit(0), F.lit(PERMUTATIONS - 1)))
+    shift = 1 + salted_h32(F.col("rep").cast("string"), "shift") % max(n - 1, 1)
+    want = own.withColumn("rep", rep).withColumn("__from", (F.col("__slot") - 1 + shift) % n + 1)
+    donor = own.select(F.col("__slot").alias("__from"), *[F.col(f).alias(f"__v_{f}") for f in REG_FEATURES])
+    e = F.col("label") - F.col("prediction")
+    moved = want.join(donor, "__from").groupBy("rep").agg(F.sqrt(F.avg(e * e)).alias("base"), *[
+        F.sqrt(F.avg(F.pow(e - coef[f] * (F.col(f"__v_{f}") - F.col(f)), 2))).alias(f) for f in REG_FEATURES])
+    long = moved.select("rep", F.explode(F.array(*[F.struct(
+        F.lit(f).alias("feature"), (F.col(f) - F.col("base")).alias("up")) for f in REG_FEATURES])).alias("x"))
+    return long.groupBy("x.feature").agg(F.avg("x.up").alias("importance_mean"), F.stddev("x.up").alias("importance_std"))
 
 
 @query("importance_selection", ["L22", "L25", "L21"])
@@ -155,7 +164,7 @@ def bootstrap_band(spark, sf_dir):
     band per test row from the replicate coefficients."""
     import numpy as np
     train, test = _split(spark, sf_dir)
-    reps = 30
+    reps = REPLICATES
     w = folds.bootstrap_weights(train.select(*REG_FEATURES, "label", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
                                 ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], reps)
     grams = ml.gram_by(w, REG_FEATURES, ["label"], "replicate", weight=F.col("weight").cast("double"))
@@ -163,13 +172,16 @@ def bootstrap_band(spark, sf_dir):
     b = np.array(betas)
     coef = spark.createDataFrame([(i, *[float(x) for x in row]) for i, row in enumerate(b)],
                                  "rep int, b0 double, " + ", ".join(f"b{j + 1} double" for j in range(len(REG_FEATURES))))
-    pred = F.col("b0")
-    for j, c in enumerate(REG_FEATURES):
-        pred = pred + F.col(f"b{j + 1}") * F.col(c)
     t = test.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *REG_FEATURES, "label")
-    p = t.crossJoin(F.broadcast(coef)).withColumn("p", pred)   # reps rows, fixed
-    band = p.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label").agg(
-        F.percentile("p", 0.05).alias("lower"), F.percentile("p", 0.95).alias("upper"))
+    made = F.sort_array(F.transform("coefs", lambda r: sum(
+        (r[f"b{j + 1}"] * F.col(c) for j, c in enumerate(REG_FEATURES)), r["b0"])))
+    # the replicate predictions of a row are one array: no copies of the row, no shuffle
+    rows = t.crossJoin(F.broadcast(coef.agg(F.collect_list(F.struct(*coef.columns)).alias("coefs")))).select("label", made.alias("p"))
+    def at(q):
+        pos = q * (reps - 1)
+        lo = F.element_at("p", int(pos) + 1)
+        return lo + (pos - int(pos)) * (F.element_at("p", min(int(pos) + 2, reps)) - lo)
+    band = rows.select("label", at(0.05).alias("lower"), at(0.95).alias("upper"))
     return band.agg(F.avg(F.col("label").between(F.col("lower"), F.col("upper")).cast("double")).alias("coverage"),
                     F.avg(F.col("upper") - F.col("lower")).alias("mean_width"), F.count(F.lit(1)).alias("n"))
 

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from fathom.functions.hashing import key_text, salted_h32, sql_key_text, sql_salted_h32
 from fathom.functions.numeric import rnd, safe_div, sql_rnd
 from fathom.operators import features as X
 from fathom.plans.common import LI_KEY, SQL_LI_MISSING, coords, lineitem_missing, sql_coords
@@ -170,12 +171,32 @@ def geo_features(spark, sf_dir):
                     rnd(F.abs(F.col("lon") + 120.0), 6).alias("coast_proxy"), rnd(F.col("lat") * F.col("lon"), 6).alias("lat_x_lon"))
 
 
-@query("noise_robustness", ["X25", "E40"])
+NOISE_LEVELS = (0.0, 0.05, 0.1, 0.2, 0.5)   # in standard deviations of the input
+_LI_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def _sql_unit(salt: str) -> str:
+    return f"(({sql_salted_h32(sql_key_text(*_LI_KEY), salt)} + 0.5e0) / 4294967296.0e0)"
+
+
+@query("noise_robustness", ["X25", "E40"], sql=f"""
+WITH s AS (SELECT stddev_pop(l_quantity) AS sd, regr_slope(l_extendedprice, l_quantity) AS b,
+                  regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem),
+z AS (SELECT l_quantity, l_extendedprice,
+             sqrt(-2.0e0 * ln({_sql_unit('noise_r')})) * cos(2.0e0 * pi() * {_sql_unit('noise_a')}) AS z FROM lineitem)
+SELECT level, {sql_rnd('sqrt(avg(power(l_extendedprice - (a + b * (l_quantity + level * sd * z)), 2)))', 2)} AS rmse
+FROM z CROSS JOIN s CROSS JOIN (SELECT unnest([{', '.join(f'{x}e0' for x in NOISE_LEVELS)}]) AS level) GROUP BY level
+""")
 def noise_robustness(spark, sf_dir):
-    """RMSE of the group-mean price model as Gaussian noise is added to the
-    target (rows check: randn depends on partitioning)."""
-    from fathom.plans.slice import scored_orders
-    s = scored_orders(spark, sf_dir).where(F.col("split") == "test")
-    lv = s.withColumn("sigma", F.explode(F.array(*[F.lit(x) for x in [0.0, 1000.0, 10000.0, 50000.0]])))
-    noisy = lv.withColumn("y_noisy", F.col("o_totalprice") + F.randn(7) * F.col("sigma"))
-    return noisy.groupBy("sigma").agg(F.sqrt(F.avg((F.col("y_noisy") - F.col("pred")) ** 2)).alias("rmse"))
+    """RMSE of the price line over quantity as Gaussian noise is added to its
+    input.  The noise is a hash normal (Box-Muller on two salted row hashes),
+    so it does not depend on partitioning."""
+    li = Tables(spark, sf_dir).lineitem
+    s = li.agg(F.stddev_pop("l_quantity").alias("sd"), F.regr_slope("l_extendedprice", "l_quantity").alias("b"),
+               F.regr_intercept("l_extendedprice", "l_quantity").alias("a"))
+    unit = lambda salt: (salted_h32(key_text(*_LI_KEY), salt) + 0.5) / 4294967296.0
+    z = F.sqrt(-2.0 * F.log(unit("noise_r"))) * F.cos(2.0 * F.pi() * unit("noise_a"))
+    rows = li.select("l_quantity", "l_extendedprice", z.alias("z"),
+                     F.explode(F.array(*[F.lit(x) for x in NOISE_LEVELS])).alias("level")).crossJoin(F.broadcast(s))
+    err = F.col("l_extendedprice") - (F.col("a") + F.col("b") * (F.col("l_quantity") + F.col("level") * F.col("sd") * F.col("z")))
+    return rows.groupBy("level").agg(rnd(F.sqrt(F.avg(F.pow(err, 2))), 2).alias("rmse"))

@@ -151,6 +151,33 @@ def ordinal_onehot(spark, sf_dir):
         .withColumn("has_onehot_column", (F.col("code") > 0).cast("int"))
 
 
+@query("one_hot", ["L8", "L9"], sql="""
+WITH tr AS (SELECT p_brand, count(*) AS n FROM part WHERE p_size <= 25 GROUP BY p_brand),
+ls AS (SELECT DISTINCT l_linestatus FROM lineitem)
+SELECT 'brand' AS encoder, 'p_brand_' || tr.p_brand AS term, count(part.p_brand) AS n_ones
+FROM tr LEFT JOIN part USING (p_brand) WHERE tr.n >= 40 GROUP BY ALL
+UNION ALL SELECT 'brand', 'p_brand_infrequent', count(*) FROM part JOIN tr USING (p_brand) WHERE tr.n < 40
+UNION ALL SELECT 'status', 'l_linestatus_' || l_linestatus, count(*) FROM lineitem
+  WHERE l_linestatus <> (SELECT min(l_linestatus) FROM ls) OR (SELECT count(*) FROM ls) <> 2 GROUP BY ALL
+UNION ALL SELECT 'status', 'l_linestatus_infrequent', 0
+""")
+def one_hot(spark, sf_dir):
+    """Indicator columns with pooled rare levels (brands fitted on part of
+    the rows) and with the binary drop rule, summed per column."""
+    t = Tables(spark, sf_dir)
+    out = None
+    for name, fitted, df, col, low, drop in (
+            ("brand", t.part.where(F.col("p_size") <= 25), t.part, "p_brand", 40, None),
+            ("status", t.lineitem, t.lineitem, "l_linestatus", 1, "if_binary")):
+        hot = learned.apply_one_hot(df.select(col), learned.fit_one_hot(fitted, col, low, drop), col)
+        terms = [c for c in hot.columns if c != col]
+        sums = hot.agg(*[F.sum(f"`{c}`").alias(c) for c in terms]).select(F.explode(F.array(*[
+            F.struct(F.lit(name).alias("encoder"), F.lit(c).alias("term"),
+                     F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias("n_ones")) for c in terms])).alias("x")).select("x.*")
+        out = sums if out is None else out.unionByName(sums)
+    return out
+
+
 @query("target_encode", ["L11", "J1"], sql=f"""
 WITH c AS (SELECT c_custkey, c_mktsegment, c_acctbal, {C_SPLIT_SQL} AS split FROM customer),
 g AS (SELECT avg(c_acctbal) AS gm FROM c WHERE split = 'train'),
@@ -250,26 +277,69 @@ FS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 @query("univariate_f_score", ["L23"], sql="\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, {sql_rnd(f'corr({c}, l_extendedprice)', 6)} AS r, "
-    f"{sql_rnd(f'power(corr({c}, l_extendedprice), 2) / (1 - power(corr({c}, l_extendedprice), 2)) * (count(*) - 2)', 6)} AS f_score, "
-    f"CAST(row_number() OVER () AS INTEGER) * 0 AS dummy FROM lineitem" for c in FS).replace(
-    ", CAST(row_number() OVER () AS INTEGER) * 0 AS dummy", ""))
+    f"{sql_rnd(f'power(corr({c}, l_extendedprice), 2) / (1 - power(corr({c}, l_extendedprice), 2)) * (count(*) - 2)', 6)} AS f_score FROM lineitem" for c in FS))
 def univariate_f_score(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.withColumn("l_linenumber", F.col("l_linenumber").cast("double"))
     r = learned.f_scores(li, FS, "l_extendedprice")
     return r.select("feature", rnd("r", 6).alias("r"), rnd("f_score", 6).alias("f_score"))
 
 
-@query("mutual_info_binned", ["L24", "A8"], sql="""
-WITH b AS (SELECT least(CAST(floor(l_quantity / 5.0e0) AS INTEGER), 9) AS xb,
-                  least(CAST(floor(l_extendedprice / 10000.0e0) AS INTEGER), 9) AS yb FROM lineitem),
-j AS (SELECT xb, yb, count(*) AS nxy FROM b GROUP BY ALL),
-px AS (SELECT xb, sum(nxy) AS nx FROM j GROUP BY xb), py AS (SELECT yb, sum(nxy) AS ny FROM j GROUP BY yb),
-t AS (SELECT sum(nxy) AS n FROM j)
-SELECT """ + sql_rnd("sum(nxy / n * ln(nxy * n / (nx * ny)))", 8) + """ AS mutual_info
-FROM j JOIN px USING (xb) JOIN py USING (yb) CROSS JOIN t
+N_BINS = 10
+_MI_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_EDGES_SQL = "[" + ", ".join(f"{i / N_BINS}e0" for i in range(1, N_BINS)) + "]"
+
+
+def _sql_bin(col: str, edges: str) -> str:
+    return f"len(list_filter({edges}, lambda e: e < {col}))"
+
+
+def _sql_mi(x: str) -> str:
+    return f"""
+q_{x} AS (SELECT quantile_cont({x}, {_EDGES_SQL}) AS ex, quantile_cont(l_extendedprice, {_EDGES_SQL}) AS ey,
+                corr({x}, l_extendedprice) AS r FROM lineitem),
+j_{x} AS (SELECT {_sql_bin(x, 'ex')} AS xb, {_sql_bin('l_extendedprice', 'ey')} AS yb, count(*) AS nxy
+          FROM lineitem CROSS JOIN q_{x} GROUP BY ALL),
+m_{x} AS (SELECT sum(nxy / n * ln(nxy * n / (nx * ny))) AS mi
+          FROM (SELECT *, sum(nxy) OVER (PARTITION BY xb) AS nx, sum(nxy) OVER (PARTITION BY yb) AS ny,
+                       sum(nxy) OVER () AS n FROM j_{x}))"""
+
+
+def _count_below(c):
+    return lambda acc, e: acc + F.when(e < F.col(c), 1).otherwise(0)
+
+
+def _quantile_bins(df, cols):
+    """Equal-frequency bin of each column: how many of its exact decile edges lie below the value."""
+    from fathom.operators.ordered import quantile_row
+    edges = quantile_row(df, cols, [i / N_BINS for i in range(1, N_BINS)], "__e_")
+    j = df.crossJoin(F.broadcast(edges))
+    return j.withColumns({f"b_{c}": F.aggregate(f"__e_{c}", F.lit(0), _count_below(c)) for c in cols})
+
+
+@query("mutual_info_binned", ["L24"], sql="WITH" + _sql_mi("l_quantity") + f"""
+SELECT {sql_rnd('mi', 8)} AS mutual_info FROM m_l_quantity
 """)
 def mutual_info_binned(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem
-    xb = F.least(F.floor(F.col("l_quantity") / 5.0).cast("int"), F.lit(9))
-    yb = F.least(F.floor(F.col("l_extendedprice") / 10000.0).cast("int"), F.lit(9))
-    return learned.binned_mutual_information(li, xb, yb).select(rnd("mutual_info", 8).alias("mutual_info"))
+    li = _quantile_bins(Tables(spark, sf_dir).lineitem.select("l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"])
+    return learned.binned_mutual_information(li, F.col("b_l_quantity"), F.col("b_l_extendedprice")).select(
+        rnd("mutual_info", 8).alias("mutual_info"))
+
+
+@query("pearson_mi_discrepancy", ["A8"], sql="WITH" + ",".join(_sql_mi(x) for x in _MI_FEATURES) + "\nUNION ALL\n".join(
+    f"""
+SELECT '{x}' AS feature, {sql_rnd('abs(r)', 8)} AS abs_pearson, {sql_rnd('mi', 8)} AS mutual_info,
+       {sql_rnd('sqrt(1 - exp(-2 * mi)) - abs(r)', 6)} AS discrepancy FROM m_{x} CROSS JOIN q_{x}""" for x in _MI_FEATURES))
+def pearson_mi_discrepancy(spark, sf_dir):
+    """Dependence that the linear correlation misses: the correlation that a
+    Gaussian pair with this mutual information has, less |Pearson|."""
+    y = "l_extendedprice"
+    li = _quantile_bins(Tables(spark, sf_dir).lineitem.select(*_MI_FEATURES, y), [*_MI_FEATURES, y])
+    out = None
+    for x in _MI_FEATURES:
+        mi = learned.binned_mutual_information(li, F.col(f"b_{x}"), F.col(f"b_{y}"))
+        r = li.agg(F.abs(F.corr(x, y)).alias("r"))
+        row = mi.crossJoin(r).select(F.lit(x).alias("feature"), rnd("r", 8).alias("abs_pearson"),
+                                     rnd("mutual_info", 8).alias("mutual_info"),
+                                     rnd(F.sqrt(1 - F.exp(-2 * F.col("mutual_info"))) - F.col("r"), 6).alias("discrepancy"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -79,7 +79,19 @@ def classifier_screening(spark, sf_dir):
         .orderBy(F.desc("test_auc"))
 
 
-@query("regressor_screening", ["M2", "M3", "M5", "M6", "M11", "M23", "E51"])
+@query("coefficients", ["E51"])
+def coefficients(spark, sf_dir):
+    """Signed coefficients of the linear models and importances of the forest, one row per model and feature."""
+    train = li_table(spark, sf_dir).where("split = 'train'")
+    out = None
+    for name, est in (("ols", LinearRegression()), ("lasso", LinearRegression(regParam=1.0, elasticNetParam=1.0)),
+                      ("random_forest", RandomForestRegressor(numTrees=30, maxDepth=6, seed=42))):
+        part = ml.coefficient_table(est.fit(train), REG_FEATURES, name, spark)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("regressor_screening", ["M2", "M3", "M5", "M6", "M11", "M23"])
 def regressor_screening(spark, sf_dir):
     d = li_table(spark, sf_dir).cache()
     train, test = d.where("split = 'train'"), d.where("split = 'test'")
@@ -167,8 +179,9 @@ def ensemble_stack_calibrate(spark, sf_dir):
 def gram_models(spark, sf_dir):
     """Nested-set R^2 (H6), Bayesian ridge (M12) and a two-target least
     squares (M19), all from one Gram-matrix aggregate."""
-    li = Tables(spark, sf_dir).lineitem
-    g = ml.gram(li, ["l_quantity", "l_discount", "l_tax"], ["l_extendedprice", "l_quantity"])
+    li = Tables(spark, sf_dir).lineitem.withColumn(
+        "ship_day", F.datediff("l_shipdate", F.lit("1992-01-01")).cast("double"))
+    g = ml.gram(li, ["l_quantity", "l_discount", "l_tax"], ["l_extendedprice", "ship_day"])
     rows = [("uplift_r2", s, float(r)) for s, r in ml.nested_uplift(g, [["l_quantity"], ["l_quantity", "l_discount"],
                                                                         ["l_quantity", "l_discount", "l_tax"]])]
     br = ml.bayesian_ridge(g, 0)
@@ -176,7 +189,7 @@ def gram_models(spark, sf_dir):
     rows.append(("bayes_ridge_alpha", "noise_precision", br["alpha"]))
     std = li.select(ml.predictive_std(li, ["l_quantity", "l_discount", "l_tax"], br).alias("s")).agg(F.avg("s")).first()[0]
     rows.append(("bayes_ridge_mean_std", "per_row", float(std)))
-    for k, t in enumerate(["l_extendedprice", "l_quantity"]):
+    for k, t in enumerate(["l_extendedprice", "ship_day"]):
         beta = ml.ridge_solve(g, 0.0, k)
         rows += [(f"multi_output_{t}", n, float(b)) for n, b in zip(g["names"], beta)]
     return spark.createDataFrame(rows, "report string, term string, value double")

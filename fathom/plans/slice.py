@@ -12,14 +12,14 @@ from fathom.plans.registry import query
 from fathom.sources.tables import Tables
 
 
-def scored_orders(spark, sf_dir):
+def scored_orders(spark, sf_dir, smoothing: float = 10.0):
     """Orders with a hash split and the smoothed group-mean prediction
     learnt on training rows (shared by the regression queries)."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus",
                                             "o_totalprice", "o_orderdate")
     o = folds.holdout(o, ["o_orderkey"], 80, "split")
     train = o.where(F.col("split") == "train")
-    state = learned.fit_target_encoding(train, "o_orderpriority", "o_totalprice", smoothing=10.0)
+    state = learned.fit_target_encoding(train, "o_orderpriority", "o_totalprice", smoothing=smoothing)
     return learned.apply_target_encoding(o, state, "o_orderpriority", "pred")
 
 

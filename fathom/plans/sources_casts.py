@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from fathom.functions.hashing import sql_bucket, sql_key_text
 from fathom.functions.numeric import clean_double, rnd, sql_rnd
 from fathom.plans.registry import query
 from fathom.session import ensure_checkpoint_dir
@@ -129,18 +130,34 @@ def json_report_sink(spark, sf_dir):
     return spark.read.json(path)
 
 
-@query("experiment_log", ["Q24", "M22"])
+RUNS = (("run-0", 10.0, "production"), ("run-1", 0.0, "staging"))
+
+
+@query("experiment_log", ["Q24", "M22"], sql=f"""
+WITH o AS (
+  SELECT *, CASE WHEN {sql_bucket(sql_key_text('o_orderkey'), 'split')} < 80 THEN 'train' ELSE 'test' END AS split FROM orders),
+g AS (SELECT avg(o_totalprice) AS gmean FROM o WHERE split = 'train'),
+lv AS (SELECT o_orderpriority, count(*) AS n, avg(o_totalprice) AS m FROM o WHERE split = 'train' GROUP BY 1),
+r AS (SELECT * FROM (VALUES ('run-0', 10.0e0, 'production'), ('run-1', 0.0e0, 'staging')) AS t(run_id, smoothing, status)),
+e AS (SELECT run_id, smoothing, status,
+             o_totalprice - coalesce((n * m + smoothing * gmean) / (n + smoothing), gmean) AS err
+      FROM r CROSS JOIN g CROSS JOIN (SELECT * FROM o LEFT JOIN lv USING (o_orderpriority)) AS j WHERE split = 'test')
+SELECT run_id, 'group_mean_priority' AS model, 'smoothing=' || CAST(CAST(smoothing AS INTEGER) AS VARCHAR) AS params,
+       {sql_rnd('sqrt(avg(err * err))', 4)} AS rmse, {sql_rnd('avg(abs(err))', 4)} AS mae, status
+FROM e GROUP BY run_id, smoothing, status
+""")
 def experiment_log(spark, sf_dir):
-    """Runs and model records appended to a registry table."""
+    """Runs and model records appended to a registry table: every run is
+    fitted and scored with its own parameters."""
     from fathom.plans.slice import scored_orders
-    so = scored_orders(spark, sf_dir).where(F.col("split") == "test")
-    m = so.agg(F.sqrt(F.avg((F.col("o_totalprice") - F.col("pred")) ** 2)).alias("rmse"),
-               F.avg(F.abs(F.col("o_totalprice") - F.col("pred"))).alias("mae"))
     path = _scratch(spark, "runs")
-    for run, (model, params) in enumerate([("group_mean_priority", "smoothing=10"), ("group_mean_priority", "smoothing=0")]):
-        rec = m.select(F.lit(f"run-{run}").alias("run_id"), F.lit(model).alias("model"), F.lit(params).alias("params"),
-                       "rmse", "mae", F.lit("staging" if run else "production").alias("status"))
-        rec.write.mode("append").parquet(path)
+    for run, smoothing, status in RUNS:
+        so = scored_orders(spark, sf_dir, smoothing).where(F.col("split") == "test")
+        err = F.col("o_totalprice") - F.col("pred")
+        so.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae")).select(
+            F.lit(run).alias("run_id"), F.lit("group_mean_priority").alias("model"),
+            F.lit(f"smoothing={smoothing:.0f}").alias("params"), rnd("rmse", 4).alias("rmse"), rnd("mae", 4).alias("mae"),
+            F.lit(status).alias("status")).write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -163,12 +180,12 @@ def batch_scoring(spark, sf_dir):
     contract.require_columns(new, CLS_FEATURES)
     scored = model.transform(new)
     from fathom.operators.ml import positive_probability
-    s = positive_probability(scored, out="survival_probability")
+    s = positive_probability(scored, out="probability")
     thr = 0.5
-    return s.select("doc_id", "survival_probability",
-                    (F.col("survival_probability") >= thr).cast("int").alias("predicted"),
+    return s.select("doc_id", "probability",
+                    (F.col("probability") >= thr).cast("int").alias("predicted"),
                     F.lit(thr).alias("decision_threshold"),
-                    (F.abs(F.col("survival_probability") - thr) < 0.10).alias("low_confidence"),
+                    (F.abs(F.col("probability") - thr) < 0.10).alias("low_confidence"),
                     (~F.col("log_chars").between(0.0, 12.0)).alias("range_warning"),
-                    F.greatest(F.lit(0.0), F.col("survival_probability") - 0.1).alias("lower"),
-                    F.least(F.lit(1.0), F.col("survival_probability") + 0.1).alias("upper"))
+                    F.greatest(F.lit(0.0), F.col("probability") - 0.1).alias("lower"),
+                    F.least(F.lit(1.0), F.col("probability") + 0.1).alias("upper"))

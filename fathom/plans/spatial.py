@@ -140,6 +140,9 @@ def kde_log_density(spark, sf_dir):
     return k.select("id", rnd("log_density", 6).alias("log_density"))
 
 
+UNIFORM_SHARE = 0.01
+
+
 @query("kde_bandwidth_cv", ["L19", "L18"])
 def kde_bandwidth_cv(spark, sf_dir):
     """Mean held-out log density of customer points under a KDE built from
@@ -153,8 +156,11 @@ def kde_bandwidth_cv(spark, sf_dir):
         parts = []
         for i in range(3):
             k = G.kde_log_density(c.where(F.col("fold") == i), c.where(F.col("fold") != i), bw, 4.0)
-            parts.append(k.agg(F.avg("log_density").alias("ll"), F.count("log_density").alias("n_finite")).first())
-        rows.append((bw, float(sum(p["ll"] for p in parts if p["ll"] is not None) / 3), int(sum(p["n_finite"] for p in parts))))
+            # a small uniform part over the globe keeps the density of every point above zero
+            dens = (1 - UNIFORM_SHARE) * F.coalesce(F.exp("log_density"), F.lit(0.0)) + UNIFORM_SHARE / (180.0 * 360.0)
+            parts.append(k.agg(F.sum(F.log(dens)).alias("ll"), F.count(F.lit(1)).alias("n")).first())
+        n = sum(p["n"] for p in parts)
+        rows.append((bw, float(sum(p["ll"] or 0.0 for p in parts) / max(n, 1)), int(n)))
     return spark.createDataFrame(rows, "bandwidth double, mean_log_likelihood double, n_scored long") \
         .orderBy(F.desc("mean_log_likelihood"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.numeric import rnd, sql_rnd
 from fathom.operators import windows
-from fathom.plans.registry import query
+from fathom.plans.registry import ORACLES, query
 from fathom.sources.tables import Tables, table_path
 from fathom.streaming import monitor as S
 
@@ -66,33 +66,88 @@ def _events_stream(spark, sf_dir):
     return S.event_stream(spark, table_path(sf_dir, "events"))
 
 
-@query("stream_counters_live", ["T3", "S8"])
+@query("stream_counters_live", ["T3", "S8"], sql=ORACLES["stream_counters"])
 def stream_counters_live(spark, sf_dir):
-    out = S.run_available_now(S.counters(_events_stream(spark, sf_dir), "event_type"), "counters")
+    out = S.run_available_now(S.counters(_events_stream(spark, sf_dir), "event_type"), "counters", ["w", "event_type"])
     return out.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       "event_type", "n")
 
 
-@query("latency_stream", ["T2", "T4"])
+@query("latency_stream", ["T2"], sql=f"""
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_start, count(value) AS n, {sql_rnd('avg(value)', 6)} AS mean,
+       {sql_rnd('quantile_disc(value, 0.95)', 6)} AS p95, {sql_rnd('quantile_disc(value, 0.99)', 6)} AS p99
+FROM events GROUP BY 1
+""")
 def latency_stream(spark, sf_dir):
-    return S.run_available_now(S.latency_stats(_events_stream(spark, sf_dir), "value", "1 day", "1 day"), "latency")
+    """Per-window sketch quantiles (rank error 1e-4, so exact for windows of fewer than 10,000 rows)."""
+    out = S.run_available_now(S.latency_stats(_events_stream(spark, sf_dir), "value", "1 day", "1 day"), "latency", ["w"])
+    return out.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd").alias("window_start"), "n",
+                      *[rnd(c, 6).alias(c) for c in ("mean", "p95", "p99")])
+
+
+EDGES = (0.0, 5.0, 10.0, 25.0, 50.0, 100.0, 1000.0)
+
+
+@query("latency_histogram_stream", ["T4"], sql=f"""
+WITH b AS (SELECT date_trunc('day', ts) AS d, CASE {" ".join(
+    f"WHEN value >= {EDGES[i]}e0 AND value {'<=' if i == len(EDGES) - 2 else '<'} {EDGES[i + 1]}e0 THEN {i}"
+    for i in range(len(EDGES) - 1))} END AS bin FROM events)
+SELECT strftime(d, '%Y-%m-%d') AS window_start, CAST(bin AS INTEGER) AS bin, count(*) AS n FROM b
+WHERE bin IS NOT NULL GROUP BY ALL
+""")
+def latency_histogram_stream(spark, sf_dir):
+    out = S.run_available_now(S.bucket_histogram(_events_stream(spark, sf_dir), "value", EDGES, "1 day", "1 day"),
+                              "histogram", ["w", "bin"])
+    return out.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd").alias("window_start"), "bin", "n")
 
 
-@query("rolling_psi_stream", ["T1", "D6"])
+@query("validation_stream", ["T7"], sql="""
+SELECT CASE WHEN value IS NULL OR value < 1.0e0 THEN 'quarantine' ELSE 'accepted' END AS sink, event_type, count(*) AS n
+FROM events GROUP BY ALL
+""")
+def validation_stream(spark, sf_dir):
+    """One stream into an accepted and a quarantine sink, both read back."""
+    import uuid
+    from fathom.session import ensure_checkpoint_dir
+    root = f"{ensure_checkpoint_dir(spark)}/streams/valid-{uuid.uuid4().hex[:8]}"
+    S.validation_sinks(_events_stream(spark, sf_dir), F.col("value") < 1.0, root).awaitTermination()
+    both = [spark.read.parquet(f"{root}/{s}").select(F.lit(s).alias("sink"), "event_type") for s in ("accepted", "quarantine")]
+    return both[0].unionByName(both[1]).groupBy("sink", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+_REF_END = "2024-01-16 00:00:00"
+
+
+@query("rolling_psi_stream", ["T1"], sql=f"""
+WITH ref AS (SELECT value FROM events WHERE ts < TIMESTAMP '{_REF_END}' AND value IS NOT NULL),
+rg AS (SELECT min(value) AS lo, max(value) AS hi, (max(value) - min(value)) / 10 AS w, count(*) AS n FROM ref),
+sh AS (SELECT g.bin, coalesce(c.n, 0) / (SELECT n FROM rg) AS share FROM (SELECT unnest(range(10)) AS bin) g LEFT JOIN (
+  SELECT CASE WHEN value = hi THEN 9 ELSE CAST(floor((value - lo) / w) AS INTEGER) END AS bin, count(*) AS n
+  FROM ref, rg GROUP BY 1) c ON c.bin = g.bin),
+cur AS (SELECT date_trunc('day', ts) AS d, CASE WHEN value < lo OR value > hi THEN -1 WHEN value = hi THEN 9
+               ELSE CAST(floor((value - lo) / w) AS INTEGER) END AS bin, count(*) AS n
+        FROM events, rg WHERE value IS NOT NULL GROUP BY ALL),
+tot AS (SELECT d, sum(n) AS t FROM cur GROUP BY 1),
+j AS (SELECT tot.d, tot.t, sh.share + 1e-8 AS e, coalesce(cur.n, 0) / tot.t + 1e-8 AS a
+      FROM tot CROSS JOIN sh LEFT JOIN cur ON cur.d = tot.d AND cur.bin = sh.bin)
+SELECT strftime(d, '%Y-%m-%d') AS window_start, {sql_rnd('sum((a - e) * ln(a / e))', 6)} AS psi, CAST(max(t) AS BIGINT) AS n_current
+FROM j GROUP BY d
+""")
 def rolling_psi_stream(spark, sf_dir):
     """Daily PSI of incoming values against the reference-half bin shares."""
     e = Tables(spark, sf_dir).events
-    ref = e.where(F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
-    rng = ref.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()  # two scalars of state
+    ref = e.where((F.col("ts") < F.lit(_REF_END).cast("timestamp_ntz")) & F.col("value").isNotNull())
+    rng = ref.agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").alias("n")).first()  # three scalars
     lo, hi = float(rng["lo"]), float(rng["hi"])
     width = (hi - lo) / 10
     b = F.when(F.col("value") == hi, 9).otherwise(F.floor((F.col("value") - lo) / width).cast("int"))
-    n_ref = ref.count()
-    shares = ref.groupBy(b.alias("bin")).agg((F.count(F.lit(1)) / F.lit(n_ref)).alias("share"))
+    shares = ref.groupBy(b.alias("bin")).agg((F.count(F.lit(1)) / F.lit(rng["n"])).alias("share"))
     grid = spark.range(10).select(F.col("id").cast("int").alias("bin"))
     shares = grid.join(shares, "bin", "left").fillna({"share": 0.0})
-    counts = S.run_available_now(S.window_bin_counts(_events_stream(spark, sf_dir), "value", lo, hi, 10), "psi")
-    return S.psi_from_counts(counts, shares, 10)
+    counts = S.run_available_now(S.window_bin_counts(_events_stream(spark, sf_dir), "value", lo, hi, 10), "psi", ["w", "bin"])
+    out = S.psi_from_counts(counts, shares, 10)
+    return out.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd").alias("window_start"),
+                      rnd("psi", 6).alias("psi"), "n_current")
 
 
 @query("rate_limiter_stream", ["T5"])
@@ -114,17 +169,26 @@ def snapshot_report(spark, sf_dir):
     return tot.crossJoin(lat).crossJoin(drift)
 
 
+MINI_BATCHES = 20
+
+
 @query("incremental_fit_stream", ["T6"])
 def incremental_fit_stream(spark, sf_dir):
-    """Running least-squares line of value on k, updated per micro-batch of
-    the events stream (20 batches via maxFilesPerTrigger is not available
-    for one file, so batches are the stream's own), with the RMSE of the
-    line on each new batch before it is absorbed."""
-    import os
+    """Running least-squares line of value on k over MINI_BATCHES micro-batches
+    (one file each), with the RMSE of the line on each new batch before it is
+    absorbed: epoch, rows so far, slope, intercept, rmse."""
     import uuid
+    from fathom.functions.hashing import bucket
     from fathom.session import ensure_checkpoint_dir
-    s = _events_stream(spark, sf_dir).withColumn(
+    root = f"{ensure_checkpoint_dir(spark)}/streams/incfit-{uuid.uuid4().hex[:8]}"
+    e = Tables(spark, sf_dir).events.withColumn(
         "k", F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("double")).where(F.col("k").isNotNull())
-    root = os.path.join(ensure_checkpoint_dir(spark), "streams", f"incfit-{uuid.uuid4().hex[:8]}")
+    (e.select("k", "value", "ts", bucket(F.col("event_id").cast("string"), "minibatch", MINI_BATCHES).alias("b"))
+     .repartition(MINI_BATCHES, "b").write.partitionBy("b").parquet(f"{root}/in"))
+    schema = spark.read.parquet(f"{root}/in").schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     S.incremental_fit(s, "k", "value", root).awaitTermination()
-    return spark.read.parquet(f"{root}/stats")
+    st = spark.read.parquet(f"{root}/stats")
+    slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+    line = st.withColumn("slope", slope).select("epoch", "n", "slope", ((F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")).alias("intercept"))
+    return line.join(spark.read.parquet(f"{root}/log").select("epoch", "rmse"), "epoch", "left")

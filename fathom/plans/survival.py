@@ -120,12 +120,13 @@ def cox_ph(spark, sf_dir):
     with hazard ratios, Wald p-values and the baseline survival at the
     median event time."""
     import numpy as np
+    from fathom.operators.ordered import quantile_row
     from fathom.operators import survival_models as SM
     s = subjects(spark, sf_dir).withColumn("is_even", (F.col("grp") == "even").cast("double")) \
         .withColumn("risk_d", F.col("risk").cast("double"))
     fit = SM.cox_ph(s, "duration", "event", ["risk_d", "is_even"], penalizer=0.1)
     base = SM.cox_baseline(s, "duration", "event", ["risk_d", "is_even"], fit["coef"])
-    s0 = base.agg(F.percentile("S0", 0.5).alias("s0_median")).first()["s0_median"]
+    s0 = quantile_row(base, ["S0"], [0.5], "q_").first()["q_S0"][0]
     rows = [(c, float(b), float(np.exp(b)), float(se), float(p), float(s0))
             for c, b, se, p in zip(fit["covariates"], fit["coef"], fit["se"], fit["p"])]
     return spark.createDataFrame(rows, "covariate string, coef double, hazard_ratio double, se double, p_value double, "
@@ -180,9 +181,11 @@ def survival_calibration(spark, sf_dir):
     decile at that time; deciles with fewer than 5 rows are left out."""
     from fathom.operators import folds
     from fathom.operators import survival as V
+    from fathom.operators.ordered import quantile_row
     s, base = _cox_split(spark, sf_dir)
     test = s.where(F.col("split") == "test")
-    t_med = s.where(F.col("event") == 1).agg(F.percentile("duration", 0.5)).first()[0]
+    events = s.where((F.col("event") == 1) & (F.col("split") == "train"))
+    t_med = quantile_row(events, ["duration"], [0.5], "q_").first()["q_duration"][0]
     h0 = _h0_at(base, [t_med]).first()["H0"]
     p = test.withColumn("pred_surv", F.exp(-F.lit(float(h0)) * F.col("hr")))
     b = folds.qcut_assign(p, "pred_surv", folds.qcut_edges(p, "pred_surv", 10), "decile")
@@ -199,21 +202,24 @@ def integrated_brier(spark, sf_dir):
     time grid, with inverse-probability-of-censoring weights from the
     censoring Kaplan-Meier (G), trapezoid rule over the grid."""
     import numpy as np
-    from fathom.operators.ordered import running_totals
+    from fathom.operators.ordered import quantile_row, running_totals
     s, base = _cox_split(spark, sf_dir)
     test = s.where(F.col("split") == "test")
-    lo, hi = s.where(F.col("event") == 1).agg(F.percentile("duration", [0.05, 0.95])).first()[0]
+    train = s.where(F.col("split") == "train")
+    lo, hi = quantile_row(train.where(F.col("event") == 1), ["duration"], [0.05, 0.95], "q_").first()["q_duration"]
     grid = [float(x) for x in np.linspace(lo, hi, 20)]
     h0 = {r["gi"]: r["H0"] for r in _h0_at(base, grid).collect()}  # 20 numbers
-    # censoring KM on all subjects: log G accumulated over distinct times
-    tc = s.groupBy(F.col("duration").alias("t")).agg(F.sum((1 - F.col("event")).cast("long")).alias("dc"),
+    # censoring KM of the training subjects: log G accumulated over distinct times
+    tc = train.groupBy(F.col("duration").alias("t")).agg(F.sum((1 - F.col("event")).cast("long")).alias("dc"),
                                                      F.count(F.lit(1)).alias("r"))
-    n_all = s.count()
+    n_all = train.count()
     gone = running_totals(tc, ["t"], {"rem": F.col("r")}, inclusive=False)
     inc = gone.withColumn("n", F.lit(n_all) - F.col("rem")).withColumn(
         "lg", F.when(F.col("dc") < F.col("n"), F.log(1 - F.col("dc") / F.col("n"))).otherwise(F.lit(-1e9)))
     # G just before each subject's time (exclusive sum) and G at each grid time (inclusive, step)
-    gb = running_totals(inc.select("t", "lg"), ["t"], {"lg_before": F.col("lg")}, inclusive=False)
+    times = inc.select("t", "lg").unionByName(test.select(F.col("duration").alias("t"), F.lit(0.0).alias("lg"))) \
+        .groupBy("t").agg(F.sum("lg").alias("lg"))   # test times that no training subject has
+    gb = running_totals(times, ["t"], {"lg_before": F.col("lg")}, inclusive=False)
     gpt = spark.createDataFrame([(i, g) for i, g in enumerate(grid)], "gi int, g double")
     g_grid = gpt.join(inc, F.col("t") <= F.col("g"), "left").groupBy("gi") \
         .agg(F.exp(F.coalesce(F.sum("lg"), F.lit(0.0))).alias("G_t"))   # 20 rows

@@ -3,16 +3,20 @@
 The library never creates a cluster layout of its own: on a cluster the
 session comes from the launcher.  ``get_spark`` is for tests, the bench and
 local use; ``ensure_checkpoint_dir`` reads ``spark.checkpoint.dir`` from the
-session and only falls back to a scratch folder when nothing is configured
-(local runs).
+session; a scratch folder of its own is made only for a single-process local
+master, and on any other master a missing setting is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -29,6 +33,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("FATHOM_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -41,8 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, honouring ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared folder named by the cluster config;
-    a machine-local fallback is only created when the setting is absent
-    (tests and local runs).
+    a machine-local fallback is only created when the setting is absent and
+    the master is local (tests and local runs).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="fathom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -61,3 +68,11 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A fitted state table for a join: computed once (reliable checkpoint)
+    and counted; broadcast when it has at most ``max_rows`` rows, joined by a
+    shuffle when it has more."""
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

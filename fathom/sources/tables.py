@@ -40,15 +40,8 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan.  A table that arrives in fewer splits than the session
-    parallelism (e.g. one file with one row group) is rebalanced once so the
-    per-row work after the scan is not single-task; real multi-file tables
-    already have more splits and are left untouched."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    """Parquet scan; how it is split is left to the reader's settings."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 class Tables:
@@ -134,12 +127,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_json_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Nested reports as JSON lines; NaN and inf become null first."""
-    clean = df.withColumns({
-        f.name: clean_double(f.name) for f in df.schema.fields
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    })
-    clean.write.mode(mode).json(path)
+    """Nested reports as JSON lines; NaN and inf become null first, at
+    any depth of structs, arrays and map values."""
+    df.select(*[_finite(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]) \
+        .write.mode(mode).json(path)
+
+
+def _finite(c, kind: T.DataType):
+    """``c`` with NaN and infinities replaced by null wherever its type holds floats."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return clean_double(c)
+    if isinstance(kind, T.StructType):
+        fields = [_finite(c.getField(f.name), f.dataType).alias(f.name) for f in kind]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _finite(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, x: _finite(x, kind.valueType))
+    return c
 
 
 def first_n_sample(df: DataFrame, key_cols: Sequence[str], n: int, label: str | None = None) -> DataFrame:

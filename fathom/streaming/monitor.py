@@ -10,7 +10,6 @@ watermark are dropped by Spark's usual rule.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -30,13 +29,19 @@ def event_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if os.path.isfile(path):  # a single file: stream its folder filtered to that file name
-        reader = reader.option("pathGlobFilter", os.path.basename(path))
-        path = os.path.dirname(path)
+    if not _is_folder(spark, path):  # a single file: stream its folder filtered to that file name
+        folder, _, name = path.rpartition("/")
+        reader, path = reader.option("pathGlobFilter", name), folder
     s = reader.parquet(path)
     return s.withColumn("event_time", F.col("ts").cast("timestamp"))
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system that the path names, not of the driver's own disk."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def counters(stream: DataFrame, label: str, window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
     """Counts by label per tumbling window."""
     return stream.withWatermark("event_time", watermark) \
@@ -94,54 +99,65 @@ def psi_from_counts(counts: DataFrame, reference_shares: DataFrame, bins: int =
 
 def _rate_limit_fn(limit: int, window_s: float):
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        import numpy as np
+        if state.hasTimedOut:       # no event of the key for a window: nothing to remember
+            state.remove()
+            return
         kept = list(state.get[0]) if state.exists else []
-        out = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts_s", "event_id"])
-            for ts_s, eid in zip(pdf["ts_s"].to_numpy(), pdf["event_id"].to_numpy()):
-                kept = [t for t in kept if t > ts_s - window_s]
-                allowed = len(kept) < limit
-                if allowed:
-                    kept.append(float(ts_s))  # a rejected event is not counted
-                out.append((key[0], int(eid), bool(allowed), len(kept)))
-        state.update((np.array(kept, dtype=float).tolist(),))
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "event_id", "allowed", "in_window"])
+        # all chunks of the key in this batch together: the order of events, not of chunks, decides
+        rows = pd.concat(list(pdfs)).sort_values(["ts_us", "event_id"])
+        span, out = int(window_s * 1e6), []
+        for ts, eid in zip(rows["ts_us"].tolist(), rows["event_id"].tolist()):
+            kept = [t for t in kept if t > ts - span]
+            allowed = len(kept) < limit
+            if allowed:
+                kept.append(ts)     # a rejected event is not counted
+            out.append((key[0], eid, allowed, len(kept)))
+        state.update((kept,))
+        state.setTimeoutTimestamp(max(max(kept, default=0) // 1000 + int(window_s * 1000) + 1,
+                                      state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["user_id", "event_id", "allowed", "in_window"])
     return fn
 
 
-def rate_limiter(stream: DataFrame, key: str = "user_id", limit: int = 5, window_s: float = 60.0) -> DataFrame:
+def rate_limiter(stream: DataFrame, key: str = "user_id", limit: int = 5, window_s: float = 60.0,
+                 watermark: str = "1 day") -> DataFrame:
     """T5 stream form: per key, an event is allowed when fewer than
     ``limit`` allowed events fall in the trailing ``window_s`` seconds;
-    rejected events do not count.  Keyed state holds only the allowed
-    timestamps of the last window, so state is bounded by ``limit``."""
-    s = stream.select(key, "event_id", (F.unix_micros("event_time") / 1e6).alias("ts_s"))
+    rejected events do not count.  A micro-batch's events of a key are taken
+    in event-time order whatever their chunks or files; keyed state holds
+    only the allowed timestamps of the last window (``limit`` at most) and
+    goes when the watermark has passed them."""
+    s = stream.withWatermark("event_time", watermark).select(
+        key, "event_id", "event_time", F.unix_micros("event_time").alias("ts_us"))
     return s.groupBy(key).applyInPandasWithState(
         _rate_limit_fn(limit, window_s),
         outputStructType="user_id long, event_id long, allowed boolean, in_window int",
-        stateStructType="kept array<double>", outputMode="append", timeoutConf="NoTimeout")
+        stateStructType="kept array<long>", outputMode="append", timeoutConf="EventTimeTimeout")
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      base: str | None = None) -> DataFrame:
+def run_available_now(df: DataFrame, name: str, keys: Sequence[str] = (), base: str | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available now into a
     parquet sink under the checkpoint folder, then read the sink back as a
-    batch DataFrame.  Results never go through the driver."""
+    batch DataFrame.  Results never go through the driver.
+
+    Without ``keys`` rows are appended.  With ``keys`` (an aggregate's
+    grouping columns) the query runs in update mode, which also emits the
+    groups that the watermark has not closed: each epoch's rows go to a
+    folder of their own (a retried epoch overwrites it) and the latest epoch
+    of a key counts, an upsert."""
     spark = df.sparkSession
-    root = base or os.path.join(ensure_checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:8]}")
-    if output_mode == "append":
-        q = (df.writeStream.format("parquet").option("path", f"{root}/out")
-             .option("checkpointLocation", f"{root}/chk").outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination()
-        return spark.read.parquet(f"{root}/out")
+    root = base or f"{ensure_checkpoint_dir(spark)}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/out")
+        batch.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
     q = (df.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/chk")
-         .outputMode(output_mode).trigger(availableNow=True).start())
+         .outputMode("update" if keys else "append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    out = spark.read.parquet(f"{root}/out")
+    if not keys:
+        return out.drop("epoch")
+    rest = [c for c in df.columns if c not in keys]
+    return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("__r")).select(*keys, "__r.*")
 
 
 def validation_sinks(stream: DataFrame, bad: F.Column, root: str) -> object:
@@ -157,30 +173,25 @@ def validation_sinks(stream: DataFrame, bad: F.Column, root: str) -> object:
 
 def incremental_fit(stream: DataFrame, x: str, y: str, root: str) -> object:
     """Running least-squares line updated per micro-batch from
-    sufficient statistics (n, sums, cross-products) kept in a table; RMSE of
-    the current line on each new batch before it is absorbed."""
-    stats_path = f"{root}/stats"
-    log_path = f"{root}/log"
+    sufficient statistics (n, sums, cross-products), one table per epoch; RMSE of
+    the line so far on each new batch before it is absorbed, in ``root``/log."""
+    sums = ["n", "sx", "sy", "sxx", "sxy"]
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         b = batch.agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
                       F.sum(F.col(x) * F.col(x)).alias("sxx"), F.sum(F.col(x) * F.col(y)).alias("sxy"))
-        try:
-            prev = spark.read.parquet(stats_path)
-        except Exception:
-            prev = None
-        if prev is not None:
-            p = prev.first()
-            den = p["n"] * p["sxx"] - p["sx"] ** 2
-            slope = (p["n"] * p["sxy"] - p["sx"] * p["sy"]) / den if den else 0.0
-            icpt = (p["sy"] - slope * p["sx"]) / p["n"] if p["n"] else 0.0
-            rmse = batch.agg(F.sqrt(F.avg((F.col(y) - (F.lit(icpt) + F.lit(slope) * F.col(x))) ** 2)).alias("rmse"))
-            rmse.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(log_path)
-            merged = prev.unionByName(b).agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "sxy"]])
-        else:
-            merged = b
-        merged.write.mode("overwrite").parquet(stats_path + ".next")
-        spark.read.parquet(stats_path + ".next").write.mode("overwrite").parquet(stats_path)
+        # state after an epoch = state after the one before plus this batch: a replay writes the same again
+        if epoch:
+            prev = spark.read.parquet(f"{root}/stats/epoch={epoch - 1}").select(*sums)
+            den = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+            slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), den)
+            line = prev.select(F.coalesce(slope, F.lit(0.0)).alias("__b"), "n", "sx", "sy").select(
+                "__b", F.try_divide(F.col("sy") - F.col("__b") * F.col("sx"), "n").alias("__a"))
+            err = F.col(y) - (F.col("__a") + F.col("__b") * F.col(x))
+            batch.crossJoin(F.broadcast(line)).agg(F.count(F.lit(1)).alias("n_batch"), F.sqrt(F.avg(err * err)).alias("rmse")) \
+                .write.mode("overwrite").parquet(f"{root}/log/epoch={epoch}")
+            b = prev.unionByName(b).agg(*[F.sum(c).alias(c) for c in sums])
+        b.write.mode("overwrite").parquet(f"{root}/stats/epoch={epoch}")
     return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/chk")
             .trigger(availableNow=True).start())

@@ -347,7 +347,7 @@ def test_column_quantiles_distributed_equals_builtin(spark):
     rows = [(i % 3, float(i % 17) if i % 5 else None, float((i * 7) % 11) / 3, None) for i in range(300)]
     df = spark.createDataFrame(rows, "g int, a double, b double, z double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {(r.g, r.column_name): r.quantiles for r in column_quantiles(df, ["a", "b", "z"], probs, ["g"], limit=0).collect()}
+    got = {(r.g, r.column_name): r.quantiles for r in column_quantiles(df, ["a", "b", "z"], probs, ["g"]).collect()}
     assert all(k[1] != "z" for k in got)
     for c in ["a", "b"]:
         for r in df.groupBy("g").agg(F.percentile(c, probs).alias("q")).collect():
@@ -421,3 +421,111 @@ def test_exact_mean_order_independent_and_fallback(spark):
     big = spark.createDataFrame([(1e30,), (1.0,), (None,)], "x double")
     r = big.agg(exact_mean("x").alias("m"), F.avg("x").alias("a")).first()
     assert r.m == r.a
+
+
+def _rate_limit_brute(rows, limit, span):
+    out = {}
+    by_key = {}
+    for key, ts, eid in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        kept = by_key.setdefault(key, [])
+        kept[:] = [t for t in kept if t > ts - span]
+        ok = len(kept) < limit
+        if ok:
+            kept.append(ts)
+        out[eid] = ok
+    return out
+
+
+@pytest.mark.parametrize("chunk", [7, 10_000])
+def test_rate_limiter_does_not_depend_on_chunks(spark, tmp_path, chunk):
+    """One hot key and a few small ones, rows in random order: equal to a plain replay in time order."""
+    import random
+    from fathom.streaming import monitor as S
+    rnd = random.Random(3)
+    rows = [(0 if rnd.random() < 0.7 else rnd.randrange(1, 6), 1_700_000_000 + rnd.randrange(4000), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "user_id long, s long, event_id long").select(
+        "user_id", "event_id", F.timestamp_seconds("s").alias("ts"))
+    df.orderBy(F.xxhash64("event_id")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", chunk)
+        got = S.run_available_now(S.rate_limiter(S.event_stream(spark, str(tmp_path / "in")), limit=5, window_s=60.0), "rl")
+        allowed = {r.event_id: r.allowed for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert allowed == _rate_limit_brute([(k, s, e) for k, s, e in rows], 5, 60)
+
+
+def test_update_mode_counts_every_event_over_several_files(spark, tmp_path):
+    from fathom.streaming import monitor as S
+    df = spark.range(600).select(F.timestamp_seconds(1_700_000_000 + F.col("id") * 40).alias("ts"),
+                                 (F.col("id") % 3).cast("string").alias("kind"))
+    df.repartitionByRange(4, "ts").write.parquet(str(tmp_path / "in"))
+    s = S.event_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+    got = S.run_available_now(S.counters(s, "kind", watermark="1 day"), "c", ["w", "kind"])
+    assert got.agg(F.sum("n")).first()[0] == 600
+    assert got.groupBy("w", "kind").count().filter("count > 1").count() == 0
+
+
+def test_incremental_fit_keeps_one_state_per_epoch(spark, tmp_path):
+    from fathom.streaming import monitor as S
+    for i in range(4):
+        spark.range(25).select((F.col("id") + 25 * i).cast("double").alias("x")).withColumn(
+            "y", 3 + 2 * F.col("x")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema("x double, y double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    S.incremental_fit(s, "x", "y", str(tmp_path / "out")).awaitTermination()
+    st = {r.epoch: r.n for r in spark.read.parquet(str(tmp_path / "out/stats")).collect()}
+    assert st == {0: 25, 1: 50, 2: 75, 3: 100}
+    log = spark.read.parquet(str(tmp_path / "out/log")).collect()
+    assert sorted(r.epoch for r in log) == [1, 2, 3] and all(r.rmse < 1e-6 and r.n_batch == 25 for r in log)
+
+
+def test_one_hot_pools_rare_levels_and_ignores_unknown(spark):
+    from fathom.operators import learned
+    fit = spark.createDataFrame([(v,) for v in "aaabbbc"] + [(None,)], "k string")
+    new = spark.createDataFrame([(v,) for v in "abcz"] + [(None,)], "k string")
+    got = {r.k: tuple(r)[1:] for r in learned.apply_one_hot(new, learned.fit_one_hot(fit, "k", 2), "k").collect()}
+    assert got == {"a": (1, 0, 0), "b": (0, 1, 0), "c": (0, 0, 1), "z": (0, 0, 0), None: (0, 0, 0)}
+    assert learned.fit_one_hot(fit, "k", 1, "first")[1] == ["b", "c"]
+    assert learned.fit_one_hot(fit.where("k < 'c'"), "k", 1, "if_binary")[1] == ["b"]
+    assert learned.fit_one_hot(fit, "k", 1, "if_binary")[1] == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        learned.fit_one_hot(fit, "k", max_levels=2)
+
+
+def test_json_report_cleans_nested_floats(spark, tmp_path):
+    from fathom.sources import tables
+    df = spark.range(1).select(F.struct(F.lit(float("nan")).alias("a"), F.lit(1.5).alias("b")).alias("s"),
+                               F.array(F.lit(float("inf")), F.lit(2.0)).alias("v"),
+                               F.create_map(F.lit("k"), F.lit(float("-inf"))).alias("m"))
+    tables.write_json_report(df, str(tmp_path / "r"))
+    text = "".join(p.read_text() for p in (tmp_path / "r").glob("part-*"))
+    assert "NaN" not in text and "Infinity" not in text and '"b":1.5' in text
+
+
+def test_table_path_override_by_environment(spark, tmp_path, monkeypatch):
+    from fathom.sources import tables
+    spark.range(3).write.parquet(str(tmp_path / "mine"))
+    monkeypatch.setenv("FATHOM_TABLE_ORDERS", str(tmp_path / "mine"))
+    assert tables.Tables(spark, "/nowhere").orders.count() == 3
+
+
+def test_group_mean_cv_equals_refits(spark):
+    """Sufficient statistics against refitting the group means fold by fold."""
+    import random
+    from fathom.operators import stattests
+    rnd = random.Random(1)
+    rows = [(rnd.choice("abc"), 1e6 + rnd.random() * 100, i % 3) for i in range(120)] + [("only", 5.0, 1)]
+    got = {(r.model, r.fold, r.split): r.rmse for r in stattests.oof_group_mean_scores(
+        spark.createDataFrame(rows, "k string, y double, f int"), "y", "f", 3, {"g": F.col("k"), "mean": None}).collect()}
+    for model in ("g", "mean"):
+        for i in range(3):
+            train = [(k if model == "g" else "", y) for k, y, f in rows if f != i]
+            every = sum(y for _, y in train) / len(train)
+            for split in ("test", "train"):
+                err = []
+                for k, y, f in rows:
+                    if (f == i) == (split == "test"):
+                        own = [v for kk, v in train if kk == (k if model == "g" else "")]
+                        err.append((y - (sum(own) / len(own) if own else every)) ** 2)
+                assert got[(model, i, split)] == pytest.approx((sum(err) / len(err)) ** 0.5, rel=1e-6)
