@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# where this package lies: Python tasks look here too, whatever folder the driver was started in
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Plain scan of one of the given tables."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
