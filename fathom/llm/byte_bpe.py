@@ -182,66 +182,86 @@ def _lists(parts: list[bytes]) -> pa.Array:
 _ROWS_AT_ONCE = 512
 
 
-def _mapped(df: DataFrame, name: str, kind: T.DataType, source: str, made) -> DataFrame:
-    """df with one more column, made from the Arrow column ``source`` a few hundred rows at a time."""
-    schema = T.StructType([*[f for f in df.schema if f.name != name], T.StructField(name, kind)])
-    kept = [f.name for f in schema][:-1]
+def _mapped(df: DataFrame, steps: list[tuple[str, T.DataType, str, object]], drop: tuple[str, ...] = ()) -> DataFrame:
+    """df with one more column per step (name, type, source column, maker), a few hundred rows at a time.
+
+    All steps run in one task, so the second reads what the first has made
+    without another round through the engine.
+    """
+    names = [n for n, *_ in steps]
+    kept = [f for f in df.schema if f.name not in names and f.name not in drop]
 
     def run(batches):
+        made = [(name, source, maker()) for name, _, source, maker in steps]
         for batch in batches:
             for i in range(0, batch.num_rows, _ROWS_AT_ONCE):
                 part = batch.slice(i, _ROWS_AT_ONCE)
-                col = part.column(part.schema.get_field_index(source))
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(part.schema.get_field_index(c)) for c in kept], made(col)], names=[*kept, name])
+                cols = {f: part.column(j) for j, f in enumerate(part.schema.names)}
+                for name, source, of in made:
+                    cols[name] = of(cols[source])
+                out = [*[f.name for f in kept], *names]
+                yield pa.RecordBatch.from_arrays([cols[c] for c in out], names=out)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*kept, *[T.StructField(n, t) for n, t, *_ in steps]]))
 
 
-def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """df with the token ids of each whole text, as an array of int."""
+def _encoder(path: str | None, pattern: str):
+    path = path or public_tokenizers.path(RANKS)
+
+    def maker():
+        get, split = pieces(path).__getitem__, regex.compile(pattern).findall
+        return lambda texts: _lists([b"".join(map(get, split(t))) if t else b"" for t in texts.to_pylist()])
+
+    return maker
+
+
+def _decoder(path: str | None):
     path = path or public_tokenizers.path(RANKS)
-    state: dict = {}
 
-    def made(texts: pa.Array) -> pa.Array:
-        if not state:
-            state.update(pieces=pieces(path), split=regex.compile(pattern).findall)
-        get, split = state["pieces"].__getitem__, state["split"]
-        return _lists([b"".join(map(get, split(t))) if t else b"" for t in texts.to_pylist()])
+    def maker():
+        tokens = load(path).tokens
+        top = max(tokens, default=-1) + 1
+        size = np.zeros(top + 1, dtype=np.int64)
+        size[list(tokens)] = [len(t) for t in tokens.values()]
+        start = np.concatenate([[0], np.cumsum(size)])
+        data = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(top)), dtype=np.uint8)
 
-    return _mapped(df, ids_col, T.ArrayType(T.IntegerType()), text_col, made)
+        def made(lists: pa.Array) -> pa.Array:
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = np.array(lists.value_lengths().fill_null(0), dtype=np.int64)
+            n = size[ids]
+            ends = np.cumsum(n)
+            total = int(ends[-1]) if len(ends) else 0
+            out = data[np.arange(total) + np.repeat(start[ids] - (ends - n), n)]
+            at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+            return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(at), pa.py_buffer(out)])
+
+        return made
+
+    return maker
+
+
+def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", path: str | None = None,
+           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """df with the token ids of each whole text, as an array of int."""
+    return _mapped(df, [(ids_col, T.ArrayType(T.IntegerType()), text_col, _encoder(path, pattern))])
 
 
 def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", path: str | None = None) -> DataFrame:
     """df with the bytes that the ids stand for; null ids are none."""
-    path = path or public_tokenizers.path(RANKS)
-    state: dict = {}
-
-    def made(lists: pa.Array) -> pa.Array:
-        if not state:
-            tokens = load(path).tokens
-            top = max(tokens, default=-1) + 1
-            size = np.zeros(top + 1, dtype=np.int64)
-            size[list(tokens)] = [len(t) for t in tokens.values()]
-            state.update(size=size, start=np.concatenate([[0], np.cumsum(size)]),
-                         data=np.frombuffer(b"".join(tokens.get(i, b"") for i in range(top)), dtype=np.uint8))
-        size, start, data = state["size"], state["start"], state["data"]
-        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        counts = np.array(lists.value_lengths().fill_null(0), dtype=np.int64)
-        n = size[ids]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        out = data[np.arange(total) + np.repeat(start[ids] - (ends - n), n)]
-        at = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(at), pa.py_buffer(out)])
-
-    return _mapped(df, bytes_col, T.BinaryType(), ids_col, made)
+    return _mapped(df, [(bytes_col, T.BinaryType(), ids_col, _decoder(path))])
+
+
+def round_trip(df: DataFrame, text_col: str = "text", path: str | None = None,
+               pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """df without its text, with the ids of each text and the bytes decoded from those ids."""
+    return _mapped(df, [("ids", T.ArrayType(T.IntegerType()), text_col, _encoder(path, pattern)),
+                        ("decoded", T.BinaryType(), "ids", _decoder(path))], drop=(text_col,))
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, digest of the ids and of the bytes that they decode to, of texts encoded and decoded."""
-    coded = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    coded = round_trip(docs.select("doc_id", "text"))
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.encode(ids, "UTF-8"), 256).alias("ids_sha256"),
