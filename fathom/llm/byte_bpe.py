@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from fathom.llm.registry import query, table
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHED_PIECES = 120_000
+CACHED_PIECES = 200_000
 CACHED_PAIRS = 300_000
 _NONE: dict = {}
 
@@ -79,7 +79,42 @@ class Vocabulary:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         known = self.ranks.get(piece)
-        return [known] if known is not None else PrefixTable(self, piece).ids()
+        if known is not None:
+            return [known]
+        last = [-1]
+        self.extend(piece, last, len(piece))
+        return self.path(piece, last)
+
+    def extend(self, data: bytes, last: list[int], stop: int) -> None:
+        """Append to ``last`` the valid last token of each further prefix of data, up to ``stop`` bytes."""
+        first, known = self.backwards, self._fits
+        for end in range(len(last), stop + 1):
+            below, at = first, end
+            while at:
+                at -= 1
+                node = below.get(data[at])
+                if node is None:
+                    raise ValueError("the vocabulary lacks a byte of the text")
+                token, below = node
+                if token >= 0:
+                    left = last[at]
+                    try:
+                        ok = known[left][token]
+                    except KeyError:
+                        ok = self.fits(left, token)
+                    if ok:
+                        last.append(token)
+                        break
+            else:
+                raise ValueError("the vocabulary lacks a byte of the text")
+
+    def path(self, data: bytes, last: list[int]) -> list[int]:
+        """The tokens of all of data, from its prefixes' last tokens."""
+        out, end, tokens = [], len(data), self.tokens
+        while end:
+            out.append(last[end])
+            end -= len(tokens[out[-1]])
+        return out[::-1]
 
 
 class PrefixTable:
@@ -89,30 +124,9 @@ class PrefixTable:
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
-    def _last_token(self, end: int) -> int:
-        data, last, below, at = self.data, self.last, self.vocabulary.backwards, end
-        known = self.vocabulary._fits
-        while at:
-            at -= 1
-            node = below.get(data[at])
-            if node is None:
-                break
-            token, below = node
-            if token >= 0:
-                left = last[at]
-                try:
-                    ok = known[left][token]
-                except KeyError:
-                    ok = self.vocabulary.fits(left, token)
-                if ok:
-                    return token
-        raise ValueError("the vocabulary lacks a byte of the text")
-
     def append(self, more: bytes) -> None:
         self.data += more
-        put = self.last.append
-        for end in range(len(self.last), len(self.data) + 1):
-            put(self._last_token(end))
+        self.vocabulary.extend(self.data, self.last, len(self.data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Replace data[start:stop]; returns how many prefixes were worked out anew."""
@@ -121,20 +135,15 @@ class PrefixTable:
         self.last = old[:start + 1]
         same = 0
         for end in range(start + 1, len(self.data) + 1):
-            token = self._last_token(end)
-            self.last.append(token)
-            same = same + 1 if end > start + len(new) and old[end - shift] == token else 0
+            self.vocabulary.extend(self.data, self.last, end)
+            same = same + 1 if end > start + len(new) and old[end - shift] == self.last[end] else 0
             if same >= self.vocabulary.longest:
                 self.last.extend(old[end - shift + 1:])
                 return end - start
         return len(self.data) - start
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end])
-            end -= len(self.vocabulary.tokens[out[-1]])
-        return out[::-1]
+        return self.vocabulary.path(self.data, self.last)
 
 
 class _Pieces(dict):
