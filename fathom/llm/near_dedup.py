@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from fathom.llm import superminhash, textbatch
 from fathom.llm.registry import query, table
 from fathom.llm.stored import components, stored
+from fathom.session import small_side
 
 SALTS = 16
 PAIRS_PER_SALT = 2048   # pairs of one centre that go to one task
@@ -93,7 +94,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """cls, n, shingles of the wanted classes (cls, rep), read again from the text of their first document."""
-    chosen = docs.join(wanted.select(F.col("rep").alias("doc_id"), "cls"), "doc_id").select("cls", "text")
+    chosen = docs.join(small_side(wanted.select(F.col("rep").alias("doc_id"), "cls")), "doc_id").select("cls", "text")
 
     def run(batches):
         for b in batches:
@@ -169,11 +170,16 @@ def star_pairs(members: DataFrame, weights: DataFrame, percent: int) -> DataFram
 
 
 def by_rarity(sets: DataFrame) -> DataFrame:
-    """cls, n, s: each set as (df, shingle) from rare to frequent, df counted over these sets."""
+    """cls, n, s: what a set shares with others as (df, shingle) from rare to frequent, df counted over these sets.
+
+    The n - size(s) shingles that no other set has come before these.
+    """
     each = sets.select("cls", "n", F.explode("shingles").alias("shingle"))
-    freq = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    return each.join(freq, "shingle").groupBy("cls", "n").agg(
+    freq = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = each.join(freq, "shingle").groupBy("cls", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    return sets.select("cls", "n").join(shared.select("cls", "s"), "cls", "left").withColumn(
+        "s", F.coalesce("s", F.array().cast("array<struct<df:bigint,shingle:bigint>>")))
 
 
 def prefix_pairs(ranked: DataFrame, percent: int) -> DataFrame:
@@ -185,9 +191,11 @@ def prefix_pairs(ranked: DataFrame, percent: int) -> DataFrame:
     """
     n = F.col("n")
     keep = (n - F.ceil(percent * n / 100) + 1).cast("int")
-    places = stored(ranked.select("cls", "n", "label", F.posexplode(F.slice("s", 1, keep)).alias("at", "x"))
-                    .select("cls", "n", "label", "at", F.col("x.shingle").alias("shingle"),
-                            F.col("x.df").alias("df")).filter("df > 1"), "prefixes")
+    own = (n - F.size("s")).cast("int")    # shingles of no other set, the first places
+    places = stored(ranked.select("cls", "n", "label", own.alias("own"),
+                                  F.posexplode(F.slice("s", 1, F.greatest(keep - own, F.lit(0)))).alias("i", "x"))
+                    .select("cls", "n", "label", (F.col("own") + F.col("i")).alias("at"),
+                            F.col("x.shingle").alias("shingle")), "prefixes")
     votes = places.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("votes"))
     main = votes.groupBy("shingle").agg(F.max(F.struct("votes", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
     main = stored(main.filter("labels > 1").select("shingle", F.col("m.label").alias("main")), "postings")
@@ -228,7 +236,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 21,
     # buckets with several components: against the member with the least share of rare shingles
     opened = stored(_open(members, labels), "open")
     ranked = stored(by_rarity(sets.join(opened.select("cls").distinct(), "cls")), "ranked")
-    rare = F.aggregate("s", F.lit(0.0), lambda acc, x: acc + 1 / x["df"])
+    rare = F.aggregate("s", (F.col("n") - F.size("s")).cast("double"), lambda acc, x: acc + 1 / x["df"])
     weights = ranked.select("cls", (-rare / F.col("n")).alias("weight"))
     labels += _joined(verified(star_pairs(opened, weights, percent), sets, percent))
     # what still lies in different components of one bucket: the exact finish
@@ -252,7 +260,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 21,
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that stay when one document of each group does."""
     gone = near_groups(docs, **options).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small_side(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 @query("op3_superminhash_near_dedup")
