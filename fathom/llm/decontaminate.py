@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathom.llm.registry import query, table
+from fathom.session import small_side
 
 WINDOW = 13
 GRAM = 6
@@ -152,7 +153,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
                          text_col: str = "text") -> DataFrame:
     """The rows of docs that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark, id_col, text_col).filter("contaminated").select("doc_id", "mark").distinct()
-    return docs.alias("d").join(bad.alias("b"), F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc_id"))
+    return docs.alias("d").join(small_side(bad).alias("b"), F.col(f"d.{id_col}").eqNullSafe(F.col("b.doc_id"))
                                 & (F.xxhash64(f"d.{text_col}") == F.col("b.mark")), "left_anti")
 
 
