@@ -1,6 +1,7 @@
 """Chat formatting by schema fingerprints (native).
 
-A record's *fingerprint* is a hash of its nested field paths.  It selects a
+A record's *fingerprint* is a hash of those of its nested field paths that some
+layout names, a table's that of its columns' paths.  It selects a
 declarative ``Layout`` that says where prompts, instructions or messages are;
 every layout is turned into the same canonical turns (role, text), and those
 into one string by a template that marks turns:
@@ -19,9 +20,10 @@ tasks; only its finished string, which is the result, is in one row.
 
 Defined results: null or missing text and role are empty; turns are ordered by
 (turn, role, text) with a null turn first, repeated rows stay repeated; rows
-with a null conversation id form one conversation; a record whose fingerprint
-no layout has gets ``layout`` 'unknown' and no turns; columns that no layout
-names are ignored; an empty table gives no rows.
+with a null conversation id form one conversation; of several layouts whose
+paths a record has, the one with most paths counts; a record that has those of
+none gets ``layout`` 'unknown' and no turns, a table raises; fields and columns
+that no layout names are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -69,27 +71,50 @@ LAYOUTS = (
 )
 
 
-def shape(paths: tuple[str, ...]) -> str:
+def shape(paths) -> str:
     """Paths as one text: what ``record_shape`` gives for a record that has them."""
-    tops: dict[str, list[str]] = {}
-    for p in sorted(paths):
-        top, _, below = p.partition("[].")
-        tops.setdefault(top, []).extend([below] if below else [])
-    return "OBJECT<" + ", ".join(f"{t}: ARRAY<OBJECT<{', '.join(v)}>>" if v else t for t, v in sorted(tops.items())) + ">"
+    return ",".join(sorted(paths))
+
+
+def known_paths(layouts=LAYOUTS) -> list[str]:
+    return sorted({p for x in layouts for p in x.paths})
+
+
+def record_paths(record: Column, layouts=LAYOUTS) -> Column:
+    """Nested field paths of a JSON text that some layout names, sorted; a path ends in a scalar or null."""
+    v = F.try_parse_json(record)
+    plain = lambda fields: F.map_keys(F.map_filter(
+        fields, lambda _, x: ~F.coalesce(F.schema_of_variant(x), F.lit("VOID")).rlike("^(OBJECT|ARRAY)")))
+    none = F.array().cast("array<string>")
+    have = [F.coalesce(plain(F.try_variant_get(v, "$", "map<string,variant>")), none)]
+    for m in sorted({x.messages for x in layouts if x.messages}):
+        keys = F.transform(F.try_variant_get(v, f"$.{m}", "array<map<string,variant>>"),
+                           lambda fields: F.coalesce(plain(fields), none))
+        start = F.lit(f"{m}[].")
+        have.append(F.coalesce(F.transform(F.flatten(keys), lambda k: F.concat(start, k)), none))
+    return F.array_intersect(F.array(*[F.lit(p) for p in known_paths(layouts)]), F.concat(*have))
 
 
 def record_shape(record: Column) -> Column:
-    """Nested field paths of a JSON text, sorted and without the scalar types."""
-    kinds = F.schema_of_variant(F.try_parse_json(record))
-    return F.regexp_replace(kinds, ": (?!ARRAY<OBJECT|OBJECT)[A-Z]+(\\([0-9, ]+\\))?(?=[,>])", "")
+    """The known paths of a JSON text as one text."""
+    return F.array_join(record_paths(record), ",")
 
 
 def fingerprint(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def schema_layout(schema: T.StructType, layouts=LAYOUTS) -> Layout | None:
-    """The layout with the most paths that a table's columns contain."""
+def layout_of(paths: Column, layouts=LAYOUTS) -> Column:
+    """Name of the layout with the most paths whose fingerprint its part of ``paths`` has, or null."""
+    name = F.lit(None).cast("string")
+    for x in sorted(reversed(layouts), key=lambda x: len(x.paths)):
+        own = F.array_join(F.array_intersect(F.array(*[F.lit(p) for p in sorted(x.paths)]), paths), ",")
+        name = F.when(fingerprint(own) == fingerprint(F.lit(shape(x.paths))), F.lit(x.name)).otherwise(name)
+    return name
+
+
+def schema_layout(df: DataFrame, layouts=LAYOUTS) -> Layout | None:
+    """The layout that the fingerprints of a table's field paths select."""
     def paths(kind: T.DataType, name: str) -> list[str]:
         if isinstance(kind, T.ArrayType):
             return paths(kind.elementType, f"{name}[]")
@@ -97,9 +122,9 @@ def schema_layout(schema: T.StructType, layouts=LAYOUTS) -> Layout | None:
             return [p for f in kind for p in paths(f.dataType, f"{name}.{f.name}" if name else f.name)]
         return [name]
 
-    have = set(paths(schema, ""))
-    fit = [x for x in layouts if have >= set(x.paths)]
-    return max(fit, key=lambda x: len(x.paths)) if fit else None
+    have = F.array(*[F.lit(p) for p in paths(df.schema, "")]).cast("array<string>")
+    found = df.sparkSession.sql("SELECT 1").select(layout_of(have, layouts)).first()[0]
+    return next((x for x in layouts if x.name == found), None)
 
 
 def _canonical_role(role: Column) -> Column:
@@ -116,29 +141,28 @@ def _message_turn(layout: Layout):
     return lambda m: _turn(m[layout.role], m[layout.text])
 
 
+def _turns(layout: Layout, text_of, messages_of) -> Column:
+    """Canonical turns of a record, from its fields as texts or from its list of messages."""
+    if layout.messages:
+        return F.transform(messages_of(layout), _message_turn(layout)).cast(TURNS)
+    joined = lambda keys: F.array_join(F.filter(
+        F.array(*[F.coalesce(text_of(k), F.lit("")) for k in keys]), lambda p: p != ""), "\n")
+    return F.array(*[_turn(F.lit(r), joined(keys)) for r, keys in layout.fields]).cast(TURNS)
+
+
 def canonical_records(records: DataFrame, id_col: str, record_col: str, layouts=LAYOUTS) -> DataFrame:
-    """id, fingerprint, layout, turns for JSON records of any registered layout."""
-    value = F.try_parse_json(F.col(record_col))
-    df = records.select(F.col(id_col).alias("conv_id"), value.alias("v"),
-                        fingerprint(record_shape(F.col(record_col))).alias("fingerprint"))
-    name, turns = F.lit("unknown"), F.array().cast(TURNS)
-    for x in layouts:
-        if x.per_row:
-            continue
-        if x.messages:
-            kind = f"array<struct<`{x.role}`:string,`{x.text}`:string>>"
-            got = F.transform(F.try_variant_get("v", f"$.{x.messages}", kind), _message_turn(x))
-        else:
-            def joined(keys):
-                parts = [F.coalesce(F.try_variant_get("v", f"$.{k}", "string"), F.lit("")) for k in keys]
-                return F.array_join(F.filter(F.array(*parts), lambda p: p != ""), "\n")
-
-            got = F.array(*[_turn(F.lit(r), joined(keys)) for r, keys in x.fields])
-        here = F.col("fingerprint") == fingerprint(F.lit(shape(x.paths)))
-        name = F.when(here, F.lit(x.name)).otherwise(name)
-        turns = F.when(here, got.cast(TURNS)).otherwise(turns)
-    return df.select("conv_id", "fingerprint", name.alias("layout"),
-                     F.coalesce(turns, F.array().cast(TURNS)).alias("turns"))
+    """id, fingerprint, layout, turns for JSON records of any registered layout that is not one turn per row."""
+    whole = [x for x in layouts if not x.per_row]
+    paths = record_paths(F.col(record_col), layouts)
+    df = records.select(F.col(id_col).alias("conv_id"), F.try_parse_json(F.col(record_col)).alias("v"), paths.alias("paths"))
+    df = df.select("conv_id", "v", fingerprint(F.array_join(F.coalesce("paths", F.array().cast("array<string>")), ",")).alias(
+        "fingerprint"), F.coalesce(layout_of(F.col("paths"), whole), F.lit("unknown")).alias("layout"))
+    turns = F.array().cast(TURNS)
+    for x in whole:
+        got = _turns(x, lambda k: F.try_variant_get("v", f"$.{k}", "string"), lambda x: F.try_variant_get(
+            "v", f"$.{x.messages}", f"array<struct<`{x.role}`:string,`{x.text}`:string>>"))
+        turns = F.when(F.col("layout") == x.name, got).otherwise(turns)
+    return df.select("conv_id", "fingerprint", "layout", F.coalesce(turns, F.array().cast(TURNS)).alias("turns"))
 
 
 def escape(text: Column) -> Column:
@@ -185,10 +209,13 @@ def format_turns(df: DataFrame, id_col: str = "conv_id", turns: str = "turns") -
 
 
 def format_rows(rows: DataFrame) -> DataFrame:
-    """conv_id, formatted, loss_spans for a table with one turn per row."""
-    layout = schema_layout(rows.schema)
-    if layout is None or not layout.per_row:
+    """conv_id, formatted, loss_spans for a table in any layout; its fingerprint selects the layout."""
+    layout = schema_layout(rows)
+    if layout is None or "conv_id" not in rows.columns:
         raise ValueError("no layout for rows with these columns")
+    if not layout.per_row:
+        turns = _turns(layout, lambda k: F.col(k).cast("string"), lambda x: F.col(x.messages))
+        return format_turns(rows.select("conv_id", F.coalesce(turns, F.array().cast(TURNS)).alias("turns")))
     turn = F.struct(F.col("turn"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in (layout.role, layout.text)])
     blocks = (rows.groupBy("conv_id", F.floor(F.col("turn") / BLOCK).alias("block"))
               .agg(F.sort_array(F.collect_list(turn)).alias("t"))

@@ -81,3 +81,32 @@ def test_empty_and_wrong_tables(spark):
     assert c.read_back(c.format_rows(spark.createDataFrame([], ROWS))).count() == 0
     with pytest.raises(ValueError):
         c.format_rows(spark.createDataFrame([], "a long"))
+
+
+MORE = [({"id": 1, "prompt": "q", "response": "a"}, "prompt"), ({"prompt": "q", "response": "a", "output": "z"}, "prompt"),
+        ({"messages": [{"role": "user", "content": "q", "name": "n"}, None, {"role": "assistant", "content": "a"}],
+          "meta": {"role": [1]}}, "messages")]
+
+
+def test_additional_fields_do_not_drop_a_record(spark):
+    data = [(i, json.dumps(r)) for i, (r, _) in enumerate(MORE)] + [(9, '{"prompt": {"a": 1}, "response": "a"}')]
+    got = {r.conv_id: r for r in c.canonical_records(
+        spark.createDataFrame(data, "id long, record string"), "id", "record").collect()}
+    for i, (_, name) in enumerate(MORE):
+        assert got[i].layout == name and [(t.role, t.text) for t in got[i].turns if t.role] == [("user", "q"), ("assistant", "a")]
+    assert got[9].layout == "unknown"
+
+
+def test_tables_of_every_layout_are_formatted(spark, monkeypatch):
+    seen, plain = [], c.fingerprint
+    monkeypatch.setattr(c, "fingerprint", lambda text: seen.append(1) or plain(text))
+    for kind, row in (("conv_id long, extra int, prompt string, response string", (1, 7, "q", "a")),
+                      ("conv_id long, messages array<struct<role:string,content:string,name:string>>",
+                       (1, [("user", "q", "n"), ("assistant", "a", None)]))):
+        seen.clear()
+        back = c.read_back(c.format_rows(spark.createDataFrame([row], kind))).first()
+        assert [(t.role, t.text) for t in back.turns] == [("user", "q"), ("assistant", "a")] and back.loss_texts == ["a"]
+        assert seen
+    seen.clear()
+    c.format_rows(spark.createDataFrame([], ROWS))
+    assert seen
