@@ -58,10 +58,10 @@ def nystroem_map(df: DataFrame, landmarks: np.ndarray, features: Sequence[str],
     return mapped, list(out)
 
 
-def mice(df: DataFrame, cols: Sequence[str], rounds: int = 5, alpha: float = 1e-3) -> DataFrame:
+def mice(df: DataFrame, cols: Sequence[str], rounds: int = 10) -> DataFrame:
     """Chained-equation imputation.  Start from the median; each round,
-    for each column, a ridge fit on the rows where it was observed (one
-    Gram aggregate) predicts the rows where it was missing.  Each round is
+    for each column, a Bayesian ridge fit on the rows where it was observed
+    (one Gram aggregate) predicts the rows where it was missing.  Each round is
     checkpointed so the lineage stays short."""
     from fathom.session import cut_lineage
     cols = list(cols)
@@ -73,9 +73,9 @@ def mice(df: DataFrame, cols: Sequence[str], rounds: int = 5, alpha: float = 1e-
         for c in cols:
             others = [o for o in cols if o != c]
             g = ml.gram(cur.where(~F.col(f"__miss_{c}")), others, [c])
-            beta = ml.ridge_solve(g, alpha)
-            pred = F.lit(float(beta[0]))
-            for o, b in zip(others, beta[1:]):
+            fit = ml.bayesian_ridge(g)
+            pred = F.lit(float(fit["intercept"]))
+            for o, b in zip(others, fit["coef"]):
                 pred = pred + F.lit(float(b)) * F.col(o)
             cur = cur.withColumn(c, F.when(F.col(f"__miss_{c}"), pred).otherwise(F.col(c)))
         cur = cut_lineage(cur)

@@ -237,13 +237,16 @@ def aft_weibull(spark, sf_dir):
     return spark.createDataFrame(rows, "term string, value double")
 
 
+QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9)
+
+
 @query("quantile_regression", ["V12", "E36"])
 def quantile_regression(spark, sf_dir):
     """Linear quantile regression by iteratively reweighted least squares:
     each iteration is one weighted Gram aggregate and a 2 x 2 solve."""
     li = Tables(spark, sf_dir).lineitem.select("l_quantity", "l_extendedprice").cache()
     rows = []
-    for q in (0.1, 0.5, 0.9):
+    for q in QUANTILES:
         beta = ml.ridge_solve(ml.gram(li, ["l_quantity"], ["l_extendedprice"]))
         for _ in range(15):
             r = F.col("l_extendedprice") - (F.lit(float(beta[0])) + F.lit(float(beta[1])) * F.col("l_quantity"))
@@ -284,12 +287,6 @@ def _std_lineitem(spark, sf_dir):
 
 
 def _ridge_rmse(train, test, feats, alpha=1e-3):
-    if len(feats) > 10:
-        # wide designs: assemble once, Spark's normal-equation solver builds the Gram in one pass
-        asm = VectorAssembler(inputCols=list(feats), outputCol="__f")
-        lr = LinearRegression(featuresCol="__f", solver="normal", regParam=alpha, standardization=False)
-        m = lr.fit(asm.transform(train.select(*feats, "label")))
-        return RegressionEvaluator(metricName="rmse").evaluate(m.transform(asm.transform(test.select(*feats, "label"))))
     g = ml.gram(train, feats, ["label"])
     beta = ml.ridge_solve(g, alpha)
     pred = F.lit(float(beta[0]))
@@ -332,7 +329,7 @@ def mice_impute(spark, sf_dir):
     truth = li.select(*key, *[F.col(c).alias(f"true_{c}") for c in cols])
     masked = with_injected_missing(li, key, cols)
     med = masked.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
-    imp = kernels.mice(masked, cols, rounds=3)
+    imp = kernels.mice(masked, cols)
     j = imp.join(truth, key).join(masked.select(*key, *[F.col(c).isNull().alias(f"m_{c}") for c in cols]), key)
     rows = j.agg(*[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.col(c) - F.col(f"true_{c}")) ** 2))).alias(f"mice_{c}") for c in cols],
                  *[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.lit(float(med[c])) - F.col(f"true_{c}")) ** 2))).alias(f"median_{c}")

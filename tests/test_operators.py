@@ -529,3 +529,46 @@ def test_group_mean_cv_equals_refits(spark):
                         own = [v for kk, v in train if kk == (k if model == "g" else "")]
                         err.append((y - (sum(own) / len(own) if own else every)) ** 2)
                 assert got[(model, i, split)] == pytest.approx((sum(err) / len(err)) ** 0.5, rel=1e-6)
+
+
+def test_mice_is_ten_rounds_of_bayesian_ridge(spark):
+    import numpy as np
+    from fathom.operators import kernels, ml
+    rnd = np.random.default_rng(4)
+    a = rnd.normal(size=60)
+    x = np.stack([a, a + .1 * rnd.normal(size=60), 2 * a + .1 * rnd.normal(size=60)], axis=1)
+    miss = rnd.random(x.shape) < .3
+    data = [(i, *[None if m else float(v) for v, m in zip(r, q)]) for i, (r, q) in enumerate(zip(x, miss))]
+    got = kernels.mice(df(spark, data, "k int, a double, b double, c double"), ["a", "b", "c"]).orderBy("k").collect()
+    cur = x.copy()
+    for j in range(3):
+        cur[miss[:, j], j] = np.median(x[~miss[:, j], j])
+    for _ in range(10):
+        for j in range(3):
+            seen, rest = ~miss[:, j], [o for o in range(3) if o != j]
+            one = np.column_stack([np.ones(seen.sum()), cur[np.ix_(seen, rest)]])
+            y = cur[seen, j]
+            fit = ml.bayesian_ridge({"n": float(seen.sum()), "xx": one.T @ one, "xy": (one.T @ y)[:, None], "yy": np.array([y @ y])})
+            cur[~seen, j] = fit["intercept"] + cur[np.ix_(~seen, rest)] @ fit["coef"]
+    assert np.allclose([[r.a, r.b, r.c] for r in got], cur, rtol=1e-7, atol=1e-9)
+
+
+def test_quantile_regression_has_the_five_quantiles(spark):
+    from fathom.plans.models import quantile_regression
+    from tests.conftest import SF_SMALL
+    rows = quantile_regression(spark, SF_SMALL).orderBy("quantile").collect()
+    assert [r.quantile for r in rows] == [0.1, 0.25, 0.5, 0.75, 0.9]
+    at = [r.intercept + 25 * r.slope for r in rows]
+    assert at == sorted(at) and all(r.pinball > 0 for r in rows)
+
+
+def test_wide_ridge_has_the_penalty_of_a_narrow_one(spark):
+    import numpy as np
+    from fathom.plans.models import _ridge_rmse
+    rnd = np.random.default_rng(8)
+    x, n = rnd.normal(size=(40, 12)), [f"x{j}" for j in range(12)]
+    y = x @ rnd.normal(size=12) + 3
+    d = df(spark, [(*map(float, r), float(v)) for r, v in zip(x, y)], ", ".join(f"{c} double" for c in [*n, "label"]))
+    one = np.column_stack([np.ones(40), x])
+    beta = np.linalg.solve(one.T @ one + 5.0 * np.diag([0.0] + [1.0] * 12), one.T @ y)
+    assert math.isclose(_ridge_rmse(d, d, n, 5.0), np.sqrt(np.mean((y - one @ beta) ** 2)), rel_tol=1e-9)
