@@ -153,3 +153,51 @@ def half_report(long: DataFrame, half: str = "half", ref: str = "reference", cur
     return st.join(p, "feature").select(
         "feature", "train_missing_rate", "current_missing_rate", "absolute_change", "missing_alert",
         "train_mean", "train_std", "current_mean", "current_std", "n_current", "psi")
+
+
+# ---- D6: PSI over the last N values of a feature ----
+
+def bin_profile(ref: DataFrame, bins: int = 10) -> DataFrame:
+    """One row per feature of (feature, x): range, and the shares of the
+    values in each of ``bins`` equal-width bins, as an array."""
+    r = ref.where(F.col("x").isNotNull())
+    rng = r.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n_ref"))
+    hits = binned(r, rng, bins).groupBy("feature").agg(
+        *[F.count(F.when(F.col("bin") == i, 1)).alias(f"__c{i}") for i in range(bins)])
+    shares = F.array(*[F.col(f"__c{i}") / F.col("n_ref") for i in range(bins)])
+    return rng.join(hits, "feature").select("feature", "lo", "hi", shares.alias("shares"))
+
+
+def binned(long: DataFrame, profile: DataFrame, bins: int = 10) -> DataFrame:
+    """long with ``bin``, -1 outside the profile's range; values that are
+    NULL or of a feature without a profile are left out.  The profile has
+    one row per feature and is broadcast by that bound."""
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+    raw = F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int")
+    b = F.when((x < lo) | (x > hi), -1).when(lo == hi, 0).when(x == hi, bins - 1).otherwise(F.least(raw, F.lit(bins - 1)))
+    ranges = F.broadcast(profile.select("feature", "lo", "hi"))
+    return long.where(x.isNotNull()).join(ranges, "feature").select(*long.columns, b.cast("int").alias("bin"))
+
+
+def psi_of_counts(counts: Sequence[Column], n: Column, shares: Column, eps: float = 1e-8) -> Column:
+    """PSI of bin counts out of ``n`` against an array of shares."""
+    total = F.lit(0.0)
+    for i, c in enumerate(counts):
+        a, e = c / n + eps, F.get(shares, F.lit(i)) + eps
+        total = total + (a - e) * F.log(a / e)
+    return total
+
+
+def last_n_psi(cur: DataFrame, profile: DataFrame, order_cols: Sequence[str], n: int = 100, bins: int = 10,
+               keep: Sequence[str] = ()) -> DataFrame:
+    """At each value of (feature, x, order columns), the PSI of the
+    feature's last ``n`` values against the profile, from n/2 values on:
+    (feature, *keep, n_window, psi).  Rolling counts come from range
+    partitions with copies of the n rows before (``halo``)."""
+    from fathom.operators.halo import last_sums
+    names = [f"__c{i}" for i in range(bins)]
+    rows = binned(cur, profile, bins).select("feature", *dict.fromkeys([*order_cols, *keep]), "bin")
+    sums = last_sums(rows, order_cols, {c: (F.col("bin") == i).cast("long") for i, c in enumerate(names)}, n, ["feature"])
+    full = sums.where(F.col("n_rows") >= n // 2).join(F.broadcast(profile.select("feature", "shares")), "feature")
+    psi_col = psi_of_counts([F.col(c) for c in names], F.col("n_rows"), F.col("shares"))
+    return full.select("feature", *keep, F.col("n_rows").alias("n_window"), psi_col.alias("psi"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -163,19 +164,32 @@ def leakage_audit(df: DataFrame, target: str, terms: Sequence[str], corr_limit:
         .withColumn("suspicious", F.col("name_flag") | F.col("corr_flag"))
 
 
-def missing_taxonomy(report: DataFrame, absent_cols: Sequence[str] = (), spatial_cols: Sequence[str] = (),
-                     conditional_cols: Sequence[str] = (), mcar_limit: float = 0.01) -> DataFrame:
-    """Q20: rule table on a missingness report (columns with missing only)."""
-    c = F.col("column_name")
-    kind = F.when(c.isin(*absent_cols) if absent_cols else F.lit(False), "MNAR_absent") \
-        .when(c.isin(*spatial_cols) if spatial_cols else F.lit(False), "MAR_spatial") \
-        .when(c.isin(*conditional_cols) if conditional_cols else F.lit(False), "MAR_conditional") \
-        .when(F.col("missing_rate") < mcar_limit, "MCAR").otherwise("MAR_general")
-    strategy = F.when(kind == "MNAR_absent", "fill_None_or_0").when(kind == "MAR_spatial", "group_median") \
-        .when(kind == "MAR_conditional", "fill_from_proxy").when(kind == "MCAR", "median_mode") \
-        .otherwise("iterative_mice")
-    return report.where(F.col("n_missing") > 0).select("column_name", "missing_rate", kind.alias("type"),
-                                                       strategy.alias("strategy"))
+@dataclass(frozen=True)
+class MissingRule:
+    """A rule of the missing-data table: it holds for the named columns (all
+    if None) whose missing rate is below ``below`` (any if None), and gives
+    them a reason and a remedy."""
+
+    reason: str
+    remedy: str
+    columns: tuple[str, ...] | None = None
+    below: float | None = None
+
+
+def missing_taxonomy(report: DataFrame, rules: Sequence[MissingRule]) -> DataFrame:
+    """Q20: (column_name, missing_rate, reason, remedy) of the columns of a
+    missingness report that lack values, from the first rule that holds;
+    both NULL where none does.  The rules become a small table joined to the
+    report (a row per column of the data): no branches in code."""
+    spark = report.sparkSession
+    table = spark.createDataFrame([(i, r.reason, r.remedy, list(r.columns) if r.columns is not None else None, r.below)
+                                   for i, r in enumerate(rules)],
+                                  "rule int, reason string, remedy string, columns array<string>, below double")
+    holds = (F.col("columns").isNull() | F.array_contains("columns", F.col("column_name"))) \
+        & (F.col("below").isNull() | (F.col("missing_rate") < F.col("below")))
+    matched = report.where(F.col("n_missing") > 0).join(F.broadcast(table), holds, "left")
+    return matched.groupBy("column_name", "missing_rate").agg(
+        F.min_by(F.struct("reason", "remedy"), "rule").alias("__first")).select("column_name", "missing_rate", "__first.*")
 
 
 def row_fingerprint_text(cols: Sequence[str], formats: Mapping[str, Column] | None = None) -> Column:

@@ -79,8 +79,8 @@ def censoring_summary(df: DataFrame, duration: str, event: str) -> DataFrame:
     """V5: counts, censoring rate, complete-case mean, all-as-events mean."""
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(event).cast("long")).alias("n_events"),
                   (1 - F.avg(F.col(event).cast("double"))).alias("censoring_rate"),
-                  F.avg(F.when(F.col(event) == 1, F.col(duration))).alias("naive_complete_case_mean"),
-                  F.avg(duration).alias("naive_all_as_events_mean"))
+                  F.avg(F.when(F.col(event) == 1, F.col(duration))).alias("mean_of_events"),
+                  F.avg(duration).alias("mean_ignoring_censoring"))
 
 
 def c_index(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:

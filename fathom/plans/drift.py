@@ -9,6 +9,7 @@ from fathom.functions.special import sql_ks_sf_duckdb
 from fathom.operators import drift, folds, profile
 from fathom.plans.common import SQL_EVENTS_FEATURES, coords, events_features, sql_coords
 from fathom.plans.registry import query
+from fathom.session import small_side
 from fathom.sources.tables import Tables
 
 FEATURES = ["value", "k"]
@@ -160,6 +161,40 @@ def drift_report(spark, sf_dir):
         F.lit(0.2).alias("psi_limit"), (F.col("psi") > 0.2).alias("psi_alert"), "n_current", retrain.alias("retrain"))
 
 
+LAST_N, PSI_LIMIT = 100, 0.2
+_BIN = ("CASE WHEN x < lo OR x > hi THEN -1 WHEN lo = hi THEN 0 WHEN x = hi THEN 9 "
+        "ELSE least(CAST(floor((x - lo) * (10.0e0 / (hi - lo))) AS INTEGER), 9) END")
+SQL_LAST_N = f"""
+WITH {SQL_EVENTS_FEATURES},
+pr AS (SELECT feature, min(x) AS lo, max(x) AS hi, count(x) AS n FROM lv WHERE half = 'reference' AND x IS NOT NULL GROUP BY 1),
+b AS (SELECT feature, event_id, ts, half, n, {_BIN} AS bin FROM lv JOIN pr USING (feature) WHERE x IS NOT NULL),
+sh AS (SELECT feature, {", ".join(f"count(*) FILTER (WHERE bin = {i}) / any_value(n) + 1e-8 AS e{i}" for i in range(10))}
+       FROM b WHERE half = 'reference' GROUP BY 1),
+r AS (SELECT feature, event_id, count(*) OVER w AS m,
+             {", ".join(f"count(*) FILTER (WHERE bin = {i}) OVER w AS c{i}" for i in range(10))}
+      FROM b WHERE half = 'current'
+      WINDOW w AS (PARTITION BY feature ORDER BY ts, event_id ROWS BETWEEN {LAST_N - 1} PRECEDING AND CURRENT ROW)),
+p AS (SELECT feature, event_id, CAST(m AS INTEGER) AS n_window,
+             {" + ".join(f"(c{i} / m + 1e-8 - e{i}) * ln((c{i} / m + 1e-8) / e{i})" for i in range(10))} AS psi
+      FROM r JOIN sh USING (feature) WHERE m >= {LAST_N // 2})
+SELECT feature, event_id, n_window, {sql_rnd("psi", 6)} AS psi, psi > {PSI_LIMIT}e0 AS drifted FROM p
+"""
+
+
+def last_n_report(scores):
+    return scores.select("feature", "event_id", "n_window", rnd("psi", 6).alias("psi"), (F.col("psi") > PSI_LIMIT).alias("drifted"))
+
+
+@query("rolling_psi_last_n", ["D6", "T1"], sql=SQL_LAST_N)
+def rolling_psi_last_n(spark, sf_dir):
+    """PSI of each feature's last 100 values at every value of the second half, against the first half."""
+    e = events_features(spark, sf_dir)
+    lv = drift.long_values(e, FEATURES, extra=["event_id", "ts", "half"])
+    profile = small_side(drift.bin_profile(lv.where(F.col("half") == "reference")))
+    return last_n_report(drift.last_n_psi(lv.where(F.col("half") == "current"), profile, ["ts", "event_id"], LAST_N,
+                                          keep=["event_id"]))
+
+
 LAT_S, LON_S = sql_coords("s_suppkey")
 LAT_C, LON_C = sql_coords("c_custkey")
 

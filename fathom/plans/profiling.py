@@ -185,21 +185,28 @@ def leakage_audit(spark, sf_dir):
     return r.withColumn("target_corr", rnd("target_corr", 6))
 
 
+MISSING_RULES = [
+    profile.MissingRule("structural", "own_level", columns=("l_returnflag",)),
+    profile.MissingRule("sporadic", "typical_value", below=0.01),
+    profile.MissingRule("by_segment", "segment_median", columns=("l_discount", "l_tax")),
+    profile.MissingRule("unexplained", "model_based"),
+]
+
+
 @query("missing_taxonomy", ["Q20"], sql=f"""
 WITH {SQL_LI_MISSING},
 r AS (""" + _union_sql("SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing, 1.0e0 - count({c}) / count(*) AS missing_rate FROM li",
-                       LI_MISSING) + """)
-SELECT column_name, round(missing_rate * 1e6) / 1e6 AS missing_rate,
-       CASE WHEN column_name IN ('l_returnflag') THEN 'MNAR_absent' WHEN column_name IN ('l_discount') THEN 'MAR_spatial'
-            WHEN missing_rate < 0.01e0 THEN 'MCAR' ELSE 'MAR_general' END AS type,
-       CASE WHEN column_name IN ('l_returnflag') THEN 'fill_None_or_0' WHEN column_name IN ('l_discount') THEN 'group_median'
-            WHEN missing_rate < 0.01e0 THEN 'median_mode' ELSE 'iterative_mice' END AS strategy
-FROM r WHERE n_missing > 0
+                       LI_MISSING) + """),
+t(rule, reason, remedy, col, below) AS (VALUES (0, 'structural', 'own_level', 'l_returnflag', NULL),
+  (1, 'sporadic', 'typical_value', NULL, 0.01e0), (2, 'by_segment', 'segment_median', 'l_discount', NULL),
+  (2, 'by_segment', 'segment_median', 'l_tax', NULL), (3, 'unexplained', 'model_based', NULL, NULL))
+SELECT column_name, round(missing_rate * 1e6) / 1e6 AS missing_rate, arg_min(reason, rule) AS reason, arg_min(remedy, rule) AS remedy
+FROM r JOIN t ON (col IS NULL OR col = column_name) AND (below IS NULL OR missing_rate < below)
+WHERE n_missing > 0 GROUP BY column_name, missing_rate
 """)
 def missing_taxonomy(spark, sf_dir):
     rep = profile.missingness_report(lineitem_missing(spark, sf_dir), LI_MISSING, distinct=False)
-    t = profile.missing_taxonomy(rep, absent_cols=["l_returnflag"], spatial_cols=["l_discount"])
-    return t.withColumn("missing_rate", rnd("missing_rate", 6))
+    return profile.missing_taxonomy(rep, MISSING_RULES).withColumn("missing_rate", rnd("missing_rate", 6))
 
 
 FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]

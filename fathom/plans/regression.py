@@ -10,9 +10,10 @@ from fathom.functions.hashing import sql_bucket, sql_key_text
 from fathom.functions.numeric import rnd, sql_rnd
 from fathom.functions.special import sql_chi2_sf
 from fathom.operators import evalreg as R
-from fathom.operators import folds
+from fathom.operators import folds, halo
 from fathom.plans.registry import query
 from fathom.plans.slice import SQL_SCORED_ORDERS, scored_orders
+from fathom.session import small_side
 from fathom.sources.tables import Tables
 
 Y, P = "o_totalprice", "pred"
@@ -223,26 +224,24 @@ def breusch_pagan(spark, sf_dir):
                     rnd("jb", 6).alias("jarque_bera"), rnd(F.expr(sql_chi2_sf("jb", 2)), 6).alias("jb_pvalue"), "n")
 
 
-MAX_LAG = 10
+MAX_LAG = 48
+REPORTED_LAGS = (1, 24)
 
 
 @query("residual_acf", ["E44", "J12"], sql=f"""
-WITH d AS (SELECT CAST(ts AS DATE) AS day, avg(value) AS v FROM events GROUP BY 1),
-c AS (SELECT day, v - avg(v) OVER () AS r FROM d),
-l AS (SELECT r, """ + ", ".join(f"lag(r, {k}) OVER (ORDER BY day) AS l{k}" for k in range(1, MAX_LAG + 1)) + """ FROM c)
-""" + "\nUNION ALL\n".join(f"SELECT {k} AS lag, {sql_rnd(f'sum(r * l{k}) / sum(r * r)', 8)} AS acf FROM l"
-                           for k in range(1, MAX_LAG + 1)))
+WITH c AS (SELECT ts, event_id, value - avg(value) OVER (PARTITION BY event_type) AS e FROM events WHERE value IS NOT NULL),
+z AS (SELECT ts, event_id, e - avg(e) OVER () AS r FROM c),
+l AS (SELECT r, """ + ", ".join(f"lag(r, {k}) OVER w AS l{k}" for k in range(1, MAX_LAG + 1)) + """ FROM z
+      WINDOW w AS (ORDER BY ts, event_id))
+""" + "\nUNION ALL\n".join(f"SELECT {k} AS lag, {sql_rnd(f'sum(r * l{k}) / sum(r * r)', 8)} AS acf, "
+                           f"{'true' if k in REPORTED_LAGS else 'false'} AS reported FROM l" for k in range(1, MAX_LAG + 1)))
 def residual_acf(spark, sf_dir):
-    e = Tables(spark, sf_dir).events
-    d = e.groupBy(F.to_date("ts").alias("day")).agg(F.avg("value").alias("v"))   # one row per day
-    m = d.agg(F.avg("v").alias("mv"))
-    c = d.crossJoin(F.broadcast(m)).withColumn("r", F.col("v") - F.col("mv"))
-    w = Window.orderBy("day")  # over the daily series: one row per day
-    lagged = c.select("r", *[F.lag("r", k).over(w).alias(f"l{k}") for k in range(1, MAX_LAG + 1)])
-    agg = lagged.agg(*[(F.sum(F.col("r") * F.col(f"l{k}")) / F.sum(F.col("r") * F.col("r"))).alias(str(k))
-                       for k in range(1, MAX_LAG + 1)])
-    stack = ", ".join(f"{k}, `{k}`" for k in range(1, MAX_LAG + 1))
-    return agg.selectExpr(f"stack({MAX_LAG}, {stack}) as (lag, acf)").withColumn("acf", rnd("acf", 8))
+    """Autocorrelation of the residuals of the event-type means, row by row in time order."""
+    e = Tables(spark, sf_dir).events.select("ts", "event_id", "event_type", "value").where("value IS NOT NULL")
+    means = small_side(e.groupBy("event_type").agg(F.avg("value").alias("pred")))
+    residuals = e.join(means, "event_type").select("ts", "event_id", (F.col("value") - F.col("pred")).alias("r"))
+    acf = halo.autocorrelation(residuals, ["ts", "event_id"], "r", MAX_LAG)
+    return acf.select("lag", rnd("acf", 8).alias("acf"), F.col("lag").isin(*REPORTED_LAGS).alias("reported"))
 
 
 @query("linear_attribution", ["E52", "H7"], sql=f"""

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from fathom.functions.numeric import rnd, sql_rnd
 from fathom.operators import windows
+from fathom.plans.common import events_features
+from fathom.plans.drift import LAST_N, SQL_LAST_N, last_n_report
 from fathom.plans.registry import ORACLES, query
+from fathom.session import small_side
 from fathom.sources.tables import Tables, table_path
 from fathom.streaming import monitor as S
 
@@ -150,6 +153,57 @@ def rolling_psi_stream(spark, sf_dir):
                       rnd("psi", 6).alias("psi"), "n_current")
 
 
+FILES = 8
+
+
+def last_n_stream(spark, events, profile, n, files=FILES, per_batch=3, lateness="60 days"):
+    """Scores of a stream over ``files`` files of the rows (feature, event_id, x, ts), dealt by a hash of the id.
+
+    A file's rows are spread over the whole time, so the lateness allowed is
+    the whole time too.  Rows wait for the watermark; after the last file a
+    row without a value, far ahead in time, closes the stream.
+    """
+    import uuid
+    from fathom.functions.hashing import bucket
+    from fathom.operators import drift
+    from fathom.session import ensure_checkpoint_dir
+    from fathom.streaming import last_n
+    root = f"{ensure_checkpoint_dir(spark)}/streams/last-n-{uuid.uuid4().hex[:8]}"
+    rows = drift.binned(events, profile).select(F.col("feature").alias("key"), F.col("event_id").alias("id"), "bin",
+                                                F.col("ts").cast("timestamp").alias("event_time"))
+    dealt = bucket(F.col("id").cast("string"), "last-n", files)
+    rows.withColumn("f", dealt).repartition(files, "f").drop("f").write.parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema
+    had = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", last_n.ROCKS)
+    try:
+        for closing in (False, True):
+            if closing:
+                end = rows.agg(F.max("event_time").alias("event_time")).select(
+                    F.lit("").alias("key"), F.lit(0).cast("long").alias("id"), F.lit(None).cast("int").alias("bin"),
+                    (F.col("event_time") + F.expr(f"INTERVAL {lateness}") + F.expr("INTERVAL 1 DAY")).alias("event_time"))
+                end.where("event_time IS NOT NULL").write.mode("append").parquet(f"{root}/in")
+            s = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(f"{root}/in")
+            counts = S.run_available_now(last_n.last_n_counts(s, n, lateness=lateness), "last-n", base=root)
+    finally:
+        if had is None:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        else:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", had)
+    j = counts.withColumnsRenamed({"key": "feature", "id": "event_id"}).join(F.broadcast(profile), "feature")
+    score = drift.psi_of_counts([F.get("counts", F.lit(i)) for i in range(10)], F.col("n_window"), F.col("shares"))
+    return j.select("feature", "event_id", "n_window", score.alias("psi"))
+
+
+@query("rolling_psi_last_n_stream", ["D6", "T1", "S8"], sql=SQL_LAST_N)
+def rolling_psi_last_n_stream(spark, sf_dir):
+    """The scores of ``rolling_psi_last_n`` from a stream over shuffled files, as keyed state."""
+    from fathom.operators import drift
+    lv = drift.long_values(events_features(spark, sf_dir), ["value", "k"], extra=["event_id", "ts", "half"])
+    profile = small_side(drift.bin_profile(lv.where(F.col("half") == "reference")))
+    return last_n_report(last_n_stream(spark, lv.where(F.col("half") == "current"), profile, LAST_N))
+
+
 @query("rate_limiter_stream", ["T5"])
 def rate_limiter_stream(spark, sf_dir):
     out = S.run_available_now(S.rate_limiter(_events_stream(spark, sf_dir), "user_id", LIMIT, 60.0), "ratelimit")

@@ -92,13 +92,13 @@ def logrank(spark, sf_dir):
 @query("censoring_summary", ["V5"], sql=f"""
 WITH {SQL_SUBJ}
 SELECT count(*) AS n, CAST(sum(event) AS BIGINT) AS n_events, {sql_rnd('1 - avg(CAST(event AS DOUBLE))', 8)} AS censoring_rate,
-       {sql_rnd('avg(duration) FILTER (WHERE event = 1)', 8)} AS naive_complete_case_mean,
-       {sql_rnd('avg(duration)', 8)} AS naive_all_as_events_mean FROM s
+       {sql_rnd('avg(duration) FILTER (WHERE event = 1)', 8)} AS mean_of_events,
+       {sql_rnd('avg(duration)', 8)} AS mean_ignoring_censoring FROM s
 """)
 def censoring_summary(spark, sf_dir):
     c = V.censoring_summary(subjects(spark, sf_dir), "duration", "event")
-    return c.select("n", "n_events", *[rnd(x, 8).alias(x) for x in ["censoring_rate", "naive_complete_case_mean",
-                                                                     "naive_all_as_events_mean"]])
+    return c.select("n", "n_events", *[rnd(x, 8).alias(x) for x in ["censoring_rate", "mean_of_events",
+                                                                     "mean_ignoring_censoring"]])
 
 
 @query("c_index", ["V8"], sql=f"""

@@ -39,8 +39,13 @@ def table_path(sf_dir: str, name: str) -> str:
     return override or f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# where the library lies: Python tasks look here too, whatever folder the driver was started in
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; how it is split is left to the reader's settings."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(table_path(sf_dir, name))
 
 

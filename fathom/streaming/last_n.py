@@ -1,0 +1,101 @@
+"""The last N values of a key as streaming state.
+
+Values of a key arrive in any order of files and batches.  They wait until
+the watermark has passed them, and then enter the window in event-time order,
+so the counts at a value are those of the batch row frame, whatever the files
+and the batch size, as long as no value is later than the watermark allows.
+State of a key: the values that wait, the last N bins and how many values
+there were; the counts change by one value in and one out.
+
+A key's values are taken one after the other, as the order demands; binning
+and all else is done before the shuffle.  A busy monitor is keyed by a shard
+(source, model) besides the feature.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class LastN(StatefulProcessor):
+    """Bins of a key's last ``n`` values, put out at each value from ``n // 2`` values on."""
+
+    def __init__(self, n: int, bins: int):
+        self.n, self.bins = n, bins
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "ts_us long, id long, bin int")
+        self.window = handle.getValueState("window", "ring array<int>, seen long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for chunk in rows:
+            chunk = chunk[chunk["bin"].notna()]
+            if len(chunk):
+                new = list(zip(chunk["ts_us"].tolist(), chunk["id"].tolist(), chunk["bin"].astype(int).tolist()))
+                self.waiting.appendList(new)
+                low = min(t for t, _, _ in new)
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self._wake(first, timerValues)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        due = [r for r in waiting if r[0] <= passed]
+        later = waiting[len(due):]
+        if due:
+            self.waiting.put(later) if later else self.waiting.clear()
+            yield self._pass(key[0], due)
+        if later:
+            self._wake(later[0][0], timerValues)
+
+    def _wake(self, ts_us: int, timerValues) -> None:
+        """Be called when the watermark has passed the time."""
+        self.handle.registerTimer(max(ts_us // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+
+    def _pass(self, key: str, due: list[tuple[int, int, int]]) -> pd.DataFrame:
+        """Let values into the window, in order."""
+        ring, seen = ([], 0) if not self.window.exists() else self.window.get()
+        ring, counts, out = list(ring), [0] * self.bins, []
+        for b in ring:
+            if b >= 0:
+                counts[b] += 1
+        at = seen % self.n
+        for _, row, b in due:
+            if len(ring) == self.n:
+                if ring[at] >= 0:
+                    counts[ring[at]] -= 1
+                ring[at] = b
+            else:
+                ring.append(b)
+            if b >= 0:
+                counts[b] += 1
+            seen, at = seen + 1, (at + 1) % self.n
+            if len(ring) >= self.n // 2:
+                out.append((key, row, len(ring), list(counts)))
+        self.window.update((ring, seen))
+        return pd.DataFrame(out, columns=["key", "id", "n_window", "counts"])
+
+    def close(self) -> None:
+        pass
+
+
+def last_n_counts(stream: DataFrame, n: int = 100, bins: int = 10, lateness: str = "1 hour") -> DataFrame:
+    """(key, id, n_window, counts) for a stream of (key, id, bin, event_time),
+    bin -1 for a value that belongs to no bin and NULL for a row that only
+    moves the time on.  Needs the RocksDB state store (``ROCKS``)."""
+    rows = stream.withWatermark("event_time", lateness) \
+        .select("key", "id", "bin", "event_time", F.unix_micros("event_time").alias("ts_us"))
+    return rows.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=LastN(n, bins), outputStructType="key string, id long, n_window int, counts array<int>",
+        outputMode="append", timeMode="EventTime")
