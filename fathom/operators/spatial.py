@@ -1,4 +1,4 @@
-"""Spatial statistics.
+"""Spatial statistics.
 
 Neighbour search is a grid-bucket equi-join, never a cross join: each
 point looks at the ring of cells around its own; a point whose k-th
@@ -8,8 +8,6 @@ searched again with a wider ring, so the result is exact.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,25 +101,12 @@ def density_grid(df: DataFrame, lat: str, lon: str, bins: int = 120) -> DataFram
     return j.groupBy(ci.alias("cell_i"), cj.alias("cell_j")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def kde_log_density(points: DataFrame, ref: DataFrame, bandwidth: float, cutoff: float = 4.0) -> DataFrame:
-    """Gaussian KDE log-density (Euclidean in the coordinate plane) of
-    each point against reference points, kernel truncated at ``cutoff``
-    bandwidths; the reference is bucketed in cells of cutoff*bandwidth and
-    joined on the 3x3 block, which holds every point within the cutoff."""
-    size = cutoff * bandwidth
-    rc = ref.select(F.col("lat").alias("rlat"), F.col("lon").alias("rlon"),
-                    F.floor(F.col("lat") / size).cast("long").alias("ci"), F.floor(F.col("lon") / size).cast("long").alias("cj"))
-    n = ref.agg(F.count(F.lit(1)).alias("__n"))
-    pc = points.select("id", "lat", "lon", F.floor(F.col("lat") / size).cast("long").alias("__ci"),
-                       F.floor(F.col("lon") / size).cast("long").alias("__cj"))
-    cand = pc.withColumn("o", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"))
-                                                  for a in (-1, 0, 1) for b in (-1, 0, 1)]))) \
-        .withColumn("ci", F.col("__ci") + F.col("o.a")).withColumn("cj", F.col("__cj") + F.col("o.b")).drop("o")
-    pairs = cand.join(rc, ["ci", "cj"])
-    d2 = F.pow(F.col("lat") - F.col("rlat"), 2) + F.pow(F.col("lon") - F.col("rlon"), 2)
-    k = F.when(d2 <= size * size, F.exp(-d2 / (2 * bandwidth * bandwidth))).otherwise(F.lit(0.0))
-    s = pairs.groupBy("id").agg(F.sum(k).alias("ksum"))
-    out = points.select("id").join(s, "id", "left").crossJoin(F.broadcast(n))
-    norm = F.col("__n") * (2 * math.pi * bandwidth * bandwidth)
-    # no reference point within the cutoff: the truncated density is 0, its log undefined (NULL)
-    return out.select("id", F.when(F.col("ksum") > 0, F.log(F.col("ksum") / norm)).alias("log_density"))
+def grid_middles(df: DataFrame, lat: str, lon: str, bins: int = 120) -> DataFrame:
+    """A10: (cell_i, cell_j, lat, lon) of the middles of a bins x bins grid
+    spanning the data range."""
+    r = df.agg(F.min(lat).alias("a0"), F.max(lat).alias("a1"), F.min(lon).alias("o0"), F.max(lon).alias("o1"))
+    cells = df.sparkSession.range(bins * bins).crossJoin(F.broadcast(r))  # a grid of fixed size and one row
+    i, j = F.floor(F.col("id") / bins).cast("int"), (F.col("id") % bins).cast("int")
+    return cells.select(i.alias("cell_i"), j.alias("cell_j"),
+                        (F.col("a0") + (i + 0.5) * ((F.col("a1") - F.col("a0")) / bins)).alias("lat"),
+                        (F.col("o0") + (j + 0.5) * ((F.col("o1") - F.col("o0")) / bins)).alias("lon"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fathom.functions.hashing import sql_bucket, sql_key_text
 from fathom.functions.numeric import rnd, sql_rnd
+from fathom.operators import kde
 from fathom.operators import spatial as G
 from fathom.operators.features import haversine_km
 from fathom.plans.common import coords, sql_coords
@@ -123,45 +125,75 @@ def density_grid(spark, sf_dir):
 BW = 5.0
 
 
-@query("kde_log_density", ["L18"], sql=f"""
-WITH c AS (SELECT c_custkey AS id, {LAT_C} AS lat, {LON_C} AS lon FROM customer),
+SQL_SOURCES = f"""
+c AS (SELECT c_custkey AS id, {LAT_C} AS lat, {LON_C} AS lon FROM customer),
 s AS (SELECT {LAT_S} AS lat, {LON_S} AS lon FROM supplier),
-n AS (SELECT count(*) AS n FROM s),
-k AS (SELECT c.id, sum(CASE WHEN power(c.lat - s.lat, 2) + power(c.lon - s.lon, 2) <= 400.0e0
-                            THEN exp(-(power(c.lat - s.lat, 2) + power(c.lon - s.lon, 2)) / 50.0e0) ELSE 0.0e0 END) AS ksum
-      FROM c CROSS JOIN s GROUP BY c.id)
-SELECT id, {sql_rnd('CASE WHEN ksum > 0 THEN ln(ksum / (n * 2 * pi() * 25.0e0)) END', 6)} AS log_density FROM k CROSS JOIN n
+n AS (SELECT count(*) AS n FROM s)"""
+
+
+def _sql_log_sum(h2, a="c", b="s"):
+    """Logarithm of a sum of kernels, taken out of the largest term so that none underflows."""
+    e = f"(-(power({a}.lat - {b}.lat, 2) + power({a}.lon - {b}.lon, 2)) / (2 * {h2}))"
+    return f"max({e}) + ln(sum(exp({e} - mx)))", e
+
+
+_LOG_SUM, _TERM = _sql_log_sum(f"{BW * BW}e0")
+
+
+@query("kde_log_density", ["L18"], sql=f"""
+WITH {SQL_SOURCES},
+m AS (SELECT c.id, any_value(c.lat) AS lat, any_value(c.lon) AS lon, max({_TERM}) AS mx FROM c CROSS JOIN s GROUP BY c.id),
+k AS (SELECT c.id, {_LOG_SUM} AS ls FROM m AS c CROSS JOIN s GROUP BY c.id)
+SELECT id, {sql_rnd(f'ls - ln(n * 2 * pi() * {BW * BW}e0)', 6)} AS log_density FROM k CROSS JOIN n
 """)
 def kde_log_density(spark, sf_dir):
+    """Log density of every customer point under the kernel of all supplier points, however far."""
     lat, lon = coords("c_custkey")
     c = Tables(spark, sf_dir).customer.select(F.col("c_custkey").alias("id"), lat.alias("lat"), lon.alias("lon"))
-    s = supplier_points(spark, sf_dir).select("lat", "lon")
-    k = G.kde_log_density(c, s, BW, 4.0)
+    k = kde.log_density(c, supplier_points(spark, sf_dir).select("lat", "lon"), BW)
     return k.select("id", rnd("log_density", 6).alias("log_density"))
 
 
-UNIFORM_SHARE = 0.01
-
-
-@query("kde_bandwidth_cv", ["L19", "L18"])
+@query("density_surface", ["A10", "L18"], sql=f"""
+WITH {SQL_SOURCES},
+r AS (SELECT min(lat) AS a0, max(lat) AS a1, min(lon) AS o0, max(lon) AS o1 FROM s),
+g AS (SELECT CAST(i.x AS INTEGER) AS cell_i, CAST(j.x AS INTEGER) AS cell_j, a0 + (i.x + 0.5e0) * ((a1 - a0) / 120) AS lat,
+             o0 + (j.x + 0.5e0) * ((o1 - o0) / 120) AS lon FROM range(120) AS i(x), range(120) AS j(x), r),
+m AS (SELECT cell_i, cell_j, any_value(c.lat) AS lat, any_value(c.lon) AS lon, max({_TERM}) AS mx FROM g AS c CROSS JOIN s GROUP BY ALL),
+k AS (SELECT cell_i, cell_j, {_LOG_SUM} AS ls FROM m AS c CROSS JOIN s GROUP BY ALL)
+SELECT cell_i, cell_j, {sql_rnd(f'ls - ln(n * 2 * pi() * {BW * BW}e0)', 6)} AS log_density FROM k CROSS JOIN n
+""")
+def density_surface(spark, sf_dir):
+    """Log density of the supplier points at the middles of a 120 x 120 grid over their range."""
+    pts = supplier_points(spark, sf_dir).select("lat", "lon")
+    grid = G.grid_middles(pts, "lat", "lon", 120).withColumn("id", F.col("cell_i") * 120 + F.col("cell_j"))
+    k = kde.log_density(grid, pts, BW)
+    return k.select((F.col("id") / 120).cast("int").alias("cell_i"), (F.col("id") % 120).cast("int").alias("cell_j"),
+                    rnd("log_density", 6).alias("log_density"))
+
+
+BANDWIDTHS = (1.0, 2.0, 5.0, 10.0, 20.0, 40.0)
+_LS_CV, _TERM_CV = _sql_log_sum("h * h", "a", "b")
+
+
+@query("kde_bandwidth_cv", ["L19", "L18"], sql=f"""
+WITH c AS (SELECT c_custkey AS id, {LAT_C} AS lat, {LON_C} AS lon, {sql_bucket(sql_key_text("c_custkey"), "kde", 3)} AS fold FROM customer),
+h AS (SELECT unnest([{", ".join(f"{b}e0" for b in BANDWIDTHS)}]) AS h),
+n AS (SELECT f.fold, count(*) AS n FROM (SELECT DISTINCT fold FROM c) f JOIN c ON c.fold <> f.fold GROUP BY 1),
+m AS (SELECT h, a.id, any_value(a.lat) AS lat, any_value(a.lon) AS lon, any_value(a.fold) AS fold, max({_TERM_CV}) AS mx
+      FROM c AS a JOIN c AS b ON a.fold <> b.fold CROSS JOIN h GROUP BY h, a.id),
+k AS (SELECT h, a.id, any_value(a.fold) AS fold, {_LS_CV} AS ls FROM m AS a JOIN c AS b ON a.fold <> b.fold GROUP BY h, a.id)
+SELECT h AS bandwidth, {sql_rnd('avg(ls - ln(n * 2 * pi() * h * h))', 6)} AS mean_log_likelihood, count(*) AS n_scored
+FROM k JOIN n USING (fold) GROUP BY h
+""")
 def kde_bandwidth_cv(spark, sf_dir):
-    """Mean held-out log density of customer points under a KDE built from
-    the other folds, for six bandwidths (3 hash folds); best bandwidth first."""
+    """Mean held-out log density of customer points under a KDE of the other
+    folds, for six bandwidths (3 hash folds); best bandwidth first."""
     from fathom.operators import folds
     lat, lon = coords("c_custkey")
     c = Tables(spark, sf_dir).customer.select(F.col("c_custkey").alias("id"), lat.alias("lat"), lon.alias("lon"))
-    c = folds.kfold(c, ["id"], 3, "kde")
-    rows = []
-    for bw in (1.0, 2.0, 5.0, 10.0, 20.0, 40.0):
-        parts = []
-        for i in range(3):
-            k = G.kde_log_density(c.where(F.col("fold") == i), c.where(F.col("fold") != i), bw, 4.0)
-            # a small uniform part over the globe keeps the density of every point above zero
-            dens = (1 - UNIFORM_SHARE) * F.coalesce(F.exp("log_density"), F.lit(0.0)) + UNIFORM_SHARE / (180.0 * 360.0)
-            parts.append(k.agg(F.sum(F.log(dens)).alias("ll"), F.count(F.lit(1)).alias("n")).first())
-        n = sum(p["n"] for p in parts)
-        rows.append((bw, float(sum(p["ll"] or 0.0 for p in parts) / max(n, 1)), int(n)))
-    return spark.createDataFrame(rows, "bandwidth double, mean_log_likelihood double, n_scored long") \
+    scores = kde.bandwidth_scores(folds.kfold(c, ["id"], 3, "kde"), list(BANDWIDTHS))
+    return scores.select("bandwidth", rnd("mean_log_likelihood", 6).alias("mean_log_likelihood"), "n_scored") \
         .orderBy(F.desc("mean_log_likelihood"))
 
 
