@@ -1,68 +1,136 @@
-"""Geographically weighted regression (G4) at fixed anchors: the
-anchor-point pairs come from a grid-cell equi-join (anchors are few), kernel
-weights are columns, and the weighted normal equations of every anchor are
-one grouped aggregate; the small per-anchor systems are solved on the
-driver."""
+"""Geographically weighted regression (G4): a linear model at every point,
+fitted to its nearest neighbours, the number of neighbours chosen by AICc.
 
-from __future__ import annotations
+The kernel is adaptive: a point's weights are bisquare, (1 - (d / b)^2)^2,
+with b the distance of its k-th nearest point (itself the first), so the
+kernel has bounded support and no cut-off beyond it.  The neighbours of all
+points come once from the grid search of ``spatial.knn`` and are stored as
+lists of at most the largest k entries; every candidate k is a prefix of
+them, so all candidates are scored in one pass of small batched normal
+equations over Arrow batches, and only (k, rss, trace) rows are aggregated.
+"""
 
+from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.operators.features import haversine_km
-
-
-def local_fits(df: DataFrame, y: str, xs: Sequence[str], anchors: Sequence[tuple[int, float, float]],
-               bandwidth_km: float, cutoff: float = 3.0) -> dict:
-    spark = df.sparkSession
-    radius_deg = cutoff * bandwidth_km / 111.19  # latitude degrees covered by the cutoff
-    size = max(radius_deg, 0.5)
-    n_lon = int(math.ceil(360.0 / size))
-    cells = []
-    for i, la, lo in anchors:
-        lat0, lat1 = max(-90.0, la - radius_deg), min(90.0, la + radius_deg)
-        phi = max(abs(lat0), abs(lat1))
-        span = 180.0 if phi >= 89.9 else min(180.0, radius_deg / max(math.cos(math.radians(phi)), 1e-9))
-        ci = range(int(math.floor((lat0 + 90.0) / size)), int(math.floor((lat1 + 90.0) / size)) + 1)
-        if span >= 180.0:
-            cj = range(n_lon)
-        else:
-            cj = {int(math.floor((((lo + d) + 180.0) % 360.0) / size)) for d in np.linspace(-span, span, 64)}
-        cells += [(int(i), float(la), float(lo), a_, b_) for a_ in ci for b_ in cj]
-    # the anchor side is (anchors x nearby cells): bounded by the anchor count; points meet
-    # anchors through an equi-join on their own cell, never as all pairs
-    a = spark.createDataFrame(cells, "anchor int, alat double, alon double, ci int, cj int")
-    pts = df.withColumn("ci", F.floor((F.col("lat") + 90.0) / size).cast("int")) \
-        .withColumn("cj", F.floor((F.col("lon") + 180.0) / size).cast("int"))
-    j = pts.join(F.broadcast(a), ["ci", "cj"]).withColumn("__d", haversine_km("lat", "lon", "alat", "alon")) \
-        .where(F.col("__d") <= cutoff * bandwidth_km)
-    w = F.exp(-0.5 * F.pow(F.col("__d") / bandwidth_km, 2))
-    cols = ["__one"] + list(xs)
-    j = j.withColumn("__one", F.lit(1.0)).withColumn("__w", w)
-    exprs = [F.sum("__w").alias("wsum"), F.sum(F.col("__w") * F.col(y) * F.col(y)).alias("wyy")]
-    for p, ca in enumerate(cols):
-        for q, cb in enumerate(cols[p:], start=p):
-            exprs.append(F.sum(F.col("__w") * F.col(ca) * F.col(cb)).alias(f"xx_{p}_{q}"))
-        exprs.append(F.sum(F.col("__w") * F.col(ca) * F.col(y)).alias(f"xy_{p}"))
-    out = {}
-    k = len(cols)
-    for r in j.groupBy("anchor").agg(*exprs).collect():  # one row per anchor
-        xx = np.zeros((k, k))
-        xy = np.zeros(k)
-        for p in range(k):
-            for q in range(p, k):
-                xx[p, q] = xx[q, p] = r[f"xx_{p}_{q}"]
-            xy[p] = r[f"xy_{p}"]
-        try:
-            beta = np.linalg.solve(xx + 1e-9 * np.eye(k), xy)
-        except np.linalg.LinAlgError:
-            continue
-        wrss = r["wyy"] - 2 * beta @ xy + beta @ xx @ beta
-        out[r["anchor"]] = {"beta": beta, "wsum": r["wsum"], "wrss": float(wrss)}
-
-    return out
+from fathom.operators.spatial import knn
+from fathom.session import cut_lineage
+
+# b is taken this much larger, so that the k-th point itself keeps a weight above 0 (a fixed value of the method)
+EDGE = 1.0000001
+
+
+def neighbour_lists(points: DataFrame, y: str, xs: Sequence[str], k: int) -> DataFrame:
+    """(id, size, d, v) for points (id, lat, lon, y, xs): distances of the
+    min(k, n) nearest points, itself first, and their [1, xs, y] one after
+    the other.  Points with a NULL in any of the columns are left out."""
+    full = cut_lineage(points.select("id", "lat", "lon", *[F.col(c).cast("double").alias(c) for c in [*xs, y]]).dropna())
+    row = F.array(F.lit(1.0), *[F.col(c) for c in [*xs, y]])
+    values = full.select(F.col("id").alias("neighbour"), row.alias("__v"))
+    near = knn(full.select("id", "lat", "lon"), k - 1).join(values, "neighbour").select("id", "rank", "distance_km", "__v")
+    own = full.select("id", F.lit(0).alias("rank"), F.lit(0.0).alias("distance_km"), row.alias("__v"))
+    both = near.unionByName(own) if k > 1 else own
+    lists = both.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "distance_km", "__v"))).alias("l"))  # k entries
+    return cut_lineage(lists.select("id", F.size("l").alias("size"), F.col("l.distance_km").alias("d"),
+                                    F.flatten("l.__v").alias("v")))
+
+
+def _arrays(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances (rows x k) and values (rows x k x width) of a batch, missing places at infinite distance."""
+    size = batch.column("size").to_numpy()
+    k = int(size.max())
+    there = np.arange(k)[None, :] < size[:, None]
+    d = np.full((len(size), k), np.inf)
+    v = np.zeros((len(size), k, width))
+    d[there] = batch.column("d").flatten().to_numpy()
+    v[there] = batch.column("v").flatten().to_numpy().reshape(-1, width)
+    return d, v
+
+
+def _fit(d: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Coefficients, influence of a point on its own fit, residual, and weighted R2 of the local fit, at every
+    point of the batch."""
+    m = min(k, d.shape[1])
+    d, x, y = d[:, :m], v[:, :m, :-1], v[:, :m, -1]
+    finite = np.isfinite(d)
+    b = np.where(finite, d, -1.0).max(axis=1, keepdims=True) * EDGE
+    ratio = np.divide(d, b, out=np.zeros_like(d), where=finite & (b > 0))
+    w = np.where(finite, np.square(1 - np.square(np.minimum(ratio, 1.0))), 0.0)
+    wx = x * w[:, :, None]
+    inverse = np.linalg.pinv(np.einsum("nki,nkj->nij", wx, x), hermitian=True)
+    beta = np.einsum("nij,nkj,nk->ni", inverse, wx, y)
+    influence = np.einsum("ni,nij,nj->n", x[:, 0], inverse, x[:, 0])       # its own weight is 1
+    residual = y - np.einsum("nki,ni->nk", x, beta)
+    mean = (w * y).sum(axis=1, keepdims=True) / w.sum(axis=1, keepdims=True)
+    total = (w * np.square(y - mean)).sum(axis=1)
+    share = np.divide((w * np.square(residual)).sum(axis=1), total, out=np.full(len(d), np.nan), where=total > 0)
+    return beta, influence, residual[:, 0], 1 - share
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def bandwidth_table(lists: DataFrame, n_features: int, candidates: Sequence[int]) -> DataFrame:
+    """(neighbours, n, rss, trace, aicc) of each candidate number of
+    neighbours, from one pass over the lists.  AICc is NULL where the model
+    has as many effective parameters as points."""
+    ks, width = sorted(set(candidates)), n_features + 2
+
+    def run(batches):
+        sums = np.zeros((len(ks), 3))
+        for batch in _slices(batches):
+            d, v = _arrays(batch, width)
+            for i, k in enumerate(ks):
+                _, influence, residual, _ = _fit(d, v, k)
+                sums[i] += (len(d), residual @ residual, influence.sum())
+        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), *[pa.array(c) for c in np.ascontiguousarray(sums.T)]],
+                                         names=["neighbours", "n", "rss", "trace"])
+
+    sums = lists.mapInArrow(run, "neighbours int, n double, rss double, trace double").groupBy("neighbours").agg(
+        F.sum("n").cast("long").alias("n"), F.sum("rss").alias("rss"), F.sum("trace").alias("trace"))
+    n, left = F.col("n"), F.col("n") - F.col("trace") - 2
+    aicc = n * F.log(2 * math.pi * F.col("rss") / n) + n + 2 * n * (F.col("trace") + 1) / left
+    return sums.withColumn("aicc", F.when((left > 0) & (F.col("rss") > 0), aicc))
+
+
+def best_bandwidth(lists: DataFrame, n_features: int, low: int = 20, high: int = 200, step: int = 10) -> int | None:
+    """Number of neighbours with the least AICc: candidates from ``low`` to
+    ``high`` by ``step``, then every number within a step of the best (ties:
+    the smaller).  None without points."""
+    best = None
+    coarse = range(low, high + 1, step)
+    for again in (False, True):
+        ks = coarse if not again else range(max(low, best - step + 1), min(high, best + step - 1) + 1)
+        table = bandwidth_table(lists, n_features, list(ks)).where("aicc IS NOT NULL")
+        row = table.orderBy("aicc", "neighbours").limit(1).collect()
+        if not row:
+            return best
+        best = int(row[0]["neighbours"])
+    return best
+
+
+def local_fits(lists: DataFrame, names: Sequence[str], k: int) -> DataFrame:
+    """(id, intercept, coef_<x>, influence, residual, local_r2) of the model
+    at every point with k neighbours; ``local_r2`` is the share of the
+    weighted variance of the neighbours that the local model explains, NULL
+    where they don't vary."""
+    width, id_type = len(names) + 2, lists.schema["id"].dataType.simpleString()
+    cols = ["intercept", *[f"coef_{c}" for c in names], "influence", "residual", "local_r2"]
+
+    def run(batches):
+        for batch in _slices(batches):
+            beta, influence, residual, r2 = _fit(*_arrays(batch, width), k)
+            made = [*np.ascontiguousarray(beta.T), influence, residual, pa.array(r2, from_pandas=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, made)], names=["id", *cols])
+
+    return lists.mapInArrow(run, f"id {id_type}, " + ", ".join(f"{c} double" for c in cols))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.hashing import sql_bucket, sql_key_text
 from fathom.functions.numeric import rnd, sql_rnd
-from fathom.operators import kde
+from fathom.operators import gwr, kde
 from fathom.operators import spatial as G
 from fathom.operators.features import haversine_km
 from fathom.plans.common import coords, sql_coords
@@ -197,26 +197,87 @@ def kde_bandwidth_cv(spark, sf_dir):
         .orderBy(F.desc("mean_log_likelihood"))
 
 
-@query("gwr_local_coefficients", ["G4"])
-def gwr_local_coefficients(spark, sf_dir):
-    """Geographically weighted regression of account balance on latitude
-    and longitude at a grid of anchors, Gaussian kernel (bandwidth in km,
-    truncated at 3 bandwidths) chosen among candidates by a weighted
-    leave-in residual sum; one grouped Gram aggregate per bandwidth."""
-    import numpy as np
-    from fathom.operators import gwr
+GWR_X = ["orders", "spend"]
+GWR_K = list(range(20, 201, 10))
+
+
+def _gwr_points(spark, sf_dir):
+    """Customers with their number of orders and what they spent, both standardised."""
     lat, lon = coords("c_custkey")
-    c = Tables(spark, sf_dir).customer.select("c_acctbal", lat.alias("lat"), lon.alias("lon"))
-    anchors = [(i * 6 + j, -50.0 + i * 20.0, -160.0 + j * 64.0) for i in range(6) for j in range(6)]
-    best = None
-    for bw in (500.0, 1000.0, 2000.0, 4000.0):
-        fits = gwr.local_fits(c, "c_acctbal", ["lat", "lon"], anchors, bw)
-        score = sum(f["wrss"] / max(f["wsum"], 1e-12) for f in fits.values())
-        if best is None or score < best[0]:
-            best = (score, bw, fits)
-    _, bw, fits = best
-    rows = [(a, float(la), float(lo), bw, float(f["beta"][0]), float(f["beta"][1]), float(f["beta"][2]), float(f["wsum"]))
-            for (a, la, lo) in anchors if (f := fits.get(a)) is not None]
-
-    return spark.createDataFrame(rows, "anchor int, anchor_lat double, anchor_lon double, bandwidth_km double, "
-                                       "intercept double, coef_lat double, coef_lon double, weight_sum double")
+    t = Tables(spark, sf_dir)
+    spent = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).cast("double").alias("orders"),
+                                                                 F.sum("o_totalprice").alias("spend"))
+    c = t.customer.select(F.col("c_custkey").alias("id"), lat.alias("lat"), lon.alias("lon"), "c_acctbal")
+    pts = c.join(spent, "id", "left").fillna(0.0, subset=GWR_X)
+    stats = pts.agg(*[f(x).alias(f"{n}_{x}") for x in GWR_X for f, n in ((F.avg, "m"), (F.stddev_pop, "s"))])  # one row
+    scaled = {x: (F.col(x) - F.col(f"m_{x}")) / F.col(f"s_{x}") for x in GWR_X}
+    return pts.crossJoin(F.broadcast(stats)).withColumns(scaled).select(*c.columns, *GWR_X)
+
+
+def _det(m):
+    """3 x 3 determinant as SQL text."""
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+_XX = [["s00", "s01", "s02"], ["s01", "s11", "s12"], ["s02", "s12", "s22"]]
+_BETA = [_det([[f"t{r}" if j == c else _XX[r][j] for j in range(3)] for r in range(3)]) for c in range(3)]
+_ONE = ["1", "x1", "x2"]
+_HAT = _det(_XX)
+# influence: x' (X'WX)^-1 x, each product of the inverse with x by Cramer's rule
+_OWN = " + ".join(f"{_ONE[c]} * {_det([[_ONE[r] if j == c else _XX[r][j] for j in range(3)] for r in range(3)])}" for c in range(3))
+_ACCUMULATED = ", ".join([f"sum(w * {'1' if i == 0 else f'n.x{i}'} * {'1' if j == 0 else f'n.x{j}'}) AS s{i}{j}"
+                          for i in range(3) for j in range(i, 3)]
+                         + [f"sum(w * {'1' if i == 0 else f'n.x{i}'} * n.y) AS t{i}" for i in range(3)])
+SQL_GWR = f"""
+sp AS (SELECT o_custkey AS id, CAST(count(*) AS DOUBLE) AS x1, sum(o_totalprice) AS x2 FROM orders GROUP BY 1),
+u AS (SELECT c_custkey AS id, {LAT_C} AS lat, {LON_C} AS lon, c_acctbal AS y, coalesce(x1, 0) AS x1, coalesce(x2, 0) AS x2
+      FROM customer LEFT JOIN sp ON sp.id = c_custkey),
+p AS (SELECT id, lat, lon, y, (x1 - avg(x1) OVER ()) / stddev_pop(x1) OVER () AS x1,
+             (x2 - avg(x2) OVER ()) / stddev_pop(x2) OVER () AS x2 FROM u),
+d AS (SELECT a.id, b.id AS nb, round({_hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} * 1e6) / 1e6 AS d FROM p a JOIN p b ON a.id <> b.id),
+r AS (SELECT id, nb, d, row_number() OVER (PARTITION BY id ORDER BY d, nb) AS rk FROM d QUALIFY rk < 200
+      UNION ALL SELECT id, id, 0, 0 FROM p),
+ks AS (SELECT unnest(range(20, 201)) AS k),
+b AS (SELECT k, id, max(d) * 1.0000001e0 AS b FROM r JOIN ks ON rk = k - 1 GROUP BY ALL),
+f AS (SELECT b.k, r.id, r.nb, CASE WHEN b > 0 THEN power(1 - power(d / b, 2), 2) ELSE 1 END AS w FROM r JOIN b ON r.id = b.id AND r.rk < b.k),
+g AS (SELECT k, f.id, {_ACCUMULATED}, sum(w * n.y * n.y) AS yy FROM f JOIN p n ON n.id = f.nb /*which*/ GROUP BY ALL),
+l AS (SELECT k, g.id, {", ".join(f"{_BETA[c]} / {_HAT} AS b{c}" for c in range(3))}, ({_OWN}) / {_HAT} AS influence, y, x1, x2,
+             yy, s00, t0, t1, t2 FROM g JOIN p ON p.id = g.id),
+a AS (SELECT k, count(*) AS n, sum(power(y - b0 - b1 * x1 - b2 * x2, 2)) AS rss, sum(influence) AS tr FROM l GROUP BY k),
+t AS (SELECT k, n, rss, tr, n * ln(2 * pi() * rss / n) + n + 2 * n * (tr + 1) / (n - tr - 2) AS aicc FROM a)"""
+_COARSE = f"WHERE k IN ({', '.join(map(str, GWR_K))})"
+
+
+@query("gwr_bandwidths", ["G4"], sql=f"""
+WITH {SQL_GWR.replace('/*which*/', _COARSE)}
+SELECT CAST(k AS INTEGER) AS neighbours, n, {sql_rnd('rss / n', 2)} AS mean_square, {sql_rnd('tr', 6)} AS effective_parameters,
+       {sql_rnd('aicc', 4)} AS aicc, aicc = min(aicc) OVER () AS best FROM t
+""")
+def gwr_bandwidths(spark, sf_dir):
+    """AICc of the local regression of account balance on orders and spending, with 20 to 200 neighbours."""
+    lists = gwr.neighbour_lists(_gwr_points(spark, sf_dir), "c_acctbal", GWR_X, GWR_K[-1])
+    t = gwr.bandwidth_table(lists, len(GWR_X), GWR_K)
+    least = t.agg(F.min("aicc").alias("__least"))
+    return t.crossJoin(F.broadcast(least)).select(
+        "neighbours", "n", rnd(F.col("rss") / F.col("n"), 2).alias("mean_square"), rnd("trace", 6).alias("effective_parameters"),
+        rnd("aicc", 4).alias("aicc"), (F.col("aicc") == F.col("__least")).alias("best"))
+
+
+@query("gwr_local_coefficients", ["G4"], sql=f"""
+WITH {SQL_GWR.replace('/*which*/', '')},
+k0 AS (SELECT arg_min(k, aicc) AS k0 FROM t WHERE k % 10 = 0),
+kb AS (SELECT arg_min(k, aicc) AS kb FROM t CROSS JOIN k0 WHERE abs(k - k0) < 10)
+SELECT id, CAST(kb AS INTEGER) AS neighbours, {sql_rnd('b0', 6)} AS intercept, {sql_rnd('b1', 6)} AS coef_orders,
+       {sql_rnd('b2', 6)} AS coef_spend, {sql_rnd('influence', 6)} AS influence,
+       {sql_rnd('y - b0 - b1 * x1 - b2 * x2', 6)} AS residual,
+       {sql_rnd('1 - (yy - b0 * t0 - b1 * t1 - b2 * t2) / (yy - t0 * t0 / s00)', 6)} AS local_r2
+FROM l CROSS JOIN kb WHERE k = kb
+""")
+def gwr_local_coefficients(spark, sf_dir):
+    """Coefficients at every customer point with the number of neighbours of least AICc."""
+    lists = gwr.neighbour_lists(_gwr_points(spark, sf_dir), "c_acctbal", GWR_X, GWR_K[-1])
+    k = gwr.best_bandwidth(lists, len(GWR_X), GWR_K[0], GWR_K[-1])
+    fits = gwr.local_fits(lists, GWR_X, k or GWR_K[-1])
+    return fits.select("id", F.lit(k).cast("int").alias("neighbours"),
+                       *[rnd(c, 6).alias(c) for c in ("intercept", *[f"coef_{x}" for x in GWR_X], "influence", "residual", "local_r2")])

@@ -211,38 +211,6 @@ def test_tobit_without_censoring_is_least_squares(spark):
     assert fit["sigma"] == pytest.approx(fit["ols_sigma"], rel=1e-4)
 
 
-def test_gwr_cell_join_equals_all_pairs(spark):
-    import numpy as np
-    from fathom.operators import gwr
-    rows = [(float((i * 37) % 97), -60.0 + (i * 7919 % 12001) / 100.0, -180.0 + (i * 104729 % 36001) / 100.0) for i in range(300)]
-    d = spark.createDataFrame(rows, "y double, lat double, lon double")
-    anchors = [(0, 10.0, 20.0), (1, -40.0, 170.0), (2, 55.0, -100.0)]
-    fits = gwr.local_fits(d, "y", ["lat", "lon"], anchors, 2000.0)
-    # brute force over all pairs
-    R = 6371.0
-    for a, la, lo in anchors:
-        xx = np.zeros((3, 3)); xy = np.zeros(3)
-        for y, lat, lon in rows:
-            p1, p2 = np.radians(lat), np.radians(la)
-            h = np.sin(np.radians(la - lat) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lo - lon) / 2) ** 2
-            dist = 2 * R * np.arcsin(np.sqrt(h))
-            if dist <= 6000.0:
-                w = np.exp(-0.5 * (dist / 2000.0) ** 2)
-                v = np.array([1.0, lat, lon]); xx += w * np.outer(v, v); xy += w * y * v
-        beta = np.linalg.solve(xx + 1e-9 * np.eye(3), xy)
-        assert fits[a]["beta"] == pytest.approx(beta, rel=1e-6, abs=1e-6)
-
-
-def _knn_brute(q, r, k):
-    import numpy as np
-    out = {}
-    for qid, qx in q:
-        ds = sorted((float(np.sqrt(((np.array(qx) - np.array(rx)) ** 2).sum())), rid) for rid, rx in r)
-        out[qid] = [(rid, d) for d, rid in ds[:k]]
-    return out
-
-
-@pytest.mark.parametrize("n_ref,n_q,d,k", [(300, 80, 2, 5), (50, 30, 1, 7), (4, 10, 2, 5), (400, 60, 3, 3)])
 def test_grid_knn_equals_brute_force(spark, n_ref, n_q, d, k):
     """Clustered and duplicate-heavy points, a far outlier, fewer refs than k:
     the level-climbing grid search must return the exact k nearest."""
