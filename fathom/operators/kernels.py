@@ -1,61 +1,86 @@
 """Kernel feature maps (L15 random Fourier features, L16 Nyström) and
-iterative imputation (L5).  Maps are column expressions over a small,
-seeded parameter table; fits use Gram aggregates (``ml.gram``)."""
+iterative imputation (L5).  Maps are small parameter tables applied to Arrow
+batches inside the pass that sums the Gram matrices of the fits."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathom.operators import ml
+from fathom.operators.ordered import quantile_row
 
 
-def rff_columns(features: Sequence[str], n_components: int = 50, gamma: float = 0.5, seed: int = 42) -> dict[str, Column]:
-    """RBF random Fourier features sqrt(2/D) cos(x W + b), W ~ N(0, 2 gamma),
-    b ~ U(0, 2 pi): a D x d parameter table from a fixed seed."""
+@dataclass(frozen=True)
+class FeatureMap:
+    """Rows of features to rows of mapped features, with numpy."""
+
+    apply: Callable[[np.ndarray], np.ndarray]
+
+
+IDENTITY = FeatureMap(lambda x: x)
+
+
+def random_fourier(n_features: int, n_components: int = 50, gamma: float = 0.5, seed: int = 42) -> FeatureMap:
+    """RBF random Fourier features sqrt(2/D) cos(x W + b), W ~ N(0, 2
+    gamma), b ~ U(0, 2 pi): a D x d parameter table from a fixed seed."""
     rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, math.sqrt(2 * gamma), size=(len(features), n_components))
+    w = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_features, n_components))
     b = rng.uniform(0, 2 * math.pi, size=n_components)
-    scale = math.sqrt(2.0 / n_components)
-    out = {}
-    for k in range(n_components):
-        arg = F.lit(float(b[k]))
-        for j, c in enumerate(features):
-            arg = arg + F.lit(float(w[j, k])) * F.col(c)
-        out[f"rff_{k}"] = F.lit(scale) * F.cos(arg)
-    return out
-
-
-def nystroem_map(df: DataFrame, landmarks: np.ndarray, features: Sequence[str], gamma: float = 0.5,
-                 prefix: str = "nys") -> tuple[DataFrame, list[str]]:
-    """Nyström RBF map K(x, L) U diag(1/sqrt(lambda)) from landmark rows L
-    (bounded, collected) and the eigen-decomposition of K(L, L).  The m
-    kernel columns are projected first and combined in a second projection,
-    so each kernel value is computed once per row."""
-    m = len(landmarks)
-    d2 = ((landmarks[:, None, :] - landmarks[None, :, :]) ** 2).sum(-1)
-    kmm = np.exp(-gamma * d2)
-    vals, vecs = np.linalg.eigh(kmm)
+    return FeatureMap(lambda x: math.sqrt(2.0 / n_components) * np.cos(x @ w + b))
+
+
+def nystroem(landmarks: np.ndarray, gamma: float = 0.5) -> FeatureMap:
+    """Nystroem RBF map K(x, L) U diag(1/sqrt(lambda)) from landmark rows
+    L (20 to 100 of them) and the eigen-decomposition of K(L, L)."""
+    def kernel(x):
+        d2 = (x * x).sum(axis=1)[:, None] + (landmarks * landmarks).sum(axis=1) - 2 * x @ landmarks.T
+        return np.exp(-gamma * np.maximum(d2, 0.0))
+
+    vals, vecs = np.linalg.eigh(kernel(landmarks))
     keep = vals > 1e-10
-    proj = vecs[:, keep] / np.sqrt(vals[keep])
-    kern = {}
-    for i in range(m):
-        dist = F.lit(0.0)
-        for j, c in enumerate(features):
-            dist = dist + F.pow(F.col(c) - F.lit(float(landmarks[i, j])), 2)
-        kern[f"__k{i}"] = F.exp(-F.lit(gamma) * dist)
-    staged = df.withColumns(kern)
-    kv = F.array(*[F.col(f"__k{i}") for i in range(m)])
-    out = {}
-    for k in range(proj.shape[1]):
-        coef = F.array(*[F.lit(float(proj[i, k])) for i in range(m)])
-        out[f"{prefix}_{k}"] = F.aggregate(F.zip_with(kv, coef, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    mapped = staged.withColumns(out).drop(*kern)
-    return mapped, list(out)
+    projection = vecs[:, keep] / np.sqrt(vals[keep])
+    return FeatureMap(lambda x: kernel(x) @ projection)
+
+
+def mapped_grams(df: DataFrame, features: Sequence[str], label: str, group: str, groups: Sequence[str],
+                 maps: Mapping[str, FeatureMap]) -> dict[tuple[str, str], np.ndarray]:
+    """Gram matrix of [1, mapped features, label] for each map and each value
+    of the group column, all from one pass: the maps are computed on Arrow
+    batches and never become columns.  Rows with a NULL are left out."""
+    p = len(features)
+    widths = {m: f.apply(np.zeros((1, p))).shape[1] + 2 for m, f in maps.items()}
+    keys = [(m, g) for m in maps for g in groups]
+
+    def run(batches):
+        sums = {k: np.zeros((widths[k[0]],) * 2) for k in keys}
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(p)])
+            y, g = batch.column(p).to_numpy(zero_copy_only=False), np.asarray(batch.column(p + 1).to_pylist(), dtype=object)
+            for m, f in maps.items():
+                z = np.column_stack([np.ones(len(y)), f.apply(x), y])
+                for value in groups:
+                    rows = z[g == value]
+                    sums[m, value] += rows.T @ rows
+        flat = np.concatenate([sums[k].ravel() for k in keys])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["k", "v"])
+
+    rows = df.select(*[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate([*features, label])],
+                     F.col(group).cast("string").alias("__g")).dropna().mapInArrow(run, "k long, v double")
+    out = np.zeros(sum(widths[m] ** 2 for m, _ in keys))
+    for r in rows.groupBy("k").agg(F.sum("v").alias("v")).collect():        # maps x groups x width^2 numbers
+        out[r["k"]] = r["v"]
+    grams, at = {}, 0
+    for m, g in keys:
+        grams[m, g] = out[at:at + widths[m] ** 2].reshape(widths[m], -1)
+        at += widths[m] ** 2
+    return grams
 
 
 def mice(df: DataFrame, cols: Sequence[str], rounds: int = 10) -> DataFrame:
@@ -65,7 +90,8 @@ def mice(df: DataFrame, cols: Sequence[str], rounds: int = 10) -> DataFrame:
     checkpointed so the lineage stays short."""
     from fathom.session import cut_lineage
     cols = list(cols)
-    med = df.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
+    med = quantile_row(df, cols, [0.5], prefix="").first()
+    med = {c: med[c][0] if med[c] else 0.0 for c in cols}
     cur = df.withColumns({f"__miss_{c}": F.col(c).isNull() for c in cols}) \
         .withColumns({c: F.coalesce(F.col(c), F.lit(float(med[c]))) for c in cols})
     cur = cut_lineage(cur)

@@ -12,6 +12,7 @@ from fathom.functions.hashing import salted_h32
 from fathom.functions.numeric import rnd, sql_rnd
 from fathom.functions.special import norm_ppf
 from fathom.operators import folds, ml
+from fathom.operators.ordered import exact_quantiles
 from fathom.plans.models import REG_FEATURES, li_table
 from fathom.plans.registry import query
 from fathom.session import cut_lineage
@@ -32,7 +33,8 @@ FROM qg CROSS JOIN s
 def qq_points(spark, sf_dir):
     """Standardised residual quantiles against normal quantiles."""
     r = scored_orders(spark, sf_dir).where(F.col("split") == "test").select((F.col("o_totalprice") - F.col("pred")).alias("r"))
-    s = r.agg(F.avg("r").alias("m"), F.stddev_samp("r").alias("sd"), F.percentile("r", QQ_PROBS).alias("qs"))
+    s = r.agg(F.avg("r").alias("m"), F.stddev_samp("r").alias("sd")) \
+        .crossJoin(F.broadcast(exact_quantiles(r, "r", QQ_PROBS, out="qs").select("qs")))    # one row each
     g = spark.createDataFrame([(i, float(norm_ppf(p))) for i, p in enumerate(QQ_PROBS)], "i int, theoretical double")
     j = g.crossJoin(F.broadcast(s))  # one row
     return j.select("i", rnd("theoretical", 8).alias("theoretical"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fathom.operators import evalcls as C
 from fathom.operators import folds
 from fathom.operators import ml
+from fathom.operators.ordered import quantile_row
 from fathom.plans.registry import query
 from fathom.sources.tables import Tables
 
@@ -286,54 +287,29 @@ def _std_lineitem(spark, sf_dir):
     return li.withColumns({c: (F.col(c) - stats[f"m_{c}"]) / (stats[f"s_{c}"] or 1.0) for c in REG_FEATURES})
 
 
-def _gram_rows(df, feats):
-    """[1, features, label]'[1, features, label], summed over the Arrow batches of each task and then over the tasks."""
-    import numpy as np
-    import pyarrow as pa
-
-    def part(batches):
-        acc = None
-        for b in batches:
-            x = np.column_stack([np.ones(b.num_rows), *[c.to_numpy(zero_copy_only=False) for c in b.columns]])
-            acc = x.T @ x if acc is None else acc + x.T @ x
-        if acc is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(acc.size)), pa.array(acc.ravel())], names=["k", "v"])
-
-    p = len(feats) + 2
-    rows = df.select(*[F.col(c).cast("double") for c in [*feats, "label"]]).dropna().mapInArrow(part, "k long, v double")
-    out = np.zeros(p * p)
-    for r in rows.groupBy("k").agg(F.sum("v").alias("v")).collect():  # p x p numbers
-        out[r.k] = r.v
-    return out.reshape(p, p)
-
-
-def _ridge_rmse(train, test, feats, alpha=1e-3):
-    import numpy as np
-    g, t = _gram_rows(train, feats), _gram_rows(test, feats)
-    beta = ml.ridge_solve({"xx": g[:-1, :-1], "xy": g[:-1, -1:]}, alpha)
-    r = np.append(beta, -1.0)
-    return float(np.sqrt(max(r @ t @ r, 0.0) / t[0, 0]))
+LANDMARKS = 50
 
 
 @query("kernel_maps", ["L15", "L16"])
 def kernel_maps(spark, sf_dir):
     """Ridge on raw features, on 50 random Fourier features and on a
-    Nyström map with 50 hash-chosen landmarks: test RMSE of each."""
+    Nyström map with 50 hash-chosen landmarks: test RMSE of each.  One pass
+    chooses the landmarks, one sums the Gram matrices of all maps."""
     import numpy as np
     from fathom.functions.hashing import salted_h32
     from fathom.operators import kernels
     li = _std_lineitem(spark, sf_dir)
-    rff = kernels.rff_columns(REG_FEATURES, 50, gamma=0.5)
-    z = li.withColumns(rff)
-    rows = [("raw", float(_ridge_rmse(li.where("split = 'train'"), li.where("split = 'test'"), REG_FEATURES))),
-            ("rff_50", float(_ridge_rmse(z.where("split = 'train'"), z.where("split = 'test'"), list(rff))))]
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    n = li.count()
-    cand = li.where("split = 'train'").withColumn("__h", salted_h32(key, "landmark")) \
-        .where(F.col("__h") < F.lit(int(min(1.0, 400.0 / n) * 4294967296)))
-    lm = cand.orderBy("__h").limit(50).select(*REG_FEATURES).collect()  # 50 landmark rows
-    y, nys = kernels.nystroem_map(li, np.array([[r[c] for c in REG_FEATURES] for r in lm], dtype=float), REG_FEATURES, 0.5)
-    rows.append(("nystroem_50", float(_ridge_rmse(y.where("split = 'train'"), y.where("split = 'test'"), nys))))
+    drawn = li.where("split = 'train'").select(*REG_FEATURES, salted_h32(key, "landmark").alias("__h"), key.alias("__k")) \
+        .orderBy("__h", "__k").limit(LANDMARKS).collect()      # a top-k, kept small in each task
+    maps = {"raw": kernels.IDENTITY, "rff_50": kernels.random_fourier(len(REG_FEATURES), 50, gamma=0.5),
+            "nystroem_50": kernels.nystroem(np.array([[r[c] for c in REG_FEATURES] for r in drawn], dtype=float), 0.5)}
+    grams = kernels.mapped_grams(li, REG_FEATURES, "label", "split", ["train", "test"], maps)
+    rows = []
+    for name in maps:
+        g, t = grams[name, "train"], grams[name, "test"]
+        r = np.append(ml.ridge_solve({"xx": g[:-1, :-1], "xy": g[:-1, -1:]}, 1e-3), -1.0)
+        rows.append((name, float(np.sqrt(max(r @ t @ r, 0.0) / t[0, 0]))))
     return spark.createDataFrame(rows, "features string, test_rmse double")
 
 
@@ -348,7 +324,7 @@ def mice_impute(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select(*key, *cols)
     truth = li.select(*key, *[F.col(c).alias(f"true_{c}") for c in cols])
     masked = with_injected_missing(li, key, cols)
-    med = masked.agg(*[F.percentile(c, 0.5).alias(c) for c in cols]).first()
+    med = {c: q[0] for c, q in quantile_row(masked, cols, [0.5], prefix="").first().asDict().items()}
     imp = kernels.mice(masked, cols)
     j = imp.join(truth, key).join(masked.select(*key, *[F.col(c).isNull().alias(f"m_{c}") for c in cols]), key)
     rows = j.agg(*[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.col(c) - F.col(f"true_{c}")) ** 2))).alias(f"mice_{c}") for c in cols],

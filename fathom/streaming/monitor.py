@@ -1,4 +1,5 @@
-"""Structured Streaming monitors.
+"""Structured Streaming monitors (T1-T4, T6-T8, S8); those that need rows in
+event-time order are in ``in_order`` (D6, T5, M11).
 
 Each monitor is a function from a streaming DataFrame to a streaming
 DataFrame, so it runs the same way on a file, Kafka or table source; the
@@ -48,14 +49,25 @@ def counters(stream: DataFrame, label: str, window: str = "1 hour", watermark: s
         .groupBy(F.window("event_time", window).alias("w"), label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def latency_stats(stream: DataFrame, value: str, window: str = "1 hour", watermark: str = "2 hours",
-                  slide: str | None = None) -> DataFrame:
-    """Mean, p95 and p99 of a latency column per (sliding) window;
-    streaming quantiles are approximate (percentile_approx)."""
+def value_counts(stream: DataFrame, value: str, window: str = "1 hour", watermark: str = "2 hours",
+                 slide: str | None = None) -> DataFrame:
+    """T2 input: rows per (sliding) window and value, ``value_n``; NULL values are left out."""
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
-    return stream.withWatermark("event_time", watermark).groupBy(w.alias("w")).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"),
-        F.percentile_approx(value, 0.95, 10000).alias("p95"), F.percentile_approx(value, 0.99, 10000).alias("p99"))
+    return stream.withWatermark("event_time", watermark).where(F.col(value).isNotNull()) \
+        .groupBy(w.alias("w"), value).agg(F.count(F.lit(1)).alias("value_n"))
+
+
+def latency_of_counts(counts: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
+    """N, mean and exact quantiles (array ``q``: the smallest value that
+    at least the share p of the rows do not exceed) of each window, from its
+    counts per value.  Running counts are range-partitioned, so a window's
+    values never meet in one task."""
+    from fathom.operators.ordered import running_totals
+    cum = running_totals(counts.select("w", value, "value_n"), [value], {"__cum": F.col("value_n")}, ["w"])
+    totals = counts.groupBy("w").agg(F.sum("value_n").alias("n"), (F.sum(F.col(value) * F.col("value_n")) / F.sum("value_n")).alias("mean"))
+    at = [F.min(F.when(F.col("__cum") >= F.ceil(F.lit(p) * F.col("n")), F.col(value))) for p in probs]
+    q = cum.join(totals.select(F.col("w").alias("__w"), "n"), F.col("w") == F.col("__w")).groupBy("w").agg(F.array(*at).alias("q"))
+    return totals.join(q, "w")
 
 
 def bucket_histogram(stream: DataFrame, value: str, edges: Sequence[float], window: str = "1 hour",
@@ -95,46 +107,6 @@ def psi_from_counts(counts: DataFrame, reference_shares: DataFrame, bins: int =
     return j.groupBy("w").agg(F.sum((a - e) * F.log(a / e)).alias("psi"), F.first("__tot").alias("n_current"))
 
 
-# ---- keyed state: last-N PSI (D6) and the 60-second rate limiter (T5) ----
-
-def _rate_limit_fn(limit: int, window_s: float):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        if state.hasTimedOut:       # no event of the key for a window: nothing to remember
-            state.remove()
-            return
-        kept = list(state.get[0]) if state.exists else []
-        # all chunks of the key in this batch together: the order of events, not of chunks, decides
-        rows = pd.concat(list(pdfs)).sort_values(["ts_us", "event_id"])
-        span, out = int(window_s * 1e6), []
-        for ts, eid in zip(rows["ts_us"].tolist(), rows["event_id"].tolist()):
-            kept = [t for t in kept if t > ts - span]
-            allowed = len(kept) < limit
-            if allowed:
-                kept.append(ts)     # a rejected event is not counted
-            out.append((key[0], eid, allowed, len(kept)))
-        state.update((kept,))
-        state.setTimeoutTimestamp(max(max(kept, default=0) // 1000 + int(window_s * 1000) + 1,
-                                      state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["user_id", "event_id", "allowed", "in_window"])
-    return fn
-
-
-def rate_limiter(stream: DataFrame, key: str = "user_id", limit: int = 5, window_s: float = 60.0,
-                 watermark: str = "1 day") -> DataFrame:
-    """T5 stream form: per key, an event is allowed when fewer than
-    ``limit`` allowed events fall in the trailing ``window_s`` seconds;
-    rejected events do not count.  A micro-batch's events of a key are taken
-    in event-time order whatever their chunks or files; keyed state holds
-    only the allowed timestamps of the last window (``limit`` at most) and
-    goes when the watermark has passed them."""
-    s = stream.withWatermark("event_time", watermark).select(
-        key, "event_id", "event_time", F.unix_micros("event_time").alias("ts_us"))
-    return s.groupBy(key).applyInPandasWithState(
-        _rate_limit_fn(limit, window_s),
-        outputStructType="user_id long, event_id long, allowed boolean, in_window int",
-        stateStructType="kept array<long>", outputMode="append", timeoutConf="EventTimeTimeout")
-
-
 def run_available_now(df: DataFrame, name: str, keys: Sequence[str] = (), base: str | None = None) -> DataFrame:
     """Run a streaming DataFrame over everything available now into a
     parquet sink under the checkpoint folder, then read the sink back as a
@@ -162,11 +134,13 @@ def run_available_now(df: DataFrame, name: str, keys: Sequence[str] = (), base:
 
 def validation_sinks(stream: DataFrame, bad: F.Column, root: str) -> object:
     """One stream split into accepted and quarantine parquet sinks in
-    each micro-batch (foreachBatch), so both see the same rows."""
+    each micro-batch (foreachBatch), so both see the same rows.  A batch has
+    a folder of its own in each sink (column ``epoch``), which a retried
+    batch overwrites, so no row is written twice."""
     def sink(batch: DataFrame, epoch: int) -> None:
         flagged = batch.withColumn("__bad", F.coalesce(bad, F.lit(True)))
-        flagged.where(~F.col("__bad")).drop("__bad").write.mode("append").parquet(f"{root}/accepted")
-        flagged.where(F.col("__bad")).drop("__bad").write.mode("append").parquet(f"{root}/quarantine")
+        for name, rows in (("accepted", ~F.col("__bad")), ("quarantine", F.col("__bad"))):
+            flagged.where(rows).drop("__bad").write.mode("overwrite").parquet(f"{root}/{name}/epoch={epoch}")
     return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/chk")
             .trigger(availableNow=True).start())
 

@@ -404,21 +404,21 @@ def _rate_limit_brute(rows, limit, span):
     return out
 
 
-@pytest.mark.parametrize("chunk", [7, 10_000])
-def test_rate_limiter_does_not_depend_on_chunks(spark, tmp_path, chunk):
-    """One hot key and a few small ones, rows in random order: equal to a plain replay in time order."""
+@pytest.mark.parametrize("chunk,files,per_batch", [(7, 1, 1), (10_000, 6, 2)])
+def test_rate_limiter_depends_on_event_order_only(spark, chunk, files, per_batch):
+    """One hot key and a few small ones, rows in random order over files and
+    chunks: equal to a plain replay in time order."""
     import random
-    from fathom.streaming import monitor as S
+    from fathom.streaming import in_order
     rnd = random.Random(3)
     rows = [(0 if rnd.random() < 0.7 else rnd.randrange(1, 6), 1_700_000_000 + rnd.randrange(4000), i) for i in range(900)]
-    df = spark.createDataFrame(rows, "user_id long, s long, event_id long").select(
-        "user_id", "event_id", F.timestamp_seconds("s").alias("ts"))
-    df.orderBy(F.xxhash64("event_id")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    df = spark.createDataFrame(rows, "key long, s long, id long").select(
+        "key", "id", F.timestamp_seconds("s").alias("event_time"), F.lit(1).alias("present"))
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", chunk)
-        got = S.run_available_now(S.rate_limiter(S.event_stream(spark, str(tmp_path / "in")), limit=5, window_s=60.0), "rl")
-        allowed = {r.event_id: r.allowed for r in got.collect()}
+        got = in_order.replayed(df, in_order.RateLimit(5, 60_000_000), files, per_batch, "2 days")
+        allowed = {r.id: r.allowed for r in got.collect()}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert allowed == _rate_limit_brute([(k, s, e) for k, s, e in rows], 5, 60)
@@ -530,13 +530,26 @@ def test_quantile_regression_has_the_five_quantiles(spark):
     assert at == sorted(at) and all(r.pinball > 0 for r in rows)
 
 
-def test_wide_ridge_has_the_penalty_of_a_narrow_one(spark):
+def test_mapped_grams_give_the_ridge_of_the_mapped_rows(spark):
+    """Raw, Fourier and Nystroem maps, one pass for two groups of rows; NULLs left out."""
     import numpy as np
-    from fathom.plans.models import _ridge_rmse
+    from fathom.operators import kernels, ml
     rnd = np.random.default_rng(8)
-    x, n = rnd.normal(size=(40, 12)), [f"x{j}" for j in range(12)]
+    x, n = rnd.normal(size=(60, 12)), [f"x{j}" for j in range(12)]
     y = x @ rnd.normal(size=12) + 3
-    d = df(spark, [(*map(float, r), float(v)) for r, v in zip(x, y)], ", ".join(f"{c} double" for c in [*n, "label"]))
-    one = np.column_stack([np.ones(40), x])
-    beta = np.linalg.solve(one.T @ one + 5.0 * np.diag([0.0] + [1.0] * 12), one.T @ y)
-    assert math.isclose(_ridge_rmse(d, d, n, 5.0), np.sqrt(np.mean((y - one @ beta) ** 2)), rel_tol=1e-9)
+    rows = [(*map(float, r), float(v), "ab"[i % 2]) for i, (r, v) in enumerate(zip(x, y))] + [(None, *[0.0] * 11, 1.0, "a")]
+    d = df(spark, rows, ", ".join(f"{c} double" for c in [*n, "label"]) + ", g string")
+    maps = {"raw": kernels.IDENTITY, "rff": kernels.random_fourier(12, 20), "nys": kernels.nystroem(x[:15], 0.05)}
+    grams = kernels.mapped_grams(d, n, "label", "g", ["a", "b"], maps)
+    for name, m in maps.items():
+        z = m.apply(x[::2])
+        one = np.column_stack([np.ones(30), z])
+        beta = np.linalg.solve(one.T @ one + 5.0 * np.diag([0.0] + [1.0] * z.shape[1]), one.T @ y[::2])
+        g = grams[name, "a"]
+        got = ml.ridge_solve({"xx": g[:-1, :-1], "xy": g[:-1, -1:]}, 5.0)
+        assert got == pytest.approx(beta, rel=1e-8, abs=1e-9)
+        other = np.column_stack([np.ones(30), m.apply(x[1::2]), y[1::2]])
+        assert grams[name, "b"] == pytest.approx(other.T @ other, rel=1e-9, abs=1e-9)
+    kernel = np.exp(-0.05 * ((x[:15, None] - x[None, :15]) ** 2).sum(-1))
+    z = maps["nys"].apply(x[:15])
+    assert z @ z.T == pytest.approx(kernel, abs=1e-6)          # exact at the landmarks

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathom.operators import drift, halo
-from fathom.plans.streams import last_n_stream
+from fathom.plans.streams import last_n_scores
+from fathom.streaming import in_order
+from fathom.streaming import monitor
 
 
 def _rows(n, groups, seed=0):
@@ -78,7 +80,7 @@ def test_last_n_psi_batch_and_stream_agree(spark):
     values = {f: sum(1 for r in rows if r[0] == f and r[3] is not None) for f in ("p", "q")}
     assert len(batch) == sum(v - 9 for v in values.values()) and {n for n, _ in batch.values()} == set(range(10, 21))
     for files, per_batch in ((1, 1), (5, 2)):
-        got = last_n_stream(spark, cur, profile, 20, files, per_batch, "10 days").collect()
+        got = last_n_scores(cur, profile, 20, files, per_batch, "10 days").collect()
         assert {(r.feature, r.event_id): (r.n_window, round(r.psi, 9)) for r in got} == batch
 
 
@@ -88,3 +90,62 @@ def test_missing_rules_first_match(spark):
     rules = [MissingRule("rare", "drop", below=.01), MissingRule("named", "ask", columns=("a", "b")), MissingRule("low", "fill", below=.6)]
     got = {r.column_name: (r.reason, r.remedy) for r in missing_taxonomy(report, rules).collect()}
     assert got == {"a": ("named", "ask"), "b": ("rare", "drop"), "d": (None, None)}
+
+
+@pytest.mark.parametrize("files,per_batch", [(1, 1), (6, 2)])
+def test_online_learner_equals_a_loop(spark, files, per_batch):
+    """Steps over two keys with unfinished last batches, in event-time order."""
+    import datetime
+    import numpy as np
+    rnd = random.Random(7)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [("ab"[i % 3 == 0], i, start + datetime.timedelta(seconds=rnd.randrange(90_000)), [rnd.gauss(0, 1), rnd.gauss(0, 1)], rnd.gauss(2, 1))
+            for i in range(230)]
+    df = spark.createDataFrame(rows, "key string, id long, event_time timestamp, x array<double>, y double")
+    learner = in_order.OnlineLinear(2, size=20, rate=0.1, l2=0.01)
+    got = {(r.key, r.step): r.weights for r in in_order.replayed(df, learner, files, per_batch, "10 days").collect()}
+    for key in "ab":
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[2], r[1]))
+        w = np.zeros(3)
+        for step in range(1, len(mine) // 20 + 1):
+            batch = mine[20 * (step - 1):20 * step]
+            x, y = np.array([[1.0, *r[3]] for r in batch]), np.array([r[4] for r in batch])
+            w = w - 0.1 / step ** 0.25 * (x.T @ (x @ w - y) / 20 + 0.01 * np.array([0, w[1], w[2]]))
+            assert got[key, step] == pytest.approx(w.tolist(), rel=1e-9)
+    assert len(got) == sum(sum(1 for r in rows if r[0] == k) // 20 for k in "ab")
+
+
+def test_latency_of_counts_is_exact_for_many_values(spark):
+    rnd = random.Random(1)
+    rows = [(w, float(rnd.randrange(30_000))) for w in ("x", "x", "x", "y") for _ in range(8000)]
+    counts = spark.createDataFrame(rows, "w string, v double").groupBy("w", "v").agg(F.count(F.lit(1)).alias("value_n"))
+    got = {r.w: r for r in monitor.latency_of_counts(counts, "v", [0.5, 0.95, 0.99]).collect()}
+    for w in ("x", "y"):
+        values = sorted(v for k, v in rows if k == w)
+        assert got[w].n == len(values) and got[w].mean == pytest.approx(sum(values) / len(values))
+        assert got[w].q == [values[-(-len(values) * p // 100) - 1] for p in (50, 95, 99)]
+
+
+def test_a_retried_batch_is_written_once(spark, tmp_path):
+    """The batch whose commit is lost runs again and overwrites what it wrote."""
+    import os
+    df = spark.createDataFrame([(i, float(i % 4)) for i in range(40)], "i int, value double")
+    df.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    root = str(tmp_path / "out")
+    for again in (False, True):
+        monitor.validation_sinks(stream(), F.col("value") < 1.0, root).awaitTermination()
+        if not again:
+            last = max(int(e.name) for e in os.scandir(f"{root}/chk/commits") if e.name.isdigit())
+            for name in (str(last), f".{last}.crc"):
+                os.remove(f"{root}/chk/commits/{name}")
+    read = lambda n: sorted(r.i for r in spark.read.parquet(f"{root}/{n}").collect())
+    assert read("quarantine") == list(range(0, 40, 4)) and read("accepted") == [i for i in range(40) if i % 4]
+
+
+def test_long_conversations_become_several_requests(spark, tmp_path):
+    from fathom.plans.streams import request_explode
+    rows = [(c, t, "user", "x" * (t % 7)) for c, n in ((1, 1100), (2, 3), (3, 512)) for t in range(n)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = sorted(tuple(r) for r in request_explode(spark, str(tmp_path)).collect())
+    assert got == sorted((c, t, t, "user", t % 7) for c, t, _, _ in rows)
