@@ -211,6 +211,16 @@ def test_tobit_without_censoring_is_least_squares(spark):
     assert fit["sigma"] == pytest.approx(fit["ols_sigma"], rel=1e-4)
 
 
+def _knn_brute(q, r, k):
+    import numpy as np
+    out = {}
+    for qid, qx in q:
+        ds = sorted((float(np.sqrt(((np.array(qx) - np.array(rx)) ** 2).sum())), rid) for rid, rx in r)
+        out[qid] = [(rid, d) for d, rid in ds[:k]]
+    return out
+
+
+@pytest.mark.parametrize("n_ref,n_q,d,k", [(300, 80, 2, 5), (50, 30, 1, 7), (4, 10, 2, 5), (400, 60, 3, 3)])
 def test_grid_knn_equals_brute_force(spark, n_ref, n_q, d, k):
     """Clustered and duplicate-heavy points, a far outlier, fewer refs than k:
     the level-climbing grid search must return the exact k nearest."""
