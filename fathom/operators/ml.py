@@ -209,6 +209,39 @@ def lda_scores(df: DataFrame, fit: dict) -> DataFrame:
     return df.withColumn("p1", F.exp(scores[classes[-1]] - mx) / den)
 
 
+def qda_fit(df: DataFrame, features: Sequence[str], label: str, reg: float = 0.1) -> dict:
+    """M8 (quadratic discriminant): prior, mean and covariance of each class,
+    (1 - reg) S + reg I, from one grouped aggregate.  Classes with fewer than
+    two rows are left out."""
+    d = len(features)
+    exprs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)]
+    exprs += [F.covar_samp(F.col(features[i]), F.col(features[j])).alias(f"c_{i}_{j}") for i in range(d) for j in range(i, d)]
+    rows = [r for r in df.select(label, *[F.col(c).cast("double").alias(c) for c in features]).dropna().groupBy(label).agg(*exprs).collect()
+            if r["n"] > 1]                                    # one row per class
+    total = sum(r["n"] for r in rows)
+    classes = {}
+    for r in rows:
+        cov = np.array([[r[f"c_{min(i, j)}_{max(i, j)}"] for j in range(d)] for i in range(d)])
+        cov = (1 - reg) * cov + reg * np.eye(d)
+        classes[r[label]] = {"prior": r["n"] / total, "mean": np.array([r[f"m_{i}"] for i in range(d)]),
+                             "inverse": np.linalg.inv(cov), "log_det": float(np.linalg.slogdet(cov)[1])}
+    return {"features": list(features), "classes": classes}
+
+
+def qda_scores(df: DataFrame, fit: dict, out: str = "p1") -> DataFrame:
+    """df with the posterior of the largest class label, from the classes' log densities."""
+    feats, classes = fit["features"], sorted(fit["classes"])
+    scores = {}
+    for cls in classes:
+        c = fit["classes"][cls]
+        apart = [F.col(f) - F.lit(float(c["mean"][i])) for i, f in enumerate(feats)]
+        square = sum((F.lit(float(c["inverse"][i, j])) * apart[i] * apart[j] for i in range(len(feats)) for j in range(len(feats))), F.lit(0.0))
+        scores[cls] = F.lit(float(np.log(c["prior"]) - 0.5 * c["log_det"])) - 0.5 * square
+    last = scores[classes[-1]]
+    odds = sum((F.exp(scores[c] - last) for c in classes[:-1]), F.lit(0.0))
+    return df.withColumn(out, 1 / (1 + odds))
+
+
 def coefficient_table(model, features: Sequence[str], name: str, spark) -> DataFrame:
     """Signed coefficients or importances of a fitted model."""
     if hasattr(model, "coefficients"):

@@ -55,9 +55,10 @@ def _finest_level(ref: DataFrame, xs: Sequence[str], lo: Sequence[float], start:
 
 
 def knn(query: DataFrame, ref: DataFrame, features: Sequence[str], k: int, qid: str = "qid", rid: str = "rid",
-        ref_cols: Sequence[str] = (), cap: int | None = None) -> DataFrame:
+        ref_cols: Sequence[str] = (), cap: int | None = None, metric: str = "euclidean") -> DataFrame:
     """(qid, rank, rid, distance, *ref_cols) for the k nearest reference rows
-    of every query row whose features are all present and finite."""
+    of every query row whose features are all present and finite.  ``metric``
+    may be "chebyshev", the largest coordinate difference."""
     feats = list(features)
     d = len(feats)
     xs = [f"__x{i}" for i in range(d)]
@@ -91,7 +92,12 @@ def knn(query: DataFrame, ref: DataFrame, features: Sequence[str], k: int, qid:
 
     offsets = list(itertools.product((-1, 0, 1), repeat=d))
     off_arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets])
-    dist = F.sqrt(reduce(lambda a, b: a + b, [F.pow(F.col(x) - F.col(f"__r{i}"), 2) for i, x in enumerate(xs)]))
+    apart = [F.col(x) - F.col(f"__r{i}") for i, x in enumerate(xs)]
+    # a block's nearest face bounds both: no coordinate difference exceeds the distance
+    if metric == "chebyshev":
+        dist = F.greatest(*[F.abs(a) for a in apart]) if d > 1 else F.abs(apart[0])
+    else:
+        dist = F.sqrt(reduce(lambda a, b: a + b, [F.pow(a, 2) for a in apart]))
     todo = pts
     parts = []
     for e in range(e_fine, e_top + 1):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions.numeric import rnd
 from fathom.operators.features import haversine_km
+from fathom.session import cut_lineage
 
 
 def knn(points: DataFrame, k: int = 8, tie_margin: int = 4) -> DataFrame:
@@ -92,6 +93,73 @@ def moran_permutations(values: DataFrame, neighbours: DataFrame, x: str, n_perm:
                                  F.avg("i_perm").alias("mean_i_perm"))
 
 
+def permutation_draws(spark, n: int, k: int, permutations: int, seed: str = "lisa", tries: int = 32) -> DataFrame:
+    """(p, j, at): for each permutation k different numbers below n - 1, by
+    hash: the first k different ones of ``tries`` candidates."""
+    from fathom.functions.hashing import salted_h32
+    c = spark.range(permutations).select((F.col("id") + 1).alias("p")).withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(tries))))
+    text = F.concat_ws("-", F.col("p").cast("string"), F.col("c").cast("string"))
+    c = c.withColumn("at", salted_h32(text, seed) % F.lit(max(n - 1, 1)))
+    first = c.groupBy("p", "at").agg(F.min("c").alias("c"))
+    w = Window.partitionBy("p").orderBy("c")                    # at most ``tries`` rows
+    return first.withColumn("j", F.row_number().over(w)).where(F.col("j") <= k).select("p", "j", "at")
+
+
+def local_moran(values: DataFrame, neighbours: DataFrame, x: str, permutations: int = 199, seed: str = "lisa") -> DataFrame:
+    """(id, quadrant, local_i, p_sim) of every point with neighbours.
+
+    The pseudo p-value is conditional: a point keeps its value and gets k
+    other points' values in each permutation.  As in common practice all
+    points share the permutations' draws of k places among the n - 1 others,
+    so only the values at the drawn places and the next ones (a point skips
+    itself) are ever needed: 2 x permutations x k numbers, however many
+    points.  They travel with the tasks; no rows x permutations table is
+    made.  p = (min(m, permutations - m) + 1) / (permutations + 1), with m
+    the permutations whose local I is at least the observed one.  NULL where
+    fewer than k other points exist."""
+    import numpy as np
+    import pyarrow as pa
+    from fathom.operators.ordered import row_numbers
+    spark = values.sparkSession
+    known = values.where(F.col(x).isNotNull())
+    mean = known.agg(F.avg(x).alias("__m"))
+    z = known.crossJoin(F.broadcast(mean)).select("id", (F.col(x) - F.col("__m")).alias("z"))
+    placed = cut_lineage(row_numbers(z, ["id"], name="place").withColumn("place", F.col("place") - 1))
+    total = placed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("z") * F.col("z")).alias("zz")).first()
+    k = neighbours.groupBy("id").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k").alias("k")).first()["k"] or 0
+    n = total["n"]
+    drawn = permutation_draws(spark, n, k, permutations, seed)
+    wanted = drawn.select("at").union(drawn.select(F.col("at") + 1)).distinct()
+    there = {r["place"]: r["z"] for r in placed.join(F.broadcast(wanted), F.col("place") == F.col("at")).collect()}
+    at = np.full((permutations, max(k, 1)), -1, dtype=np.int64)
+    for r in drawn.collect():
+        at[r["p"] - 1, r["j"] - 1] = r["at"]
+    enough = k > 0 and n - 1 >= k and (at >= 0).all()
+    low = np.vectorize(lambda a: there.get(a, 0.0))(at)
+    high = np.vectorize(lambda a: there.get(a + 1, 0.0))(at)
+
+    def simulate(batches):
+        for batch in batches:
+            place, own, lag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("place", "z", "lag"))
+            p = np.full(len(own), np.nan)
+            for i in range(0, len(own) if enough else 0, 256):
+                s = slice(i, i + 256)
+                # a drawn place counts the others only: from the point's own place on it is the next one
+                drawn_z = np.where(at[None] < place[s, None, None], low[None], high[None]).mean(axis=2)
+                m = (own[s, None] * drawn_z >= (own[s] * lag[s])[:, None]).sum(axis=1)
+                p[s] = (np.minimum(m, permutations - m) + 1) / (permutations + 1)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("z"), batch.column("lag"), pa.array(p, from_pandas=True)],
+                                             names=["id", "z", "lag", "p_sim"])
+
+    lagged = spatial_lag(placed, neighbours, "z").select("id", "place", "z", "lag")
+    kind = values.schema["id"].dataType.simpleString()
+    out = lagged.mapInArrow(simulate, f"id {kind}, z double, lag double, p_sim double")
+    q = F.when((F.col("z") > 0) & (F.col("lag") > 0), "HH").when((F.col("z") < 0) & (F.col("lag") < 0), "LL") \
+        .when((F.col("z") < 0) & (F.col("lag") > 0), "LH").when((F.col("z") > 0) & (F.col("lag") < 0), "HL")
+    scale = float(n - 1) / total["zz"] if total["zz"] else None
+    return out.select("id", q.alias("quadrant"), (F.col("z") * F.col("lag") * F.lit(scale)).alias("local_i"), "p_sim")
+
+
 def density_grid(df: DataFrame, lat: str, lon: str, bins: int = 120) -> DataFrame:
     """A10: counts on a bins x bins grid spanning the data range."""
     r = df.agg(F.min(lat).alias("a0"), F.max(lat).alias("a1"), F.min(lon).alias("o0"), F.max(lon).alias("o1"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathom.functions.hashing import sql_bucket, sql_key_text
+from fathom.functions.hashing import sql_bucket, sql_key_text, sql_unit_uniform
 from fathom.functions.numeric import rnd, sql_rnd
-from fathom.operators import folds, learned
-from fathom.plans.common import LI_KEY, SQL_LI_MISSING, lineitem_missing
+from fathom.operators import folds, learned, mutual_info
+from fathom.plans.common import LI_KEY, SQL_LI_MISSING, coords, lineitem_missing, sql_coords
 from fathom.plans.registry import query
 from fathom.sources.tables import Tables
 
@@ -325,6 +325,41 @@ def mutual_info_binned(spark, sf_dir):
         rnd("mutual_info", 8).alias("mutual_info"))
 
 
+MI_NAMES, MI_K = ["orders", "c_acctbal", "lat", "lon"], 3
+_LAT, _LON = sql_coords("c_custkey")
+
+
+def _sql_grid(axis):
+    return (f"CAST(floor((f.{axis} / s{axis} + ({sql_unit_uniform(f'concat(CAST(f.id AS VARCHAR), {chr(39)}-{axis}{chr(39)})', 'jitter')} - 0.5e0) "
+            f"* {mutual_info.JITTER!r} * greatest(1.0e0, m{axis} / s{axis})) * {mutual_info.SCALE!r}e0) AS BIGINT) AS {axis}")
+
+
+@query("mutual_info_neighbours", ["L24"], sql=f"""
+WITH sp AS (SELECT o_custkey AS id, CAST(count(*) AS DOUBLE) AS orders, sum(o_totalprice) AS spend FROM orders GROUP BY 1),
+c AS (SELECT c_custkey AS id, coalesce(orders, 0) AS orders, coalesce(spend, 0) AS spend, c_acctbal, {_LAT} AS lat, {_LON} AS lon
+      FROM customer LEFT JOIN sp ON sp.id = c_custkey),
+f AS ({" UNION ALL ".join(f"SELECT '{n}' AS feature, id, {n} AS x, spend AS y FROM c" for n in MI_NAMES)}),
+st AS (SELECT feature, stddev_pop(x) AS sx, avg(abs(x)) AS mx, stddev_pop(y) AS sy, avg(abs(y)) AS my FROM f GROUP BY 1),
+g AS (SELECT f.feature, f.id, {_sql_grid('x')}, {_sql_grid('y')} FROM f JOIN st USING (feature)),
+d AS (SELECT a.feature, a.id, greatest(abs(a.x - b.x), abs(a.y - b.y)) AS d FROM g a JOIN g b ON a.feature = b.feature AND a.id <> b.id),
+r AS (SELECT feature, id, d AS r FROM d QUALIFY row_number() OVER (PARTITION BY feature, id ORDER BY d) = {MI_K}),
+nn AS (SELECT a.feature, a.id, count(*) FILTER (WHERE abs(a.x - b.x) < r) AS nx, count(*) FILTER (WHERE abs(a.y - b.y) < r) AS ny
+       FROM g a JOIN r ON a.feature = r.feature AND a.id = r.id JOIN g b ON a.feature = b.feature AND a.id <> b.id GROUP BY ALL),
+t AS (SELECT feature, count(*) AS n, sum({mutual_info.digamma_sql('(nx + 1)')} + {mutual_info.digamma_sql('(ny + 1)')}) AS s FROM nn GROUP BY 1)
+SELECT feature, n, {sql_rnd(f"greatest({mutual_info.digamma_sql('n')} + {mutual_info.digamma_sql(str(MI_K))} - s / n, 0.0e0)", 6)} AS mutual_information FROM t
+""")
+def mutual_info_neighbours(spark, sf_dir):
+    """What a customer's spending shares with the number of orders, the balance and the place, by three nearest neighbours."""
+    lat, lon = coords("c_custkey")
+    t = Tables(spark, sf_dir)
+    spent = t.orders.groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).cast("double").alias("orders"),
+                                                                 F.sum("o_totalprice").alias("spend"))
+    c = t.customer.select(F.col("c_custkey").alias("id"), "c_acctbal", lat.alias("lat"), lon.alias("lon")) \
+        .join(spent, "id", "left").fillna(0.0, subset=["orders", "spend"])
+    mi = mutual_info.neighbour_information(c, "id", MI_NAMES, "spend", MI_K)
+    return mi.select("feature", "n", rnd("mutual_information", 6).alias("mutual_information"))
+
+
 @query("pearson_mi_discrepancy", ["A8"], sql="WITH" + ",".join(_sql_mi(x) for x in _MI_FEATURES) + "\nUNION ALL\n".join(
     f"""
 SELECT '{x}' AS feature, {sql_rnd('abs(r)', 8)} AS abs_pearson, {sql_rnd('mi', 8)} AS mutual_info,

@@ -9,11 +9,13 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, GBTRegressor, LinearRegression,
+from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, GBTRegressor, IsotonicRegression, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from fathom.functions.hashing import sql_bucket, sql_key_text
+from fathom.functions.numeric import rnd, sql_rnd
 from fathom.operators import evalcls as C
 from fathom.operators import folds
 from fathom.operators import ml
@@ -165,11 +167,16 @@ def ensemble_stack_calibrate(spark, sf_dir):
     platt = LogisticRegression(featuresCol="meta_rf").fit(ml.assemble(oof, ["p_rf"], "meta_rf"))  # M18 sigmoid
     te = ml.assemble(te, ["p_lr", "p_rf"], "meta")
     te = ml.positive_probability(meta.transform(te).drop("rawPrediction", "prediction"), out="p_stack").drop("probability")
+    # isotonic calibration: Spark pools adjacent violators per range partition before the last pooling, and the
+    # scores are counted per distinct value first
+    steps = oof.groupBy("p_rf").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("n"))
+    isotonic = IsotonicRegression(featuresCol="p_rf", labelCol="label", weightCol="n", predictionCol="p_isotonic").fit(steps)
+    te = isotonic.transform(te)
     te = ml.assemble(te, ["p_rf"], "meta_rf")
     te = ml.positive_probability(platt.setFeaturesCol("meta_rf").transform(te), out="p_platt")
     te = te.withColumn("p_vote", (F.col("p_lr") + F.col("p_rf")) / 2).withColumn("y", F.col("label").cast("int"))  # M16
     rows = []
-    for col in ["p_lr", "p_rf", "p_vote", "p_stack", "p_platt"]:
+    for col in ["p_lr", "p_rf", "p_vote", "p_stack", "p_platt", "p_isotonic"]:
         auc = C.roc_auc(te, "y", col).first()["roc_auc"]
         brier = te.agg(F.avg((F.col(col) - F.col("y")) ** 2)).first()[0]
         rows.append((col[2:], auc, float(brier)))
@@ -205,6 +212,36 @@ def lda_classifier(spark, sf_dir):
     return C.roc_auc(scored, "y", "p1")
 
 
+QDA_X = ["log_chars", "n_lines"]
+QDA_REG = 0.1
+_QDA_SPLIT = sql_bucket(sql_key_text("doc_id"), "split")
+
+
+def _sql_qda():
+    """Posterior of class 1 from each class's own 2 x 2 covariance."""
+    score = ("ln(pr) - 0.5e0 * ln(c11 * c22 - c12 * c12) - 0.5e0 * (c22 * power(x1 - m1, 2) - 2 * c12 * (x1 - m1) * (x2 - m2) "
+             "+ c11 * power(x2 - m2, 2)) / (c11 * c22 - c12 * c12)")
+    return f"""
+WITH d AS (SELECT doc_id, CAST(toxic AS INTEGER) AS y, ln(1 + n_chars) AS x1,
+                  CAST(len(string_split(text, chr(10))) - 1 AS DOUBLE) AS x2, {_QDA_SPLIT} < 80 AS train
+           FROM labels JOIN documents USING (doc_id)),
+s AS (SELECT y, count(*) / sum(count(*)) OVER () AS pr, avg(x1) AS m1, avg(x2) AS m2,
+             {1 - QDA_REG}e0 * covar_samp(x1, x1) + {QDA_REG}e0 AS c11, {1 - QDA_REG}e0 * covar_samp(x2, x2) + {QDA_REG}e0 AS c22,
+             {1 - QDA_REG}e0 * covar_samp(x1, x2) AS c12 FROM d WHERE train GROUP BY y),
+q AS (SELECT doc_id, d.y AS label, s.y AS cls, {score} AS score FROM d CROSS JOIN s WHERE NOT train),
+p AS (SELECT doc_id, label, max(score) FILTER (WHERE cls = 1) AS s1, max(score) FILTER (WHERE cls = 0) AS s0 FROM q GROUP BY ALL)
+SELECT doc_id, label, {sql_rnd('1 / (1 + exp(s0 - s1))', 6)} AS p1 FROM p"""
+
+
+@query("qda_scores", ["M8"], sql=_sql_qda())
+def qda_scores(spark, sf_dir):
+    """Quadratic discriminant posterior of the toxic class for the test documents."""
+    d = doc_table(spark, sf_dir).drop("features")
+    fit = ml.qda_fit(d.where("split = 'train'"), QDA_X, "label", QDA_REG)
+    scored = ml.qda_scores(d.where("split = 'test'"), fit)
+    return scored.select("doc_id", F.col("label").cast("int").alias("label"), rnd("p1", 6).alias("p1"))
+
+
 @query("spatial_vs_random_cv", ["F12", "L17", "H8", "E30"])
 def spatial_vs_random_cv(spark, sf_dir):
     from fathom.plans.common import coords
@@ -227,6 +264,24 @@ def spatial_vs_random_cv(spark, sf_dir):
     return res.groupBy("scheme").agg(F.avg("r2").alias("r2_mean"), F.stddev("r2").alias("r2_std"), F.count(F.lit(1)).alias("folds"))
 
 
+@query("aft_comparison", ["V7", "V8"])
+def aft_comparison(spark, sf_dir):
+    """Weibull, log-normal and log-logistic models of the time to the first
+    error, with AIC, BIC and concordance; best AIC first."""
+    from fathom.operators import aft, survival
+    from fathom.plans.survival import subjects
+    s = subjects(spark, sf_dir).where(F.col("duration") > 0).withColumn("risk_d", F.col("risk").cast("double")) \
+        .withColumn("is_even", (F.col("grp") == "even").cast("double"))
+    rows = []
+    for name in aft.DISTRIBUTIONS:
+        m = aft.fit(s, "duration", "event", ["risk_d", "is_even"], name)
+        c = survival.c_index(s.withColumn("__risk", -m.median()), "duration", "event", "__risk").first()["c_index"]
+        rows.append((name, m.intercept, *map(float, m.coefficients), m.sigma, m.log_likelihood, m.aic, m.bic, float(c), m.n, m.converged))
+    return spark.createDataFrame(rows, "distribution string, intercept double, coef_risk double, coef_even double, sigma double, "
+                                       "log_likelihood double, aic double, bic double, c_index double, n int, converged boolean") \
+        .orderBy("aic")
+
+
 @query("aft_weibull", ["V7"])
 def aft_weibull(spark, sf_dir):
     from fathom.plans.survival import subjects

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathom.functions.hashing import sql_bucket, sql_key_text
+from fathom.functions.hashing import sql_bucket, sql_key_text, sql_salted_h32
 from fathom.functions.numeric import rnd, sql_rnd
 from fathom.operators import gwr, kde
 from fathom.operators import spatial as G
@@ -73,6 +73,32 @@ def local_moran_quadrants(spark, sf_dir):
     return q.groupBy("quadrant").agg(F.count(F.lit(1)).alias("n"))
 
 
+PERMUTATIONS, TRIES = 199, 32
+_SWAP = sql_salted_h32("concat_ws('-', CAST(p AS VARCHAR), CAST(c AS VARCHAR))", "lisa")
+
+
+@query("local_moran_significance", ["G2"], sql=f"""
+WITH {SQL_KNN}, {SQL_Z},
+o AS (SELECT id, z, row_number() OVER (ORDER BY id) - 1 AS place, count(*) OVER () AS n FROM z),
+dc AS (SELECT p, c, {_SWAP} % (SELECT any_value(n) - 1 FROM o) AS spot FROM range(1, {PERMUTATIONS + 1}) AS a(p), range(1, {TRIES + 1}) AS b(c)),
+dd AS (SELECT p, spot, min(c) AS c FROM dc GROUP BY p, spot),
+dr AS (SELECT p, spot FROM dd QUALIFY row_number() OVER (PARTITION BY p ORDER BY c) <= {K}),
+si AS (SELECT o.id, p, o.z * avg(v.z) AS i FROM o CROSS JOIN dr JOIN o v ON v.place = CASE WHEN dr.spot < o.place THEN dr.spot ELSE dr.spot + 1 END
+       GROUP BY o.id, o.z, p),
+mm AS (SELECT si.id, any_value(o.z) AS z, any_value(lag) AS lag, any_value(n) AS n, count(*) FILTER (WHERE i >= o.z * lag) AS m
+       FROM si JOIN o USING (id) JOIN lg USING (id) GROUP BY si.id)
+SELECT id, CASE WHEN z > 0 AND lag > 0 THEN 'HH' WHEN z < 0 AND lag < 0 THEN 'LL' WHEN z < 0 AND lag > 0 THEN 'LH'
+                WHEN z > 0 AND lag < 0 THEN 'HL' END AS quadrant, {sql_rnd('z * lag * (n - 1) / (SELECT sum(z * z) FROM o)', 8)} AS local_i,
+       (least(m, {PERMUTATIONS} - m) + 1) / {PERMUTATIONS + 1}.0e0 AS p_sim,
+       (least(m, {PERMUTATIONS} - m) + 1) / {PERMUTATIONS + 1}.0e0 < 0.05e0 AS significant FROM mm
+""")
+def local_moran_significance(spark, sf_dir):
+    """Local Moran's I of every supplier with its quadrant and conditional pseudo p-value."""
+    pts = supplier_points(spark, sf_dir)
+    lm = G.local_moran(pts, G.knn(pts, K), "s_acctbal", PERMUTATIONS)
+    return lm.select("id", "quadrant", rnd("local_i", 8).alias("local_i"), "p_sim", (F.col("p_sim") < 0.05).alias("significant"))
+
+
 @query("residual_morans_i", ["G3"], sql=f"""
 WITH {SQL_KNN},
 r AS (SELECT id, s_acctbal - avg(s_acctbal) OVER (PARTITION BY s_nationkey) AS resid FROM p),
