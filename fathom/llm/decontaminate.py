@@ -7,9 +7,10 @@ item if it has fewer; a document word inside any occurrence of a window is hit.
 Winnowing: of the k-gram hashes inside each run of window length the smallest
 is kept.  It depends on the run alone, so a document that holds a benchmark
 window keeps the window's own fingerprint there: every shared window is found.
-Documents' distinct fingerprints are joined to those of the benchmark, and each
-hit is extended to the runs that it was kept for, whose words are compared in
-full.  The k-gram and minimum arrays are made by doubling (pairs, fours, ...),
+Documents' fingerprints, each with its place, are joined to those of the
+benchmark, and each hit is extended to the run that it was kept for, whose words
+are compared in full; the work is in proportion to a text's length, however much
+of it is benchmark text.  The k-gram and minimum arrays are made by doubling (pairs, fours, ...),
 so a position costs a few array steps whatever the window.
 
 The fingerprints of the benchmark are broadcast if there are at most
@@ -38,7 +39,7 @@ from fathom.session import small_side
 
 WINDOW = 13
 GRAM = 6
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000      # windows of some hundred bytes
 _UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -113,17 +114,22 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
         hint = F.broadcast if small else (lambda df: df)
         marks = hint(bench.select("kept").distinct())
         made = fingerprints(_keyed(docs, id_col, text_col), length, gram)
+        at_each = F.posexplode_outer("kept").alias("at", "kept")
         if small:
-            hits = made.withColumn("hit", F.explode_outer(F.array_distinct("kept"))).join(
-                marks.withColumnRenamed("kept", "hit"), "hit", "left_semi")
+            hits = made.select("doc_id", "mark", "words", at_each).join(marks, "kept", "left_semi")
         else:
-            narrow = made.select("doc_id", "mark", F.explode_outer(F.array_distinct("kept")).alias("hit")).join(
-                marks.withColumnRenamed("kept", "hit"), "hit", "left_semi").distinct()
-            hits = made.dropDuplicates(["doc_id", "mark"]).alias("d").join(narrow.alias("h"), _same("d", "h")).select(
-                "d.*", "h.hit")
-        places = F.filter(F.sequence(F.lit(0), F.size("kept") - 1), lambda i: F.element_at("kept", i + 1) == F.col("hit"))
-        runs = hits.select("doc_id", "mark", "words", "hit", F.explode_outer(places).alias("at")).select(
-            "doc_id", "mark", "at", F.col("hit").alias("kept"), _text_of("words", F.col("at"), length).alias("window"))
+            narrow = made.select("doc_id", "mark", F.explode_outer(F.array_distinct("kept")).alias("kept")).join(
+                marks, "kept", "left_semi").distinct()
+            hit_docs = made.dropDuplicates(["doc_id", "mark"]).alias("d").join(
+                narrow.select("doc_id", "mark").distinct().alias("h"), _same("d", "h"), "left_semi")
+            # a document's hits as one list, so that its words travel once
+            places = hit_docs.select("doc_id", "mark", at_each).alias("d").join(
+                narrow.alias("h"), _same("d", "h") & (F.col("d.kept") == F.col("h.kept"))).groupBy("d.doc_id", "d.mark").agg(
+                F.collect_list(F.struct("d.at", "d.kept")).alias("places"))
+            hits = hit_docs.alias("d").join(places.alias("h"), _same("d", "h")).select(
+                "d.doc_id", "d.mark", "d.words", F.explode_outer("h.places").alias("p")).select(
+                "doc_id", "mark", "words", "p.at", "p.kept")
+        runs = hits.select("doc_id", "mark", "at", "kept", _text_of("words", F.col("at"), length).alias("window"))
         found.append(runs.join(hint(bench), ["kept", "window"]).select(
             "doc_id", "mark", "at", F.lit(length).alias("length"), "item_id"))
     if not found:

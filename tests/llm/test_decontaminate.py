@@ -69,6 +69,16 @@ def test_very_long_text(spark):
     assert (got.n_words, got.n_hit, got.contaminated) == (120_040, 40, False)
 
 
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_long_text_that_is_all_benchmark(spark, limit):
+    """Work in proportion to its length: every place is a hit."""
+    bench = prose(50_000, 81, vocabulary=5000)
+    df = frame(spark, [(1, bench), (2, bench.replace(" ", ", ") + " and more"), (3, prose(50, 82))])
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in d.contamination(
+        df, spark.createDataFrame([(7, bench)], BENCH), broadcast_rows=limit).collect()}
+    assert got == {1: (50_000, 50_000, ["7"], True), 2: (50_002, 50_000, ["7"], True), 3: (50, 0, [], False)}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], BENCH)
     assert d.contamination(frame(spark, []), none).count() == 0
