@@ -20,7 +20,9 @@ Discounts come from the counts of counts, n1 / (n1 + 2 n2).
 How the work is spread: a word outside the head has less than N / HEAD of the N
 training tokens, so hashing words to buckets can't give a hot bucket; text is
 read in chunks whose (word, context, document) entries are packed by bucket,
-shuffled once and checkpointed bucket by bucket.  Head words have at
+shuffled once and checkpointed in the order of buckets.  The number of buckets
+follows the number of tokens, and a task holds one bucket at a time, so its
+memory does not grow with the corpus.  Head words have at
 most HEAD x contexts counts, a proven bound: those are sampled on the driver
 and their probabilities broadcast, so no task gathers a frequent word's
 occurrences.  Per sweep only one number a context comes back.
@@ -48,7 +50,8 @@ from fathom.llm.registry import query, table
 from fathom.session import cut_lineage
 
 HEAD = 1024
-BUCKETS = 24          # at least; a larger spark.sql.shuffle.partitions gives more
+BUCKETS = 24          # at least
+BUCKET_TOKENS = 1_000_000   # training tokens a bucket of words, so that what a task holds does not grow with the corpus
 BURN_IN = 1
 SAMPLES = 3
 EXACT = 96
@@ -325,21 +328,21 @@ def packed_entries(docs: DataFrame, head, buckets: int) -> DataFrame:
 
 
 class Bucket:
-    """All entries of the buckets of one task, and the training counts of its words."""
+    """All entries of one bucket, and the training counts of its words."""
 
-    def __init__(self, batches):
-        got = [(k, _unpack(z)) for b in batches for k, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    def __init__(self, number: int, payloads: list[bytes]):
+        got = [_unpack(z) for z in payloads]
         cat = lambda xs, kind: np.concatenate([*xs, np.zeros(0, kind)]).astype(kind, copy=False)
-        self.seed = min((k for k, _ in got), default=0)
-        self.ids, self.marks = (cat([a[i] for _, a in got], np.int64) for i in (0, 1))
-        self.flags = cat([a[2] for _, a in got], np.uint8)
+        self.seed = number
+        self.ids, self.marks = (cat([a[i] for a in got], np.int64) for i in (0, 1))
+        self.flags = cat([a[2] for a in got], np.uint8)
         self.n_docs = len(self.ids)
-        offsets = np.concatenate([[0], np.cumsum([len(a[0]) for _, a in got])]).astype(np.int64)
-        self.doc = cat([(a[6] + offsets[i]).astype(np.int32) for i, (_, a) in enumerate(got)], np.int32)
-        ctx = cat([a[5] for _, a in got], np.uint16)
+        offsets = np.concatenate([[0], np.cumsum([len(a[0]) for a in got])]).astype(np.int64)
+        self.doc = cat([(a[6] + offsets[i]).astype(np.int32) for i, a in enumerate(got)], np.int32)
+        ctx = cat([a[5] for a in got], np.uint16)
         # words of the chunks to words of the bucket, then to their entries
-        uniq, place = np.unique(cat([a[3] for _, a in got], np.uint64), return_inverse=True)
-        self.word = np.repeat(place.astype(np.int32), cat([a[4] for _, a in got], np.uint32).astype(np.int64))
+        uniq, place = np.unique(cat([a[3] for a in got], np.uint64), return_inverse=True)
+        self.word = np.repeat(place.astype(np.int32), cat([a[4] for a in got], np.uint32).astype(np.int64))
         self.n_words = len(uniq)
         del got, place
         self.pair = self.word.astype(np.int64) << 16 | ctx
@@ -377,6 +380,21 @@ class Bucket:
             names=["doc_id", "mark", "base_score", "score", "n_known"])
 
 
+def one_by_one(batches):
+    """The buckets of a task, whose rows come ordered by bucket; one is held at a time."""
+    number, payloads = None, []
+    for b in batches:
+        for k, z in zip(b.column(0), b.column(1)):
+            k = k.as_py()
+            if k != number and payloads:
+                yield Bucket(number, payloads)
+                payloads = []
+            number = k
+            payloads.append(z.as_py())
+    if payloads:
+        yield Bucket(number, payloads)
+
+
 def _discount(n1: int, n2: int) -> float:
     return float(np.clip(n1 / (n1 + 2 * n2), 0.1, 0.95)) if n1 + n2 else 0.5
 
@@ -386,12 +404,12 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each text; ``train``: a condition on rows."""
     spark = docs.sparkSession
     sc = spark.sparkContext
-    buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(text_col)).alias("mark"), F.coalesce(train, F.lit(True)).alias("train"))
 
     vocab = cut_lineage(vocabulary(docs))
     size, tokens = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
+    buckets = buckets or max(BUCKETS, -(-int(tokens) // BUCKET_TOKENS))
     top = vocab.orderBy(F.desc("c"), "word").limit(head_words).collect()
     head = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
     shared = sc.broadcast(head)
@@ -405,12 +423,16 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     pair, count = pair[order], np.array(found.column("c"), dtype=np.int64)[order]
     dishes = Dishes(pair % max(reader.n, 1), pair // max(reader.n, 1), count, reader.n)
 
-    entries = cut_lineage(packed_entries(docs, shared, buckets).repartition(buckets, "bucket"))
+    spread = max(min(buckets, BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    entries = cut_lineage(packed_entries(docs, shared, buckets).repartition(spread, "bucket").sortWithinPartitions("bucket"))
 
     def gathered(of) -> np.ndarray:
         """Sum over the tasks of one short array each."""
         def run(batches):
-            v = of(Bucket(batches))
+            v = np.zeros(2 * n_ctx + 6, dtype=np.int64)
+            for bucket in one_by_one(batches):
+                sums = of(bucket)
+                v[:len(sums)] += sums
             k = np.flatnonzero(v)
             yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(v[k].astype(np.int64))],
                                              names=["k", "v"])
@@ -445,7 +467,8 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     base_head = model.base(head_c)
 
     def rest(batches):
-        yield Bucket(batches).scores(model, totals, burn_in, stirling)
+        for bucket in one_by_one(batches):
+            yield bucket.scores(model, totals, burn_in, stirling)
 
     def frequent(batches):
         mine = Reader(shared.value)
