@@ -281,7 +281,7 @@ def with_repeated_ends(docs: DataFrame) -> DataFrame:
     Which, from which word and with what period the checksum of the id says; a null id repeats nothing.
     """
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             texts = []
             for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist()):
                 words = _split(text) if h is not None and h % 10 == 0 else []
