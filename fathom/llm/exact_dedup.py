@@ -15,7 +15,7 @@ are never merged:
 The winner of a text is one decimal (code points, then smallest id), so the
 aggregates stay in fixed-width hash buffers and only the text itself is wide.
 
-Defined results: null text counts as empty; null ids lose to any id and
+Defined results: ids are whole numbers; null text counts as empty; null ids lose to any id and
 ``keep_id`` is null only if all ids of the group are; of rows that agree in
 id and length exactly one is kept; an empty table gives no rows.  Columns of
 the input beyond the id and the text are ignored by ``groups`` and carried
@@ -99,19 +99,25 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dige
         ((F.col("own") == F.col("rank")) & (F.col("copy") == 1)).alias("kept"), "digest")
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256_hex,
                salts: int = SALTS) -> DataFrame:
-    """The rows that stay, with all their columns; one row per distinct normalised text."""
+    """The rows that stay, with all their columns, whatever their names; one row per distinct normalised text."""
     norm = normalised(F.col(text_col))
     points = F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")
+    keys = [_unused(docs, n) for n in ("__digest", "__mark", "__rank")]
+    number = _unused(docs, "__n")
     named = _named(winners(docs, id_col, text_col, digest, salts)).select(
-        F.col("digest").alias("__digest"), F.col("mark").alias("__mark"), F.col("rank").alias("__rank"))
-    tagged = docs.withColumns({"__digest": digest(norm), "__mark": F.xxhash64(norm),
-                               "__rank": _rank(F.col(id_col), points)})
-    keys = ["__digest", "__mark", "__rank"]
+        *[F.col(c).alias(k) for c, k in zip(("digest", "mark", "rank"), keys)])
+    tagged = docs.withColumns(dict(zip(keys, (digest(norm), F.xxhash64(norm), _rank(F.col(id_col), points)))))
     one = Window.partitionBy(*keys).orderBy(F.lit(0))
-    return (tagged.join(named, keys, "left_semi").withColumn("__n", F.row_number().over(one))
-            .filter("__n = 1").drop(*keys, "__n").select(*docs.columns))
+    return (tagged.join(named, keys, "left_semi").withColumn(number, F.row_number().over(one))
+            .filter(F.col(number) == 1).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 SQL = r"""

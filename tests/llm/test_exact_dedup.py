@@ -58,3 +58,13 @@ def test_large_group_of_copies(spark):
 def test_empty_table(spark):
     df = frame(spark, [])
     assert exact_dedup.groups(df).count() == 0 and exact_dedup.keep_first(df).count() == 0
+
+
+def test_keep_first_takes_columns_of_any_name(spark):
+    names = ("__n", "__digest", "__mark", "__rank", "__n_", "norm", "digest")
+    df = with_clashes(frame(spark, awkward()), *names)
+    out = exact_dedup.keep_first(df)
+    assert out.columns == df.columns
+    rows = out.collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in exact_dedup.keep_first(frame(spark, awkward())).collect())
+    assert all(r[n] == "clash" for r in rows for n in names)
