@@ -51,7 +51,7 @@ from fathom.session import cut_lineage
 
 HEAD = 1024
 BUCKETS = 24          # at least
-BUCKET_TOKENS = 1_000_000   # training tokens a bucket of words, so that what a task holds does not grow with the corpus
+BUCKET_TOKENS = 4_000_000   # training tokens a bucket of words, so that what a task holds does not grow with the corpus
 BURN_IN = 1
 SAMPLES = 3
 EXACT = 96
