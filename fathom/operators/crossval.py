@@ -29,12 +29,14 @@ SCORES = ("scheme string, repeat int, fold int, learner string, part string, n l
 class Scheme:
     """A way to cross-validate: columns of fold numbers 0..folds-1, one a
     repeat.  ``expanding``: fold i is scored by a model of the folds before
-    it (time order); otherwise by one of all other folds."""
+    it (time order); otherwise by one of all other folds.  Rows of the fold
+    number ``ignored`` take no part."""
 
     name: str
     columns: tuple[str, ...]
     folds: int
     expanding: bool = False
+    ignored: int | None = None
 
     def splits(self) -> list[Split]:
         return [Split(self, r, c, i) for r, c in enumerate(self.columns) for i in range(int(self.expanding), self.folds)]
@@ -49,6 +51,8 @@ class Split:
 
     def trains(self, fold):
         """Whether rows (numbers, an array or a column) of a fold belong to the training rows."""
+        if self.scheme.ignored is not None:
+            return (fold != self.fold) & (fold != self.scheme.ignored)
         return fold < self.fold if self.scheme.expanding else fold != self.fold
 
 
@@ -121,7 +125,7 @@ def linear_scores(df: DataFrame, features: Sequence[str], label: str, learners:
                   schemes: Sequence[Scheme]) -> DataFrame:
     """Scores (``SCORES``) of linear learners on every split of every scheme, in two passes over the rows."""
     features, p = list(features), len(features)
-    columns = {c: s.folds for s in schemes for c in s.columns}
+    columns = {c: max(s.folds, (s.ignored or 0) + 1) for s in schemes for c in s.columns}
     grams = fold_grams(df, features, label, columns)
     splits = [s for scheme in schemes for s in scheme.splits()]
     names = list(columns)

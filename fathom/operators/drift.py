@@ -201,3 +201,19 @@ def last_n_psi(cur: DataFrame, profile: DataFrame, order_cols: Sequence[str], n:
     full = sums.where(F.col("n_rows") >= n // 2).join(F.broadcast(profile.select("feature", "shares")), "feature")
     psi_col = psi_of_counts([F.col(c) for c in names], F.col("n_rows"), F.col("shares"))
     return full.select("feature", *keep, F.col("n_rows").alias("n_window"), psi_col.alias("psi"))
+
+
+def retrain_triggers(psi_by_feature: DataFrame, baseline_rmse: DataFrame, current_rmse: DataFrame, new_labels: DataFrame,
+                     psi_limit: float = 0.2, rise: float = 0.10, least_labels: int = 1000) -> DataFrame:
+    """One row with the reasons to retrain: the largest PSI beyond its
+    limit, the RMSE risen by more than ``rise`` over the baseline, at least
+    ``least_labels`` new labels; ``retrain`` if any holds.  Inputs are a
+    (feature, psi) table and one-row tables ``rmse``, ``rmse`` and ``n``."""
+    p = psi_by_feature.agg(F.max("psi").alias("max_psi"))
+    j = p.crossJoin(baseline_rmse.select(F.col("rmse").alias("baseline_rmse"))) \
+        .crossJoin(current_rmse.select(F.col("rmse").alias("current_rmse"))).crossJoin(new_labels.select(F.col("n").alias("n_new_labels")))
+    on = lambda c: F.coalesce(c, F.lit(False))
+    j = j.withColumns({"psi_trigger": on(F.col("max_psi") > psi_limit),
+                       "rmse_trigger": on(F.col("current_rmse") > (1 + rise) * F.col("baseline_rmse")),
+                       "label_trigger": on(F.col("n_new_labels") >= least_labels)})
+    return j.withColumn("retrain", F.col("psi_trigger") | F.col("rmse_trigger") | F.col("label_trigger"))

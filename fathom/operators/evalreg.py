@@ -136,3 +136,50 @@ def asymmetric_sq(y: Column, p: Column, alpha: float = 2.0) -> Column:
 def huber_loss(e: Column, delta: float = 1.0) -> Column:
     a = F.abs(e)
     return F.when(a <= delta, 0.5 * e * e).otherwise(delta * (a - 0.5 * delta))
+
+
+def oof_group_means(df: DataFrame, y: str, group: str, fold: str) -> DataFrame:
+    """df with ``oof``: the mean of ``y`` over the rows of the same group in
+    the other folds (of all rows of the other folds where there are none);
+    NULL for rows without a group.  Sums per (group, fold), no refit."""
+    from fathom.session import small_side
+    cell = df.groupBy(group, fold).agg(F.sum(y).alias("__s"), F.count(y).alias("__n"))
+    whole = cell.groupBy(group).agg(F.sum("__s").alias("__gs"), F.sum("__n").alias("__gn"))
+    by_fold = cell.groupBy(fold).agg(F.sum("__s").alias("__fs"), F.sum("__n").alias("__fn"))
+    total = cell.agg(F.sum("__s").alias("__ts"), F.sum("__n").alias("__tn"))
+    left = cell.join(whole, group).join(F.broadcast(by_fold), fold).crossJoin(F.broadcast(total)).select(
+        F.col(group).alias("__g"), F.col(fold).alias("__f"),
+        F.coalesce(F.try_divide(F.col("__gs") - F.col("__s"), F.col("__gn") - F.col("__n")),
+                   F.try_divide(F.col("__ts") - F.col("__fs"), F.col("__tn") - F.col("__fn"))).alias("oof"))
+    same = F.col(group).eqNullSafe(F.col("__g")) & F.col(fold).eqNullSafe(F.col("__f"))
+    return df.join(small_side(left), same, "left").drop("__g", "__f")
+
+
+def uncertainty_band(df: DataFrame, y: str, pred: str, over_cost: float = 1.0, under_cost: float = 1.0) -> DataFrame:
+    """One row with RMSE, MAE and R2 of out-of-fold predictions and the
+    half-widths of a band below and above a prediction: the RMSE times the
+    cost of predicting too little and too much."""
+    e = F.col(y) - F.col(pred)
+    rows = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull())
+    m = rows.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("oof_rmse"), F.avg(F.abs(e)).alias("oof_mae"),
+                 (1 - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(F.lit(1)))).alias("oof_r2"))
+    return m.withColumn("lower_band", F.col("oof_rmse") * under_cost).withColumn("upper_band", F.col("oof_rmse") * over_cost)
+
+
+def linear_attributions(df: DataFrame, y: str, features) -> DataFrame:
+    """Per feature the slope of ``y`` on it alone, its slope beside
+    the other features, what adjusting changed, and the mean of
+    |adjusted slope x (x - mean)| over the rows: one Gram matrix, one pass."""
+    import numpy as np
+    from fathom.operators import ml
+    features = list(features)
+    g = ml.gram(df, features, [y])
+    n, xx, xy = g["n"], g["xx"], g["xy"][:, 0]
+    mean, label = xx[0, 1:] / n, xy[0] / n
+    s, c = xx[1:, 1:] - n * np.outer(mean, mean), xy[1:] - n * mean * label
+    adjusted = np.linalg.lstsq(s, c, rcond=None)[0]
+    size = df.select(*features, y).dropna().agg(*[F.avg(F.abs(F.lit(float(b)) * (F.col(f) - F.lit(float(m))))).alias(f)
+                                                  for f, b, m in zip(features, adjusted, mean)]).first()
+    rows = [(f, float(c[i] / s[i, i]) if s[i, i] > 0 else None, float(adjusted[i]), float(size[f])) for i, f in enumerate(features)]
+    t = df.sparkSession.createDataFrame(rows, "feature string, unadjusted double, adjusted double, mean_abs_attribution double")
+    return t.withColumn("change", F.col("adjusted") - F.col("unadjusted"))

@@ -169,3 +169,18 @@ def choose(df: DataFrame, features: Sequence[str], label: str, fold: str, folds:
                               np.sqrt(test).mean(axis=0), np.sqrt(test).std(axis=0), paths)
         out[family] = best
     return out
+
+
+def eliminate(gram: np.ndarray, names: Sequence[str], keep: int = 6, alpha: float = 1.0) -> list[tuple[str, float, list[str]]]:
+    """Recursive elimination from one Gram matrix of [1, features,
+    label]: ridge on the standardised features, drop the one with the
+    smallest absolute coefficient (ties: the later name), until ``keep`` are
+    left.  Returns (dropped, its coefficient, what is left) per step."""
+    scaled, left, steps = rescaled(gram, gram), list(names), []
+    while len(left) > max(keep, 1):
+        at = [0, *[1 + list(names).index(f) for f in left], len(gram) - 1]
+        w = path(scaled[np.ix_(at, at)], [alpha], RIDGE)[0, 1:]
+        i = min(range(len(left)), key=lambda j: (abs(w[j]), [-ord(ch) for ch in left[j]]))
+        steps.append((left[i], float(w[i]), [f for f in left if f != left[i]]))
+        left = steps[-1][2]
+    return steps

@@ -8,7 +8,7 @@ from fathom.plans.registry import OPERATORS, ORACLES, QUERIES  # noqa: F401
 _MODULES = [
     "slice", "splits", "profiling", "contracts", "drift", "features", "learnt",
     "aggregates", "classification", "regression", "stattests", "survival", "spatial",
-    "streams", "models", "sources_casts", "diagnostics", "selection",
+    "streams", "models", "sources_casts", "diagnostics", "selection", "frames",
 ]
 
 for _m in _MODULES:

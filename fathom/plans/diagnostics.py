@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathom.functions.hashing import salted_h32
@@ -53,19 +54,28 @@ def _split(spark, sf_dir):
     return d.where("split = 'train'"), d.where("split = 'test'")
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+FRACTIONS = (0.1, 0.2, 0.4, 0.6, 0.8, 1.0)
+
+
 @query("learning_curve", ["E46", "F14"])
 def learning_curve(spark, sf_dir):
-    """Train and held-out RMSE on nested growing samples (hash thresholds)."""
-    train, test = _split(spark, sf_dir)
-    ev = RegressionEvaluator(metricName="rmse")
-    rows = []
-    for frac in (0.1, 0.25, 0.5, 1.0):
-        u = salted_h32(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "lcurve") / F.lit(4294967296.0)
-        sub = train.where(u < frac)
-        m = LinearRegression().fit(sub)
-        tr, te = ev.evaluate(m.transform(sub)), ev.evaluate(m.transform(test))
-        rows.append((frac, sub.count(), tr, te, te - tr))
-    return spark.createDataFrame(rows, "fraction double, n_train long, train_rmse double, test_rmse double, gap double")
+    """Training and cross-validated RMSE of least squares on nested growing
+    samples of the training rows (hash thresholds), five hash folds each: the
+    sample a row enters is a scheme of its own, so all come from two passes."""
+    from fathom.operators import crossval, folds
+    train, _ = _split(spark, sf_dir)
+    u = salted_h32(F.concat_ws("-", *LINE_KEY), "lcurve") / F.lit(4294967296.0)
+    rows = folds.kfold(train, LINE_KEY, 5, "lcurve-fold")
+    schemes = []
+    for i, fraction in enumerate(FRACTIONS):
+        # rows outside the sample belong to a sixth fold, which is neither trained on nor scored
+        rows = rows.withColumn(f"s{i}", F.when(u < fraction, F.col("fold")).otherwise(F.lit(5)))
+        schemes.append(crossval.Scheme(f"{fraction:g}", (f"s{i}",), 5, ignored=5))
+    scores = crossval.linear_scores(rows, REG_FEATURES, "label", {"ols": crossval.Linear(tuple(REG_FEATURES))}, schemes)
+    sizes = scores.where("part = 'test'").groupBy("scheme").agg(F.sum("n").alias("n_rows"))
+    t = crossval.candidate_table(scores).join(sizes, "scheme")
+    return t.select(F.col("scheme").cast("double").alias("fraction"), "n_rows", "train_rmse", "cv_rmse", "cv_rmse_std", "gap")
 
 
 @query("validation_curve", ["E47"])
@@ -109,6 +119,31 @@ def partial_dependence(spark, sf_dir):
     return scored.groupBy("grid_value").agg(F.avg("prediction").alias("partial_dependence"), F.count(F.lit(1)).alias("n"))
 
 
+ICE_ROWS = 200
+
+
+def ice_curves(model, rows, feature, values, key, n_rows=ICE_ROWS, features=REG_FEATURES):
+    """(key, grid_value, prediction, centred) of the ``n_rows`` rows of
+    smallest key hash with one feature set to each value of a short grid;
+    ``centred`` is the change since the first value.  Their mean per value is
+    the partial dependence of the sample."""
+    spark = rows.sparkSession
+    sample = rows.withColumn("__h", salted_h32(F.concat_ws("-", *key), "ice")).orderBy("__h", *key).limit(n_rows).drop("__h", "features")
+    grid = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "__i int, grid_value double")
+    base = cut_lineage(sample).crossJoin(F.broadcast(grid)).withColumn(feature, F.col("grid_value"))   # n_rows x a short grid
+    scored = model.transform(VectorAssembler(inputCols=list(features), outputCol="features").transform(base))
+    first = F.min_by("prediction", "__i").over(Window.partitionBy(*key))
+    return scored.withColumn("centred", F.col("prediction") - first).select(*key, "grid_value", "prediction", "centred")
+
+
+@query("ice_curves", ["E49"])
+def ice_curves_query(spark, sf_dir):
+    """Curves of 200 test rows over ten quantities under a forest."""
+    train, test = _split(spark, sf_dir)
+    m = RandomForestRegressor(numTrees=20, maxDepth=5, seed=42).fit(train)
+    return ice_curves(m, test, "l_quantity", range(1, 51, 5), LINE_KEY)
+
+
 @query("permutation_importance", ["E50"])
 def permutation_importance(spark, sf_dir):
     """Increase in test RMSE when one feature's values are permuted across

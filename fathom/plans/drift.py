@@ -161,6 +161,29 @@ def drift_report(spark, sf_dir):
         F.lit(0.2).alias("psi_limit"), (F.col("psi") > 0.2).alias("psi_alert"), "n_current", retrain.alias("retrain"))
 
 
+@query("retrain_triggers", ["D8"], sql=f"""
+WITH {SQL_EVENTS_FEATURES}, {SQL_PSI},
+m AS (SELECT event_type, avg(value) AS pred FROM e WHERE half = 'reference' GROUP BY 1),
+r AS (SELECT half, sqrt(avg(power(value - pred, 2))) AS rmse, count(value) AS n FROM e JOIN m USING (event_type) WHERE value IS NOT NULL GROUP BY 1),
+t AS (SELECT (SELECT max(psi) FROM ps) AS p, max(rmse) FILTER (WHERE half = 'reference') AS b, max(rmse) FILTER (WHERE half = 'current') AS c,
+             max(n) FILTER (WHERE half = 'current') AS n FROM r)
+SELECT {sql_rnd('p', 6)} AS max_psi, {sql_rnd('b', 6)} AS baseline_rmse, {sql_rnd('c', 6)} AS current_rmse, n AS n_new_labels,
+       p > 0.2e0 AS psi_trigger, c > 1.1e0 * b AS rmse_trigger, n >= 1000 AS label_trigger,
+       p > 0.2e0 OR c > 1.1e0 * b OR n >= 1000 AS retrain FROM t
+""")
+def retrain_triggers(spark, sf_dir):
+    """Whether drift, the error of the event-type means or the number of new labels calls for retraining."""
+    ref, cur = _halves(spark, sf_dir)
+    e = events_features(spark, sf_dir).where("value IS NOT NULL")
+    means = small_side(e.where(F.col("half") == "reference").groupBy("event_type").agg(F.avg("value").alias("pred")))
+    scored = e.join(means, "event_type").groupBy("half").agg(
+        F.sqrt(F.avg((F.col("value") - F.col("pred")) ** 2)).alias("rmse"), F.count("value").alias("n"))
+    base, now = scored.where(F.col("half") == "reference"), scored.where(F.col("half") == "current")
+    t = drift.retrain_triggers(drift.psi(ref, cur, bins=10), base, now, now)
+    return t.select(*[rnd(c, 6).alias(c) for c in ("max_psi", "baseline_rmse", "current_rmse")], "n_new_labels", "psi_trigger",
+                    "rmse_trigger", "label_trigger", "retrain")
+
+
 LAST_N, PSI_LIMIT = 100, 0.2
 _BIN = ("CASE WHEN x < lo OR x > hi THEN -1 WHEN lo = hi THEN 0 WHEN x = hi THEN 9 "
         "ELSE least(CAST(floor((x - lo) * (10.0e0 / (hi - lo))) AS INTEGER), 9) END")

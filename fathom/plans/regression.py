@@ -354,3 +354,45 @@ def band_group_report(spark, sf_dir):
         "report", "grp", rnd(F.col("quantiles")[0], 4).alias("median_error"))
     return rep.join(med, ["report", "grp"], "left").select("report", "grp", "n", "mean_error", "median_error",
                                                            "mean_target", "mean_pred")
+
+
+OVER_COST, UNDER_COST = 1.0, 1.5
+
+
+@query("oof_uncertainty_band", ["E30"], sql=f"""
+WITH o AS (SELECT o_totalprice AS y, o_orderpriority AS g, {sql_bucket(sql_key_text('o_orderkey'), 'band', 5)} AS f FROM orders),
+c AS (SELECT g, f, sum(y) AS s, count(y) AS n FROM o GROUP BY ALL),
+w AS (SELECT g, sum(s) AS gs, sum(n) AS gn FROM c GROUP BY g),
+p AS (SELECT c.g, c.f, (gs - s) / (gn - n) AS oof FROM c JOIN w USING (g)),
+e AS (SELECT y, y - oof AS e FROM o JOIN p USING (g, f)),
+m AS (SELECT count(*) AS n, sqrt(avg(e * e)) AS r, avg(abs(e)) AS a, 1 - sum(e * e) / (var_pop(y) * count(*)) AS r2 FROM e)
+SELECT n, {sql_rnd('r', 4)} AS oof_rmse, {sql_rnd('a', 4)} AS oof_mae, {sql_rnd('r2', 8)} AS oof_r2,
+       {sql_rnd(f'r * {UNDER_COST}e0', 4)} AS lower_band, {sql_rnd(f'r * {OVER_COST}e0', 4)} AS upper_band FROM m
+""")
+def oof_uncertainty_band(spark, sf_dir):
+    """Band of the out-of-fold group means when predicting too little costs half as much again as too much."""
+    o = folds.kfold(Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderkey"], 5, "band")
+    b = R.uncertainty_band(R.oof_group_means(o, "o_totalprice", "o_orderpriority", "fold"), "o_totalprice", "oof", OVER_COST, UNDER_COST)
+    return b.select("n", *[rnd(c, 4).alias(c) for c in ("oof_rmse", "oof_mae", "lower_band", "upper_band")], rnd("oof_r2", 8).alias("oof_r2"))
+
+
+_QT = "covar_pop(q, t)"
+
+
+@query("adjusted_attributions", ["E52", "H7", "E51"], sql=f"""
+WITH l AS (SELECT l_extendedprice AS y, CAST(l_quantity AS DOUBLE) AS q, l_tax + l_quantity / 1000 AS t FROM lineitem),
+s AS (SELECT avg(q) AS mq, avg(t) AS mt, var_pop(q) AS qq, var_pop(t) AS tt, {_QT} AS qt, covar_pop(q, y) AS qy, covar_pop(t, y) AS ty FROM l),
+b AS (SELECT *, (tt * qy - qt * ty) / (qq * tt - qt * qt) AS bq, (qq * ty - qt * qy) / (qq * tt - qt * qt) AS bt FROM s)
+SELECT 'q' AS feature, {sql_rnd('any_value(qy / qq)', 4)} AS unadjusted, {sql_rnd('any_value(bq)', 4)} AS adjusted,
+       {sql_rnd('avg(abs(bq * (q - mq)))', 4)} AS mean_abs_attribution, {sql_rnd('any_value(bq - qy / qq)', 4)} AS change FROM l CROSS JOIN b
+UNION ALL
+SELECT 't', {sql_rnd('any_value(ty / tt)', 2)}, {sql_rnd('any_value(bt)', 2)}, {sql_rnd('avg(abs(bt * (t - mt)))', 4)},
+       {sql_rnd('any_value(bt - ty / tt)', 2)} FROM l CROSS JOIN b
+""")
+def adjusted_attributions(spark, sf_dir):
+    """Price on quantity and on a tax that rises with it: slopes alone and beside each other."""
+    li = Tables(spark, sf_dir).lineitem.select(F.col("l_extendedprice").alias("y"), F.col("l_quantity").cast("double").alias("q"),
+                                               (F.col("l_tax") + F.col("l_quantity") / 1000).alias("t"))
+    a = R.linear_attributions(li, "y", ["q", "t"])
+    wide = lambda c: F.when(F.col("feature") == "q", rnd(c, 4)).otherwise(rnd(c, 2)).alias(c)
+    return a.select("feature", wide("unadjusted"), wide("adjusted"), rnd("mean_abs_attribution", 4).alias("mean_abs_attribution"), wide("change"))

@@ -171,3 +171,13 @@ def randomised_search(spark, sf_dir):
     return table.crossJoin(F.broadcast(refit)).select(
         "place", "family", F.col("learner").alias("candidate"), "parameters", "cv_rmse", "cv_rmse_std", "train_rmse", "gap", "fit_seconds",
         *[F.when(chosen, F.col(c)).alias(c) for c in ("refit_test_rmse", "refit_test_r2")])
+
+
+@query("recursive_elimination", ["L25"])
+def recursive_elimination(spark, sf_dir):
+    """The 14 expanded features down to six, all steps from one Gram matrix."""
+    df, names = expanded(priced_lines(spark, sf_dir))
+    gram = sum(crossval.fold_grams(df, names, "label", {"fold_0": FOLDS}).values())
+    steps = penalty.eliminate(gram, names, 6)
+    return spark.createDataFrame([(i + 1, d, b, ",".join(left)) for i, (d, b, left) in enumerate(steps)],
+                                 "step int, dropped string, coefficient double, kept string")
