@@ -22,13 +22,17 @@ def test_query_matches_oracle(spark, name):
     assert ok, problems
 
 
+LARGER = {"survival_calibration"}      # leaves out deciles of fewer than five rows: all of them in the smallest tables
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_query_runs(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
+    sf = SF_ORACLE if name in LARGER else SF_SMALL
+    df = QUERIES[name](spark, sf)
     schema = df.schema
     rows = df.collect()
     assert rows and all(any(v is not None for v in r) for r in rows)
-    assert QUERIES[name](spark, SF_SMALL).schema == schema
+    assert QUERIES[name](spark, sf).schema == schema
 
 
 def test_entry_smoke(spark):
