@@ -179,14 +179,13 @@ def latest_period_holdout(df: DataFrame, period_col: str, min_train: int = 100,
                           name: str = "split"):
     """rows of the latest period are held out, earlier rows train.
 
-    Returns ``(frame with split column, holdout period, train periods)`` or
-    ``None`` when there are fewer than two periods or a side is under its
-    size guard.  Only the per-period counts (one row per period, combined
-    map-side) reach the driver."""
+    Returns ``(frame with split column, holdout period, table of train
+    periods)`` or ``None`` when there are fewer than two periods or a side is
+    under its size guard.  One row of counts reaches the driver; the periods
+    stay a table."""
     per = df.where(F.col(period_col).isNotNull()).groupBy(period_col).agg(F.count(F.lit(1)).alias("n"))
     s = per.agg(F.max(period_col).alias("last"), F.count(F.lit(1)).alias("n_periods"),
-                F.max_by("n", period_col).alias("n_last"), F.sum("n").alias("n_all"),
-                F.sort_array(F.collect_list(period_col)).alias("periods")).first()
+                F.max_by("n", period_col).alias("n_last"), F.sum("n").alias("n_all")).first()
     if s is None or s["n_periods"] is None or s["n_periods"] < 2:
         return None
     n_train = s["n_all"] - s["n_last"]
@@ -195,4 +194,4 @@ def latest_period_holdout(df: DataFrame, period_col: str, min_train: int = 100,
     last = s["last"]
     split = F.when(F.col(period_col) == F.lit(last), F.lit("valid")) \
         .when(F.col(period_col) < F.lit(last), F.lit("train"))
-    return df.withColumn(name, split), last, [p for p in s["periods"] if p != last]
+    return df.withColumn(name, split), last, per.where(F.col(period_col) < F.lit(last)).select(period_col)

@@ -215,15 +215,17 @@ def latest_year_holdout(spark, sf_dir):
               "intercept double, mae double, rmse double, r2 double")
     if cut is None:
         return spark.createDataFrame([], schema)
-    s, last, train_years = cut
+    s, last, periods = cut
+    years = periods.agg(F.array_join(F.sort_array(F.collect_set(F.col("yr").cast("string"))), ",").alias("train_years"))  # years are few
     fit = s.where(F.col("split") == "train").agg(
         F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
         F.count(F.lit(1)).alias("train_rows")).first()
     p = F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("x")
     r = F.col("y") - p
-    return s.where(F.col("split") == "valid").agg(
-        F.lit(int(last)).alias("holdout_year"), F.lit(",".join(str(v) for v in train_years)).alias("train_years"),
+    out = s.where(F.col("split") == "valid").agg(
+        F.lit(int(last)).alias("holdout_year"),
         F.lit(fit["train_rows"]).cast("long").alias("train_rows"), F.count(F.lit(1)).alias("holdout_rows"),
         rnd(F.lit(fit["slope"]), 4).alias("slope"), rnd(F.lit(fit["intercept"]), 4).alias("intercept"),
         rnd(F.avg(F.abs(r)), 4).alias("mae"), rnd(F.sqrt(F.avg(r * r)), 4).alias("rmse"),
         rnd(F.lit(1.0) - F.sum(r * r) / (F.var_pop("y") * F.count(F.lit(1))), 6).alias("r2"))
+    return out.crossJoin(F.broadcast(years)).select("holdout_year", "train_years", *out.columns[1:])

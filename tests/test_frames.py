@@ -124,3 +124,12 @@ def test_ice_curves_of_a_linear_model_are_parallel(spark):
     got = ice_curves(LinearRegression().fit(df), df, "a", [0, 1, 3], ["k"], 50, ["a", "b"]).collect()
     assert len(got) == 150 and len({r.k for r in got}) == 50
     assert all(r.centred == pytest.approx(2 * r.grid_value, abs=1e-6) for r in got)
+
+
+def test_latest_period_is_held_out(spark):
+    from fathom.operators import folds
+    df = spark.createDataFrame([(2000 + i % 3, i) for i in range(90)] + [(None, 1)], "p int, i int")
+    frame, last, periods = folds.latest_period_holdout(df, "p", 50, 20)
+    assert last == 2002 and sorted(r.p for r in periods.collect()) == [2000, 2001]
+    assert {(r.split, r["count"]) for r in frame.groupBy("split").count().collect()} == {("train", 60), ("valid", 30), (None, 1)}
+    assert folds.latest_period_holdout(df, "p", 61, 20) is None and folds.latest_period_holdout(df.where("p = 2000"), "p", 1, 1) is None
