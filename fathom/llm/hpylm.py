@@ -1,10 +1,10 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
-Words follow a restaurant per context (``G_u``), whose base is one shared
-restaurant of words (``G``), whose base is uniform over the vocabulary and one
-unseen word.  Contexts are the ``HEAD`` most frequent training words, the start
-of a text, and for any other word the class of words with its last byte; all
-training tokens are customers, whatever their word or context.
+Words follow a restaurant per context (``G_u``, one for every word that comes
+before, and one for the start of a text), whose base is one shared restaurant of
+words (``G``), whose base is uniform over the vocabulary and one unseen word.
+All training tokens are customers, whatever their word or context; contexts
+grow with the vocabulary.
 
 Chinese-restaurant seating is sampled by blocked Gibbs: given the parent's
 probability of a dish, the number of tables t of its c customers has weight
@@ -17,15 +17,21 @@ the sweep before, so all dishes can be sampled side by side.  Scores use the
 predictive probabilities averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
 Discounts come from the counts of counts, n1 / (n1 + 2 n2).
 
-How the work is spread: a word outside the head has less than N / HEAD of the N
-training tokens, so hashing words to buckets can't give a hot bucket; text is
-read in chunks whose (word, context, document) entries are packed by bucket,
-shuffled once and checkpointed in the order of buckets.  The number of buckets
-follows the number of tokens, and a task holds one bucket at a time, so its
-memory does not grow with the corpus.  Head words have at
-most HEAD x contexts counts, a proven bound: those are sampled on the driver
-and their probabilities broadcast, so no task gathers a frequent word's
-occurrences.  Per sweep only one number a context comes back.
+How the work is spread: the ``HEAD`` most frequent words are the head.  Pairs of
+a head context and a head word are a table of fixed size, sampled on the driver
+and broadcast, so no task gathers a frequent pair's occurrences.  Every other
+token has a rare word or, failing that, a rare context, each with less than
+N / HEAD of the N training tokens, so hashing that one to buckets can't give a
+hot bucket.  Text is read in chunks whose (word, context, document) entries are
+packed by bucket and written once as a table bucketed by it; the number of
+buckets follows the number of tokens, and a task holds one bucket at a time.
+
+A bucket has all customers of its rare words, but those of a rare context lie in
+many buckets.  So each sweep is one job that reads the counts of the buckets and
+the seating of the sweep before, and writes the new seating and, for the bucket
+that owns a context, the context's tables here; the owner adds them up and
+answers every bucket that asked, by places agreed on once.  Only the totals of
+the head reach the driver.
 
 Defined results: null and empty texts have the end token only; rows with a null
 id are training rows; rows that repeat an id and text share their score, each
@@ -37,7 +43,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -47,17 +53,20 @@ from pyspark.sql import functions as F
 from fathom.llm import textbatch
 from fathom.llm.labelled import fold
 from fathom.llm.registry import query, table
+from fathom.llm.stored import bucketed
 from fathom.session import cut_lineage
 
 HEAD = 1024
 BUCKETS = 24          # at least
 BUCKET_TOKENS = 4_000_000   # training tokens a bucket of words, so that what a task holds does not grow with the corpus
-BURN_IN = 1
-SAMPLES = 3
+MOST_BINS = 100_000     # of the tables bucketed by bucket; more buckets share a bin
+BURN_IN = 3
+SAMPLES = 4
 EXACT = 96
 STRENGTH = 1.0
 SEED = 20
 END = np.uint64(0x0E17D0E17D0E17D1)
+START = np.uint64(0x51A2751A2751A275)
 _TINY = 1e-300
 
 
@@ -154,36 +163,38 @@ class Dishes:
         self.c_shared = np.bincount(word, weights=self.t, minlength=n_words).astype(np.int64)
         self.t_shared = np.minimum(self.c_shared, 1)
 
-    def sweep(self, model: Model, before: Totals, stirling: tuple[np.ndarray, np.ndarray], rng) -> None:
+    def sweep(self, model: Model, before: Totals, stirling: tuple[np.ndarray, np.ndarray], rng,
+              head: np.ndarray | None = None) -> None:
+        """Seat all customers anew; ``head``: probabilities of the first words, whose customers lie elsewhere too."""
         parent = model.shared(self.c_shared, self.t_shared, before)
+        if head is not None:
+            parent[:len(head)] = head
         b = (model.strength + model.d_context * before.tables[self.ctx]) * parent[self.word]
         self.t = sample_tables(self.count, b, model.d_context, stirling[0], rng)
         self.c_shared = np.bincount(self.word, weights=self.t, minlength=self.n_words).astype(np.int64)
-        free = (model.strength + model.d_shared * before.shared_tables) / (model.vocabulary + 1)
-        self.t_shared = sample_tables(self.c_shared, np.full(self.n_words, free), model.d_shared, stirling[1], rng)
+        self.t_shared = shared_tables(model, before, self.c_shared, stirling[1], rng)
 
     def sums(self, n_ctx: int) -> np.ndarray:
         """Tables of each context, then customers and tables of the shared restaurant."""
         return np.concatenate([np.bincount(self.ctx, weights=self.t, minlength=n_ctx),
                                [self.c_shared.sum(), self.t_shared.sum()]]).astype(np.int64)
 
-    def start_sums(self, n_ctx: int) -> np.ndarray:
-        """``sums`` of the first seating, customers of each context, and n1, n2 of both levels."""
-        return np.concatenate([
-            self.sums(n_ctx), np.bincount(self.ctx, weights=self.count, minlength=n_ctx),
-            [(self.count == 1).sum(), (self.count == 2).sum(), (self.c_shared == 1).sum(), (self.c_shared == 2).sum()],
-        ]).astype(np.int64)
+
+def shared_tables(model: Model, before: Totals, c: np.ndarray, stirling: np.ndarray, rng) -> np.ndarray:
+    """Tables that words with c customers take in the shared restaurant."""
+    free = (model.strength + model.d_shared * before.shared_tables) / (model.vocabulary + 1)
+    return sample_tables(c, np.full(len(c), free), model.d_shared, stirling, rng)
 
 
 # ---- reading text ------------------------------------------------------
 
 class Reader:
-    """Tokens of texts: word hash, context number, text."""
+    """Tokens of texts by their numbers: head words have their place, the start of a text comes
+    after them, and any other word or context is -1 and known by its hash."""
 
     def __init__(self, head: np.ndarray):
         self.order = np.argsort(head)
         self.head, self.n = head[self.order], len(head)
-        self.contexts = self.n + 1 + 256
 
     def place(self, h: np.ndarray) -> np.ndarray:
         """Index of each hash among the head words (in their sorted order), or -1."""
@@ -193,22 +204,17 @@ class Reader:
         return np.where(self.head[at] == h, at, -1)
 
     def tokens(self, texts: pa.Array):
-        """(first text, texts, hash, head place, context, text) of slices of texts, the end token last in each."""
+        """(first text, texts, word place, context place, word, context, text) of slices of texts, the end token last."""
         for w in textbatch.words(texts):
             n = len(w.hash)
             starts = np.concatenate([[0], np.cumsum(w.count + 1)])
-            total = int(starts[-1])
-            at = np.arange(n) + w.text
-            h = np.full(total, END, dtype=np.uint64)
-            h[at] = w.hash
-            last = np.zeros(total, dtype=np.int64)
-            last[at] = w.data[w.end - 1] if n else 0
+            h = np.full(int(starts[-1]), END, dtype=np.uint64)
+            h[np.arange(n) + w.text] = w.hash
             place = self.place(h)
-            own = np.where(place >= 0, place, self.n + 1 + last)
-            ctx = np.empty(total, dtype=np.int64)
-            ctx[1:] = own[:-1]
-            ctx[starts[:-1]] = self.n
-            yield w.first, w.n_texts, h, place, ctx, np.repeat(np.arange(w.n_texts), w.count + 1)
+            before, u = np.empty_like(place), np.empty_like(h)
+            before[1:], u[1:] = place[:-1], h[:-1]
+            before[starts[:-1]], u[starts[:-1]] = self.n, START
+            yield w.first, w.n_texts, place, before, h, u, np.repeat(np.arange(w.n_texts), w.count + 1)
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -243,17 +249,17 @@ def vocabulary(docs: DataFrame, limit: int = 1_000_000) -> DataFrame:
 
 
 def head_counts(docs: DataFrame, head) -> DataFrame:
-    """pair, c: training counts of (context, head word) as context * head size + word.
+    """pair, c: training counts of (head context, head word) as context * head size + word.
 
     A task adds up in one table of contexts x head words, whose size is fixed.
     """
     def run(batches):
         reader = Reader(head.value)
-        total = np.zeros(reader.contexts * reader.n, dtype=np.int64)
+        total = np.zeros((reader.n + 1) * reader.n, dtype=np.int64)
         for b in batches:
-            for _, _, _, place, ctx, _ in reader.tokens(b.column(b.schema.get_field_index("text"))):
-                hit = place >= 0
-                total += np.bincount(ctx[hit] * reader.n + place[hit], minlength=len(total))
+            for _, _, place, before, _, _, _ in reader.tokens(b.column(b.schema.get_field_index("text"))):
+                hit = (place >= 0) & (before >= 0)
+                total += np.bincount(before[hit] * reader.n + place[hit], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "c"])
 
@@ -261,47 +267,61 @@ def head_counts(docs: DataFrame, head) -> DataFrame:
         F.sum("c").alias("c"))
 
 
-# ---- entries of the other words, packed by bucket ----------------------
+# ---- entries of all other pairs, packed by bucket ------------------------
 
-_HEADER = struct.Struct("<qqq")
-_KINDS = ("<i8", "<i8", "u1", "<u8", "<u4", "<u2", "<u4")
+_FIELD = struct.Struct("<2sq")
 CHUNK_TOKENS = 1_000_000
 
 
-def _pack(*arrays) -> bytes:
-    """ids, marks and flags of documents, words and the length of their runs, context and document of each entry."""
-    return zlib.compress(_HEADER.pack(len(arrays[0]), len(arrays[3]), len(arrays[5]))
-                         + b"".join(np.asarray(a).astype(k).tobytes() for a, k in zip(arrays, _KINDS)), 1)
+def _small(a: np.ndarray) -> np.ndarray:
+    """Numbers from 0 in their smallest type."""
+    return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed byte string: type and length of each, then their bytes."""
+    heads = [_FIELD.pack(a.dtype.str[1:].encode(), len(a)) for a in arrays]
+    return zlib.compress(b"".join([bytes([len(arrays)]), *heads, *[a.tobytes() for a in arrays]]), 1)
 
 
 def _unpack(z: bytes) -> list[np.ndarray]:
     data = zlib.decompress(z)
-    docs, words, entries = _HEADER.unpack_from(data)
-    out, at = [], _HEADER.size
-    for k, n in zip(_KINDS, (docs, docs, docs, words, words, entries, entries)):
-        out.append(np.frombuffer(data, dtype=k, count=n, offset=at))
+    fields = [_FIELD.unpack_from(data, 1 + i * _FIELD.size) for i in range(data[0])]
+    out, at = [], 1 + data[0] * _FIELD.size
+    for kind, n in fields:
+        out.append(np.frombuffer(data, dtype="<" + kind.decode(), count=n, offset=at))
         at += out[-1].nbytes
     return out
 
 
+def owner(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a rare word or context; rises with the hash."""
+    return (h >> np.uint64(32)).astype(np.int64) * buckets >> 32
+
+
 def packed_entries(docs: DataFrame, head, buckets: int) -> DataFrame:
-    """bucket, payload: the tokens outside the head of a chunk of texts, all rows of docs, by the bucket of their word."""
-    def packed(parts, ids, marks, flags):
-        h, ctx, doc = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(h, kind="stable")
-        h, ctx, doc = h[order], ctx[order], doc[order]
-        of = (h >> np.uint64(32)).astype(np.int64) * buckets >> 32
+    """bucket, payload: the tokens with a rare word or context in a chunk of texts, all rows of docs.
+
+    A payload has ids, marks and flags of documents, the sorted hashes of rare words and contexts
+    (numbered after the head and the start), and word (as differences), context and document of each entry.
+    """
+    def packed(parts, ids, marks, flags, n):
+        place, before, h, u, doc = (np.concatenate(x) for x in zip(*parts))
+        of = owner(np.where(place < 0, h, u), buckets)
+        order = np.argsort(of, kind="stable")
+        cuts = np.searchsorted(of[order], np.arange(buckets + 1))
         rows, payloads = [], []
-        cuts = np.searchsorted(of, np.arange(buckets + 1))
-        for k in range(buckets):
-            lo, hi = cuts[k], cuts[k + 1]
-            if lo == hi:
-                continue
-            words, at = np.unique(h[lo:hi], return_index=True)
-            here, local = np.unique(doc[lo:hi], return_inverse=True)
+        for k in np.flatnonzero(np.diff(cuts)):
+            i = order[cuts[k]:cuts[k + 1]]
+            w, c = place[i], before[i]
+            names = np.unique(np.concatenate([h[i][w < 0], u[i][c < 0]]))
+            w = np.where(w < 0, n + 1 + np.searchsorted(names, h[i]), w)
+            c = np.where(c < 0, n + 1 + np.searchsorted(names, u[i]), c)
+            here, local = np.unique(doc[i], return_inverse=True)
+            by = np.argsort(w << 32 | c, kind="stable")
             rows.append(k)
-            payloads.append(_pack(ids[here], marks[here], flags[here], words, np.diff(np.append(at, hi - lo)),
-                                  ctx[lo:hi], local))
+            payloads.append(_pack(ids[here], marks[here], flags[here], names, _small(np.diff(w[by], prepend=0)),
+                                  _small(c[by]), _small(local[by])))
         return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(payloads, pa.binary())],
                                           names=["bucket", "payload"])
 
@@ -312,11 +332,12 @@ def packed_entries(docs: DataFrame, head, buckets: int) -> DataFrame:
             flags = (b.column(b.schema.get_field_index("train")).to_numpy(zero_copy_only=False).astype(np.uint8)
                      + 2 * ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8))
             of_doc = (ids.fill_null(0).to_numpy(zero_copy_only=False),
-                      b.column(b.schema.get_field_index("mark")).to_numpy(zero_copy_only=False), flags)
+                      b.column(b.schema.get_field_index("mark")).to_numpy(zero_copy_only=False),
+                      flags.astype(np.uint8), reader.n)
             parts, size = [], 0
-            for first, _, h, place, ctx, own in reader.tokens(b.column(b.schema.get_field_index("text"))):
-                rest = place < 0
-                parts.append((h[rest], ctx[rest].astype(np.uint16), (own[rest] + first).astype(np.int32)))
+            for first, _, place, before, h, u, own in reader.tokens(b.column(b.schema.get_field_index("text"))):
+                rest = (place < 0) | (before < 0)
+                parts.append((place[rest], before[rest], h[rest], u[rest], own[rest] + first))
                 size += len(parts[-1][0])
                 if size >= CHUNK_TOKENS:
                     yield packed(parts, *of_doc)
@@ -328,77 +349,204 @@ def packed_entries(docs: DataFrame, head, buckets: int) -> DataFrame:
 
 
 class Bucket:
-    """All entries of one bucket, and the training counts of its words."""
+    """All entries of one bucket: its distinct pairs, and the training counts of those."""
 
-    def __init__(self, number: int, payloads: list[bytes]):
+    def __init__(self, payloads: list[bytes], n: int):
         got = [_unpack(z) for z in payloads]
-        cat = lambda xs, kind: np.concatenate([*xs, np.zeros(0, kind)]).astype(kind, copy=False)
-        self.seed = number
-        self.ids, self.marks = (cat([a[i] for a in got], np.int64) for i in (0, 1))
-        self.flags = cat([a[2] for a in got], np.uint8)
-        self.n_docs = len(self.ids)
+        self.ids, self.marks, self.flags = (np.concatenate([a[i] for a in got]) for i in (0, 1, 2))
+        self.names = np.unique(np.concatenate([a[3] for a in got]))
         offsets = np.concatenate([[0], np.cumsum([len(a[0]) for a in got])]).astype(np.int64)
-        self.doc = cat([(a[6] + offsets[i]).astype(np.int32) for i, a in enumerate(got)], np.int32)
-        ctx = cat([a[5] for a in got], np.uint16)
-        # words of the chunks to words of the bucket, then to their entries
-        uniq, place = np.unique(cat([a[3] for a in got], np.uint64), return_inverse=True)
-        self.word = np.repeat(place.astype(np.int32), cat([a[4] for a in got], np.uint32).astype(np.int64))
-        self.n_words = len(uniq)
-        del got, place
-        self.pair = self.word.astype(np.int64) << 16 | ctx
-        train = (self.flags & 1).astype(bool)
-        self.pairs, counts = np.unique(self.pair[train[self.doc]], return_counts=True)
-        self.dishes = Dishes(self.pairs >> 16, self.pairs & 0xFFFF, counts, self.n_words)
-        self.c = np.bincount(self.dishes.word, weights=counts, minlength=self.n_words).astype(np.int64)
-
-    def states(self, model: Model, totals: list[Totals], stirling):
-        """The dishes after each sweep that has the totals before it."""
-        for s, before in enumerate(totals):
-            self.dishes.sweep(model, before, stirling, np.random.default_rng([SEED, self.seed, s]))
-            yield s
-
-    def scores(self, model: Model, totals: list[Totals], burn_in: int, stirling) -> pa.RecordBatch:
+        self.doc = np.concatenate([(a[6] + offsets[i]).astype(np.int32) for i, a in enumerate(got)])
+        pairs = []
+        for a in got:       # numbers of the chunk to numbers of the bucket
+            to = np.concatenate([np.arange(n + 1), n + 1 + np.searchsorted(self.names, a[3])])
+            pairs.append(to[np.cumsum(a[4], dtype=np.int64)] << 32 | to[a[5]])
+        self.pairs, self.place = np.unique(np.concatenate(pairs), return_inverse=True)
+        train = (self.flags & 1).astype(bool)[self.doc]
+        self.count = np.bincount(self.place[train], minlength=len(self.pairs))
+        self.word, self.ctx = self.pairs >> 32, self.pairs & 0xFFFFFFFF
+
+    def counts(self) -> bytes:
+        """Pairs and counts, without the entries."""
+        return _pack(self.names, _small(np.diff(self.word, prepend=0)), _small(self.ctx), _small(self.count))
+
+    def scores(self, p: np.ndarray, base: np.ndarray, known: np.ndarray) -> pa.Table:
         """doc_id, mark, base_score, score, n_known: sums over the entries of each text."""
-        at = np.minimum(np.searchsorted(self.pairs, self.pair), max(len(self.pairs) - 1, 0))
-        seen = self.pairs[at] == self.pair if len(self.pairs) else np.zeros(len(self.pair), dtype=bool)
-        d, ctx = self.dishes, self.pair & 0xFFFF
-        p, used = np.zeros(len(self.pair)), 0
-        for s in self.states(model, totals[:-1], stirling):
-            if s < burn_in:
-                continue
-            of = totals[s + 1]
-            parent = model.shared(d.c_shared, d.t_shared, of)[self.word]
-            none = np.zeros(len(at), dtype=np.int64)
-            p += model.word(ctx, np.where(seen, d.count[at], 0) if len(d.count) else none,
-                            np.where(seen, d.t[at], 0) if len(d.count) else none, parent, of)
-            used += 1
-        c = self.c[self.word]
-        add = lambda x: np.bincount(self.doc, weights=x, minlength=self.n_docs).astype(np.float64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(self.ids, mask=(self.flags & 2) == 0), pa.array(self.marks), pa.array(add(model.base(c))),
-             pa.array(add(np.log10(np.maximum(p / max(used, 1), _TINY)))), pa.array(add(c > 0).astype(np.int64))],
+        add = lambda x: np.bincount(self.doc, weights=x[self.place], minlength=len(self.ids)).astype(np.float64)
+        return pa.table(
+            [pa.array(self.ids, mask=(self.flags & 2) == 0), pa.array(self.marks), pa.array(add(base)),
+             pa.array(add(np.log10(np.maximum(p, _TINY)))), pa.array(add(known).astype(np.int64))],
             names=["doc_id", "mark", "base_score", "score", "n_known"])
 
 
-def one_by_one(batches):
-    """The buckets of a task, whose rows come ordered by bucket; one is held at a time."""
-    number, payloads = None, []
-    for b in batches:
-        for k, z in zip(b.column(0), b.column(1)):
-            k = k.as_py()
-            if k != number and payloads:
-                yield Bucket(number, payloads)
-                payloads = []
-            number = k
-            payloads.append(z.as_py())
-    if payloads:
-        yield Bucket(number, payloads)
+# ---- seating by bucket ----------------------------------------------------
+
+# what a row (bucket, kind, other, payload) of the seating tables holds
+COUNTS, SEATS, ASK, ANSWER, PLACES, SUMS = range(6)
+ROW = "bucket int, kind int, other int, payload binary"
+
+
+def _rows(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
+    columns = list(zip(*rows)) or [[]] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
+                    names=["bucket", "kind", "other", "payload"])
+
+
+def _payloads(t: pa.Table, kind: int) -> list[tuple[int, list[np.ndarray]]]:
+    """(other, arrays) of the rows of a kind, by other."""
+    got = [(o, z) for k, o, z in zip(*(t.column(c).to_pylist() for c in ("kind", "other", "payload"))) if k == kind]
+    return [(o, _unpack(z)) for o, z in sorted(got, key=lambda x: x[0])]
+
+
+def _asks(bucket: int, names: np.ndarray, buckets: int, *values: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+    """Values of the contexts asked for, a row for each bucket that owns some of them."""
+    cuts = np.searchsorted(owner(names, buckets), np.arange(buckets + 1))
+    return [(bucket, ASK, int(k), _pack(*[v[cuts[k]:cuts[k + 1]] for v in values])) for k in np.flatnonzero(np.diff(cuts))]
+
+
+class Seating:
+    """The dishes of a bucket and the contexts it has to ask for."""
+
+    def __init__(self, payload: list[np.ndarray], n: int):
+        self.names, steps, ctx, count = payload
+        self.n, self.codes = n, n + 1 + len(self.names)
+        self.dishes = Dishes(np.cumsum(steps, dtype=np.int64), ctx.astype(np.int64), count.astype(np.int64), self.codes)
+        rare = np.zeros(self.codes, dtype=bool)
+        rare[self.dishes.ctx] = True
+        rare[:n + 1] = False
+        self.asked = np.flatnonzero(rare)
+        self.asked_names = self.names[self.asked - n - 1]
+
+    def by_context(self, head: np.ndarray, answers: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.codes, dtype=np.int64)
+        out[:self.n + 1] = head
+        out[self.asked] = answers
+        return out
+
+    def take(self, seats: list[np.ndarray]) -> None:
+        d = self.dishes
+        d.t, d.t_shared = (a.astype(np.int64) for a in seats)
+        d.c_shared = np.bincount(d.word, weights=d.t, minlength=self.codes).astype(np.int64)
+
+    def tables(self) -> np.ndarray:
+        return np.bincount(self.dishes.ctx, weights=self.dishes.t, minlength=self.codes).astype(np.int64)
+
+    def sums(self, tables: np.ndarray) -> np.ndarray:
+        """Tables of head contexts, customers of head words, customers and tables of rare words."""
+        d, n = self.dishes, self.n
+        return np.concatenate([tables[:n + 1], d.c_shared[:n], [d.c_shared[n + 1:].sum(), d.t_shared[n + 1:].sum()]])
+
+
+def first_seating(buckets: int, n: int):
+    """From the entries of a bucket: its counts, what it asks, and its sums with every pair at one table."""
+    def run(key, t):
+        k = key[0].as_py()
+        b = Bucket(t.column("payload").to_pylist(), n)
+        seating = Seating([b.names, np.diff(b.word, prepend=0), b.ctx, b.count], n)
+        d, tables = seating.dishes, seating.tables()
+        customers = np.bincount(d.ctx, weights=d.count, minlength=seating.codes).astype(np.int64)
+        rare = d.c_shared[n + 1:]
+        sums = np.concatenate([seating.sums(tables), customers[:n + 1],
+                               [(d.count == 1).sum(), (d.count == 2).sum(), (rare == 1).sum(), (rare == 2).sum()]])
+        at = seating.asked
+        return _rows([(k, COUNTS, k, b.counts()), (k, SEATS, k, _pack(_small(d.t), _small(d.t_shared))),
+                      (k, SUMS, k, _pack(sums.astype(np.int64))),
+                      *_asks(k, seating.asked_names, buckets, seating.asked_names, _small(tables[at]), _small(customers[at]))])
+
+    return run
+
+
+def first_answers(key, t):
+    """By the bucket that owns them: tables and customers of contexts, and where each asker's contexts are among them."""
+    k = key[0].as_py()
+    got = _payloads(t.select(["bucket", "kind", "payload"]).rename_columns(["other", "kind", "payload"]), ASK)
+    _, place = np.unique(np.concatenate([a[0] for _, a in got]), return_inverse=True)
+    cuts = np.cumsum([len(a[0]) for _, a in got])[:-1]
+    total = [np.bincount(place, weights=np.concatenate([a[i] for _, a in got])).astype(np.int64) for i in (1, 2)]
+    rows = []
+    for (asker, _), at in zip(got, np.split(place, cuts)):
+        rows += [(k, PLACES, asker, _pack(_small(at))), (k, ANSWER, asker, _pack(*[_small(v[at]) for v in total]))]
+    return _rows(rows)
+
+
+def answers(key, places, asks):
+    """``first_answers`` of a later sweep, with the places agreed on."""
+    k = key[0].as_py()
+    at = dict(_payloads(places, PLACES))
+    got = _payloads(asks.select(["bucket", "kind", "payload"]).rename_columns(["other", "kind", "payload"]), ASK)
+    if not got:
+        return _rows([])
+    total = np.bincount(np.concatenate([at[o][0] for o, _ in got]), weights=np.concatenate([a[0] for _, a in got])).astype(np.int64)
+    return _rows([(k, ANSWER, o, _pack(_small(total[at[o][0]]))) for o, _ in got])
+
+
+def one_sweep(model: Model, before: Totals, head: np.ndarray, stirling, buckets: int, n: int, number: int):
+    """From a bucket's counts, its seats and the answers to it: the next seats, asks and sums."""
+    def run(key, counts, state):
+        k = key[0].as_py()
+        seating = Seating(_payloads(counts, COUNTS)[0][1], n)
+        seating.take(_payloads(state, SEATS)[0][1])
+        told = [a[0] for _, a in _payloads(state, ANSWER)]
+        of = replace(before, tables=seating.by_context(before.tables, np.concatenate(told) if told else 0))
+        d = seating.dishes
+        d.sweep(model, of, stirling, np.random.default_rng([SEED, k, number]), head)
+        tables = seating.tables()
+        return _rows([(k, SEATS, k, _pack(_small(d.t), _small(d.t_shared))), (k, SUMS, k, _pack(seating.sums(tables))),
+                      *_asks(k, seating.asked_names, buckets, _small(tables[seating.asked]))])
+
+    return run
+
+
+def scored_bucket(model: Model, samples: list[tuple[int, Totals, np.ndarray]], base_head: np.ndarray, n: int):
+    """From a bucket's entries and, for each sample, its seats and the answers: sums for each text."""
+    def run(key, entries, state):
+        b = Bucket(entries.column("payload").to_pylist(), n)
+        seating = Seating([b.names, np.diff(b.word, prepend=0), b.ctx, b.count], n)
+        number = np.asarray(state.column("sweep"))
+        first = _payloads(state.filter(pa.array(number == 0)), ANSWER)
+        customers = np.concatenate([a[1] for _, a in first]) if first else 0
+        full = replace(model, customers=seating.by_context(model.customers, customers))
+        p, d = np.zeros(len(b.pairs)), seating.dishes
+        for s, of, head in samples:
+            mine = state.filter(pa.array(number == s))
+            seating.take(_payloads(mine, SEATS)[0][1])
+            told = [a[0] for _, a in _payloads(mine, ANSWER)]
+            of = replace(of, tables=seating.by_context(of.tables, np.concatenate(told) if told else 0))
+            parent = full.shared(d.c_shared, d.t_shared, of)
+            parent[:n] = head
+            p += full.word(d.ctx, d.count, d.t, parent[d.word], of)
+        c = np.bincount(d.word, weights=d.count, minlength=seating.codes).astype(np.int64)
+        base = full.base(c)
+        base[:n] = base_head
+        known = c > 0
+        known[:n] = True
+        return b.scores(p / max(len(samples), 1), base[d.word], known[d.word].astype(np.float64))
+
+    return run
 
 
 def _discount(n1: int, n2: int) -> float:
     return float(np.clip(n1 / (n1 + 2 * n2), 0.1, 0.95)) if n1 + n2 else 0.5
 
 
+def _added(rows: DataFrame, size: int) -> np.ndarray:
+    """The arrays of SUMS rows added up, ``size`` numbers; tasks add up theirs first."""
+    def run(batches):
+        v = np.zeros(size, dtype=np.int64)
+        for b in batches:
+            for z in b.column(0):
+                v += _unpack(z.as_py())[0]
+        k = np.flatnonzero(v)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(v[k])], names=["k", "v"])
+
+    got = rows.filter(F.col("kind") == SUMS).select("payload").mapInArrow(run, "k long, v long").groupBy("k").agg(
+        F.sum("v").alias("v")).collect()
+    out = np.zeros(size, dtype=np.int64)
+    for r in got:
+        out[r["k"]] = r["v"]
+    return out
+
+
 def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD,
                 buckets: int | None = None, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each text; ``train``: a condition on rows."""
@@ -414,78 +562,86 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     head = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
     shared = sc.broadcast(head)
     reader = Reader(head)
-    n_ctx = reader.contexts
+    n = reader.n
     head_c = np.array([r["c"] for r in top], dtype=np.int64)[reader.order] if top else np.zeros(0, np.int64)
 
-    found = head_counts(docs, shared).toArrow()            # at most head words x contexts rows
+    found = head_counts(docs, shared).toArrow()            # at most (head words + 1) x head words rows
     pair = np.array(found.column("pair"), dtype=np.int64)
     order = np.argsort(pair)
     pair, count = pair[order], np.array(found.column("c"), dtype=np.int64)[order]
-    dishes = Dishes(pair % max(reader.n, 1), pair // max(reader.n, 1), count, reader.n)
-
-    spread = max(min(buckets, BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    entries = cut_lineage(packed_entries(docs, shared, buckets).repartition(spread, "bucket").sortWithinPartitions("bucket"))
-
-    def gathered(of) -> np.ndarray:
-        """Sum over the tasks of one short array each."""
-        def run(batches):
-            v = np.zeros(2 * n_ctx + 6, dtype=np.int64)
-            for bucket in one_by_one(batches):
-                sums = of(bucket)
-                v[:len(sums)] += sums
-            k = np.flatnonzero(v)
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(v[k].astype(np.int64))],
-                                             names=["k", "v"])
-
-        rows = entries.mapInArrow(run, "k long, v long").groupBy("k").agg(F.sum("v").alias("v")).collect()
-        out = np.zeros(2 * n_ctx + 6, dtype=np.int64)
-        out[[r["k"] for r in rows]] = [r["v"] for r in rows]
-        return out
-
-    start = gathered(lambda b: b.dishes.start_sums(n_ctx)) + dishes.start_sums(n_ctx)
-    n1, n2, s1, s2 = (int(x) for x in start[-4:])
-    model = Model(int(size), int(tokens), _discount(n1, n2), _discount(s1, s2), start[n_ctx + 2:2 * n_ctx + 2])
-    totals = [Totals(start[:n_ctx], int(start[n_ctx]), int(start[n_ctx + 1]))]
+    dense = Dishes(pair % max(n, 1), pair // max(n, 1), count, n)
+
+    bins = min(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BINS)
+    entries = bucketed(packed_entries(docs, shared, buckets).repartition(bins, "bucket"), "entries", bins)
+    start = bucketed(entries.groupBy("bucket").applyInArrow(first_seating(buckets, n), ROW), "start", bins, ("kind",))
+    told = bucketed(start.filter(F.col("kind") == ASK).groupBy(F.col("other")).applyInArrow(first_answers, ROW),
+                    "told", bins, ("kind",))
+    counts, places = start.filter(F.col("kind") == COUNTS), told.filter(F.col("kind") == PLACES)
+
+    def to_asker(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("other").alias("bucket"), "kind", F.col("bucket").alias("other"), "payload")
+
+    got = _added(start, 3 * n + 8)
+    model = Model(int(size), int(tokens), 0.5, 0.5, got[2 * n + 3:3 * n + 4]
+                  + np.bincount(dense.ctx, weights=dense.count, minlength=n + 1).astype(np.int64))
+    c_head = got[n + 1:2 * n + 1] + dense.c_shared
+    t_head = np.minimum(c_head, 1)
+    n1, n2 = (int(got[3 * n + 4 + i] + (dense.count == i + 1).sum()) for i in (0, 1))
+    s1, s2 = (int(got[3 * n + 6 + i] + (c_head == i + 1).sum()) for i in (0, 1))
+    model = replace(model, d_context=_discount(n1, n2), d_shared=_discount(s1, s2))
     stirling = log_stirling(model.d_context, EXACT), log_stirling(model.d_shared, EXACT)
-    table_p = np.zeros((n_ctx, reader.n))
-    for s in range(burn_in + samples):
-        def swept(b, totals=tuple(totals)):
-            for _ in b.states(model, list(totals), stirling):
-                pass
-            return b.dishes.sums(n_ctx)
-
-        dishes.sweep(model, totals[-1], stirling, np.random.default_rng([SEED, buckets, s]))
-        got = gathered(swept)[:n_ctx + 2] + dishes.sums(n_ctx)
-        totals.append(Totals(got[:n_ctx], int(got[n_ctx]), int(got[n_ctx + 1])))
-        if s >= burn_in:
-            of = totals[-1]
-            parent = model.shared(dishes.c_shared, dishes.t_shared, of)
-            dense_c, dense_t = np.zeros((2, n_ctx, reader.n))
-            dense_c[dishes.ctx, dishes.word], dense_t[dishes.ctx, dishes.word] = dishes.count, dishes.t
-            table_p += model.word(np.arange(n_ctx)[:, None], dense_c, dense_t, parent[None, :], of)
-    logs = sc.broadcast(np.log10(np.maximum(table_p / samples, _TINY)))
-    base_head = model.base(head_c)
 
-    def rest(batches):
-        for bucket in one_by_one(batches):
-            yield bucket.scores(model, totals, burn_in, stirling)
+    def totals() -> Totals:
+        return Totals(got[:n + 1] + dense.sums(n + 1)[:n + 1], int(got[2 * n + 1] + c_head.sum()),
+                      int(got[2 * n + 2] + t_head.sum()))
+
+    seats = start.filter(F.col("kind") == SEATS)
+    answer = to_asker(told.filter(F.col("kind") == ANSWER))
+    kept = [answer.withColumn("sweep", F.lit(0))]
+    of, used, table_p = totals(), [], np.zeros((n + 1, n))
+    for s in range(1, burn_in + samples + 1):
+        parent = model.shared(c_head, t_head, of)
+        run = one_sweep(model, of, parent, stirling, buckets, n, s)
+        swept = cut_lineage(counts.groupBy("bucket").cogroup(seats.unionByName(answer).groupBy("bucket")).applyInArrow(run, ROW))
+        answer = cut_lineage(to_asker(places.groupBy("bucket").cogroup(
+            swept.filter(F.col("kind") == ASK).groupBy("other")).applyInArrow(answers, ROW)))
+        rng = np.random.default_rng([SEED, buckets, s])
+        dense.sweep(model, of, stirling, rng, parent)
+        got = _added(swept, 2 * n + 3)
+        c_head = got[n + 1:2 * n + 1] + dense.c_shared
+        t_head = shared_tables(model, of, c_head, stirling[1], rng)
+        of = totals()
+        seats = swept.filter(F.col("kind") == SEATS)
+        if s > burn_in:
+            parent = model.shared(c_head, t_head, of)
+            used.append((s, of, parent))
+            kept.append(seats.unionByName(answer).withColumn("sweep", F.lit(s)))
+            dense_c, dense_t = np.zeros((2, n + 1, n))
+            dense_c[dense.ctx, dense.word], dense_t[dense.ctx, dense.word] = dense.count, dense.t
+            table_p += model.word(np.arange(n + 1)[:, None], dense_c, dense_t, parent[None, :], of)
+    logs = sc.broadcast(np.log10(np.maximum(table_p / max(samples, 1), _TINY)))
+    base_head = model.base(head_c)
 
     def frequent(batches):
         mine = Reader(shared.value)
         for b in batches:
             ids, marks = b.column(b.schema.get_field_index("doc_id")), b.column(b.schema.get_field_index("mark"))
-            for first, n, _, place, ctx, own in mine.tokens(b.column(b.schema.get_field_index("text"))):
-                hit = place >= 0
+            for first, m, place, before, _, _, own in mine.tokens(b.column(b.schema.get_field_index("text"))):
+                hit = (place >= 0) & (before >= 0)
                 own_hit, p = own[hit], place[hit]
-                add = lambda x: np.bincount(own_hit, weights=x, minlength=n).astype(np.float64)  # noqa: B023, E731
+                add = lambda x: np.bincount(own_hit, weights=x, minlength=m).astype(np.float64)  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, n), marks.slice(first, n), pa.array(add(base_head[p])),
-                     pa.array(add(logs.value[ctx[hit], p])), pa.array(add(np.ones(len(p))).astype(np.int64)),
-                     pa.array(np.bincount(own, minlength=n).astype(np.int64))],
+                    [ids.slice(first, m), marks.slice(first, m), pa.array(add(base_head[p])),
+                     pa.array(add(logs.value[before[hit], p])), pa.array(add(np.ones(len(p))).astype(np.int64)),
+                     pa.array(np.bincount(own, minlength=m).astype(np.int64))],
                     names=["doc_id", "mark", "base_score", "score", "n_known", "n_tokens"])
 
+    state = kept[0]
+    for k in kept[1:]:
+        state = state.unionByName(k)
     sums = "doc_id long, mark long, base_score double, score double, n_known long"
-    parts = entries.mapInArrow(rest, sums).withColumn("n_tokens", F.lit(0).cast("long")).withColumn("rows", F.lit(0))
+    parts = entries.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(
+        scored_bucket(model, used, base_head, n), sums).withColumn("n_tokens", F.lit(0).cast("long")).withColumn("rows", F.lit(0))
     whole = docs.select("doc_id", "mark", "text").mapInArrow(frequent, sums + ", n_tokens long").withColumn("rows", F.lit(1))
     names = ("n_tokens", "n_known", "base_score", "score")
     out = parts.unionByName(whole).groupBy("doc_id", "mark").agg(

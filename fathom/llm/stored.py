@@ -23,6 +23,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, what: str, bins: int, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """df as a table bucketed by its column ``bucket``, in a folder for each of ``kinds``: grouping or joining
+    it by bucket needs no further shuffle."""
+    spark = df.sparkSession
+    name = f"{what}_{uuid.uuid4().hex}"
+    out = df.write.bucketBy(bins, "bucket").format("parquet").option("path", scratch(spark, what))
+    (out.partitionBy(*kinds) if kinds else out).saveAsTable(name)
+    return spark.table(name).select(*df.columns)
+
+
 def components(edges: DataFrame, limit: int = 100) -> DataFrame:
     """node, label (the smallest node that can be reached) for edges (a, b) of longs.
 
