@@ -31,7 +31,9 @@ many buckets.  So each sweep is one job that reads the counts of the buckets and
 the seating of the sweep before, and writes the new seating and, for the bucket
 that owns a context, the context's tables here; the owner adds them up and
 answers every bucket that asked, by places agreed on once.  Only the totals of
-the head reach the driver.
+the head reach the driver.  Contexts are told apart by the first bits of their
+hash, ``SPARE_BITS`` more than the vocabulary's logarithm: less than one in ten
+million shares its restaurant with another, at any size.
 
 Defined results: null and empty texts have the end token only; rows with a null
 id are training rows; rows that repeat an id and text share their score, each
@@ -58,8 +60,10 @@ from fathom.session import cut_lineage
 
 HEAD = 1024
 BUCKETS = 24          # at least
-BUCKET_TOKENS = 4_000_000   # training tokens a bucket of words, so that what a task holds does not grow with the corpus
-MOST_BINS = 100_000     # of the tables bucketed by bucket; more buckets share a bin
+BUCKET_TOKENS = 1_000_000   # training tokens a bucket of words, so that what a task holds does not grow with the corpus
+BIN_BUCKETS = 16      # buckets in a bin of the stored tables, at most unless bins reach MOST_BINS
+MOST_BINS = 100_000
+SPARE_BITS = 24       # of a context's hash beyond the logarithm of the vocabulary
 BURN_IN = 3
 SAMPLES = 4
 EXACT = 96
@@ -270,7 +274,7 @@ def head_counts(docs: DataFrame, head) -> DataFrame:
 # ---- entries of all other pairs, packed by bucket ------------------------
 
 _FIELD = struct.Struct("<2sq")
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 2_000_000
 
 
 def _small(a: np.ndarray) -> np.ndarray:
@@ -279,9 +283,10 @@ def _small(a: np.ndarray) -> np.ndarray:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed byte string: type and length of each, then their bytes."""
+    """Arrays as one compressed byte string: type and length of each, then their bytes, the lowest of all numbers first."""
     heads = [_FIELD.pack(a.dtype.str[1:].encode(), len(a)) for a in arrays]
-    return zlib.compress(b"".join([bytes([len(arrays)]), *heads, *[a.tobytes() for a in arrays]]), 1)
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"" for a in arrays]
+    return zlib.compress(b"".join([bytes([len(arrays)]), *heads, *planes]), 1)
 
 
 def _unpack(z: bytes) -> list[np.ndarray]:
@@ -289,22 +294,32 @@ def _unpack(z: bytes) -> list[np.ndarray]:
     fields = [_FIELD.unpack_from(data, 1 + i * _FIELD.size) for i in range(data[0])]
     out, at = [], 1 + data[0] * _FIELD.size
     for kind, n in fields:
-        out.append(np.frombuffer(data, dtype="<" + kind.decode(), count=n, offset=at))
-        at += out[-1].nbytes
+        kind = np.dtype("<" + kind.decode())
+        planes = np.frombuffer(data, dtype=np.uint8, count=n * kind.itemsize, offset=at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * kind.itemsize
     return out
 
 
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Differences of rising numbers, undone by a running sum."""
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
 def owner(h: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of a rare word or context; rises with the hash."""
     return (h >> np.uint64(32)).astype(np.int64) * buckets >> 32
 
 
-def packed_entries(docs: DataFrame, head, buckets: int) -> DataFrame:
+def packed_entries(docs: DataFrame, head, buckets: int, bits: int = 64) -> DataFrame:
     """bucket, payload: the tokens with a rare word or context in a chunk of texts, all rows of docs.
 
-    A payload has ids, marks and flags of documents, the sorted hashes of rare words and contexts
-    (numbered after the head and the start), and word (as differences), context and document of each entry.
+    A payload has ids, marks and flags of documents, the sorted hashes of rare words and the first ``bits``
+    of those of rare contexts (both numbered after the head and the start), and word, context and document of
+    each entry; what is sorted is kept as differences.
     """
+    shift = np.uint64(64 - bits)
+
     def packed(parts, ids, marks, flags, n):
         place, before, h, u, doc = (np.concatenate(x) for x in zip(*parts))
         of = owner(np.where(place < 0, h, u), buckets)
@@ -314,14 +329,14 @@ def packed_entries(docs: DataFrame, head, buckets: int) -> DataFrame:
         for k in np.flatnonzero(np.diff(cuts)):
             i = order[cuts[k]:cuts[k + 1]]
             w, c = place[i], before[i]
-            names = np.unique(np.concatenate([h[i][w < 0], u[i][c < 0]]))
-            w = np.where(w < 0, n + 1 + np.searchsorted(names, h[i]), w)
-            c = np.where(c < 0, n + 1 + np.searchsorted(names, u[i]), c)
+            words, contexts = np.unique(h[i][w < 0]), np.unique(u[i][c < 0] >> shift)
+            w = np.where(w < 0, n + 1 + np.searchsorted(words, h[i]), w)
+            c = np.where(c < 0, n + 1 + np.searchsorted(contexts, u[i] >> shift), c)
             here, local = np.unique(doc[i], return_inverse=True)
             by = np.argsort(w << 32 | c, kind="stable")
             rows.append(k)
-            payloads.append(_pack(ids[here], marks[here], flags[here], names, _small(np.diff(w[by], prepend=0)),
-                                  _small(c[by]), _small(local[by])))
+            payloads.append(_pack(ids[here], marks[here], flags[here], _steps(words), _steps(contexts),
+                                  _small(_steps(w[by])), _small(c[by]), _small(local[by])))
         return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(payloads, pa.binary())],
                                           names=["bucket", "payload"])
 
@@ -354,13 +369,16 @@ class Bucket:
     def __init__(self, payloads: list[bytes], n: int):
         got = [_unpack(z) for z in payloads]
         self.ids, self.marks, self.flags = (np.concatenate([a[i] for a in got]) for i in (0, 1, 2))
-        self.names = np.unique(np.concatenate([a[3] for a in got]))
+        names = [[np.cumsum(a[i], dtype=np.uint64) for a in got] for i in (3, 4)]
+        words, self.contexts = (np.unique(np.concatenate(x)) for x in names)
+        self.n_words = n + 1 + len(words)
         offsets = np.concatenate([[0], np.cumsum([len(a[0]) for a in got])]).astype(np.int64)
-        self.doc = np.concatenate([(a[6] + offsets[i]).astype(np.int32) for i, a in enumerate(got)])
+        self.doc = np.concatenate([(a[7] + offsets[i]).astype(np.int32) for i, a in enumerate(got)])
         pairs = []
-        for a in got:       # numbers of the chunk to numbers of the bucket
-            to = np.concatenate([np.arange(n + 1), n + 1 + np.searchsorted(self.names, a[3])])
-            pairs.append(to[np.cumsum(a[4], dtype=np.int64)] << 32 | to[a[5]])
+        for a, w, c in zip(got, *names):       # numbers of the chunk to numbers of the bucket
+            w, c = (np.concatenate([np.arange(n + 1), n + 1 + np.searchsorted(of, x)])
+                    for of, x in ((words, w), (self.contexts, c)))
+            pairs.append(w[np.cumsum(a[5], dtype=np.int64)] << 32 | c[a[6]])
         self.pairs, self.place = np.unique(np.concatenate(pairs), return_inverse=True)
         train = (self.flags & 1).astype(bool)[self.doc]
         self.count = np.bincount(self.place[train], minlength=len(self.pairs))
@@ -368,7 +386,11 @@ class Bucket:
 
     def counts(self) -> bytes:
         """Pairs and counts, without the entries."""
-        return _pack(self.names, _small(np.diff(self.word, prepend=0)), _small(self.ctx), _small(self.count))
+        return _pack(np.array([self.n_words]), _steps(self.contexts), _small(_steps(self.word)), _small(self.ctx),
+                     _small(self.count))
+
+    def seating(self, n: int) -> Seating:
+        return Seating(self.n_words, self.contexts, self.word, self.ctx, self.count, n)
 
     def scores(self, p: np.ndarray, base: np.ndarray, known: np.ndarray) -> pa.Table:
         """doc_id, mark, base_score, score, n_known: sums over the entries of each text."""
@@ -398,38 +420,39 @@ def _payloads(t: pa.Table, kind: int) -> list[tuple[int, list[np.ndarray]]]:
     return [(o, _unpack(z)) for o, z in sorted(got, key=lambda x: x[0])]
 
 
-def _asks(bucket: int, names: np.ndarray, buckets: int, *values: np.ndarray) -> list[tuple[int, int, int, bytes]]:
-    """Values of the contexts asked for, a row for each bucket that owns some of them."""
-    cuts = np.searchsorted(owner(names, buckets), np.arange(buckets + 1))
-    return [(bucket, ASK, int(k), _pack(*[v[cuts[k]:cuts[k + 1]] for v in values])) for k in np.flatnonzero(np.diff(cuts))]
+def _asks(bucket: int, cuts: np.ndarray, *values: np.ndarray, contexts=()) -> list[tuple[int, int, int, bytes]]:
+    """Values of the contexts asked for, after their names where given, a row for each bucket that owns some of them."""
+    parts = [slice(cuts[k], cuts[k + 1]) for k in range(len(cuts) - 1)]
+    return [(bucket, ASK, int(k), _pack(*[_steps(c[parts[k]]) for c in contexts], *[v[parts[k]] for v in values]))
+            for k in np.flatnonzero(np.diff(cuts))]
 
 
 class Seating:
-    """The dishes of a bucket and the contexts it has to ask for."""
-
-    def __init__(self, payload: list[np.ndarray], n: int):
-        self.names, steps, ctx, count = payload
-        self.n, self.codes = n, n + 1 + len(self.names)
-        self.dishes = Dishes(np.cumsum(steps, dtype=np.int64), ctx.astype(np.int64), count.astype(np.int64), self.codes)
-        rare = np.zeros(self.codes, dtype=bool)
-        rare[self.dishes.ctx] = True
-        rare[:n + 1] = False
-        self.asked = np.flatnonzero(rare)
-        self.asked_names = self.names[self.asked - n - 1]
-
-    def by_context(self, head: np.ndarray, answers: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.codes, dtype=np.int64)
-        out[:self.n + 1] = head
-        out[self.asked] = answers
-        return out
+    """The dishes of a bucket and the rare contexts it has to ask for."""
+
+    def __init__(self, n_words: int, contexts: np.ndarray, word: np.ndarray, ctx: np.ndarray, count: np.ndarray, n: int):
+        self.contexts, self.n, self.n_ctx = contexts, n, n + 1 + len(contexts)
+        self.dishes = Dishes(word.astype(np.int64), ctx.astype(np.int64), count.astype(np.int64), n_words)
+
+    @staticmethod
+    def stored(payload: list[np.ndarray], n: int) -> Seating:
+        n_words, contexts, steps, ctx, count = payload
+        return Seating(int(n_words[0]), np.cumsum(contexts, dtype=np.uint64), np.cumsum(steps, dtype=np.int64), ctx, count, n)
+
+    def cuts(self, buckets: int, bits: int) -> np.ndarray:
+        """Where the contexts of each owner begin."""
+        return np.searchsorted(owner(self.contexts << np.uint64(64 - bits), buckets), np.arange(buckets + 1))
+
+    def by_context(self, head: np.ndarray, answers: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate([head, *answers]).astype(np.int64)
 
     def take(self, seats: list[np.ndarray]) -> None:
         d = self.dishes
         d.t, d.t_shared = (a.astype(np.int64) for a in seats)
-        d.c_shared = np.bincount(d.word, weights=d.t, minlength=self.codes).astype(np.int64)
+        d.c_shared = np.bincount(d.word, weights=d.t, minlength=d.n_words).astype(np.int64)
 
     def tables(self) -> np.ndarray:
-        return np.bincount(self.dishes.ctx, weights=self.dishes.t, minlength=self.codes).astype(np.int64)
+        return np.bincount(self.dishes.ctx, weights=self.dishes.t, minlength=self.n_ctx).astype(np.int64)
 
     def sums(self, tables: np.ndarray) -> np.ndarray:
         """Tables of head contexts, customers of head words, customers and tables of rare words."""
@@ -437,21 +460,22 @@ class Seating:
         return np.concatenate([tables[:n + 1], d.c_shared[:n], [d.c_shared[n + 1:].sum(), d.t_shared[n + 1:].sum()]])
 
 
-def first_seating(buckets: int, n: int):
+def first_seating(buckets: int, bits: int, n: int):
     """From the entries of a bucket: its counts, what it asks, and its sums with every pair at one table."""
     def run(key, t):
         k = key[0].as_py()
         b = Bucket(t.column("payload").to_pylist(), n)
-        seating = Seating([b.names, np.diff(b.word, prepend=0), b.ctx, b.count], n)
+        seating = b.seating(n)
         d, tables = seating.dishes, seating.tables()
-        customers = np.bincount(d.ctx, weights=d.count, minlength=seating.codes).astype(np.int64)
+        customers = np.bincount(d.ctx, weights=d.count, minlength=seating.n_ctx).astype(np.int64)
         rare = d.c_shared[n + 1:]
         sums = np.concatenate([seating.sums(tables), customers[:n + 1],
                                [(d.count == 1).sum(), (d.count == 2).sum(), (rare == 1).sum(), (rare == 2).sum()]])
-        at = seating.asked
+        rest = slice(n + 1, None)
+        cuts = seating.cuts(buckets, bits)
         return _rows([(k, COUNTS, k, b.counts()), (k, SEATS, k, _pack(_small(d.t), _small(d.t_shared))),
                       (k, SUMS, k, _pack(sums.astype(np.int64))),
-                      *_asks(k, seating.asked_names, buckets, seating.asked_names, _small(tables[at]), _small(customers[at]))])
+                      *_asks(k, cuts, _small(tables[rest]), _small(customers[rest]), contexts=[seating.contexts])])
 
     return run
 
@@ -460,7 +484,7 @@ def first_answers(key, t):
     """By the bucket that owns them: tables and customers of contexts, and where each asker's contexts are among them."""
     k = key[0].as_py()
     got = _payloads(t.select(["bucket", "kind", "payload"]).rename_columns(["other", "kind", "payload"]), ASK)
-    _, place = np.unique(np.concatenate([a[0] for _, a in got]), return_inverse=True)
+    _, place = np.unique(np.concatenate([np.cumsum(a[0], dtype=np.uint64) for _, a in got]), return_inverse=True)
     cuts = np.cumsum([len(a[0]) for _, a in got])[:-1]
     total = [np.bincount(place, weights=np.concatenate([a[i] for _, a in got])).astype(np.int64) for i in (1, 2)]
     rows = []
@@ -480,19 +504,19 @@ def answers(key, places, asks):
     return _rows([(k, ANSWER, o, _pack(_small(total[at[o][0]]))) for o, _ in got])
 
 
-def one_sweep(model: Model, before: Totals, head: np.ndarray, stirling, buckets: int, n: int, number: int):
+def one_sweep(model: Model, before: Totals, head: np.ndarray, stirling, buckets: int, bits: int, n: int, number: int):
     """From a bucket's counts, its seats and the answers to it: the next seats, asks and sums."""
     def run(key, counts, state):
         k = key[0].as_py()
-        seating = Seating(_payloads(counts, COUNTS)[0][1], n)
+        seating = Seating.stored(_payloads(counts, COUNTS)[0][1], n)
         seating.take(_payloads(state, SEATS)[0][1])
         told = [a[0] for _, a in _payloads(state, ANSWER)]
-        of = replace(before, tables=seating.by_context(before.tables, np.concatenate(told) if told else 0))
+        of = replace(before, tables=seating.by_context(before.tables, told))
         d = seating.dishes
         d.sweep(model, of, stirling, np.random.default_rng([SEED, k, number]), head)
         tables = seating.tables()
         return _rows([(k, SEATS, k, _pack(_small(d.t), _small(d.t_shared))), (k, SUMS, k, _pack(seating.sums(tables))),
-                      *_asks(k, seating.asked_names, buckets, _small(tables[seating.asked]))])
+                      *_asks(k, seating.cuts(buckets, bits), _small(tables[n + 1:]))])
 
     return run
 
@@ -501,21 +525,20 @@ def scored_bucket(model: Model, samples: list[tuple[int, Totals, np.ndarray]], b
     """From a bucket's entries and, for each sample, its seats and the answers: sums for each text."""
     def run(key, entries, state):
         b = Bucket(entries.column("payload").to_pylist(), n)
-        seating = Seating([b.names, np.diff(b.word, prepend=0), b.ctx, b.count], n)
+        seating = b.seating(n)
         number = np.asarray(state.column("sweep"))
-        first = _payloads(state.filter(pa.array(number == 0)), ANSWER)
-        customers = np.concatenate([a[1] for _, a in first]) if first else 0
-        full = replace(model, customers=seating.by_context(model.customers, customers))
+        first = [a[1] for _, a in _payloads(state.filter(pa.array(number == 0)), ANSWER)]
+        full = replace(model, customers=seating.by_context(model.customers, first))
         p, d = np.zeros(len(b.pairs)), seating.dishes
         for s, of, head in samples:
             mine = state.filter(pa.array(number == s))
             seating.take(_payloads(mine, SEATS)[0][1])
             told = [a[0] for _, a in _payloads(mine, ANSWER)]
-            of = replace(of, tables=seating.by_context(of.tables, np.concatenate(told) if told else 0))
+            of = replace(of, tables=seating.by_context(of.tables, told))
             parent = full.shared(d.c_shared, d.t_shared, of)
             parent[:n] = head
             p += full.word(d.ctx, d.count, d.t, parent[d.word], of)
-        c = np.bincount(d.word, weights=d.count, minlength=seating.codes).astype(np.int64)
+        c = np.bincount(d.word, weights=d.count, minlength=d.n_words).astype(np.int64)
         base = full.base(c)
         base[:n] = base_head
         known = c > 0
@@ -571,9 +594,10 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     pair, count = pair[order], np.array(found.column("c"), dtype=np.int64)[order]
     dense = Dishes(pair % max(n, 1), pair // max(n, 1), count, n)
 
-    bins = min(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BINS)
-    entries = bucketed(packed_entries(docs, shared, buckets).repartition(bins, "bucket"), "entries", bins)
-    start = bucketed(entries.groupBy("bucket").applyInArrow(first_seating(buckets, n), ROW), "start", bins, ("kind",))
+    bits = min(64, max(32, int(size).bit_length() + SPARE_BITS))
+    bins = min(max(-(-buckets // BIN_BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BINS)
+    entries = bucketed(packed_entries(docs, shared, buckets, bits).repartition(bins, "bucket"), "entries", bins)
+    start = bucketed(entries.groupBy("bucket").applyInArrow(first_seating(buckets, bits, n), ROW), "start", bins, ("kind",))
     told = bucketed(start.filter(F.col("kind") == ASK).groupBy(F.col("other")).applyInArrow(first_answers, ROW),
                     "told", bins, ("kind",))
     counts, places = start.filter(F.col("kind") == COUNTS), told.filter(F.col("kind") == PLACES)
@@ -601,7 +625,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     of, used, table_p = totals(), [], np.zeros((n + 1, n))
     for s in range(1, burn_in + samples + 1):
         parent = model.shared(c_head, t_head, of)
-        run = one_sweep(model, of, parent, stirling, buckets, n, s)
+        run = one_sweep(model, of, parent, stirling, buckets, bits, n, s)
         swept = cut_lineage(counts.groupBy("bucket").cogroup(seats.unionByName(answer).groupBy("bucket")).applyInArrow(run, ROW))
         answer = cut_lineage(to_asker(places.groupBy("bucket").cogroup(
             swept.filter(F.col("kind") == ASK).groupBy("other")).applyInArrow(answers, ROW)))
