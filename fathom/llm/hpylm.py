@@ -274,7 +274,7 @@ def head_counts(docs: DataFrame, head) -> DataFrame:
 # ---- entries of all other pairs, packed by bucket ------------------------
 
 _FIELD = struct.Struct("<2sq")
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 
 
 def _small(a: np.ndarray) -> np.ndarray:
@@ -328,7 +328,7 @@ def packed_entries(docs: DataFrame, head, buckets: int, bits: int = 64) -> DataF
         rows, payloads = [], []
         for k in np.flatnonzero(np.diff(cuts)):
             i = order[cuts[k]:cuts[k + 1]]
-            w, c = place[i], before[i]
+            w, c = place[i].astype(np.int64), before[i].astype(np.int64)
             words, contexts = np.unique(h[i][w < 0]), np.unique(u[i][c < 0] >> shift)
             w = np.where(w < 0, n + 1 + np.searchsorted(words, h[i]), w)
             c = np.where(c < 0, n + 1 + np.searchsorted(contexts, u[i] >> shift), c)
@@ -352,7 +352,8 @@ def packed_entries(docs: DataFrame, head, buckets: int, bits: int = 64) -> DataF
             parts, size = [], 0
             for first, _, place, before, h, u, own in reader.tokens(b.column(b.schema.get_field_index("text"))):
                 rest = (place < 0) | (before < 0)
-                parts.append((place[rest], before[rest], h[rest], u[rest], own[rest] + first))
+                parts.append((place[rest].astype(np.int32), before[rest].astype(np.int32), h[rest], u[rest],
+                              (own[rest] + first).astype(np.int32)))
                 size += len(parts[-1][0])
                 if size >= CHUNK_TOKENS:
                     yield packed(parts, *of_doc)
