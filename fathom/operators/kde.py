@@ -1,15 +1,16 @@
 """Gaussian kernel density without a cut-off.
 
-Coordinates are taken in bandwidths.  Points to score are put in cells of a
-fixed grid, reference points in a tree of cells, each level twice as fine.
-All pairs of a target cell and a reference cell are followed down the tree as
-rows of a table, and a pair is let go when
+Coordinates are taken in bandwidths.  Points to score are put in blocks of a
+fixed grid, reference points in a tree of bundles, each level twice as fine; a
+bundle is 8 x 8 cells.  Pairs of a block and a bundle are followed down the
+tree as rows of a table, and a pair is let go when
 
 * its nearest distance D says that every term in it is below ``eta / n`` of
   the largest term of the sum, whose distance the tree bounds from above:
   D^2 > bound^2 + 2 ln(n / eta); or
-* the reference cell is small enough for its expansion, which replaces its
-  points: with c the cell's centre, u a point's offset from it and k = x - c,
+* the bundle has at most ``RAW`` points, or its cells are small enough for
+  their expansions, which replace the points of a cell: with c the cell's
+  centre, u a point's offset from it and k = x - c,
 
       sum over u of exp(-|k - u|^2 / 2)
           = exp(-|k|^2 / 2) sum over u of exp(-|u|^2 / 2) exp(k.u),
@@ -19,11 +20,16 @@ rows of a table, and a pair is let go when
   t^(p+1) / (p+1)! e^t of the term itself, t the largest |k.u|; p is the
   smallest order that makes it ``eta``.
 
+A cell of at most ``RAW`` points travels as its points, a fuller one as its
+moments, which take no more room than ``RAW`` points.  A bundle goes once to
+each block that needs it; there the points are taken by a finer grid, whose
+cells leave out again what is too far for them.
+
 All terms are positive, so the relative error of every density, however small,
 is at most 2 ``eta``.  Sums are kept as logarithms: no density is zero and none
-is undefined unless there are no reference points.  The pairs of cells are
-bounded by the area in bandwidths, not by the number of points; a point costs
-one evaluation of its cell's list.
+is undefined unless there are no reference points.  The pairs are bounded by
+the area in bandwidths, not by the number of points, and what travels by the
+points and the area.
 """
 
 from __future__ import annotations
@@ -39,9 +45,14 @@ from pyspark.sql import functions as F
 from fathom.session import cut_lineage
 
 ETA = 1e-11
-ORDERS = (4, 8, 12, 16, 20)
-SIDE = 1.0 / 3.0                    # of the target cells and of level 0 of the tree, in bandwidths
-AT_ONCE = 4096                      # target points of one cell that a task takes together
+ORDERS = (4, 8, 12, 16, 20, 24)
+SIDE = 16.0 / 3.0                   # of the target blocks and of level 0 of the tree, in bandwidths
+CELLS = 8                           # cells of a bundle along a side
+PARTS = 4                           # groups of a block's targets along a side
+RAW = 160                           # points of a cell that are kept as such: about the room of its moments
+FEW = 20                            # points up to which a term each is quicker than the moments
+AT_ONCE = 32768                     # target points of one block that a task takes together
+BUSY = 200_000                      # points of one bundle that a task takes together
 _HALF = math.sqrt(0.5)              # half the diagonal of a unit cell
 
 
@@ -55,11 +66,6 @@ def _largest(order: int, eta: float) -> float:
     return low
 
 
-def _powers(order: int) -> list[tuple[int, int]]:
-    """Exponents (a, b) of the moments, by total degree."""
-    return [(d - b, b) for d in range(order + 1) for b in range(d + 1)]
-
-
 def _cell(x: str, side: float) -> Column:
     return F.floor(F.col(x) / F.lit(side)).cast("long")
 
@@ -76,18 +82,20 @@ def _boxes(level: int) -> tuple[Column, Column]:
 
 
 def _tree_level(ref: DataFrame, base: DataFrame, level: int) -> DataFrame:
-    """Occupied cells (g, cx, cy) of a level."""
+    """Occupied bundles (g, cx, cy, held) of a level with their numbers of points."""
     if level >= 0:
-        return base.select("g", F.shiftright("cx", level).alias("cx"), F.shiftright("cy", level).alias("cy")).distinct()
+        at = [F.shiftright(c, level).alias(c) for c in ("cx", "cy")]
+        return base.groupBy("g", *at).agg(F.sum("held").alias("held"))
     side = SIDE * 2.0 ** level
-    return ref.select("g", _cell("x", side).alias("cx"), _cell("y", side).alias("cy")).distinct()
+    return ref.groupBy("g", _cell("x", side).alias("cx"), _cell("y", side).alias("cy")).agg(F.count(F.lit(1)).alias("held"))
 
 
 def _cell_pairs(targets: DataFrame, ref: DataFrame, n: int, eta: float) -> list[tuple[int, DataFrame]]:
-    """(level, pairs (g, tx, ty, cx, cy)) of target cells and the reference cells that count for them."""
+    """(level, pairs (g, tx, ty, cx, cy)) of target blocks and the reference bundles that count for them."""
     spread = 2 * math.log(max(n, 2) / eta)
     widest = _largest(ORDERS[-1], eta)
-    base = cut_lineage(ref.select("g", _cell("x", SIDE).alias("cx"), _cell("y", SIDE).alias("cy")).distinct())
+    base = cut_lineage(ref.groupBy("g", _cell("x", SIDE).alias("cx"), _cell("y", SIDE).alias("cy"))
+                       .agg(F.count(F.lit(1)).alias("held")))
     ends = base.select("cx", "cy").unionByName(targets.select(F.col("tx").alias("cx"), F.col("ty").alias("cy"))).agg(
         *[f(c).alias(f"{f.__name__}_{c}") for c in ("cx", "cy") for f in (F.min, F.max)]).first()
     span = max(ends["max_cx"] - ends["min_cx"], ends["max_cy"] - ends["min_cy"], 1) + 1
@@ -99,11 +107,14 @@ def _cell_pairs(targets: DataFrame, ref: DataFrame, n: int, eta: float) -> list[
     while True:
         near, far = _boxes(level)
         bound = F.min("__far").over(Window.partitionBy("g", "tx", "ty"))
-        half = _HALF * SIDE * 2.0 ** level
-        reach = F.sqrt(F.col("__bound") + spread) + 2 * _HALF * SIDE + half
+        half = _HALF * SIDE * 2.0 ** level / CELLS
+        reach = F.sqrt(F.col("__bound") + spread) + 2 * _HALF * SIDE / PARTS + half
+        small = reach * half <= widest
+        if level < 0:
+            small = small | (F.col("held") <= RAW)
         kept = open_.withColumn("__near", near).withColumn("__far", far).withColumn("__bound", bound) \
             .where(F.col("__near") <= F.col("__bound") + spread) \
-            .select("g", "tx", "ty", "cx", "cy", (reach * half <= widest).alias("__small"))
+            .select("g", "tx", "ty", "cx", "cy", small.alias("__small"))
         kept = cut_lineage(kept)
         state = kept.agg(F.max("__small").alias("any"), F.min("__small").alias("all")).first()
         if state["any"]:
@@ -113,86 +124,207 @@ def _cell_pairs(targets: DataFrame, ref: DataFrame, n: int, eta: float) -> list[
         step = 2 if level >= 2 else 1
         level -= step
         below = _tree_level(ref, base, level).select("g", F.shiftright("cx", step).alias("px"), F.shiftright("cy", step).alias("py"),
-                                                     F.col("cx").alias("__cx"), F.col("cy").alias("__cy"))
+                                                     F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "held")
         open_ = kept.where("NOT __small").withColumnsRenamed({"cx": "px", "cy": "py"}).join(below, ["g", "px", "py"]) \
-            .select("g", "tx", "ty", F.col("__cx").alias("cx"), F.col("__cy").alias("cy"))
-
-
-def _moments(ref: DataFrame, levels: list[int]) -> DataFrame:
-    """(g, level, cx, cy, m): scaled moments of the reference points of each cell of the levels.
-
-    Each Arrow batch is summed by cell before the shuffle, the sums of a cell after it.
-    """
-    powers = _powers(ORDERS[-1])
-    scale = [1.0 / (math.factorial(a) * math.factorial(b)) for a, b in powers]
-
-    def batch_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            g, x, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            for level in levels if len(g) else ():
-                side = SIDE * 2.0 ** level
-                cells = np.column_stack([g, np.floor(x / side).astype(np.int64), np.floor(y / side).astype(np.int64)])
-                found, at = np.unique(cells, axis=0, return_inverse=True)
-                at = at.ravel()
-                u, v = (x / side - (cells[:, 1] + 0.5)), (y / side - (cells[:, 2] + 0.5))
-                w = np.exp(-0.5 * side * side * (u * u + v * v))
-                up, vp = [np.ones_like(u)], [np.ones_like(v)]
-                for _ in range(ORDERS[-1]):
-                    up.append(up[-1] * u)
-                    vp.append(vp[-1] * v)
-                sums = np.column_stack([np.bincount(at, w * up[a] * vp[b], len(found)) * s for (a, b), s in zip(powers, scale)])
-                yield _cells(found[:, 0], np.full(len(found), level), found[:, 1], found[:, 2], sums)
-
-    def whole_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            keys = zip(*(batch.column(i).to_pylist() for i in range(4)))
-            sums = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(powers))
-            for key, row in zip(keys, sums):
-                totals[key] = totals[key] + row if key in totals else row.copy()
-        if totals:
-            keys = np.array(list(totals), dtype=np.int64)
-            yield _cells(*keys.T, np.array(list(totals.values())))
-
-    schema = "g long, level long, cx long, cy long, m array<double>"
-    parts = ref.select("g", "x", "y").mapInArrow(batch_sums, schema)
-    return parts.repartition("g", "level", "cx", "cy").mapInArrow(whole_sums, schema)
-
-
-def _cells(g, level, cx, cy, sums: np.ndarray) -> pa.RecordBatch:
-    ends = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1])
-    return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(c), type=pa.int64()) for c in (g, level, cx, cy)],
-                                       pa.ListArray.from_arrays(ends, pa.array(sums.ravel()))],
-                                      names=["g", "level", "cx", "cy", "m"])
-
-
-def _evaluate(x: np.ndarray, y: np.ndarray, cells: pa.Table) -> np.ndarray:
-    """Logarithms of the kernel sums at the points over the expansions."""
-    level, cx, cy, order = (cells.column(c).to_numpy().astype(np.float64) for c in ("level", "cx", "cy", "p"))
-    side = SIDE * 2.0 ** level
-    kx, ky = x[:, None] - (cx + 0.5) * side, y[:, None] - (cy + 0.5) * side
+            .select("g", "tx", "ty", F.col("__cx").alias("cx"), F.col("__cy").alias("cy"), "held")
+
+
+_P = ORDERS[-1]
+_KEPT = np.add.outer(np.arange(_P + 1), np.arange(_P + 1)) <= _P      # exponents (a, b) of the moments
+_SIZE = int(_KEPT.sum())
+_FACT = np.array([1.0 / math.factorial(i) for i in range(_P + 1)])
+_BUNDLE = "g long, level long, cx long, cy long, cells binary, held binary"
+
+
+def _moments(u: np.ndarray, v: np.ndarray, side: float) -> np.ndarray:
+    """Scaled moments, (order + 1) x (order + 1), of points at offsets (u, v) from their cell's centre, in sides."""
+    up, vp = np.empty((_P + 1, len(u))), np.empty((_P + 1, len(u)))
+    up[0], vp[0] = np.exp(-0.5 * side * side * (u * u + v * v)), 1.0
+    for i in range(_P):
+        up[i + 1], vp[i + 1] = up[i] * u, vp[i] * v
+    return (up @ vp.T) * np.outer(_FACT, _FACT) * _KEPT
+
+
+def _middle(c: int, sub: int, side: float) -> float:
+    return (c * CELLS + sub + 0.5) * side
+
+
+def _held(points: np.ndarray, more: np.ndarray | None, key: tuple) -> np.ndarray:
+    """What a cell travels as: its points (x, y) one after the other, or their moments with those already summed."""
+    if more is None and len(points) <= RAW:
+        return points.ravel()
+    level, cx, cy, sub = key[1:]
+    side = SIDE * 2.0 ** level / CELLS
+    total = np.zeros(_SIZE) if more is None else more
+    for i in range(0, len(points), 8192):
+        p = points[i:i + 8192]
+        total = total + _moments((p[:, 0] - _middle(cx, sub // CELLS, side)) / side,
+                                 (p[:, 1] - _middle(cy, sub % CELLS, side)) / side, side)[_KEPT]
+    return total
+
+
+def _bundle_rows(cells: Iterator[tuple[tuple, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """One row a bundle, from its cells ((g, level, cx, cy, sub), points, held) in order of their keys."""
+    names = ["g", "level", "cx", "cy", "cells", "held"]
+    rows, heads, held, last = [], [], [], None
+
+    def packed(key):
+        return (*key, np.array(heads, dtype=np.int64).tobytes(), np.concatenate(held).tobytes())
+
+    def record():
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if i < 4 else pa.binary()) for i in range(6)],
+                                          names=names)
+    for key, n, values in cells:
+        if key[:4] != last:
+            if heads:
+                rows.append(packed(last))
+                if len(rows) == 64:
+                    yield record()
+                    rows = []
+            heads, held, last = [], [], key[:4]
+        heads.append((key[4], n))
+        held.append(values)
+    if heads:
+        rows.append(packed(last))
+        yield record()
+
+
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bundles of a partition's points (g, level, cx, cy, x, y)."""
+    table = pa.Table.from_batches(list(batches)) if batches else None
+    if table is None or not table.num_rows:
+        return
+    g, level, cx, cy, x, y = (table.column(i).to_numpy() for i in range(6))
+    side = SIDE * np.exp2(level.astype(float)) / CELLS
+    sub = (np.floor(x / side).astype(np.int64) - cx * CELLS) * CELLS + np.floor(y / side).astype(np.int64) - cy * CELLS
+    order = np.lexsort((sub, cy, cx, level, g))
+    keys, points = np.column_stack([g, level, cx, cy, sub])[order], np.column_stack([x, y])[order]
+    starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
+
+    def cells():
+        for key, i, j in zip(map(tuple, keys[starts[:-1]].tolist()), starts[:-1].tolist(), starts[1:].tolist()):
+            yield key, j - i, _held(points[i:j], None, key)
+    yield from _bundle_rows(cells())
+
+
+def _parts(cells: bytes, held: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(sub, points, held) of each cell of a bundle."""
+    values, at = np.frombuffer(held), 0
+    for sub, n in np.frombuffer(cells, dtype=np.int64).reshape(-1, 2).tolist():
+        size = 2 * n if n <= RAW else _SIZE
+        yield sub, n, values[at:at + size]
+        at += size
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bundles whose points were dealt to several tasks, put together."""
+    raw: dict[tuple, list[np.ndarray]] = {}
+    sums: dict[tuple, np.ndarray] = {}
+    count: dict[tuple, int] = {}
+    for batch in batches:
+        for *key, cells, held in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for sub, n, values in _parts(cells, held):
+                k = (*key, sub)
+                count[k] = count.get(k, 0) + n
+                if n > RAW:
+                    sums[k] = sums[k] + values if k in sums else values
+                else:
+                    raw.setdefault(k, []).append(values.reshape(-1, 2))
+    none = np.zeros((0, 2))
+    yield from _bundle_rows((k, count[k], _held(np.concatenate(raw.get(k, [none])), sums.get(k), k)) for k in sorted(count))
+
+
+def _bundles(ref: DataFrame, listed: DataFrame, levels: list[int]) -> DataFrame:
+    """(g, level, cx, cy, cells, held): the bundles of the levels that are listed."""
+    rows = None
+    for level in levels:
+        side = SIDE * 2.0 ** level
+        one = ref.select("g", F.lit(level).cast("long").alias("level"), _cell("x", side).alias("cx"), _cell("y", side).alias("cy"), "x", "y")
+        rows = one if rows is None else rows.unionByName(one)
+    keys = ["g", "level", "cx", "cy"]
+    if len(levels) > 1:
+        rows = rows.join(listed.select(*keys).distinct(), keys, "left_semi")
+    busiest = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    if busiest <= BUSY:
+        return rows.repartition(*keys).mapInArrow(_build, _BUNDLE)
+    salt = F.pmod(F.xxhash64("x", "y"), F.lit(-(-busiest // BUSY)))
+    return rows.repartition(*keys, salt).mapInArrow(_build, _BUNDLE).repartition(*keys).mapInArrow(_merge, _BUNDLE)
+
+
+def _expand(kx: np.ndarray, ky: np.ndarray, m: np.ndarray, side: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Logarithms of the expansions: offsets (points x cells) from the centres, moments (cells x (P + 1) x (P + 1))."""
     logs = -0.5 * (kx * kx + ky * ky)
-    kx *= side
-    ky *= side
-    lists = cells.column("m").combine_chunks()
-    values, starts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     for p in ORDERS:
         mine = np.flatnonzero(order == p)
-        if not len(mine):
-            continue
-        size = (p + 1) * (p + 2) // 2
-        m = values[starts[mine][:, None] + np.arange(size)]
-        at = {ab: i for i, ab in enumerate(_powers(p))}
-        a_, b_ = kx[:, mine], ky[:, mine]
-        total = np.zeros_like(a_)
-        for a in range(p, -1, -1):                    # Horner in both variables
-            inner = np.zeros_like(a_)
-            for b in range(p - a, -1, -1):
-                inner = inner * b_ + m[:, at[a, b]]
-            total = total * a_ + inner
-        logs[:, mine] += np.log(total)
-    top = logs.max(axis=1)
-    return top + np.log(np.exp(logs - top[:, None]).sum(axis=1))
+        step = max(1, (1 << 18) // (len(kx) * (p + 1)))
+        for i in range(0, len(mine), step):
+            at = mine[i:i + step]
+            powers = []
+            for k in (kx, ky):
+                t = (k[:, at] * side[at]).T
+                out = np.empty((len(at), len(t[0]), p + 1))
+                out[:, :, 0] = 1.0
+                for a in range(p):
+                    np.multiply(out[:, :, a], t, out=out[:, :, a + 1])
+                powers.append(out)
+            few = m[at][:, :p + 1, :p + 1] * _KEPT[_P - p:, :p + 1]            # a + b at most p
+            logs[:, at] += np.log(np.einsum("cta,cta->ct", np.matmul(powers[0], few), powers[1])).T
+    return logs
+
+
+def _evaluate(x: np.ndarray, y: np.ndarray, bundles: pa.Table, spread: float, eta: float) -> np.ndarray:
+    """Logarithms of the kernel sums at the points of a block over its bundles."""
+    heads, values = [], []
+    for level, cx, cy, cells, held in zip(*(bundles.column(c).to_pylist() for c in ("level", "cx", "cy", "cells", "held"))):
+        h = np.frombuffer(cells, dtype=np.int64).reshape(-1, 2)
+        heads.append(np.column_stack([np.full(len(h), SIDE * 2.0 ** level / CELLS), cx * CELLS + h[:, 0] // CELLS,
+                                      cy * CELLS + h[:, 0] % CELLS, h[:, 1]]))
+        values.append(np.frombuffer(held))
+    heads, values = np.concatenate(heads), np.concatenate(values)
+    side, n = heads[:, 0], heads[:, 3].astype(np.int64)
+    low = heads[:, 1:3] * side[:, None]
+    mid, half = low + side[:, None] / 2, _HALF * side
+    size = np.where(n <= RAW, 2 * n, _SIZE)
+    start = np.cumsum(size) - size
+    full = n > (FEW if len(x) > 64 else RAW)          # cells with moments, made here where they pay
+    slot = np.cumsum(full) - 1
+    moments = np.zeros((int(full.sum()), _P + 1, _P + 1))
+    for j, i in enumerate(np.flatnonzero(full).tolist()):
+        mine = values[start[i]:start[i] + size[i]]
+        if n[i] > RAW:
+            moments[j][_KEPT] = mine
+        else:
+            moments[j] = _moments((mine[::2] - mid[i, 0]) / side[i], (mine[1::2] - mid[i, 1]) / side[i], side[i])
+    limits = [_largest(p, eta) for p in ORDERS]
+    part = np.floor(x / (SIDE / PARTS)).astype(np.int64), np.floor(y / (SIDE / PARTS)).astype(np.int64)
+    order = np.lexsort(part)
+    edges = np.flatnonzero((np.diff(part[0][order]) != 0) | (np.diff(part[1][order]) != 0)) + 1
+    out = np.empty(len(x))
+    for group in np.split(order, edges):
+        box = np.array([[c[group].min(), c[group].max()] for c in (x, y)])
+        near = np.square(np.maximum(0.0, np.maximum(low - box[:, 1], box[:, 0] - low - side[:, None]))).sum(axis=1)
+        far = np.square(np.maximum(low + side[:, None] - box[:, 0], box[:, 1] - low)).sum(axis=1)
+        kept = np.flatnonzero(near <= far.min() + spread)
+        apart = np.sqrt(np.square(np.maximum(np.abs(mid[kept] - box[:, 0]), np.abs(mid[kept] - box[:, 1]))).sum(axis=1))
+        p = np.searchsorted(limits, apart * half[kept])
+        expand = full[kept] & ((p < len(ORDERS)) | (n[kept] > RAW))
+        rest, dense = kept[~expand], kept[expand]
+        at = np.repeat(start[rest], n[rest]) + 2 * (np.arange(n[rest].sum()) - np.repeat(np.cumsum(n[rest]) - n[rest], n[rest]))
+        rx, ry = values[at], values[at + 1]
+        orders = np.array(ORDERS)[np.minimum(p[expand], len(ORDERS) - 1)]
+        m = moments[slot[dense]]
+        step = max(64, (1 << 19) // max(len(rx) + len(dense), 1))             # keeps the arrays at some MB
+        for i in range(0, len(group), step):
+            g = group[i:i + step]
+            logs = np.empty((len(g), len(rx) + len(dense)))
+            for j in range(0, len(rx), 1 << 14):
+                k = slice(j, min(j + (1 << 14), len(rx)))
+                logs[:, k] = -0.5 * (np.square(x[g, None] - rx[k]) + np.square(y[g, None] - ry[k]))
+            if len(dense):
+                logs[:, len(rx):] = _expand(x[g, None] - mid[dense, 0], y[g, None] - mid[dense, 1], m, side[dense], orders)
+            top = logs.max(axis=1)
+            out[g] = top + np.log(np.exp(logs - top[:, None]).sum(axis=1))
+    return out
 
 
 def log_kernel_sums(points: DataFrame, ref: DataFrame, eta: float = ETA) -> DataFrame:
@@ -212,32 +344,22 @@ def log_kernel_sums(points: DataFrame, ref: DataFrame, eta: float = ETA) -> Data
         return points.sparkSession.createDataFrame([], schema)
     listed = None
     for level, frame in pairs:
-        half, side = _HALF * SIDE * 2.0 ** level, SIDE * 2.0 ** level
-        dx = (F.col("tx") + 0.5) * SIDE - (F.col("cx") + 0.5) * side
-        dy = (F.col("ty") + 0.5) * SIDE - (F.col("cy") + 0.5) * side
-        t = (F.sqrt(dx * dx + dy * dy) + _HALF * SIDE) * half
-        p = F.lit(ORDERS[-1])
-        for order in reversed(ORDERS[:-1]):
-            p = F.when(t <= _largest(order, eta), order).otherwise(p)
-        one = frame.select("g", "tx", "ty", F.lit(level).cast("long").alias("level"), "cx", "cy", p.alias("p"))
+        one = frame.select("g", "tx", "ty", F.lit(level).cast("long").alias("level"), "cx", "cy")
         listed = one if listed is None else listed.unionByName(one)
-    moments = _moments(ref, [level for level, _ in pairs])
-    lists = listed.join(moments, ["g", "level", "cx", "cy"]) \
-        .withColumn("m", F.slice("m", F.lit(1), ((F.col("p") + 1) * (F.col("p") + 2) / 2).cast("int"))) \
-        .join(cells, ["g", "tx", "ty"]) \
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    spread = 2 * math.log(max(n, 2) / eta)
+    lists = listed.join(cells, ["g", "tx", "ty"]).join(_bundles(ref, listed, [level for level, _ in pairs]), ["g", "level", "cx", "cy"]) \
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     asked = points.join(cells, ["g", "tx", "ty"]).withColumn("salt", F.pmod(F.xxhash64("x", "y"), F.col("salts")).cast("int"))
 
     def evaluate(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"g": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in ("x", "y", "log_sum")}})
         x, y = left.column("x").to_numpy(), left.column("y").to_numpy()
-        step = max(1, (1 << 20) // right.num_rows)        # so many points at once keep the arrays at some MB
-        sums = [_evaluate(x[i:i + step], y[i:i + step], right) for i in range(0, len(x), step)]
-        return pa.table({"g": left.column("g"), "x": left.column("x"), "y": left.column("y"), "log_sum": np.concatenate(sums)})
+        return pa.table({"g": left.column("g"), "x": left.column("x"), "y": left.column("y"),
+                         "log_sum": _evaluate(x, y, right, spread, eta)})
 
     keys = ["g", "tx", "ty", "salt"]
-    other = lists.select(*[F.col(k).alias(f"__{k}") for k in keys], "level", "cx", "cy", "p", "m")
+    other = lists.select(*[F.col(k).alias(f"__{k}") for k in keys], "level", "cx", "cy", "cells", "held")
     return asked.groupBy(*keys).cogroup(other.groupBy(*[f"__{k}" for k in keys])).applyInArrow(evaluate, schema)
 
 

@@ -80,3 +80,11 @@ def test_bandwidth_scores(spark):
         ll = np.concatenate([brute([r[:2] for r in rows if r[2] == f], [r[:2] for r in rows if r[2] != f], h) for f in range(3)])
         assert n == 150 and abs(mean - ll.mean()) < 1e-9
     assert max(got, key=got.get) == 1.0
+
+
+def test_a_block_gets_each_bundle_once(spark):
+    """What travels goes to blocks of many cells, not to each cell of targets by itself."""
+    rng = np.random.default_rng(5)
+    xy = spark.createDataFrame([(0, float(a), float(b)) for a, b in rng.uniform(0, 30, (6000, 2))], "g long, x double, y double")
+    cells = xy.select("g", kde._cell("x", kde.SIDE).alias("tx"), kde._cell("y", kde.SIDE).alias("ty")).distinct()
+    assert sum(f.count() for _, f in kde._cell_pairs(cells, xy, 6000, kde.ETA)) < 2 * 6000
