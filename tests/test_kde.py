@@ -88,3 +88,11 @@ def test_a_block_gets_each_bundle_once(spark):
     xy = spark.createDataFrame([(0, float(a), float(b)) for a, b in rng.uniform(0, 30, (6000, 2))], "g long, x double, y double")
     cells = xy.select("g", kde._cell("x", kde.SIDE).alias("tx"), kde._cell("y", kde.SIDE).alias("ty")).distinct()
     assert sum(f.count() for _, f in kde._cell_pairs(cells, xy, 6000, kde.ETA)) < 2 * 6000
+
+
+def test_bundles_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(kde, "BUSY", 300)
+    rng = np.random.default_rng(6)
+    ref = np.concatenate([rng.normal(0, 0.05, (1500, 2)), rng.normal(0, 3, (500, 2))])
+    points = np.concatenate([ref[::20], rng.uniform(-20, 20, (80, 2))])
+    assert np.abs(scores(spark, points, ref, 1.0) - brute(points, ref, 1.0)).max() < 1e-10
