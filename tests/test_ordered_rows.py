@@ -149,3 +149,52 @@ def test_long_conversations_become_several_requests(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = sorted(tuple(r) for r in request_explode(spark, str(tmp_path)).collect())
     assert got == sorted((c, t, t, "user", t % 7) for c, t, _, _ in rows)
+
+
+def test_last_n_state_equals_a_loop_over_several_days(spark, monkeypatch):
+    """Rows of one key over days, files and packed entries, with rows outside all bins."""
+    import datetime
+    monkeypatch.setattr(in_order, "SMALL", 10)
+    rnd = random.Random(9)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [("a", i, start + datetime.timedelta(seconds=rnd.randrange(400_000)), rnd.randrange(-1, 4)) for i in range(700)]
+    df = spark.createDataFrame(rows, "key string, id long, event_time timestamp, bin int")
+    got = {r.id: (r.n_window, list(r.counts)) for r in in_order.replayed(df, in_order.LastN(30, 4), 5, 2, "10 days").collect()}
+    mine = sorted(rows, key=lambda r: (r[2], r[1]))
+    want = {}
+    for i, r in enumerate(mine):
+        last = [b[3] for b in mine[max(0, i - 29):i + 1]]
+        if len(last) >= 15:
+            want[r[1]] = (len(last), [last.count(b) for b in range(4)])
+    assert got == want
+
+
+def test_waiting_rows_are_packed(monkeypatch):
+    """One call of the state for many rows of a key, not one value for each."""
+    import numpy as np
+    import pandas as pd
+
+    class Entries(dict):
+        updateValue, getValue, removeKey = dict.__setitem__, dict.__getitem__, dict.__delitem__
+
+    class Handle:
+        def getMapState(self, *_):
+            return Entries()
+
+        def getValueState(self, *_):
+            return None
+
+        def registerTimer(self, _):
+            pass
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+    p = in_order.OnlineLinear(2)
+    p.init(Handle())
+    n = 30_000
+    chunk = pd.DataFrame({"ts_us": np.arange(n) * 10_000_000, "id": np.arange(n), "x": [[1.0, float(i)] for i in range(n)], "y": np.arange(n) * 2.0})
+    p.handleInputRows(("k",), iter([chunk]), Times())
+    assert len(p.waiting) == 4                                            # days
+    cols = in_order._joined([p._load(h) for h in sorted(p.waiting)])
+    assert [c.tolist() for c in cols[:2]] == [chunk["ts_us"].tolist(), chunk["id"].tolist()] and cols[2][-1].tolist() == [1.0, n - 1.0]
