@@ -177,7 +177,13 @@ def test_waiting_rows_are_packed(monkeypatch):
     class Entries(dict):
         updateValue, getValue, removeKey = dict.__setitem__, dict.__getitem__, dict.__delitem__
 
+    class Values(list):
+        appendValue = list.append
+
     class Handle:
+        def getListState(self, *_):
+            return Values()
+
         def getMapState(self, *_):
             return Entries()
 
@@ -196,5 +202,5 @@ def test_waiting_rows_are_packed(monkeypatch):
     chunk = pd.DataFrame({"ts_us": np.arange(n) * 10_000_000, "id": np.arange(n), "x": [[1.0, float(i)] for i in range(n)], "y": np.arange(n) * 2.0})
     p.handleInputRows(("k",), iter([chunk]), Times())
     assert len(p.waiting) == 4                                            # days
-    cols = in_order._joined([p._load(h) for h in sorted(p.waiting)])
+    cols = in_order._joined([p._unpacked(p.waiting[h][0]) for h in sorted(p.waiting)])
     assert [c.tolist() for c in cols[:2]] == [chunk["ts_us"].tolist(), chunk["id"].tolist()] and cols[2][-1].tolist() == [1.0, n - 1.0]
