@@ -198,15 +198,13 @@ def importance_selection(spark, sf_dir):
 @query("bootstrap_band", ["E34", "F16"])
 def bootstrap_band(spark, sf_dir):
     """5-95% prediction band from weighted least squares refits on Poisson
-    bootstrap weights: one weighted Gram aggregate per replicate, then the
+    bootstrap weights: the weighted Gram matrices of all replicates, then the
     band per test row from the replicate coefficients."""
     import numpy as np
     train, test = _split(spark, sf_dir)
     reps = REPLICATES
-    w = folds.bootstrap_weights(train.select(*REG_FEATURES, "label", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-                                ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], reps)
-    grams = ml.gram_by(w, REG_FEATURES, ["label"], "replicate", weight=F.col("weight").cast("double"))
-    betas = [ml.ridge_solve(grams[r], 1e-6) for r in sorted(grams)]
+    grams = folds.weighted_grams(train, REG_FEATURES, "label", LINE_KEY, reps)
+    betas = [ml.ridge_solve({"xx": g[:-1, :-1], "xy": g[:-1, -1:]}, 1e-6) for g in grams.values()]
     b = np.array(betas)
     coef = spark.createDataFrame([(i, *[float(x) for x in row]) for i, row in enumerate(b)],
                                  "rep int, b0 double, " + ", ".join(f"b{j + 1} double" for j in range(len(REG_FEATURES))))

@@ -113,3 +113,17 @@ def test_isotonic_calibration_is_pooled_adjacent_violators(spark):
             blocks[-1] = [blocks[-1][0] + ps, blocks[-1][1] + s, blocks[-1][2] + n]
     want = {p: s / n for ps, s, n in blocks for p in ps}
     assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_bootstrap_grams_equal_those_of_exploded_weights(spark):
+    """Same hash, weights and sums without a row per (row, replicate); keys longer than one md5 block too."""
+    from fathom.operators import folds
+    rng = np.random.default_rng(5)
+    rows = [(f"{'é' * (i % 7)}{'k' * (60 * (i % 11 == 0))}{i}", float(a), float(a * 2 + b)) for i, (a, b) in enumerate(rng.normal(size=(500, 2)))]
+    df = spark.createDataFrame([*rows, ("none", None, 1.0), ("", 1.0, 2.0)], "k string, x double, label double")
+    want = ml.gram_by(folds.bootstrap_weights(df, ["k"], 12), ["x"], ["label"], "replicate", weight=F.col("weight").cast("double"))
+    got = folds.weighted_grams(df, ["x"], "label", ["k"], 12)
+    assert sorted(got) == sorted(want)
+    for r, g in want.items():
+        assert got[r][:-1, :-1] == pytest.approx(g["xx"]) and got[r][:-1, -1:] == pytest.approx(g["xy"]) and got[r][-1, -1] == pytest.approx(g["yy"][0])
+    assert folds.weighted_grams(df.where("k = 'none'"), ["x"], "label", ["k"], 3) == {}
