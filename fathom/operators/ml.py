@@ -7,14 +7,18 @@ on the driver: only d x d numbers ever leave the executors."""
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathom.session import ensure_checkpoint_dir
+
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """The feature list fixed at fit time, NULL rows skipped at fit."""
@@ -37,6 +41,53 @@ def fit_and_time(estimator, train: DataFrame):
     return model, time.perf_counter() - t0
 
 
+def tree_nodes(model) -> dict[str, np.ndarray]:
+    """Nodes of a fitted regression tree by id (the root 0): feature (-1 at
+    leaves), threshold, left and right child, prediction.  Read from the
+    model as Spark stores it, at most 2^(depth + 1) of them."""
+    path = f"{ensure_checkpoint_dir(SparkSession.getActiveSession())}/tree-{uuid.uuid4().hex}"
+    model.save(path)
+    nodes = SparkSession.getActiveSession().read.parquet(f"{path}/data").select(
+        "id", F.when(F.col("leftChild") < 0, F.lit(-1)).otherwise(F.col("split.featureIndex")).alias("feature"),
+        F.coalesce(F.get("split.leftCategoriesOrThreshold", F.lit(0)), F.lit(0.0)).alias("threshold"),
+        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), "prediction").toPandas().sort_values("id")
+    return {c: nodes[c].to_numpy() for c in nodes.columns[1:]}
+
+
+def depth_scores(df: DataFrame, features: Sequence[str], label: str, part: str, nodes: dict[str, np.ndarray],
+                 depths: Sequence[int]) -> DataFrame:
+    """(depth, part, n, rmse) of a tree cut at each depth, on the rows of
+    each ``part``, from one pass.  Trees grow level by level, so the tree of a
+    smaller depth is the upper levels of a deeper one."""
+    deepest, wanted, p = max(depths), set(depths), len(features)
+
+    def run(batches):
+        sums = {}
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy() for i in range(p)])
+            y, parts = batch.column(p).to_numpy(), np.asarray(batch.column(p + 1).to_pylist(), dtype=object)
+            at, rows = np.zeros(len(y), np.int64), np.arange(len(y))
+            groups = [(name, parts == name) for name in set(parts.tolist())]
+            for depth in range(deepest + 1):
+                if depth:
+                    feature = nodes["feature"][at]
+                    below = np.where(x[rows, feature] <= nodes["threshold"][at], nodes["left"][at], nodes["right"][at])
+                    at = np.where(feature < 0, at, below)
+                if depth in wanted:
+                    error = np.square(y - nodes["prediction"][at])
+                    for name, mine in groups:
+                        n, ss = sums.get((depth, name), (0, 0.0))
+                        sums[depth, name] = (n + int(mine.sum()), ss + float(error[mine].sum()))
+        keys = list(sums)
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string()),
+                                          pa.array([sums[k][0] for k in keys], pa.int64()),
+                                          pa.array([sums[k][1] for k in keys], pa.float64())], names=["depth", "part", "n", "ss"])
+
+    rows = df.select(*[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate([*features, label])], F.col(part).alias("__part")).dropna()
+    return rows.mapInArrow(run, "depth int, part string, n long, ss double").groupBy("depth", "part") \
+        .agg(F.sum("n").alias("n"), F.sqrt(F.sum("ss") / F.sum("n")).alias("rmse"))
+
+
 def gram(df: DataFrame, features: Sequence[str], targets: Sequence[str], weight: Column | None = None) -> dict:
     """One aggregate: n, sums, X'X and X'Y (with an intercept column)."""
     cols = ["__one"] + list(features)

@@ -127,3 +127,19 @@ def test_bootstrap_grams_equal_those_of_exploded_weights(spark):
     for r, g in want.items():
         assert got[r][:-1, :-1] == pytest.approx(g["xx"]) and got[r][:-1, -1:] == pytest.approx(g["xy"]) and got[r][-1, -1] == pytest.approx(g["yy"][0])
     assert folds.weighted_grams(df.where("k = 'none'"), ["x"], "label", ["k"], 3) == {}
+
+
+def test_depth_sweep_grows_one_tree(spark, monkeypatch):
+    """Depths 1 to 19 from a single fit, equal to a tree grown for each depth."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from fathom.plans import diagnostics
+    fits, fit = [], DecisionTreeRegressor.fit
+    monkeypatch.setattr(DecisionTreeRegressor, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    got = {r.max_depth: r for r in diagnostics.depth_sweep(spark, "/root/testdata/sf0.001").collect()}
+    assert sorted(got) == list(diagnostics.DEPTHS) and len(fits) == 1
+    train, test = diagnostics._split(spark, "/root/testdata/sf0.001")
+    score = RegressionEvaluator(metricName="rmse")
+    for depth in (1, 4, 9):
+        m = DecisionTreeRegressor(maxDepth=depth, seed=42).fit(train)
+        assert (got[depth].train_rmse, got[depth].test_rmse) == pytest.approx((score.evaluate(m.transform(train)), score.evaluate(m.transform(test))), rel=1e-9)
