@@ -79,6 +79,44 @@ def coordinate_descent(q: np.ndarray, c: np.ndarray, penalty: float, share: floa
     return w
 
 
+def spark_linear(gram: np.ndarray, reg: float, share: float) -> np.ndarray:
+    """[1, features] of Spark's ``LinearRegression(regParam=reg,
+    elasticNetParam=share, standardization=False)`` from the Gram matrix: the
+    label is scaled to deviation 1, so the squared penalty is divided by it."""
+    n, q, c, mean, label = _centred(gram)
+    deviation = float(np.sqrt(max(gram[-1, -1] / n - label * label, 0.0)))
+    if deviation == 0:
+        return np.array([label, *np.zeros(len(c))])
+    absolute, square = reg * share, reg * (1 - share) / deviation
+    if absolute == 0:
+        w = np.linalg.lstsq(q + square * np.eye(len(c)), c, rcond=None)[0]
+    else:
+        w = coordinate_descent(q, c, absolute + square, absolute / (absolute + square), np.zeros(len(c)))
+    return np.array([label - mean @ w, *w])
+
+
+@dataclass
+class Search:
+    """Candidates (penalty, share) with their cross-validated errors, and the refit of the best one on all rows."""
+
+    candidates: Sequence[tuple[float, float]]
+    cv_rmse: np.ndarray
+    coefficients: np.ndarray          # [1, features]
+
+
+def search(grams: Sequence[np.ndarray], candidates: Sequence[tuple[float, float]]) -> Search:
+    """What ``CrossValidator`` finds for Spark's linear regression with RMSE:
+    the mean over the folds, given by their Gram matrices; the first of equal
+    candidates is refitted."""
+    total = sum(grams)
+    errors = []
+    for test in grams:
+        betas = np.array([spark_linear(total - test, *c) for c in candidates])
+        errors.append(np.sqrt(mean_square(test, betas)))
+    cv_rmse = np.mean(errors, axis=0)
+    return Search(candidates, cv_rmse, spark_linear(total, *candidates[int(np.argmin(cv_rmse))]))
+
+
 def path(gram: np.ndarray, penalties: Sequence[float], share: float) -> np.ndarray:
     """Coefficients (penalties x [1, features]) along a grid of penalties.
 

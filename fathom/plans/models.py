@@ -11,14 +11,15 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (AFTSurvivalRegression, DecisionTreeRegressor, GBTRegressor, IsotonicRegression, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from fathom.functions.hashing import sql_bucket, sql_key_text
 from fathom.functions.numeric import rnd, sql_rnd
+from fathom.operators import crossval
 from fathom.operators import evalcls as C
 from fathom.operators import folds
 from fathom.operators import ml
+from fathom.operators import penalty
 from fathom.operators.ordered import quantile_row
 from fathom.plans.registry import query
 from fathom.sources.tables import Tables
@@ -125,22 +126,19 @@ def regressor_screening(spark, sf_dir):
 
 @query("cv_search", ["M13", "M14", "M20"])
 def cv_search(spark, sf_dir):
-    """Grid and randomised search with CrossValidator on a fixed hash fold column."""
+    """Grid and randomised search, cross-validated on a fixed hash fold column: all fits from one pass over the rows."""
     d = folds.kfold(li_table(spark, sf_dir).where("split = 'train'"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
                     5, "cv")
-    lr = LinearRegression(standardization=False)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01, 0.1, 1.0, 10.0]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+    grams = list(crossval.fold_grams(d, REG_FEATURES, "label", {"fold": 5}).values())
+    grid = [(reg, share) for reg in (0.0, 0.01, 0.1, 1.0, 10.0) for share in (0.0, 1.0)]
     # randomised search: a hash-chosen subset of the grid (deterministic)
     import hashlib
     sampled = [g for i, g in enumerate(grid) if int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 2 == 0]
     rows = []
     for name, g in [("grid", grid), ("randomised", sampled)]:
-        cv = CrossValidator(estimator=lr, estimatorParamMaps=g, evaluator=RegressionEvaluator(metricName="rmse"),
-                            foldCol="fold", numFolds=5, parallelism=4)
-        model = cv.fit(d)
-        for params, m in zip(g, model.avgMetrics):
-            rows.append((name, float(params[lr.regParam]), float(params[lr.elasticNetParam]), float(m),
-                         int(sum(1 for c in model.bestModel.coefficients.toArray() if c == 0.0))))
+        found = penalty.search(grams, g)
+        for (reg, share), m in zip(g, found.cv_rmse):
+            rows.append((name, reg, share, float(m), int(sum(1 for c in found.coefficients[1:] if c == 0.0))))
     return spark.createDataFrame(rows, "search string, reg_param double, l1_ratio double, cv_rmse double, best_zero_coefs int")
 
 

@@ -126,3 +126,23 @@ def test_random_search_draws_and_refits(frame):
     assert 0 <= min(us) and max(us) < 1 and abs(np.mean(us) - .5) < .03
     assert {search.IntRange(2, 4).at(u) for u in us} == {2, 3, 4} and {search.Choice("ab").at(u) for u in us} == {"a", "b"}
     assert all(1e-3 <= search.LogUniform(1e-3, 10).at(u) <= 10 for u in us)
+
+
+def test_search_from_gram_matrices_equals_cross_validator(frame):
+    """Errors and refit of Spark's CrossValidator, without a fit a fold and candidate."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from fathom.operators import folds, ml
+    df = folds.kfold(ml.assemble(frame.dropna(), NAMES), ["label"], 3, "search").withColumn("label", F.col("label") * 50 + 7)
+    lr = LinearRegression(standardization=False, tol=1e-12, maxIter=1000)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1, 5.0, 40.0]).addGrid(lr.elasticNetParam, [0.0, 0.4, 1.0]).build()
+    model = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"), foldCol="fold", numFolds=3).fit(df)
+    candidates = [(g[lr.regParam], g[lr.elasticNetParam]) for g in grid]
+    grams = list(crossval.fold_grams(df, NAMES, "label", {"fold": 3}).values())
+    found = penalty.search(grams, candidates)
+    assert found.cv_rmse == pytest.approx(np.array(model.avgMetrics), rel=1e-6)
+    for g, (reg, share) in zip(grid, candidates):
+        m = lr.copy(g).fit(df)
+        assert penalty.spark_linear(sum(grams), reg, share) == pytest.approx(np.array([m.intercept, *m.coefficients]), rel=1e-4, abs=1e-6)
+    assert found.coefficients[1:] == pytest.approx(np.array(model.bestModel.coefficients), rel=1e-4, abs=1e-6)
