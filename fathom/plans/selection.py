@@ -28,17 +28,19 @@ LEARNERS = {
 }
 
 
-def priced_lines(spark, sf_dir):
+def priced_lines(spark, sf_dir, ordered: bool = True):
     """Line items with their price as label, and fold numbers: hash folds in
-    three repeats, fifths of the time, and fifths of the map by supplier."""
+    three repeats, fifths of the map by supplier, and (``ordered``: all rows
+    are put in order) fifths of the time."""
     _, lon = coords("l_suppkey")
     li = Tables(spark, sf_dir).lineitem.select(*LI_KEY, "l_quantity", "l_discount", "l_tax", "l_shipdate",
                                                F.col("l_extendedprice").alias("label"))
     for r in range(REPEATS):
         li = folds.kfold(li, LI_KEY, FOLDS, f"cv{r}", name=f"fold_{r}")
     li = li.withColumn("fold_space", F.least(F.floor((lon + 180.0) / 72.0).cast("int"), F.lit(FOLDS - 1)))
-    tiles = folds.ordered_tiles(li, ["l_shipdate", *LI_KEY], FOLDS, "__tile")
-    return tiles.withColumn("fold_time", F.col("__tile") - 1).drop("__tile").withColumn("l_linenumber", F.col("l_linenumber").cast("double"))
+    if ordered:
+        li = folds.ordered_tiles(li, ["l_shipdate", *LI_KEY], FOLDS, "__tile").withColumn("fold_time", F.col("__tile") - 1).drop("__tile")
+    return li.withColumn("l_linenumber", F.col("l_linenumber").cast("double"))
 
 
 _KT = sql_key_text(*LI_KEY)
@@ -128,7 +130,7 @@ MIXED = [0.1, 0.3, 0.5, 0.7, 0.9]
 def penalty_choice(spark, sf_dir):
     """Ridge, lasso and elastic net on the expanded features: share and
     penalty of least cross-validated error, and how many coefficients are zero."""
-    df, names = expanded(priced_lines(spark, sf_dir))
+    df, names = expanded(priced_lines(spark, sf_dir, ordered=False))
     found = penalty.choose(df, names, "label", "fold_0", FOLDS, PENALTIES,
                            {"ridge": [penalty.RIDGE], "lasso": [1.0], "elastic_net": MIXED})
     rows = [(c.family, c.share, c.penalty, float(c.cv_mse.min() ** 0.5), c.zeroed, n, float(b))
@@ -140,7 +142,7 @@ def penalty_choice(spark, sf_dir):
 @query("coefficient_paths", ["E47"])
 def coefficient_paths(spark, sf_dir):
     """Coefficients of ridge and lasso along 60 penalties, with the cross-validated error of each."""
-    df, names = expanded(priced_lines(spark, sf_dir))
+    df, names = expanded(priced_lines(spark, sf_dir, ordered=False))
     found = penalty.choose(df, names, "label", "fold_0", FOLDS, penalty.log_grid(-4, 3, 60), {"ridge": [penalty.RIDGE], "lasso": [1.0]})
     grid = penalty.log_grid(-4, 3, 60)
     rows = [(c.family, a, n, float(c.paths[i, j + 1]), float(c.cv_rmse[i])) for c in found.values()
@@ -162,7 +164,7 @@ def randomised_search(spark, sf_dir):
     """Three random candidates of each of four families, three-fold CV on the
     training rows, the best refitted and scored on the test rows."""
     from fathom.session import cut_lineage
-    df = folds.holdout(folds.kfold(priced_lines(spark, sf_dir), LI_KEY, 3, "search"), LI_KEY)
+    df = folds.holdout(folds.kfold(priced_lines(spark, sf_dir, ordered=False), LI_KEY, 3, "search"), LI_KEY)
     df = cut_lineage(ml.assemble(df, BASIC).select("label", "features", "fold", "split"))
     train, test = df.where("split = 'train'"), df.where("split = 'test'")
     table, best, name = search.random_search(train, "label", FAMILIES, 3, crossval.Scheme("search", ("fold",), 3))
@@ -176,7 +178,7 @@ def randomised_search(spark, sf_dir):
 @query("recursive_elimination", ["L25"])
 def recursive_elimination(spark, sf_dir):
     """The 14 expanded features down to six, all steps from one Gram matrix."""
-    df, names = expanded(priced_lines(spark, sf_dir))
+    df, names = expanded(priced_lines(spark, sf_dir, ordered=False))
     gram = sum(crossval.fold_grams(df, names, "label", {"fold_0": FOLDS}).values())
     steps = penalty.eliminate(gram, names, 6)
     return spark.createDataFrame([(i + 1, d, b, ",".join(left)) for i, (d, b, left) in enumerate(steps)],

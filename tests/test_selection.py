@@ -146,3 +146,14 @@ def test_search_from_gram_matrices_equals_cross_validator(frame):
         m = lr.copy(g).fit(df)
         assert penalty.spark_linear(sum(grams), reg, share) == pytest.approx(np.array([m.intercept, *m.coefficients]), rel=1e-4, abs=1e-6)
     assert found.coefficients[1:] == pytest.approx(np.array(model.bestModel.coefficients), rel=1e-4, abs=1e-6)
+
+
+def test_penalty_queries_put_no_rows_in_order(spark, monkeypatch):
+    """Only the queries with folds of time need all rows sorted; the other folds are the same without."""
+    from fathom.operators import folds
+    from fathom.plans import selection
+    sf = "/root/testdata/sf0.001"
+    full, plain = selection.priced_lines(spark, sf), selection.priced_lines(spark, sf, ordered=False)
+    assert full.select(*plain.columns).exceptAll(plain).isEmpty() and full.count() == plain.count()
+    monkeypatch.setattr(folds, "ordered_tiles", lambda *a, **k: pytest.fail("rows were put in order"))
+    assert selection.penalty_choice(spark, sf).count() and selection.coefficient_paths(spark, sf).count()
