@@ -99,8 +99,10 @@ def fold_grams(df: DataFrame, features: Sequence[str], label: str, columns: Mapp
             z = _matrix(batch, p)
             for c, start in enumerate(starts[:-1]):
                 fold = batch.column(p + 1 + c).to_numpy(zero_copy_only=False)
-                for f in np.unique(fold):
-                    rows = z[fold == f]
+                ends = np.cumsum(np.bincount(fold, minlength=columns[names[c]]))
+                by_fold = z[np.argsort(fold.astype(np.uint16), kind="stable")]
+                for f, end in enumerate(ends):
+                    rows = by_fold[ends[f - 1] if f else 0:end]
                     sums[start + f] += rows.T @ rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.size)), pa.array(sums.ravel())], names=["k", "v"])
 
@@ -136,22 +138,29 @@ def linear_scores(df: DataFrame, features: Sequence[str], label: str, learners:
             began = time.perf_counter()
             betas[:, i, j] = learner.solve(gram, features)
             seconds[i, j] = time.perf_counter() - began
-    at = [names.index(s.column) for s in splits]
+    of_column = [[i for i, s in enumerate(splits) if s.column == c] for c in names]
+    wide = [[i * len(learners) + j for i in mine for j in range(len(learners))] for mine in of_column]
+    every = [np.arange(columns[c]) for c in names]
 
     def run(batches):
         sums = np.zeros((len(splits), len(learners), 2, 5))          # n, e^2, |e|, y, y^2 of training and test rows
         for batch in batches:
             z = _matrix(batch, p)
-            y, folds = z[:, -1], [batch.column(p + 1 + c).to_numpy(zero_copy_only=False) for c in range(len(names))]
-            for i, split in enumerate(splits):
-                fold = folds[at[i]]
-                for part, rows in enumerate((split.trains(fold), fold == split.fold)):
-                    e = y[rows, None] - z[rows, :-1] @ betas[:, i]
-                    sums[i, :, part, 0] += rows.sum()
-                    sums[i, :, part, 1] += (e * e).sum(axis=0)
-                    sums[i, :, part, 2] += np.abs(e).sum(axis=0)
-                    sums[i, :, part, 3] += y[rows].sum()
-                    sums[i, :, part, 4] += y[rows] @ y[rows]
+            y = z[:, -1]
+            e = y[:, None] - z[:, :-1] @ betas.reshape(p + 1, -1)    # splits x learners columns
+            e2, size, own = e * e, np.abs(e), np.column_stack([np.ones(len(y)), y, y * y])
+            for c, mine in enumerate(of_column):
+                member = (batch.column(p + 1 + c).to_numpy(zero_copy_only=False) == every[c][:, None]).astype(float)
+                # sums by fold; a split's training rows are those of several folds
+                n, sy, yy = (member @ own).T
+                ss, sa = ((member @ v[:, wide[c]]).reshape(len(every[c]), len(mine), -1) for v in (e2, size))
+                for j, i in enumerate(mine):
+                    for part, in_part in enumerate((splits[i].trains(every[c]), every[c] == splits[i].fold)):
+                        sums[i, :, part, 0] += n[in_part].sum()
+                        sums[i, :, part, 1] += ss[in_part, j].sum(axis=0)
+                        sums[i, :, part, 2] += sa[in_part, j].sum(axis=0)
+                        sums[i, :, part, 3] += sy[in_part].sum()
+                        sums[i, :, part, 4] += yy[in_part].sum()
         flat = sums.reshape(-1, 5)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), *[pa.array(np.ascontiguousarray(c)) for c in flat.T]],
                                          names=["k", "n", "ss", "sa", "sy", "yy"])

@@ -72,7 +72,7 @@ def learning_curve(spark, sf_dir):
         # rows outside the sample belong to a sixth fold, which is neither trained on nor scored
         rows = rows.withColumn(f"s{i}", F.when(u < fraction, F.col("fold")).otherwise(F.lit(5)))
         schemes.append(crossval.Scheme(f"{fraction:g}", (f"s{i}",), 5, ignored=5))
-    scores = crossval.linear_scores(rows, REG_FEATURES, "label", {"ols": crossval.Linear(tuple(REG_FEATURES))}, schemes)
+    scores = cut_lineage(crossval.linear_scores(rows, REG_FEATURES, "label", {"ols": crossval.Linear(tuple(REG_FEATURES))}, schemes))   # read twice
     sizes = scores.where("part = 'test'").groupBy("scheme").agg(F.sum("n").alias("n_rows"))
     t = crossval.candidate_table(scores).join(sizes, "scheme")
     return t.select(F.col("scheme").cast("double").alias("fraction"), "n_rows", "train_rmse", "cv_rmse", "cv_rmse_std", "gap")

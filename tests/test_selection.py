@@ -157,3 +157,10 @@ def test_penalty_queries_put_no_rows_in_order(spark, monkeypatch):
     assert full.select(*plain.columns).exceptAll(plain).isEmpty() and full.count() == plain.count()
     monkeypatch.setattr(folds, "ordered_tiles", lambda *a, **k: pytest.fail("rows were put in order"))
     assert selection.penalty_choice(spark, sf).count() and selection.coefficient_paths(spark, sf).count()
+
+
+def test_learning_curve_scores_the_rows_once(spark):
+    """The table is made from stored scores, not from a second and third pass over the rows."""
+    from fathom.plans import diagnostics
+    t = diagnostics.learning_curve(spark, "/root/testdata/sf0.001")
+    assert t.count() == len(diagnostics.FRACTIONS) and "InArrow" not in t._jdf.queryExecution().toString()
