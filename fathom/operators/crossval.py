@@ -5,8 +5,9 @@ Linear learners are fitted from Gram matrices: one pass over the rows gives
 the matrix of every (fold column, fold), the training matrix of a split is
 the sum of its folds', and a second pass scores all learners on all splits
 at once, so the number of folds, repeats and learners adds no job.  Other
-learners are Spark ML estimators, fitted a few at a time.  Both give the same
-long table of scores, from which ``candidate_table`` makes the report.
+learners are Spark ML estimators, fitted a few at a time and scored together.
+Both give the same long table of scores, from which ``candidate_table`` makes
+the report.
 """
 
 from __future__ import annotations
@@ -187,25 +188,29 @@ def errors(prediction: str = "prediction", label: str = "label") -> list[Column]
 def estimator_scores(df: DataFrame, label: str, learners: Mapping[str, Callable[[], object]], schemes: Sequence[Scheme],
                      parallelism: int = 4) -> DataFrame:
     """Scores (``SCORES``) of Spark ML estimators on an assembled frame; each
-    fit is a job of its own, ``parallelism`` of them at a time.  A model's
-    training and test rows are scored in one pass."""
-    def one(job):
+    fit is a job of its own, ``parallelism`` of them at a time.  All models
+    are scored on their training and test rows in one pass."""
+    def fitted(job):
         split, name = job
-        rows = df.where(split.trains(F.col(split.column)) | (F.col(split.column) == split.fold)) \
-            .withColumn("__part", F.when(F.col(split.column) == split.fold, "test").otherwise("train"))
-        train = rows.where("__part = 'train'")
-        estimator = learners[name]()
+        estimator = learners[name]().setLabelCol(label)
         began = time.perf_counter()
-        model = estimator.setLabelCol(label).fit(train)
-        took = time.perf_counter() - began
-        found = model.transform(rows).groupBy("__part").agg(*errors(label=label)).collect()      # two rows
-        return [(split.scheme.name, split.repeat, split.fold, name, r["__part"], r["n"], r["rmse"], r["mae"], r["r2"], took)
-                for r in found]
+        model = estimator.fit(df.where(split.trains(F.col(split.column))))
+        return model, time.perf_counter() - began
 
     jobs = [(s, name) for scheme in schemes for s in scheme.splits() for name in learners]
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        rows = [r for rs in pool.imap(one, jobs) for r in rs]
-    return df.sparkSession.createDataFrame(rows, SCORES)
+        fits = list(pool.imap(fitted, jobs))
+    rows, each = df, []
+    for k, ((split, _), (model, _)) in enumerate(zip(jobs, fits)):
+        rows = model.setPredictionCol(f"__p{k}").transform(rows)
+        fold = F.col(split.column)
+        part = F.when(fold == split.fold, "test").when(split.trains(fold), "train")
+        each.append(F.struct(F.lit(k).alias("k"), part.alias("part"), F.col(f"__p{k}").alias("prediction")))
+    scored = rows.select(label, F.explode(F.array(*each)).alias("__s")).where("__s.part IS NOT NULL") \
+        .select(label, "__s.*").groupBy("k", "part").agg(*errors(label=label)).collect()         # two rows a fit
+    found = [(s.scheme.name, s.repeat, s.fold, name, r["part"], r["n"], r["rmse"], r["mae"], r["r2"], fits[r["k"]][1])
+             for r in scored for s, name in [jobs[r["k"]]]]
+    return df.sparkSession.createDataFrame(found, SCORES)
 
 
 def candidate_table(scores: DataFrame) -> DataFrame:

@@ -101,15 +101,16 @@ def cv_scheme_inflation(spark, sf_dir):
 @query("cv_learner_table", ["M15", "H8", "M2", "M4", "M5", "M6"])
 def cv_learner_table(spark, sf_dir):
     """Tree learners and regressions of several features, cross-validated under three schemes with fit times."""
-    from fathom.session import cut_lineage
-    rows = cut_lineage(ml.assemble(priced_lines(spark, sf_dir), BASIC))
+    from fathom.session import cut_lineage, stored
     three = [crossval.Scheme(s.name, s.columns[:1], s.folds, s.expanding) for s in SCHEMES if s.name != "repeated"]
+    rows = stored(priced_lines(spark, sf_dir).select(*BASIC, "label", *[c for s in three for c in s.columns]), "lines")
     learners = {
-        "linear": lambda: LinearRegression(),
         "tree_6": lambda: DecisionTreeRegressor(maxDepth=6, seed=42),
         "forest_20": lambda: RandomForestRegressor(numTrees=20, maxDepth=5, seed=42),
     }
-    table = crossval.candidate_table(crossval.estimator_scores(rows, "label", learners, three))
+    scores = crossval.linear_scores(rows, BASIC, "label", {"linear": crossval.Linear(tuple(BASIC))}, three) \
+        .unionByName(crossval.estimator_scores(ml.assemble(rows, BASIC), "label", learners, three))
+    table = crossval.candidate_table(cut_lineage(scores))
     return table.join(crossval.scheme_inflation(table, "shuffled"), ["scheme", "learner"], "left")
 
 
@@ -163,9 +164,9 @@ FAMILIES = {
 def randomised_search(spark, sf_dir):
     """Three random candidates of each of four families, three-fold CV on the
     training rows, the best refitted and scored on the test rows."""
-    from fathom.session import cut_lineage
+    from fathom.session import stored
     df = folds.holdout(folds.kfold(priced_lines(spark, sf_dir, ordered=False), LI_KEY, 3, "search"), LI_KEY)
-    df = cut_lineage(ml.assemble(df, BASIC).select("label", "features", "fold", "split"))
+    df = ml.assemble(stored(df.select(*BASIC, "label", "fold", "split"), "lines"), BASIC)
     train, test = df.where("split = 'train'"), df.where("split = 'test'")
     table, best, name = search.random_search(train, "label", FAMILIES, 3, crossval.Scheme("search", ("fold",), 3))
     refit = best.transform(test).agg(*crossval.errors()).select(F.col("rmse").alias("refit_test_rmse"), F.col("r2").alias("refit_test_r2"))

@@ -164,3 +164,31 @@ def test_learning_curve_scores_the_rows_once(spark):
     from fathom.plans import diagnostics
     t = diagnostics.learning_curve(spark, "/root/testdata/sf0.001")
     assert t.count() == len(diagnostics.FRACTIONS) and "InArrow" not in t._jdf.queryExecution().toString()
+
+
+def test_estimators_are_scored_in_one_pass_over_the_rows(frame, monkeypatch):
+    """Trees under two schemes: the same scores as fit by fit, from one aggregate."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from fathom.operators import ml
+    df = ml.assemble(frame.dropna(), NAMES)
+    schemes = [crossval.Scheme("a", ("fold",), 5), crossval.Scheme("b", ("fold",), 5, expanding=True),
+               crossval.Scheme("c", ("fold",), 4, ignored=4)]
+    learners = {f"tree_{d}": lambda d=d: DecisionTreeRegressor(maxDepth=d, seed=1) for d in (1, 3)}
+    collects, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collects.append(1) or collect(self))
+    scores = crossval.estimator_scores(df, "label", learners, schemes)
+    monkeypatch.undo()
+    assert len(collects) == 1
+    got = {(r["scheme"], r["fold"], r["learner"], r["part"]): r for r in scores.collect()}
+    assert len(got) == (5 + 4 + 4) * 2 * 2
+    for scheme in schemes:
+        for split in scheme.splits():
+            train, test = df.where(split.trains(F.col("fold"))), df.where(F.col("fold") == split.fold)
+            model = learners["tree_3"]().setLabelCol("label").fit(train)
+            for part, rows in (("train", train), ("test", test)):
+                want = model.transform(rows).agg(*crossval.errors()).first()
+                r = got[scheme.name, split.fold, "tree_3", part]
+                assert r["n"] == want["n"]
+                assert [r[c] for c in ("rmse", "mae", "r2")] == pytest.approx([want[c] for c in ("rmse", "mae", "r2")], rel=1e-9)
