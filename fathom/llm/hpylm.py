@@ -33,7 +33,9 @@ that owns a context, the context's tables here; the owner adds them up and
 answers every bucket that asked, by places agreed on once.  Only the totals of
 the head reach the driver.  Contexts are told apart by the first bits of their
 hash, ``SPARE_BITS`` more than the vocabulary's logarithm: less than one in ten
-million shares its restaurant with another, at any size.
+million shares its restaurant with another, at any size.  What a bucket adds to
+the scores leaves it packed by block of texts; the blocks follow the number of
+tokens as the buckets do.
 
 Defined results: null and empty texts have the end token only; rows with a null
 id are training rows; rows that repeat an id and text share their score, each
@@ -64,6 +66,9 @@ BUCKET_TOKENS = 1_000_000   # training tokens a bucket of words, so that what a
 BIN_BUCKETS = 16      # buckets in a bin of the stored tables, at most unless bins reach MOST_BINS
 MOST_BINS = 100_000
 SPARE_BITS = 24       # of a context's hash beyond the logarithm of the vocabulary
+BLOCKS = 64           # of texts, at least: a block's sums come packed from every bucket, a row each
+BLOCK_TOKENS = 2_000_000   # training tokens a block of texts
+MARK_BITS = 32        # of a text's hash, which tell texts of one id apart
 BURN_IN = 3
 SAMPLES = 4
 EXACT = 96
@@ -393,13 +398,36 @@ class Bucket:
     def seating(self, n: int) -> Seating:
         return Seating(self.n_words, self.contexts, self.word, self.ctx, self.count, n)
 
-    def scores(self, p: np.ndarray, base: np.ndarray, known: np.ndarray) -> pa.Table:
-        """doc_id, mark, base_score, score, n_known: sums over the entries of each text."""
+    def scores(self, p: np.ndarray, base: np.ndarray, known: np.ndarray, blocks: int) -> pa.Table:
+        """block, payload: the sums over the entries of each text, a row for each block of texts."""
         add = lambda x: np.bincount(self.doc, weights=x[self.place], minlength=len(self.ids)).astype(np.float64)
-        return pa.table(
-            [pa.array(self.ids, mask=(self.flags & 2) == 0), pa.array(self.marks), pa.array(add(base)),
-             pa.array(add(np.log10(np.maximum(p, _TINY)))), pa.array(add(known).astype(np.int64))],
-            names=["doc_id", "mark", "base_score", "score", "n_known"])
+        ids, valid = self.ids.astype(np.uint64), self.flags & 2
+        mixed = (ids + self.marks.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        block = owner(mixed, blocks)
+        order = np.lexsort((ids, block))
+        cuts = np.searchsorted(block[order], np.arange(blocks + 1))
+        sums = self.marks, valid, add(base), add(np.log10(np.maximum(p, _TINY))), _small(add(known).astype(np.int64))
+        some = np.flatnonzero(np.diff(cuts))
+        parts = [order[cuts[k]:cuts[k + 1]] for k in some]
+        return pa.table([pa.array(some, pa.int32()), pa.array([_pack(_small(_steps(ids[i])), *[x[i] for x in sums]) for i in parts],
+                                                              pa.binary())], names=["block", "payload"])
+
+
+def texts_of_block(t: pa.Table) -> pa.Table:
+    """doc_id, mark, base_score, score, n_known of the texts of a block, from what all buckets have of them."""
+    got = [_unpack(z) for z in t.column("payload").to_pylist()]
+    ids = np.concatenate([np.cumsum(a[0], dtype=np.uint64) for a in got]).astype(np.int64)
+    marks, valid, base, score, known = (np.concatenate([a[i] for a in got]) for i in range(1, 6))
+    order = np.lexsort((marks, ids, valid))
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for x in (marks, ids, valid):
+        new[1:] |= np.diff(x[order]) != 0
+    first = np.flatnonzero(new)
+    at = order[first]
+    add = lambda x: np.add.reduceat(x[order], first)
+    return pa.table([pa.array(ids[at], mask=valid[at] == 0), pa.array(marks[at]), pa.array(add(base)), pa.array(add(score)),
+                     pa.array(add(known.astype(np.int64)))], names=["doc_id", "mark", "base_score", "score", "n_known"])
 
 
 # ---- seating by bucket ----------------------------------------------------
@@ -522,8 +550,8 @@ def one_sweep(model: Model, before: Totals, head: np.ndarray, stirling, buckets:
     return run
 
 
-def scored_bucket(model: Model, samples: list[tuple[int, Totals, np.ndarray]], base_head: np.ndarray, n: int):
-    """From a bucket's entries and, for each sample, its seats and the answers: sums for each text."""
+def scored_bucket(model: Model, samples: list[tuple[int, Totals, np.ndarray]], base_head: np.ndarray, n: int, blocks: int):
+    """From a bucket's entries and, for each sample, its seats and the answers: sums for each text, by block of texts."""
     def run(key, entries, state):
         b = Bucket(entries.column("payload").to_pylist(), n)
         seating = b.seating(n)
@@ -544,7 +572,7 @@ def scored_bucket(model: Model, samples: list[tuple[int, Totals, np.ndarray]], b
         base[:n] = base_head
         known = c > 0
         known[:n] = True
-        return b.scores(p / max(len(samples), 1), base[d.word], known[d.word].astype(np.float64))
+        return b.scores(p / max(len(samples), 1), base[d.word], known[d.word].astype(np.float64), blocks)
 
     return run
 
@@ -577,7 +605,7 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     sc = spark.sparkContext
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.xxhash64(F.col(text_col)).alias("mark"), F.coalesce(train, F.lit(True)).alias("train"))
+                       F.shiftrightunsigned(F.xxhash64(F.col(text_col)), 64 - MARK_BITS).alias("mark"), F.coalesce(train, F.lit(True)).alias("train"))
 
     vocab = cut_lineage(vocabulary(docs))
     size, tokens = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
@@ -665,8 +693,10 @@ def score_texts(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     for k in kept[1:]:
         state = state.unionByName(k)
     sums = "doc_id long, mark long, base_score double, score double, n_known long"
+    blocks = max(BLOCKS, -(-int(tokens) // BLOCK_TOKENS))
     parts = entries.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(
-        scored_bucket(model, used, base_head, n), sums).withColumn("n_tokens", F.lit(0).cast("long")).withColumn("rows", F.lit(0))
+        scored_bucket(model, used, base_head, n, blocks), "block int, payload binary") \
+        .groupBy("block").applyInArrow(texts_of_block, sums).withColumn("n_tokens", F.lit(0).cast("long")).withColumn("rows", F.lit(0))
     whole = docs.select("doc_id", "mark", "text").mapInArrow(frequent, sums + ", n_tokens long").withColumn("rows", F.lit(1))
     names = ("n_tokens", "n_known", "base_score", "score")
     out = parts.unionByName(whole).groupBy("doc_id", "mark").agg(

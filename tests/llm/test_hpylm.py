@@ -111,3 +111,25 @@ def test_empty_table_and_no_training_rows(spark):
     assert h.score_texts(frame(spark, []), F.lit(True)).count() == 0
     got = h.score_texts(frame(spark, awkward()[:8]), F.lit(False)).collect()
     assert {(r.train_tokens, r.n_known, r.base_score, r.score) for r in got} == {(0, 0, 0.0, 0.0)}
+
+
+def test_scores_leave_a_bucket_packed_by_block(spark):
+    """At most a row a block, whatever the number of texts; the blocks give every text its sums."""
+    data = [(i, prose(i, 12, vocabulary=80)) for i in range(200)] + [(-5, "a b"), (-5, "b a b"), (None, "a b")]
+    docs = frame(spark, data).select("doc_id", "text", F.xxhash64("text").alias("mark"), F.lit(True).alias("train"))
+    top = spark.sparkContext.broadcast(np.zeros(0, dtype=np.uint64))
+    payloads = collections.defaultdict(list)
+    for r in h.packed_entries(docs, top, 3).collect():
+        payloads[r.bucket].append(bytes(r.payload))
+    tables = []
+    for z in payloads.values():
+        b = h.Bucket(z, 0)
+        one = np.ones(len(b.pairs))
+        tables.append(b.scores(one / 10, one * 0.5, one, 4))
+        assert tables[-1].num_rows <= 4 < len(b.ids)
+    rows = [(k, z) for t in tables for k, z in zip(t["block"].to_pylist(), t["payload"].to_pylist())]
+    got = []
+    for k in {k for k, _ in rows}:
+        got += h.texts_of_block(h.pa.table({"payload": h.pa.array([z for j, z in rows if j == k], h.pa.binary())})).to_pylist()
+    assert sorted((str(r["doc_id"]), r["n_known"], r["base_score"], round(r["score"], 9)) for r in got) == sorted(
+        (str(i), n, n * 0.5, -float(n)) for i, t in data for n in [len(words(t)) + 1])
