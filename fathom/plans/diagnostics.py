@@ -16,7 +16,7 @@ from fathom.operators import folds, ml
 from fathom.operators.ordered import exact_quantiles
 from fathom.plans.models import REG_FEATURES, li_table
 from fathom.plans.registry import query
-from fathom.session import cut_lineage
+from fathom.session import cut_lineage, stored
 from fathom.plans.slice import SQL_SCORED_ORDERS, scored_orders
 
 QQ_N = 20
@@ -150,7 +150,8 @@ def permutation_importance(spark, sf_dir):
     value of the row a hashed number of ranks further on, so all repeats and
     features come from one join on the rank and one aggregate."""
     from fathom.operators.ordered import row_numbers
-    train, test = _split(spark, sf_dir)
+    d = ml.assemble(stored(li_table(spark, sf_dir).drop("features"), "lines"), REG_FEATURES)
+    train, test = d.where("split = 'train'"), d.where("split = 'test'")
     m = LinearRegression().fit(train)
     coef = {c: float(v) for c, v in zip(REG_FEATURES, m.coefficients.toArray())}
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
