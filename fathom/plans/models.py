@@ -22,6 +22,7 @@ from fathom.operators import ml
 from fathom.operators import penalty
 from fathom.operators.ordered import quantile_row
 from fathom.plans.registry import query
+from fathom.session import stored
 from fathom.sources.tables import Tables
 
 CLS_FEATURES = ["log_chars", "n_lines", "lang_en", "lang_fr", "lang_de"]
@@ -86,7 +87,8 @@ def classifier_screening(spark, sf_dir):
 @query("coefficients", ["E51"])
 def coefficients(spark, sf_dir):
     """Signed coefficients of the linear models and importances of the forest, one row per model and feature."""
-    train = li_table(spark, sf_dir).where("split = 'train'")
+    rows = li_table(spark, sf_dir).where("split = 'train'").select(*REG_FEATURES, "label")
+    train = ml.assemble(stored(rows, "train"), REG_FEATURES)
     out = None
     for name, est in (("ols", LinearRegression()), ("lasso", LinearRegression(regParam=1.0, elasticNetParam=1.0)),
                       ("random_forest", RandomForestRegressor(numTrees=30, maxDepth=6, seed=42))):

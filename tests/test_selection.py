@@ -192,3 +192,21 @@ def test_estimators_are_scored_in_one_pass_over_the_rows(frame, monkeypatch):
                 r = got[scheme.name, split.fold, "tree_3", part]
                 assert r["n"] == want["n"]
                 assert [r[c] for c in ("rmse", "mae", "r2")] == pytest.approx([want[c] for c in ("rmse", "mae", "r2")], rel=1e-9)
+
+
+def test_model_fits_do_not_split_the_rows_again(spark, monkeypatch):
+    """The hash that deals rows to training and test is taken once, not in every pass of a fit."""
+    from pyspark.ml.base import Estimator
+
+    from fathom.plans import diagnostics, models
+    from tests.conftest import SF_SMALL
+    plans, fit = [], Estimator.fit
+
+    def seen(self, df, params=None):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return fit(self, df, params)
+
+    monkeypatch.setattr(Estimator, "fit", seen)
+    assert models.coefficients(spark, SF_SMALL).count() == 12
+    assert diagnostics.permutation_importance(spark, SF_SMALL).count() == 4
+    assert len(plans) == 4 and not any("md5" in p for p in plans)
