@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fathom.operators import ml
 from fathom.operators.ordered import quantile_row
+from fathom.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -83,17 +84,59 @@ def mapped_grams(df: DataFrame, features: Sequence[str], label: str, group: str,
     return grams
 
 
-def mice(df: DataFrame, cols: Sequence[str], rounds: int = 10) -> DataFrame:
-    """Chained-equation imputation.  Start from the median; each round,
-    for each column, a Bayesian ridge fit on the rows where it was observed
-    (one Gram aggregate) predicts the rows where it was missing.  Each round is
-    checkpointed so the lineage stays short."""
-    from fathom.session import cut_lineage
+PATTERN_COLUMNS = 12        # up to so many columns, their patterns of missing cells are a small table
+
+
+def mice(df: DataFrame, cols: Sequence[str], rounds: int = 10, start: Mapping[str, float] | None = None) -> DataFrame:
+    """Chained-equation imputation.  Start from the median (or ``start``);
+    each round, for each column, a Bayesian ridge fit on the rows where it was
+    observed predicts the rows where it was missing.
+
+    A filled cell is a linear function of its row's observed cells, the same
+    one for all rows with the same cells missing.  So the Gram matrices of
+    the fits come from those of the observed cells by pattern of missing
+    cells: one pass sums these, the rounds change one matrix a pattern, and
+    one more pass fills the cells.  Above ``PATTERN_COLUMNS`` columns each fit
+    has a pass of its own."""
     cols = list(cols)
-    med = quantile_row(df, cols, [0.5], prefix="").first()
-    med = {c: med[c][0] if med[c] else 0.0 for c in cols}
+    if start is None:
+        med = quantile_row(df, cols, [0.5], prefix="").first()
+        start = {c: med[c][0] if med[c] else 0.0 for c in cols}
+    if len(cols) > PATTERN_COLUMNS:
+        return _mice_by_rows(df, cols, rounds, start)
+    p = len(cols)
+    missing = (np.arange(2 ** p)[:, None] >> np.arange(p)) % 2 == 1
+    pattern = sum((F.col(c).isNull().cast("int") * (1 << j) for j, c in enumerate(cols)), F.lit(0))
+    seen = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
+    grams = np.zeros((2 ** p, p + 1, p + 1))
+    for at, g in ml.gram_by(df.select(pattern.alias("__pattern"), *[v.alias(c) for c, v in seen.items()]), cols, [],
+                            "__pattern").items():
+        grams[at] = g["xx"]
+    now = np.broadcast_to(np.eye(p + 1), grams.shape).copy()       # from [1, observed cells] to [1, cells]
+    for j, c in enumerate(cols):
+        now[missing[:, j], j + 1] = np.eye(p + 1)[0] * float(start[c])
+    for _ in range(rounds):
+        for j in range(1, p + 1):
+            own, rest = missing[:, j - 1], [o for o in range(p + 1) if o != j]
+            g = (now[~own] @ grams[~own] @ now[~own].transpose(0, 2, 1)).sum(axis=0)
+            fit = ml.bayesian_ridge({"n": g[0, 0], "xx": g[np.ix_(rest, rest)], "xy": g[rest, j][:, None], "yy": g[[j], j]})
+            now[own, j] = np.einsum("o,mok->mk", [fit["intercept"], *fit["coef"]], now[own][:, rest])
+    # a null in place of the rows of observed cells: they stay as they are
+    table = df.sparkSession.createDataFrame(
+        [(int(m), [now[m, j + 1].tolist() if missing[m, j] else None for j in range(p)]) for m in range(2 ** p)],
+        "__pattern int, __fill array<array<double>>")
+    values = [F.lit(1.0), *[f"__seen_{c}" for c in cols]]
+    fill = {c: sum((F.col("__fill")[j][k] * (F.col(v) if k else v) for k, v in enumerate(values)), F.lit(0.0))
+            for j, c in enumerate(cols)}
+    return df.withColumns({"__pattern": pattern, **{f"__seen_{c}": v for c, v in seen.items()}}) \
+        .join(F.broadcast(table), "__pattern") \
+        .withColumns({c: F.when(F.col(c).isNull(), fill[c]).otherwise(F.col(c)) for c in cols}).select(*df.columns)
+
+
+def _mice_by_rows(df: DataFrame, cols: list[str], rounds: int, start: Mapping[str, float]) -> DataFrame:
+    """``mice`` with a pass over the rows for each fit; each round is checkpointed so the lineage stays short."""
     cur = df.withColumns({f"__miss_{c}": F.col(c).isNull() for c in cols}) \
-        .withColumns({c: F.coalesce(F.col(c), F.lit(float(med[c]))) for c in cols})
+        .withColumns({c: F.coalesce(F.col(c), F.lit(float(start[c]))) for c in cols})
     cur = cut_lineage(cur)
     for _ in range(rounds):
         for c in cols:

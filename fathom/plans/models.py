@@ -376,12 +376,10 @@ def mice_impute(spark, sf_dir):
     from fathom.sources.tables import with_injected_missing
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    li = Tables(spark, sf_dir).lineitem.select(*key, *cols)
-    truth = li.select(*key, *[F.col(c).alias(f"true_{c}") for c in cols])
-    masked = with_injected_missing(li, key, cols)
-    med = {c: q[0] for c, q in quantile_row(masked, cols, [0.5], prefix="").first().asDict().items()}
-    imp = kernels.mice(masked, cols)
-    j = imp.join(truth, key).join(masked.select(*key, *[F.col(c).isNull().alias(f"m_{c}") for c in cols]), key)
+    li = Tables(spark, sf_dir).lineitem.select(*key, *cols, *[F.col(c).alias(f"true_{c}") for c in cols])
+    masked = stored(with_injected_missing(li, key, cols).drop(*key), "masked")
+    med = {c: q[0] if q else 0.0 for c, q in quantile_row(masked, cols, [0.5], prefix="").first().asDict().items()}
+    j = kernels.mice(masked.withColumns({f"m_{c}": F.col(c).isNull() for c in cols}), cols, start=med)
     rows = j.agg(*[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.col(c) - F.col(f"true_{c}")) ** 2))).alias(f"mice_{c}") for c in cols],
                  *[F.sqrt(F.avg(F.when(F.col(f"m_{c}"), (F.lit(float(med[c])) - F.col(f"true_{c}")) ** 2))).alias(f"median_{c}")
                    for c in cols]).first()
