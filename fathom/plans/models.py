@@ -328,7 +328,7 @@ def isolation_forest(spark, sf_dir):
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     forest = iforest.fit(li.select(*key, *feats), feats, key, n_trees=100, psi=256)
-    scored = iforest.score(li.select(*key, *feats), forest, feats, 256)
+    scored = stored(iforest.score(li.select(*feats), forest, feats, 256).select("anomaly_score"), "scores")
     cut = quantiles(scored.withColumn("__g", F.lit(1)), "anomaly_score", [0.97], ["__g"]).select(F.col("quantiles")[0].alias("cut"))
     j = scored.crossJoin(F.broadcast(cut))  # one row
     return j.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("anomaly_score") > F.col("cut")).cast("int")).alias("n_outliers"),
