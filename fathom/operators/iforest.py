@@ -86,7 +86,7 @@ def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int
         for batch in batches:
             seed = batch.column(len(feats) + 1).to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(seed), CHUNK):
-                hits = [np.flatnonzero(_hashed(seed[i:i + CHUNK], t) % np.uint64(2 ** 31) < cut) for t in range(n_trees)]
+                hits = [np.flatnonzero(_hashed(seed[i:i + CHUNK], t) & np.uint64(2 ** 31 - 1) < np.uint64(cut)) for t in range(n_trees)]
                 tree = np.repeat(np.arange(n_trees, dtype=np.int32), [len(h) for h in hits])
                 if len(tree):
                     rows = batch.take(pa.array(i + np.concatenate(hits)))

@@ -3,6 +3,7 @@ learner internals and timings, so they are checked by rows."""
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
@@ -146,22 +147,24 @@ def cv_search(spark, sf_dir):
 
 @query("ensemble_stack_calibrate", ["M16", "M17", "M18", "E30"])
 def ensemble_stack_calibrate(spark, sf_dir):
-    d = folds.kfold(doc_table(spark, sf_dir), ["doc_id"], 3, "stack")
+    d = folds.kfold(doc_table(spark, sf_dir), ["doc_id"], 3, "stack").select("doc_id", "label", *CLS_FEATURES, "split", "fold")
+    d = ml.assemble(stored(d, "rows"), CLS_FEATURES)          # narrow: texts are read once, not in every pass of the fits
     train, test = d.where("split = 'train'"), d.where("split = 'test'")
     base = {"lr": LogisticRegression(regParam=0.01), "rf": RandomForestClassifier(numTrees=40, maxDepth=5, seed=42)}
-    # out-of-fold scores on training rows (E30): fit on folds != i, score fold i
-    oof = None
-    for i in range(3):
-        tr, sc = train.where(F.col("fold") != i), train.where(F.col("fold") == i)
-        part = sc.select("doc_id", "label")
-        for name, est in base.items():
-            p = ml.positive_probability(est.fit(tr).transform(sc)).select("doc_id", F.col("p1").alias(f"p_{name}"))
-            part = part.join(p, "doc_id")
-        oof = part if oof is None else oof.unionByName(part)
-    full = {name: est.fit(train) for name, est in base.items()}
-    te = test.select("doc_id", "label")
-    for name, m in full.items():
-        te = te.join(ml.positive_probability(m.transform(test)).select("doc_id", F.col("p1").alias(f"p_{name}")), "doc_id")
+    # out-of-fold scores on training rows (E30): fit on folds != i, score fold i; test rows by fits on all training rows
+    parts = [(train.where(F.col("fold") != i), train.where(F.col("fold") == i)) for i in range(3)] + [(train, test)]
+    jobs = [(name, tr) for tr, _ in parts for name in base]
+    with ThreadPool(4) as pool:
+        fits = iter(pool.map(lambda job: base[job[0]].copy().fit(job[1]), jobs))
+    scores = None
+    for _, sc in parts:
+        for name in base:
+            model = next(fits).setPredictionCol(f"y_{name}").setProbabilityCol(f"v_{name}").setRawPredictionCol(f"r_{name}")
+            sc = ml.positive_probability(model.transform(sc), f"v_{name}", f"p_{name}")
+        part = sc.select("doc_id", "label", "split", *[f"p_{name}" for name in base])
+        scores = part if scores is None else scores.unionByName(part)
+    scores = stored(scores, "scores")
+    oof, te = scores.where("split = 'train'").drop("split"), scores.where("split = 'test'").drop("split")
     meta_in = ml.assemble(oof, ["p_lr", "p_rf"], "meta")
     meta = LogisticRegression(featuresCol="meta").fit(meta_in)                     # M17 stacking
     platt = LogisticRegression(featuresCol="meta_rf").fit(ml.assemble(oof, ["p_rf"], "meta_rf"))  # M18 sigmoid
@@ -175,11 +178,10 @@ def ensemble_stack_calibrate(spark, sf_dir):
     te = ml.assemble(te, ["p_rf"], "meta_rf")
     te = ml.positive_probability(platt.setFeaturesCol("meta_rf").transform(te), out="p_platt")
     te = te.withColumn("p_vote", (F.col("p_lr") + F.col("p_rf")) / 2).withColumn("y", F.col("label").cast("int"))  # M16
-    rows = []
-    for col in ["p_lr", "p_rf", "p_vote", "p_stack", "p_platt", "p_isotonic"]:
-        auc = C.roc_auc(te, "y", col).first()["roc_auc"]
-        brier = te.agg(F.avg((F.col(col) - F.col("y")) ** 2)).first()[0]
-        rows.append((col[2:], auc, float(brier)))
+    made = ["p_lr", "p_rf", "p_vote", "p_stack", "p_platt", "p_isotonic"]
+    te = stored(te.select("y", *made), "test-scores")
+    brier = te.agg(*[F.avg((F.col(c) - F.col("y")) ** 2).alias(c) for c in made]).first()
+    rows = [(c[2:], C.roc_auc(te, "y", c).first()["roc_auc"], float(brier[c])) for c in made]
     return spark.createDataFrame(rows, "model string, test_auc double, test_brier double")
 
 

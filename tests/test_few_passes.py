@@ -85,3 +85,20 @@ def test_isolation_samples_are_drawn_by_the_hash_of_key_and_tree(spark):
     for t in (0, 1, 99, 2 ** 31 - 1):
         rows = keys.select(F.xxhash64("k").alias("s"), F.xxhash64("k", F.lit(t)).alias("h")).collect()
         assert iforest._hashed(np.array([r.s for r in rows]).view(np.uint64), t).view(np.int64).tolist() == [r.h for r in rows]
+
+
+def test_stacked_fits_read_narrow_stored_rows(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from fathom.plans import models
+    from tests.conftest import SF_ORACLE
+    files, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *args: files.append(df.inputFiles()) or fit(self, df, *args))
+    rows = {r.model: r for r in models.ensemble_stack_calibrate(spark, SF_ORACLE).collect()}
+    assert list(rows) == ["lr", "rf", "vote", "stack", "platt", "isotonic"]
+    assert len(files) == 4 and all("/rows-" in f for fs in files for f in fs)
+    d = models.doc_table(spark, SF_ORACLE)
+    test = LogisticRegression(regParam=0.01).fit(d.where("split = 'train'")).transform(d.where("split = 'test'"))
+    p = [(r.probability[1], r.label) for r in test.select("probability", "label").collect()]
+    assert rows["lr"].test_brier == pytest.approx(sum((a - y) ** 2 for a, y in p) / len(p), rel=1e-6)
+    pairs = [(a > b) + 0.5 * (a == b) for a, y in p if y == 1 for b, z in p if z == 0]
+    assert rows["lr"].test_auc == pytest.approx(sum(pairs) / len(pairs), rel=1e-6)
