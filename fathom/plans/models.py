@@ -443,18 +443,20 @@ def knn_models(spark, sf_dir):
                                          F.col("roc_auc").alias("value")) \
         .unionByName(C.binary_metrics(p, "y", "p1", 0.5).select(
             F.lit("knn_classifier_k7_distance").alias("model"), F.lit("f1").alias("metric"), F.col("f1").alias("value")))
-    li = _std_lineitem(spark, sf_dir).withColumn("line_key", F.concat_ws("-", *LINE_KEY))
+    li = stored(_std_lineitem(spark, sf_dir).select(F.concat_ws("-", *LINE_KEY).alias("line_key"), *REG_FEATURES, "label", "split"), "lines")
     ref = li.where("split = 'train'").select(F.col("line_key").alias("ref_key"), *REG_FEATURES, "label")
     q = li.where("split = 'test'").select("line_key", *REG_FEATURES, "label")
+    # lines and neighbours are stored, as several passes read them
     nb = neighbors.knn(q, ref, REG_FEATURES, 7, qid="line_key", rid="ref_key", ref_cols=["label"])
-    out = cls
-    for k, w in [(7, "distance"), (5, "uniform")]:
-        pred = neighbors.weighted_mean(nb.where(F.col("rank") <= k), "line_key", "label", w).withColumnRenamed("label", "pred")
-        e = F.col("label") - F.col("pred")
-        m = pred.join(q.select("line_key", "label"), "line_key").agg(
+    names = {"knn_regressor_k7_distance": (7, "distance"), "knn_regressor_k5_uniform": (5, "uniform")}
+    near = stored(nb.select("line_key", "rank", "distance", "label"), "neighbours")
+    out, true = cls, q.select("line_key", F.col("label").alias("true"))
+    for name, (k, w) in names.items():
+        pred = neighbors.weighted_mean(near.where(F.col("rank") <= k), "line_key", "label", w)
+        e = F.col("true") - F.col("label")
+        m = pred.join(true, "line_key").agg(
             F.sqrt(F.avg(e * e)).alias("rmse"),
-            (1 - F.sum(e * e) / (F.sum(F.col("label") ** 2) - F.sum("label") ** 2 / F.count(F.lit(1)))).alias("r2"))
-        name = f"knn_regressor_k{k}_{w}"
-        out = out.unionByName(m.select(F.lit(name).alias("model"), F.lit("rmse").alias("metric"), F.col("rmse").alias("value"))) \
-            .unionByName(m.select(F.lit(name).alias("model"), F.lit("r2").alias("metric"), F.col("r2").alias("value")))
+            (1 - F.sum(e * e) / (F.sum(F.col("true") ** 2) - F.sum("true") ** 2 / F.count(F.lit(1)))).alias("r2"))
+        both = F.explode(F.array(*[F.struct(F.lit(v).alias("metric"), F.col(v).alias("value")) for v in ("rmse", "r2")]))
+        out = out.unionByName(m.select(both.alias("s")).select(F.lit(name).alias("model"), "s.metric", "s.value"))
     return out

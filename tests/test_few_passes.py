@@ -102,3 +102,25 @@ def test_stacked_fits_read_narrow_stored_rows(spark, monkeypatch):
     assert rows["lr"].test_brier == pytest.approx(sum((a - y) ** 2 for a, y in p) / len(p), rel=1e-6)
     pairs = [(a > b) + 0.5 * (a == b) for a, y in p if y == 1 for b, z in p if z == 0]
     assert rows["lr"].test_auc == pytest.approx(sum(pairs) / len(pairs), rel=1e-6)
+
+
+def test_knn_models_gather_lines_and_neighbours_once(spark, monkeypatch):
+    from fathom.operators import neighbors
+    from fathom.plans import models
+    from tests.conftest import SF_SMALL
+    kept, files, store, knn = [], [], models.stored, neighbors.knn
+    monkeypatch.setattr(models, "stored", lambda df, what: kept.append(what) or store(df, what))
+    monkeypatch.setattr(neighbors, "knn", lambda q, r, *a, **kw: files.append([*q.inputFiles(), *r.inputFiles()]) or knn(q, r, *a, **kw))
+    rows = models.knn_models(spark, SF_SMALL).collect()
+    assert [(r.model, r.metric) for r in rows[2:]] == [
+        (m, v) for m in ("knn_regressor_k7_distance", "knn_regressor_k5_uniform") for v in ("rmse", "r2")]
+    assert kept == ["lines", "neighbours"] and len(files) == 2 and all("/lines-" in f for f in files[1])
+    li = models._std_lineitem(spark, SF_SMALL).select(*models.REG_FEATURES, "label", "split", *models.LINE_KEY).collect()
+    train, test = ([r for r in li if r.split == part] for part in ("train", "test"))
+    x, y = np.array([r[:4] for r in train]), np.array([r.label for r in train])
+    keys = np.array(["-".join(str(v) if c != "l_linenumber" else str(float(v)) for c, v in zip(models.LINE_KEY, r[6:])) for r in train])
+    e2 = []
+    for r in test:
+        d = np.sqrt(((x - np.array(r[:4])) ** 2).sum(axis=1))
+        e2.append((r.label - y[np.lexsort((keys, np.round(d, 12)))[:5]].mean()) ** 2)
+    assert rows[4].value == pytest.approx(np.mean(e2) ** 0.5, rel=1e-2)      # ties in distance may fall otherwise
