@@ -4,9 +4,10 @@ dealing rows into folds.
 Linear learners are fitted from Gram matrices: one pass over the rows gives
 the matrix of every (fold column, fold), the training matrix of a split is
 the sum of its folds', and a second pass scores all learners on all splits
-at once, so the number of folds, repeats and learners adds no job.  Other
+at once, so the number of folds, repeats and learners adds no job.  Trees,
+forests and boosted trees of all splits grow together (``trees``).  Other
 learners are Spark ML estimators, fitted a few at a time and scored together.
-Both give the same long table of scores, from which ``candidate_table`` makes
+All give the same long table of scores, from which ``candidate_table`` makes
 the report.
 """
 
@@ -19,9 +20,13 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathom.operators import trees
+
 SCORES = ("scheme string, repeat int, fold int, learner string, part string, n long, rmse double, mae double, "
           "r2 double, fit_seconds double")
 
@@ -81,6 +86,36 @@ class Linear:
         return out
 
 
+@dataclass(frozen=True)
+class SparkLinear:
+    """Spark's ``LinearRegression`` of squared error with an intercept, from the Gram matrix."""
+
+    reg: float
+    share: float
+    standardised: bool
+
+    @staticmethod
+    def of(estimator) -> SparkLinear | None:
+        """What the estimator asks for; None where it is another one, or asks for something that is not done here."""
+        get = lambda name: estimator.getOrDefault(name)
+        if (type(estimator) is not LinearRegression or get("loss") != "squaredError" or not get("fitIntercept")
+                or estimator.isSet("weightCol") or get("solver") == "l-bfgs" or get("featuresCol") != "features"):
+            return None
+        return SparkLinear(get("regParam"), get("elasticNetParam"), get("standardization"))
+
+    def solve(self, gram: np.ndarray, names: Sequence[str]) -> np.ndarray:
+        from fathom.operators import penalty
+        if gram[0, 0] == 0:
+            return np.full(len(names) + 1, np.nan)
+        if not self.standardised or self.reg == 0:
+            return penalty.spark_linear(gram, self.reg, self.share)
+        n, mean = gram[0, 0], gram[0, 1:-1] / gram[0, 0]
+        scale = np.sqrt(np.maximum(np.diag(gram)[1:-1] / n - mean * mean, 0))
+        scale[scale <= 1e-12 * np.maximum(np.abs(mean), 1)] = 1.0
+        w = penalty.spark_linear(penalty.rescaled(gram, gram), self.reg, self.share)
+        return np.array([w[0] - (w[1:] / scale) @ mean, *(w[1:] / scale)])
+
+
 def _matrix(batch: pa.RecordBatch, p: int) -> np.ndarray:
     """Rows of [1, features, label]."""
     cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(p + 1)]
@@ -124,7 +159,7 @@ def training_gram(grams: Mapping[tuple[str, int], np.ndarray], split: Split) ->
     return sum(g for (c, f), g in grams.items() if c == split.column and split.trains(f))
 
 
-def linear_scores(df: DataFrame, features: Sequence[str], label: str, learners: Mapping[str, Linear],
+def linear_scores(df: DataFrame, features: Sequence[str], label: str, learners: Mapping[str, Linear | SparkLinear],
                   schemes: Sequence[Scheme]) -> DataFrame:
     """Scores (``SCORES``) of linear learners on every split of every scheme, in two passes over the rows."""
     features, p = list(features), len(features)
@@ -187,9 +222,62 @@ def errors(prediction: str = "prediction", label: str = "label") -> list[Column]
 
 def estimator_scores(df: DataFrame, label: str, learners: Mapping[str, Callable[[], object]], schemes: Sequence[Scheme],
                      parallelism: int = 4) -> DataFrame:
-    """Scores (``SCORES``) of Spark ML estimators on an assembled frame; each
-    fit is a job of its own, ``parallelism`` of them at a time.  All models
-    are scored on their training and test rows in one pass."""
+    """Scores (``SCORES``) of Spark ML estimators on an assembled frame.
+
+    Linear regressions are fitted from Gram matrices and trees, forests and
+    boosted trees by ``trees``, all of them together; of the others each fit
+    is a job of its own, ``parallelism`` of them at a time.  All models of a
+    kind are scored on their training and test rows in one pass."""
+    made = {name: builder() for name, builder in learners.items()}
+    linear = {name: SparkLinear.of(e) for name, e in made.items()}
+    grown = {name: trees.spec(e) for name, e in made.items()}
+    linear, grown = ({name: s for name, s in specs.items() if s is not None} for specs in (linear, grown))
+    out = []
+    if linear:
+        columns = list(dict.fromkeys(c for s in schemes for c in s.columns))
+        p = len(df.select("features").first()[0])
+        names = [f"__x_{i}" for i in range(p)]
+        flat = df.select(label, *columns, vector_to_array("features").alias("__x")) \
+            .select(label, *columns, *[F.get("__x", F.lit(i)).alias(n) for i, n in enumerate(names)])
+        out.append(linear_scores(flat, names, label, linear, schemes))
+    for bins in sorted({s.bins for s in grown.values()}):
+        mine = {name: s for name, s in grown.items() if s.bins == bins}
+        scores = tree_scores(df, label, mine, schemes)
+        if scores is None:
+            grown = {name: s for name, s in grown.items() if name not in mine}
+        else:
+            out.append(scores)
+    rest = {name: b for name, b in learners.items() if name not in linear and name not in grown}
+    if rest:
+        out.append(_fit_scores(df, label, rest, schemes, parallelism))
+    scores = out[0]
+    for more in out[1:]:
+        scores = scores.unionByName(more)
+    return scores
+
+
+def tree_scores(df: DataFrame, label: str, learners: Mapping[str, trees.Spec], schemes: Sequence[Scheme]) -> DataFrame | None:
+    """Scores (``SCORES``) of tree learners of one number of bins, all grown together; None where their cells have no code."""
+    columns = {c: max(s.folds, (s.ignored or 0) + 1) for s in schemes for c in s.columns}
+    cell = trees.cells(df, label, columns, next(iter(learners.values())).bins)
+    if cell is None:
+        return None
+    jobs = [(s, name) for scheme in schemes for s in scheme.splits() for name in learners]
+    every = {c: np.arange(n) for c, n in columns.items()}
+    models, seconds = trees.fit(cell, [(learners[name], s.column, s.trains(every[s.column])) for s, name in jobs])
+    sums = trees.errors(cell, models, [(s.column, s.trains(every[s.column]), every[s.column] == s.fold) for s, _ in jobs])
+    found = []
+    for (s, name), t, both in zip(jobs, seconds, sums):
+        for part, (n, ss, sa, sy, yy) in zip(("train", "test"), both.tolist()):
+            if n:
+                spread = yy - sy * sy / n
+                found.append((s.scheme.name, s.repeat, s.fold, name, part, int(n), (ss / n) ** 0.5, sa / n,
+                              1 - ss / spread if spread > 0 else None, t))
+    return df.sparkSession.createDataFrame(found, SCORES)
+
+
+def _fit_scores(df: DataFrame, label: str, learners: Mapping[str, Callable[[], object]], schemes: Sequence[Scheme],
+                parallelism: int) -> DataFrame:
     def fitted(job):
         split, name = job
         estimator = learners[name]().setLabelCol(label)
