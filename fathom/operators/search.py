@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.operators import crossval
+from fathom.operators import crossval, trees
 
 
 def uniform(*parts) -> float:
@@ -87,5 +87,8 @@ def random_search(df: DataFrame, label: str, families: Mapping[str, Family], dra
     named = df.sparkSession.createDataFrame(texts, "learner string, family string, parameters string")
     table = table.join(F.broadcast(named), "learner")
     best = table.orderBy("place").limit(1).collect()[0]["learner"]
-    return table, builder(best)().setLabelCol(label).fit(df), best
+    chosen = builder(best)().setLabelCol(label)
+    settings = trees.spec(chosen)
+    model = trees.fit_one(df, label, settings) if settings is not None else None
+    return table, model or chosen.fit(df), best
 

@@ -114,3 +114,12 @@ def test_cv_learner_table_has_no_fit_per_split(spark, monkeypatch):
     _no_fit(monkeypatch, DecisionTreeRegressor, RandomForestRegressor)
     rows = selection.cv_learner_table(spark, SF_SMALL).collect()
     assert {(r.scheme, r.learner) for r in rows} == {(s, m) for s in ("shuffled", "time", "space") for m in ("linear", "tree_6", "forest_20")}
+
+
+def test_randomised_search_has_no_fit_per_candidate(spark, monkeypatch):
+    from fathom.plans import selection
+    _no_fit(monkeypatch, DecisionTreeRegressor, RandomForestRegressor, GBTRegressor)
+    rows = selection.randomised_search(spark, SF_SMALL).collect()
+    assert len(rows) == 12 and sorted(r.place for r in rows) == list(range(1, 13))
+    best = min(rows, key=lambda r: r.place)
+    assert best.refit_test_rmse > 0 and all(r.refit_test_rmse is None for r in rows if r is not best)
