@@ -123,3 +123,15 @@ def test_randomised_search_has_no_fit_per_candidate(spark, monkeypatch):
     assert len(rows) == 12 and sorted(r.place for r in rows) == list(range(1, 13))
     best = min(rows, key=lambda r: r.place)
     assert best.refit_test_rmse > 0 and all(r.refit_test_rmse is None for r in rows if r is not best)
+
+
+def test_regressor_screening_keeps_no_rows_in_memory(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    from fathom.plans import models
+    _no_fit(monkeypatch, DecisionTreeRegressor, RandomForestRegressor, GBTRegressor)
+    for name in ("cache", "persist"):
+        monkeypatch.setattr(DataFrame, name, lambda *args, **kw: pytest.fail("rows kept in memory"))
+    rows = models.regressor_screening(spark, SF_SMALL).collect()
+    assert {r.model for r in rows} == {"ols", "ridge_alpha1", "lasso_alpha1", "elastic_net", "huber", "decision_tree", "random_forest",
+                                       "bagged_trees", "gradient_boosting"}
+    assert [r.test_rmse for r in rows] == sorted(r.test_rmse for r in rows)
