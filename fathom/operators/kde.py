@@ -20,6 +20,14 @@ tree as rows of a table, and a pair is let go when
   t^(p+1) / (p+1)! e^t of the term itself, t the largest |k.u|; p is the
   smallest order that makes it ``eta``.
 
+Of a cell's expansion only as much is needed as its share of the sum asks for:
+its terms may have the relative error ``eta`` times (a bound of the whole sum
+from below) / (a bound of the cell's terms from above).  Where many points to
+score lie together, the sums are made at ``m x m`` Chebyshev nodes of their box
+and interpolated, after a factor exp(s^2 / 2) that leaves a sum of exp(s.v), s
+the offset from the middle, v that of a reference point; m is the smallest of
+``NODES`` whose error, summed over the cells, is below ``eta``.
+
 A cell of at most ``RAW`` points travels as its points, a fuller one as its
 moments, which take no more room than ``RAW`` points.  A bundle goes once to
 each block that needs it; there the points are taken by a finer grid, whose
@@ -45,13 +53,17 @@ from pyspark.sql import functions as F
 from fathom.session import cut_lineage
 
 ETA = 1e-11
-ORDERS = (4, 8, 12, 16, 20, 24)
+ORDERS = (2, 4, 6, 8, 10, 12, 14, 16, 20, 24)
+NODES = (8, 12, 16, 20, 24, 28)     # Chebyshev nodes along a side of a box of targets
+PAYS = 2.5                          # points to score for each node along a side from which on nodes are quicker
+AMPLIFIED = 40.0                    # what interpolation can make of an error at the nodes: 3.1^2 (Lebesgue) x LEVEL
+LEVEL = 4.0                         # largest ratio of the values at the nodes that is interpolated
 SIDE = 16.0 / 3.0                   # of the target blocks and of level 0 of the tree, in bandwidths
 CELLS = 8                           # cells of a bundle along a side
 PARTS = 4                           # groups of a block's targets along a side
 RAW = 160                           # points of a cell that are kept as such: about the room of its moments
 FEW = 20                            # points up to which a term each is quicker than the moments
-AT_ONCE = 32768                     # target points of one block that a task takes together
+AT_ONCE = 131072                    # target points of one block that a task takes together
 BUSY = 200_000                      # points of one bundle that a task takes together
 _HALF = math.sqrt(0.5)              # half the diagonal of a unit cell
 
@@ -133,6 +145,7 @@ _P = ORDERS[-1]
 _KEPT = np.add.outer(np.arange(_P + 1), np.arange(_P + 1)) <= _P      # exponents (a, b) of the moments
 _SIZE = int(_KEPT.sum())
 _FACT = np.array([1.0 / math.factorial(i) for i in range(_P + 1)])
+_WEIGHT = np.outer(_FACT, _FACT) * _KEPT
 _BUNDLE = "g long, level long, cx long, cy long, cells binary, held binary"
 
 
@@ -142,7 +155,7 @@ def _moments(u: np.ndarray, v: np.ndarray, side: float) -> np.ndarray:
     up[0], vp[0] = np.exp(-0.5 * side * side * (u * u + v * v)), 1.0
     for i in range(_P):
         up[i + 1], vp[i + 1] = up[i] * u, vp[i] * v
-    return (up @ vp.T) * np.outer(_FACT, _FACT) * _KEPT
+    return (up @ vp.T) * _WEIGHT
 
 
 def _middle(c: int, sub: int, side: float) -> float:
@@ -252,8 +265,8 @@ def _bundles(ref: DataFrame, listed: DataFrame, levels: list[int]) -> DataFrame:
 
 
 def _expand(kx: np.ndarray, ky: np.ndarray, m: np.ndarray, side: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Logarithms of the expansions: offsets (points x cells) from the centres, moments (cells x (P + 1) x (P + 1))."""
-    logs = -0.5 * (kx * kx + ky * ky)
+    """The expansions but for exp(-k^2 / 2): offsets (points x cells) from the centres, moments (cells x (P + 1) x (P + 1))."""
+    sums = np.empty(kx.shape)
     for p in ORDERS:
         mine = np.flatnonzero(order == p)
         step = max(1, (1 << 18) // (len(kx) * (p + 1)))
@@ -268,62 +281,213 @@ def _expand(kx: np.ndarray, ky: np.ndarray, m: np.ndarray, side: np.ndarray, ord
                     np.multiply(out[:, :, a], t, out=out[:, :, a + 1])
                 powers.append(out)
             few = m[at][:, :p + 1, :p + 1] * _KEPT[_P - p:, :p + 1]            # a + b at most p
-            logs[:, at] += np.log(np.einsum("cta,cta->ct", np.matmul(powers[0], few), powers[1])).T
-    return logs
+            sums[:, at] = np.einsum("cta,cta->ct", np.matmul(powers[0], few), powers[1]).T
+    return sums
+
+
+def _log_sum(values: np.ndarray) -> float:
+    top = values.max()
+    return float(top + np.log(np.exp(values - top).sum()))
+
+
+_ORDER, _ORDER_FACT = np.array(ORDERS), np.array([math.lgamma(p + 2) for p in ORDERS])
+
+
+def _smallest_order(t: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Index in ORDERS of the smallest order whose logarithmic relative error at t is within room; their number if none is."""
+    with np.errstate(divide="ignore"):
+        error = (_ORDER + 1) * np.log(t)[:, None] - _ORDER_FACT + t[:, None]
+    return np.where((error <= room[:, None]).any(axis=1), (error <= room[:, None]).argmax(axis=1), len(ORDERS))
+
+
+def _chebyshev(m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes in -1..1 and their barycentric weights."""
+    angle = (2 * np.arange(m) + 1) * (math.pi / (2 * m))
+    return np.cos(angle), np.where(np.arange(m) % 2, -1.0, 1.0) * np.sin(angle)
+
+
+def _shares(z: np.ndarray, m: int) -> np.ndarray:
+    """(points x m): what the value at each node counts for at the points z in -1..1."""
+    nodes, weights = _chebyshev(m)
+    gap = z[:, None] - nodes
+    hit = gap == 0
+    out = weights / np.where(hit, 1.0, gap)
+    out /= out.sum(axis=1)[:, None]
+    on = hit.any(axis=1)
+    out[on] = hit[on]
+    return out
 
 
-def _evaluate(x: np.ndarray, y: np.ndarray, bundles: pa.Table, spread: float, eta: float) -> np.ndarray:
+class _Cells:
+    """The cells of a block's bundles."""
+
+    def __init__(self, bundles: pa.Table, points: int):
+        heads, values = [], []
+        for level, cx, cy, cells, held in zip(*(bundles.column(c).to_pylist() for c in ("level", "cx", "cy", "cells", "held"))):
+            h = np.frombuffer(cells, dtype=np.int64).reshape(-1, 2)
+            heads.append(np.column_stack([np.full(len(h), SIDE * 2.0 ** level / CELLS), cx * CELLS + h[:, 0] // CELLS,
+                                          cy * CELLS + h[:, 0] % CELLS, h[:, 1]]))
+            values.append(np.frombuffer(held))
+        heads, self.values = np.concatenate(heads), np.concatenate(values)
+        self.side, self.n = heads[:, 0], heads[:, 3].astype(np.int64)
+        self.low = heads[:, 1:3] * self.side[:, None]
+        self.mid, self.half, self.log_n = self.low + self.side[:, None] / 2, _HALF * self.side, np.log(self.n)
+        size = np.where(self.n <= RAW, 2 * self.n, _SIZE)
+        self.start = np.cumsum(size) - size
+        self.full = self.n > (FEW if points > 64 else RAW)          # cells with moments, made here where they pay
+        self.slot = np.cumsum(self.full) - 1
+        self.moments = np.zeros((int(self.full.sum()), _P + 1, _P + 1))
+        for i in np.flatnonzero(self.n > RAW).tolist():
+            self.moments[self.slot[i]][_KEPT] = self.values[self.start[i]:self.start[i] + size[i]]
+        made = np.flatnonzero(self.full & (self.n <= RAW))
+        for i in range(0, len(made), 256):
+            self._make(made[i:i + 256])
+
+    def _make(self, cells: np.ndarray) -> None:
+        """Moments of cells that travel as points, the powers of all their points at once."""
+        n, at = self.n[cells], self._points(cells)
+        side = np.repeat(self.side[cells], n)
+        ends = np.cumsum(n)
+        powers = np.empty((2, _P + 1, ends[-1]))
+        u, v = ((self.values[at + i] - np.repeat(self.mid[cells, i], n)) / side for i in range(2))
+        powers[0, 0], powers[1, 0] = np.exp(-0.5 * side * side * (u * u + v * v)), 1.0
+        for a in range(_P):
+            powers[0, a + 1], powers[1, a + 1] = powers[0, a] * u, powers[1, a] * v
+        for slot, start, end in zip(self.slot[cells].tolist(), (ends - n).tolist(), ends.tolist()):
+            np.matmul(powers[0, :, start:end], powers[1, :, start:end].T, out=self.moments[slot])
+        self.moments[self.slot[cells]] *= _WEIGHT
+
+    def _points(self, cells: np.ndarray) -> np.ndarray:
+        """Where in the values the points of the cells are."""
+        n = self.n[cells]
+        return np.repeat(self.start[cells], n) + 2 * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+
+    def near(self, box: np.ndarray) -> np.ndarray:
+        """Squared distance of each cell from a box ((x0, x1), (y0, y1))."""
+        return np.square(np.maximum(0.0, np.maximum(self.low - box[:, 1], box[:, 0] - self.low - self.side[:, None]))).sum(axis=1)
+
+    def least(self, box: np.ndarray) -> float:
+        """What the logarithm of the sum is at least everywhere in a box."""
+        far = np.square(np.maximum(self.low + self.side[:, None] - box[:, 0], box[:, 1] - self.low)).sum(axis=1)
+        return _log_sum(self.log_n - far / 2)
+
+    def room(self, box: np.ndarray, eta: float) -> np.ndarray:
+        """Logarithm of the relative error that each cell's terms may have; cells of log(1 / 2) or more are left out.
+
+        These hold eta / 2 of the sum together, errors of the others are eta / 2 of it.
+        """
+        return self.least(box) - (self.log_n - self.near(box) / 2) + math.log(eta / 4 / len(self.n))
+
+    def _taken(self, box: np.ndarray, eta: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Points (x, y) that count by themselves in a box, cells that count by expansions and their orders."""
+        room = self.room(box, eta)
+        kept = np.flatnonzero(room < math.log(0.5))
+        room = np.maximum(room[kept], math.log(eta / 4))
+        apart = np.sqrt(np.square(np.maximum(np.abs(self.mid[kept] - box[:, 0]), np.abs(self.mid[kept] - box[:, 1]))).sum(axis=1))
+        p = _smallest_order(apart * self.half[kept], room)
+        expand = self.full[kept] & ((p < len(ORDERS)) | (self.n[kept] > RAW))
+        at = self._points(kept[~expand])
+        return self.values[at], self.values[at + 1], kept[expand], _ORDER[np.minimum(p[expand], len(ORDERS) - 1)]
+
+    def log_sums(self, x: np.ndarray, y: np.ndarray, box: np.ndarray, eta: float) -> np.ndarray:
+        """Logarithms of the kernel sums at points of a box, each within eta of itself."""
+        rx, ry, dense, orders = self._taken(box, eta)
+        m = self.moments[self.slot[dense]]
+        step = max(64, (1 << 19) // max(len(rx) + len(dense), 1))             # keeps the arrays at some MB
+        out = np.empty(len(x))
+        for i in range(0, len(x), step):
+            px, py = x[i:i + step, None], y[i:i + step, None]
+            logs = np.empty((len(px), len(rx) + len(dense)))
+            for j in range(0, len(rx), 1 << 14):
+                k = slice(j, min(j + (1 << 14), len(rx)))
+                logs[:, k] = -0.5 * (np.square(px - rx[k]) + np.square(py - ry[k]))
+            if len(dense):
+                kx, ky = px - self.mid[dense, 0], py - self.mid[dense, 1]
+                logs[:, len(rx):] = -0.5 * (kx * kx + ky * ky)
+            top = logs.max(axis=1)
+            terms = np.exp(logs - top[:, None])
+            if len(dense):
+                terms[:, len(rx):] *= _expand(kx, ky, m, self.side[dense], orders)
+            out[i:i + step] = top + np.log(terms.sum(axis=1))
+        return out
+
+    def grid_sums(self, x: np.ndarray, y: np.ndarray, box: np.ndarray, eta: float) -> np.ndarray:
+        """As ``log_sums`` at all (x, y) of a grid in a box: exp(-d^2 / 2) is a product, so sums are products of matrices."""
+        rx, ry, dense, orders = self._taken(box, eta)
+        total = np.zeros((len(x), len(y)))
+        for i in range(0, len(rx), 1 << 13):
+            k = slice(i, i + (1 << 13))
+            total += np.exp(-0.5 * np.square(x[:, None] - rx[k])) @ np.exp(-0.5 * np.square(y[:, None] - ry[k])).T
+        for p in ORDERS:
+            mine = dense[orders == p]
+            step = max(1, (1 << 16) // (len(x) * (p + 1)))
+            for i in range(0, len(mine), step):
+                at = mine[i:i + step]
+                powers = []
+                for j, z in enumerate((x, y)):
+                    k = z[None, :] - self.mid[at, j, None]
+                    out = np.empty((len(at), len(z), p + 1))
+                    out[:, :, 0] = np.exp(-0.5 * k * k)
+                    k *= self.side[at, None]
+                    for a in range(p):
+                        np.multiply(out[:, :, a], k, out=out[:, :, a + 1])
+                    powers.append(out)
+                few = self.moments[self.slot[at], :p + 1, :p + 1] * _KEPT[_P - p:, :p + 1]
+                left, right = (c.transpose(1, 0, 2).reshape(len(x), -1) for c in (np.matmul(powers[0], few), powers[1]))
+                total += left @ right.T
+        return np.log(total)
+
+    def nodes(self, box: np.ndarray, points: int, eta: float) -> int:
+        """Nodes along a side with which interpolation in the box is within eta; 0 where it doesn't pay for the points."""
+        if PAYS * NODES[0] > points or self.least(box) < -300:               # no factor of a term underflows
+            return 0
+        middle, reach = box.mean(axis=1), (box[:, 1] - box[:, 0]) / 2
+        kept = self.room(box, eta / AMPLIFIED) < math.log(0.5)
+        a = (np.abs(self.mid - middle) + self.side[:, None] / 2)[kept] * reach + 1e-300
+        weight = (self.log_n - self.near(np.column_stack([middle, middle])) / 2)[kept]
+        most = self.least(box) + math.log(eta)
+        for m in NODES:
+            if PAYS * m > points:
+                return 0
+            if (a > m + 1).any():
+                continue
+            # twice the Chebyshev coefficients of exp(a z) from the m-th on, 2 I_k(a) each
+            error = math.log(8) + m * np.log(a / 2) - math.lgamma(m + 1) + np.square(a / 2) / (m + 1)
+            if _log_sum(weight + np.logaddexp(error[:, 0] + a[:, 1], error[:, 1] + a[:, 0] + math.log(3.1))) <= most:
+                return m
+        return 0
+
+    def interpolated(self, x: np.ndarray, y: np.ndarray, box: np.ndarray, m: int, eta: float) -> np.ndarray | None:
+        """Logarithms of the kernel sums from those at m x m nodes of the box; None where these differ too much."""
+        middle, reach = box.mean(axis=1), np.maximum((box[:, 1] - box[:, 0]) / 2, 1e-9)
+        z = _chebyshev(m)[0]
+        u, v = z * reach[0], z * reach[1]
+        ends = np.column_stack([middle - reach, middle + reach])
+        sums = self.grid_sums(middle[0] + u, middle[1] + v, ends, eta) + (u[:, None] ** 2 + v ** 2) / 2
+        if sums.max() - sums.min() > math.log(LEVEL):
+            return None
+        values, out = np.exp(sums - sums.max()), np.empty(len(x))
+        for i in range(0, len(x), 1 << 14):
+            k = slice(i, i + (1 << 14))
+            u, v = x[k] - middle[0], y[k] - middle[1]
+            got = np.einsum("ia,ia->i", _shares(u / reach[0], m) @ values, _shares(v / reach[1], m))
+            out[k] = sums.max() + np.log(got) - (u * u + v * v) / 2
+        return out
+
+
+def _evaluate(x: np.ndarray, y: np.ndarray, bundles: pa.Table, eta: float) -> np.ndarray:
     """Logarithms of the kernel sums at the points of a block over its bundles."""
-    heads, values = [], []
-    for level, cx, cy, cells, held in zip(*(bundles.column(c).to_pylist() for c in ("level", "cx", "cy", "cells", "held"))):
-        h = np.frombuffer(cells, dtype=np.int64).reshape(-1, 2)
-        heads.append(np.column_stack([np.full(len(h), SIDE * 2.0 ** level / CELLS), cx * CELLS + h[:, 0] // CELLS,
-                                      cy * CELLS + h[:, 0] % CELLS, h[:, 1]]))
-        values.append(np.frombuffer(held))
-    heads, values = np.concatenate(heads), np.concatenate(values)
-    side, n = heads[:, 0], heads[:, 3].astype(np.int64)
-    low = heads[:, 1:3] * side[:, None]
-    mid, half = low + side[:, None] / 2, _HALF * side
-    size = np.where(n <= RAW, 2 * n, _SIZE)
-    start = np.cumsum(size) - size
-    full = n > (FEW if len(x) > 64 else RAW)          # cells with moments, made here where they pay
-    slot = np.cumsum(full) - 1
-    moments = np.zeros((int(full.sum()), _P + 1, _P + 1))
-    for j, i in enumerate(np.flatnonzero(full).tolist()):
-        mine = values[start[i]:start[i] + size[i]]
-        if n[i] > RAW:
-            moments[j][_KEPT] = mine
-        else:
-            moments[j] = _moments((mine[::2] - mid[i, 0]) / side[i], (mine[1::2] - mid[i, 1]) / side[i], side[i])
-    limits = [_largest(p, eta) for p in ORDERS]
+    cells = _Cells(bundles, len(x))
     part = np.floor(x / (SIDE / PARTS)).astype(np.int64), np.floor(y / (SIDE / PARTS)).astype(np.int64)
     order = np.lexsort(part)
     edges = np.flatnonzero((np.diff(part[0][order]) != 0) | (np.diff(part[1][order]) != 0)) + 1
     out = np.empty(len(x))
     for group in np.split(order, edges):
-        box = np.array([[c[group].min(), c[group].max()] for c in (x, y)])
-        near = np.square(np.maximum(0.0, np.maximum(low - box[:, 1], box[:, 0] - low - side[:, None]))).sum(axis=1)
-        far = np.square(np.maximum(low + side[:, None] - box[:, 0], box[:, 1] - low)).sum(axis=1)
-        kept = np.flatnonzero(near <= far.min() + spread)
-        apart = np.sqrt(np.square(np.maximum(np.abs(mid[kept] - box[:, 0]), np.abs(mid[kept] - box[:, 1]))).sum(axis=1))
-        p = np.searchsorted(limits, apart * half[kept])
-        expand = full[kept] & ((p < len(ORDERS)) | (n[kept] > RAW))
-        rest, dense = kept[~expand], kept[expand]
-        at = np.repeat(start[rest], n[rest]) + 2 * (np.arange(n[rest].sum()) - np.repeat(np.cumsum(n[rest]) - n[rest], n[rest]))
-        rx, ry = values[at], values[at + 1]
-        orders = np.array(ORDERS)[np.minimum(p[expand], len(ORDERS) - 1)]
-        m = moments[slot[dense]]
-        step = max(64, (1 << 19) // max(len(rx) + len(dense), 1))             # keeps the arrays at some MB
-        for i in range(0, len(group), step):
-            g = group[i:i + step]
-            logs = np.empty((len(g), len(rx) + len(dense)))
-            for j in range(0, len(rx), 1 << 14):
-                k = slice(j, min(j + (1 << 14), len(rx)))
-                logs[:, k] = -0.5 * (np.square(x[g, None] - rx[k]) + np.square(y[g, None] - ry[k]))
-            if len(dense):
-                logs[:, len(rx):] = _expand(x[g, None] - mid[dense, 0], y[g, None] - mid[dense, 1], m, side[dense], orders)
-            top = logs.max(axis=1)
-            out[g] = top + np.log(np.exp(logs - top[:, None]).sum(axis=1))
+        gx, gy = x[group], y[group]
+        box = np.array([[c.min(), c.max()] for c in (gx, gy)])
+        m = cells.nodes(box, len(group), eta / 2)
+        got = cells.interpolated(gx, gy, box, m, eta / 2 / AMPLIFIED) if m else None
+        out[group] = cells.log_sums(gx, gy, box, eta) if got is None else got
     return out
 
 
@@ -339,14 +503,13 @@ def log_kernel_sums(points: DataFrame, ref: DataFrame, eta: float = ETA) -> Data
     n = ref.groupBy("g").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
     sizes = points.groupBy("g", "tx", "ty").agg(F.count(F.lit(1)).alias("__size"))
     cells = cut_lineage(sizes.select("g", "tx", "ty", F.ceil(F.col("__size") / AT_ONCE).cast("int").alias("salts")))
-    pairs = _cell_pairs(cells.drop("salts"), ref, n, eta) if n and not cells.isEmpty() else []
+    pairs = _cell_pairs(cells.drop("salts"), ref, n, eta / AMPLIFIED) if n and not cells.isEmpty() else []
     if not pairs:
         return points.sparkSession.createDataFrame([], schema)
     listed = None
     for level, frame in pairs:
         one = frame.select("g", "tx", "ty", F.lit(level).cast("long").alias("level"), "cx", "cy")
         listed = one if listed is None else listed.unionByName(one)
-    spread = 2 * math.log(max(n, 2) / eta)
     lists = listed.join(cells, ["g", "tx", "ty"]).join(_bundles(ref, listed, [level for level, _ in pairs]), ["g", "level", "cx", "cy"]) \
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     asked = points.join(cells, ["g", "tx", "ty"]).withColumn("salt", F.pmod(F.xxhash64("x", "y"), F.col("salts")).cast("int"))
@@ -356,7 +519,7 @@ def log_kernel_sums(points: DataFrame, ref: DataFrame, eta: float = ETA) -> Data
             return pa.table({"g": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in ("x", "y", "log_sum")}})
         x, y = left.column("x").to_numpy(), left.column("y").to_numpy()
         return pa.table({"g": left.column("g"), "x": left.column("x"), "y": left.column("y"),
-                         "log_sum": _evaluate(x, y, right, spread, eta)})
+                         "log_sum": _evaluate(x, y, right, eta)})
 
     keys = ["g", "tx", "ty", "salt"]
     other = lists.select(*[F.col(k).alias(f"__{k}") for k in keys], "level", "cx", "cy", "cells", "held")

@@ -96,3 +96,24 @@ def test_bundles_dealt_to_several_tasks(spark, monkeypatch):
     ref = np.concatenate([rng.normal(0, 0.05, (1500, 2)), rng.normal(0, 3, (500, 2))])
     points = np.concatenate([ref[::20], rng.uniform(-20, 20, (80, 2))])
     assert np.abs(scores(spark, points, ref, 1.0) - brute(points, ref, 1.0)).max() < 1e-10
+
+
+def test_points_close_together_share_their_sums(monkeypatch):
+    """Sums are made at nodes where many points lie together, and cells' expansions only as long as their share asks for."""
+    rng = np.random.default_rng(7)
+    ref = np.column_stack([rng.uniform(0, 2 * kde.SIDE, 4000), rng.uniform(0, kde.SIDE, 4000)])
+    keys = np.column_stack([np.zeros(4000, dtype=np.int64), np.zeros(4000, dtype=np.int64), np.floor(ref / kde.SIDE).astype(np.int64)])
+    rows = kde.pa.RecordBatch.from_arrays([kde.pa.array(c) for c in (*keys.T, *ref.T)], names=["g", "level", "cx", "cy", "x", "y"])
+    bundles, asked = kde.pa.Table.from_batches(list(kde._build(iter([rows])))), []
+    for name, size in (("log_sums", lambda x, y: len(x)), ("grid_sums", lambda x, y: len(x) * len(y))):
+        monkeypatch.setattr(kde._Cells, name, lambda self, x, y, *more, of=getattr(kde._Cells, name), size=size: (
+            asked.append(size(x, y)), of(self, x, y, *more))[1])
+    made = []
+    for n in (30_000, 60_000):
+        asked.clear()
+        points = rng.uniform(0, kde.SIDE, (n, 2))
+        got = kde._evaluate(points[:, 0], points[:, 1], bundles, kde.ETA)
+        made.append(sum(asked))
+        some = points[::100]
+        assert np.abs(got[::100] - brute(some, ref, 1.0) - math.log(4000 * 2 * math.pi)).max() < 1e-10
+    assert made[1] < 1.1 * made[0] < 0.5 * 30_000
