@@ -382,12 +382,12 @@ class _Cells:
         """Points (x, y) that count by themselves in a box, cells that count by expansions and their orders."""
         room = self.room(box, eta)
         kept = np.flatnonzero(room < math.log(0.5))
-        room = np.maximum(room[kept], math.log(eta / 4))
-        apart = np.sqrt(np.square(np.maximum(np.abs(self.mid[kept] - box[:, 0]), np.abs(self.mid[kept] - box[:, 1]))).sum(axis=1))
-        p = _smallest_order(apart * self.half[kept], room)
-        expand = self.full[kept] & ((p < len(ORDERS)) | (self.n[kept] > RAW))
-        at = self._points(kept[~expand])
-        return self.values[at], self.values[at + 1], kept[expand], _ORDER[np.minimum(p[expand], len(ORDERS) - 1)]
+        dense, rest = kept[self.full[kept]], kept[~self.full[kept]]
+        apart = np.sqrt(np.square(np.maximum(np.abs(self.mid[dense] - box[:, 0]), np.abs(self.mid[dense] - box[:, 1]))).sum(axis=1))
+        p = _smallest_order(apart * self.half[dense], np.maximum(room[dense], math.log(eta / 4)))
+        expand = (p < len(ORDERS)) | (self.n[dense] > RAW)
+        at = self._points(np.concatenate([rest, dense[~expand]]))
+        return self.values[at], self.values[at + 1], dense[expand], _ORDER[np.minimum(p[expand], len(ORDERS) - 1)]
 
     def log_sums(self, x: np.ndarray, y: np.ndarray, box: np.ndarray, eta: float) -> np.ndarray:
         """Logarithms of the kernel sums at points of a box, each within eta of itself."""
